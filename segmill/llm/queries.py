@@ -5,10 +5,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from segmill.llm.common import read_table
+from segmill.llm.exact_dedup import exact_dedup
+from segmill.llm.jaccard_join import jaccard_components
+from segmill.llm.langid import language_id
+from segmill.llm.license_scan import license_scan
 from segmill.llm.packing import pack_documents
+from segmill.llm.suffix_dedup import suffix_dedup
 from segmill.llm.token_binary import token_binary
+from segmill.llm.window_dedup import window_dedup
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(spark, read_table(spark, sf_dir, "documents"))
+
+
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(spark, read_table(spark, sf_dir, "documents"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(spark, read_table(spark, sf_dir, "documents"))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,5 +38,31 @@ def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_binary(spark, read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_packing, op7_token_binary)}
-ORACLES: dict[str, str] = {}
+def op8_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup(spark, read_table(spark, sf_dir, "documents"))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(spark, read_table(spark, sf_dir, "documents")).drop("key")
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(spark, read_table(spark, sf_dir, "documents"))
+    spans = F.transform("spans", lambda s: F.concat_ws(":", s["label"], s["first_word"], s["last_word"], s["edits"]))
+    return found.withColumn("spans", F.array_join(spans, ","))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (op1_suffix_dedup, op2_exact_dedup, op3_language_id, op5_packing, op7_token_binary, op8_window_dedup, op9_jaccard_join, op10_license_scan)
+}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op2_exact_dedup": f"""
+        with d as (select doc_id, {_LOWER} as t from documents),
+             g as (select t, max(doc_id) as keep_id, count(*) as group_size from d group by t)
+        select d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id as kept, sha256(d.t) as text_sha256
+        from d join g using (t)""",
+}
