@@ -13,6 +13,8 @@ from segmill.llm.jaccard_join import jaccard_components
 from segmill.llm.langid import language_id
 from segmill.llm.license_scan import license_scan
 from segmill.llm.packing import pack_documents
+from segmill.llm.site_style_tree import extract_main_text
+from segmill.llm.string_tiling import tile_documents
 from segmill.llm.suffix_dedup import suffix_dedup
 from segmill.llm.token_binary import token_binary
 from segmill.llm.window_dedup import window_dedup
@@ -30,10 +32,18 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op4_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(spark, read_table(spark, sf_dir, "pages"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op6_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tile_documents(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_binary(spark, read_table(spark, sf_dir, "documents"))
 
@@ -54,7 +64,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_suffix_dedup, op2_exact_dedup, op3_language_id, op5_packing, op7_token_binary, op8_window_dedup, op9_jaccard_join, op10_license_scan)
+    for f in (op1_suffix_dedup, op2_exact_dedup, op3_language_id, op4_site_style_tree, op5_packing, op6_string_tiling, op7_token_binary, op8_window_dedup, op9_jaccard_join, op10_license_scan)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
