@@ -39,6 +39,8 @@ GRAM = 24
 #: Depth to which multikey quicksort goes before blind tries take over.
 SHALLOW = 32
 PART = 1 << 20
+#: Bytes of text whose surroundings go to one bucket, on average, and pairs that are compared at once.
+AROUND_TEXT, _PAIRS = 5 << 20, 1 << 15
 
 RESULT = T.StructType().add("doc_id", T.LongType()).add("n_bytes", T.LongType()).add("n_removed", T.LongType()).add("n_spans", T.LongType()).add("kept_sha256", T.StringType())
 _AROUND = (
@@ -135,9 +137,9 @@ def deep_shallow(data: np.ndarray, starts: np.ndarray, length: int, shallow: int
         if not len(open_rows):
             break
         at = starts[order[open_rows]] + depth
-        block = padded[at[:, None] + np.arange(8)]
-        block[:, min(8, length - depth) :] = 0
-        block = block.view(">u8")[:, 0].astype(np.uint64)
+        block = np.zeros(len(at), np.uint64)
+        for j in range(min(8, length - depth)):
+            block |= padded[at + j].astype(np.uint64) << np.uint64(56 - 8 * j)
         by = np.lexsort((block, group[open_rows]))
         order[open_rows] = order[open_rows][by]
         block, old = block[by], group[open_rows]  # groups are in order already, so they stay
@@ -209,11 +211,12 @@ def send_surroundings(texts: DataFrame, length: int, gram: int, hash_buckets: in
 
 def _common(a: np.ndarray, b: np.ndarray, data: np.ndarray, most: np.ndarray, step: int) -> np.ndarray:
     """For each pair of positions, how many bytes agree from there on (step 1) or before (step -1), up to most."""
-    n = len(a)
-    agreed, rows = np.zeros(n, np.int64), np.flatnonzero(most > 0)
+    if len(a) > _PAIRS:
+        return np.concatenate([_common(a[i : i + _PAIRS], b[i : i + _PAIRS], data, most[i : i + _PAIRS], step) for i in range(0, len(a), _PAIRS)])
+    agreed, rows = np.zeros(len(a), np.int64), np.flatnonzero(most > 0)
+    width = 16
+    along = step * np.arange(width)
     while len(rows):
-        width = 16
-        along = step * np.arange(width)
         x = np.clip(a[rows, None] + step * agreed[rows, None] + along, 0, len(data) - 1)
         y = np.clip(b[rows, None] + step * agreed[rows, None] + along, 0, len(data) - 1)
         same = np.logical_and.accumulate(data[x] == data[y], axis=1).sum(axis=1)
@@ -312,8 +315,8 @@ def remove_repeats(texts: DataFrame, length: int, with_text: bool = False) -> Da
 def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallow: int = SHALLOW, buckets: int | None = None, with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_bytes)."""
     configure(spark)
-    buckets = buckets or bucket_number(docs)
-    hash_buckets = max(1, buckets // 4)  # anchors are few beside bytes
+    buckets = buckets or bucket_number(docs, AROUND_TEXT)
+    hash_buckets = max(1, buckets // 16)  # anchors are few beside bytes
     texts = keyed(docs)
     answers = stage(ask_buckets(texts, lambda column: anchor_hashes(column, length, gram), hash_buckets, PART))
     copies = stage(texts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(_order("doc_id")).alias("first_id")).where("n > 1"))
