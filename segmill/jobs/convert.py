@@ -79,8 +79,8 @@ def merge_partials(partials: DataFrame, indices: DataFrame) -> DataFrame:
     """One row from per-rank metrics: sums, distinct rows, the largest non-null memory, guarded ratios."""
     sums = partials.agg(*[F.sum(c).cast("long").alias(c) for c in SUMS], F.max("memory_mb").alias("memory_mb"), F.sum("seconds").alias("seconds"))
     per = lambda x: F.coalesce(F.try_divide("seconds", x), F.lit(0.0))
-    counted = indices.agg(F.countDistinct("source_idx").alias("sample_count"))
-    return sums.crossJoin(counted).withColumn("seconds_per_row", per(F.col("rows_scored"))).withColumn("seconds_per_token", per(F.col("scored_token_count")))
+    counted = F.lit(indices.select("source_idx").distinct().count())
+    return sums.withColumn("sample_count", counted).withColumn("seconds_per_row", per(F.col("rows_scored"))).withColumn("seconds_per_token", per(F.col("scored_token_count")))
 
 
 def config_mismatches(partials: DataFrame, keys: list[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segmill.functions.text import tokens
+from segmill.sources.staging import stage
 
 START = "\u0002"
 
@@ -26,11 +27,10 @@ def pair_rows(rows: DataFrame, key: str, text: str) -> DataFrame:
 def ngram_confidence(rows: DataFrame, key: str, text: str) -> DataFrame:
     """(key, idx, token, confidence) of every token."""
     pairs = pair_rows(rows, key, text)
-    counts = pairs.groupBy("prev", "token").agg(F.count(F.lit(1)).alias("c"))
+    counts = stage(pairs.groupBy("prev", "token").agg(F.count(F.lit(1)).alias("c")))
+    size = counts.select("token").distinct().count()
     context = counts.groupBy("prev").agg(F.sum("c").alias("c_prev"))
-    size = counts.agg(F.countDistinct("token").alias("v"))
-    model = counts.join(context, "prev").crossJoin(F.broadcast(size))
-    model = model.select("prev", "token", ((F.col("c") + 1).cast("double") / (F.col("c_prev") + F.col("v"))).alias("confidence"))
+    model = counts.join(context, "prev").select("prev", "token", ((F.col("c") + 1).cast("double") / (F.col("c_prev") + size)).alias("confidence"))
     return pairs.join(model, ["prev", "token"]).select(key, "idx", "token", "confidence")
 
 

@@ -38,17 +38,17 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float]) -> Da
     """
     if not quantiles or any(not 0 <= q <= 1 for q in quantiles):
         raise ValueError("quantiles must lie between 0 and 1, one at least")
-    spark = df.sparkSession
-    keys = list({f"q_{q:.4f}": float(q) for q in quantiles}.items())
-    wanted = spark.createDataFrame(keys, "tau_key string, quantile double")
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("tau")).agg(F.count(F.lit(1)).alias("n"))
     own = Window.partitionBy("_part").orderBy("tau").rowsBetween(Window.unboundedPreceding, 0)
     ranked = _ranged(counts, ["tau"], "n").withColumn("last", F.col("_before") + F.sum("n").over(own))
     ranked = stage(ranked.select("tau", "n", "last"))
-    total = ranked.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-    places = wanted.crossJoin(F.broadcast(total)).withColumn("place", F.bround((F.col("total") - 1) * F.col("quantile"), 0).cast("long"))
-    found = ranked.join(F.broadcast(places), (F.col("place") >= F.col("last") - F.col("n")) & (F.col("place") < F.col("last")))
-    return wanted.join(found.select("tau_key", "tau"), "tau_key", "left").select("tau_key", "quantile", "tau")
+    total = ranked.agg(F.sum("n")).first()[0] or 0
+    wanted = {f"q_{q:.4f}": float(q) for q in quantiles}
+    places = [(k, q, round((total - 1) * q)) for k, q in wanted.items()]  # one row a quantile
+    places = df.sparkSession.createDataFrame(places, "tau_key string, quantile double, place long")
+    inside = (F.col("place") >= F.col("last") - F.col("n")) & (F.col("place") < F.col("last"))
+    found = ranked.join(F.broadcast(places), inside).select("tau_key", "tau")
+    return places.drop("place").join(found, "tau_key", "left").select("tau_key", "quantile", "tau")
 
 
 def hash_sample(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:
