@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import hashlib
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+
+from segmill.sources.staging import read_table, stage, work_dir  # noqa: F401  (shared by the operators)
 
 #: Fixed for every operator: Arrow batches stay small, so that a few very long texts fit a worker.
 BATCH_ROWS = 2000
 BATCH_BYTES = 8 << 20
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -24,43 +21,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def work_dir(spark: SparkSession) -> str:
-    """A fresh path in the folder that all executors share (spark.checkpoint.dir).
-
-    Only where the setting is absent (tests in one JVM) a temporary folder takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="segmill-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/segmill-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, partition_by: str | None = None) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back.
-
-    This cuts the lineage: a lost executor costs no recomputation of what lies before, and the
-    shuffle files of the write are removed when it ends.
-    """
-    spark = df.sparkSession
-    path = work_dir(spark)
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        writer = df.write.option("compression", "zstd")
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def as_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
@@ -84,10 +44,6 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(np.asarray(starts, np.int64) - before, lengths) + np.arange(total, dtype=np.int64)
 
 
-def digest16(data: bytes | memoryview) -> bytes:
-    return hashlib.blake2b(data, digest_size=16).digest()
-
-
 def binary_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """A binary column over the bytes of data, cut at offsets (in bytes)."""
     raw = np.ascontiguousarray(data).view(np.uint8)
