@@ -24,21 +24,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmill.llm import hashing
-from segmill.llm.common import binary_array, configure, ragged, stage
+from segmill.llm.common import configure, ragged, stage
 from segmill.llm.components import components
-from segmill.llm.window_dedup import PART_TEXT, bucket_number, bucket_of, parts
+from segmill.llm.parts import bucket_number, bucket_of, by_bucket, keyed, parts_of, stage_parts
 from segmill.llm.words import words_of
 
 GRAM, PERCENT, FRAGMENTS, PIVOT_ROUNDS = 3, 90, 4, 2
 
-_PACKED = T.StructType().add("bucket", T.LongType()).add("keys", T.BinaryType()).add("counts", T.BinaryType()).add("hashes", T.BinaryType())
-_ANSWER = T.StructType().add("key", T.BinaryType()).add("bucket", T.LongType()).add("classes", T.BinaryType())
+_PACKED = T.StructType().add("bucket", T.LongType()).add("part", T.LongType()).add("keys", T.BinaryType()).add("counts", T.BinaryType()).add("hashes", T.BinaryType())
+_ANSWER = T.StructType().add("part", T.LongType()).add("bucket", T.LongType()).add("classes", T.BinaryType())
 _SETS = (
     T.StructType().add("doc_id", T.LongType()).add("key", T.BinaryType()).add("n", T.LongType()).add("cid", T.LongType())
     .add("alone", T.LongType()).add("prefix", T.ArrayType(T.LongType())).add("fragments", T.ArrayType(T.ArrayType(T.LongType())))
@@ -46,8 +45,8 @@ _SETS = (
 
 
 def keyed_lower(docs: DataFrame) -> DataFrame:
-    text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text.cast("binary"))).alias("key"), text.alias("text"))
+    """(doc_id, key, text) with A-Z in lower case, so texts that differ in case only are one member."""
+    return keyed(docs, F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 
 
 def gram_sets(column: pa.Array, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,95 +70,95 @@ def gram_sets(column: pa.Array, gram: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes[new], np.searchsorted(text[new], np.arange(len(counts) + 1))
 
 
-def pack_sets(texts: DataFrame, gram: int, buckets: int) -> DataFrame:
+def _first_of(keys: list[bytes]) -> np.ndarray:
+    """Rows of the first text of each key."""
+    return np.fromiter(sorted({k: i for i, k in reversed(list(enumerate(keys)))}.values()), np.int64)
+
+
+def pack_sets(parts: DataFrame, gram: int, buckets: int) -> DataFrame:
+    """For each part and bucket: its texts there, how many n-grams each has, and their hashes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in parts(whole, 1, PART_TEXT):
-                _, first = np.unique(np.array([k.hex() for k in batch.column(0).to_pylist()]), return_index=True)
-                batch = batch.take(pa.array(np.sort(first)))  # a text and its copies are one member
-                hashes, cuts = gram_sets(batch.column(1), gram)
-                if not len(hashes):
-                    continue
-                keys = batch.column(0).to_pylist()
-                doc = np.repeat(np.arange(len(keys)), np.diff(cuts))
-                bucket = bucket_of(hashes, buckets)
-                order = np.argsort(bucket.astype(np.uint32), kind="stable")
-                bounds = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
-                out = {name: [] for name in _PACKED.names}
-                for b in np.unique(bucket).tolist():
-                    own = order[bounds[b] : bounds[b + 1]]
-                    who, at = np.unique(doc[own], return_index=True)
-                    out["bucket"].append(b)
-                    out["keys"].append(b"".join(keys[i] for i in who.tolist()))
-                    out["counts"].append(np.diff(at, append=len(own)).astype("<i4").tobytes())
-                    out["hashes"].append(hashes[own].tobytes())
-                yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(n, pa.int64() if n == "bucket" else pa.binary()) for n in _PACKED.names]))
-
-    return texts.select("key", "text").mapInArrow(run, _PACKED)
+        for p in parts_of(batches):
+            keys = p.keys.to_pylist()
+            rows = _first_of(keys)  # a text and its copies are one member
+            hashes, cuts = gram_sets(p.texts.take(pa.array(rows)), gram)
+            if not len(hashes):
+                continue
+            doc = np.repeat(np.arange(len(rows)), np.diff(cuts))
+            order, found, bounds = by_bucket(hashes, buckets)
+            out = {name: [] for name in _PACKED.names}
+            for i, b in enumerate(found.tolist()):
+                own = order[bounds[i] : bounds[i + 1]]
+                who, at = np.unique(doc[own], return_index=True)
+                out["bucket"].append(b)
+                out["part"].append(p.part)
+                out["keys"].append(b"".join(keys[rows[j]] for j in who.tolist()))
+                out["counts"].append(np.diff(at, append=len(own)).astype("<i4").tobytes())
+                out["hashes"].append(hashes[own].tobytes())
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(n, pa.int64() if n in ("bucket", "part") else pa.binary()) for n in _PACKED.names]))
+
+    return parts.mapInArrow(run, _PACKED)
 
 
 def frequency_classes(table: pa.Table) -> pa.Table:
-    """For each text in this bucket: a byte per n-gram, 0 if no other text has it, else 1 + log2 of how many do."""
-    bucket = table["bucket"][0].as_py() if table.num_rows else 0
-    joined = {c: b"".join(table[c].to_pylist()) for c in ("keys", "counts", "hashes")}
-    keys = np.frombuffer(joined["keys"], np.uint8).reshape(-1, 16)
-    hashes, counts = np.frombuffer(joined["hashes"], np.uint64), np.frombuffer(joined["counts"], "<i4").astype(np.int64)
-    _, once = np.unique(np.ascontiguousarray(keys).view("V16")[:, 0], return_index=True)
-    once = np.sort(once)
-    ends = np.cumsum(counts)
-    hashes, keys, counts = hashes[ragged((ends - counts)[once], counts[once])], keys[once], counts[once]
+    """For each part in this bucket: a byte per n-gram, 0 if no other text has it, else 1 + log2 of how many do."""
+    lists = {c: table[c].to_pylist() for c in _PACKED.names}
+    keys = np.frombuffer(b"".join(lists["keys"]), "V16")
+    counts = np.frombuffer(b"".join(lists["counts"]), "<i4").astype(np.int64)
+    hashes = np.frombuffer(b"".join(lists["hashes"]), np.uint64)
+    new = np.zeros(len(keys), bool)
+    new[np.unique(keys, return_index=True)[1]] = True  # copies in other parts do not count again
     order = np.argsort(hashes)
     ranked = hashes[order]
-    new = np.ones(len(ranked), bool)
-    new[1:] = ranked[1:] != ranked[:-1]
-    held = np.diff(np.flatnonzero(new), append=len(ranked))
+    first = np.ones(len(ranked), bool)
+    first[1:] = ranked[1:] != ranked[:-1]
+    starts = np.flatnonzero(first)
+    held = np.add.reduceat(np.repeat(new, counts)[order].astype(np.int64), starts) if len(starts) else np.empty(0, np.int64)
     classes = np.zeros(len(ranked), np.uint8)
-    classes[order] = np.repeat(np.where(held > 1, 1 + np.log2(held).astype(np.uint8), 0).astype(np.uint8), held)
-    ends = np.concatenate([[0], np.cumsum(counts)])
-    sums = np.concatenate([[0], np.cumsum(classes > 0)])
-    some = np.flatnonzero(sums[ends[1:]] > sums[ends[:-1]])
-    lengths = counts[some]
-    return pa.table({
-        "key": binary_array(keys[some], 16 * np.arange(len(some) + 1)),
-        "bucket": pa.array(np.full(len(some), bucket)),
-        "classes": binary_array(classes[ragged(ends[some], lengths)], np.concatenate([[0], np.cumsum(lengths)])),
-    })
+    classes[order] = np.repeat(np.where(held > 1, 1 + np.log2(np.maximum(held, 1)), 0).astype(np.uint8), np.diff(starts, append=len(ranked)))
+    ends = np.cumsum([0, *(len(h) // 8 for h in lists["hashes"])])
+    rows = [(p, b, classes[i:j].tobytes()) for p, b, i, j in zip(lists["part"], lists["bucket"], ends, ends[1:], strict=False) if classes[i:j].any()]
+    columns = list(zip(*rows, strict=True)) or [(), (), ()]
+    return pa.table({n: pa.array(c, k) for n, c, k in zip(_ANSWER.names, columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)})
 
 
-def order_sets(texts: DataFrame, gram: int, percent: int, buckets: int, fragments: int) -> DataFrame:
-    """Every document's set size; for the first of each text that can link, its prefix and fragments."""
+def order_sets(parts: DataFrame, gram: int, percent: int, buckets: int, fragments: int) -> DataFrame:
+    """Every document's set size; for the first of each text in a part, if it can link, its prefix and fragments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cid = TaskContext.get().partitionId() << 33
-        for whole in batches:
-            for batch in parts(whole, 2, PART_TEXT):
-                hashes, cuts = gram_sets(batch.column(2), gram)
-                out = {name: [] for name in _SETS.names}
-                rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), np.diff(cuts).tolist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)
-                for i, (doc_id, key, n, first, answers) in enumerate(rows):
-                    row = [doc_id, key, n, None, None, None, None]
-                    prefix = n - -(-percent * n // 100) + 1
-                    if first and answers:
-                        own = hashes[cuts[i] : cuts[i + 1]]
-                        classes = np.zeros(n, np.uint8)
-                        bucket = bucket_of(own, buckets)  # sorted as the hashes are
-                        bounds = np.searchsorted(bucket, np.arange(buckets + 1))
-                        for a in answers:
-                            classes[bounds[a["bucket"]] : bounds[a["bucket"] + 1]] = np.frombuffer(a["classes"], np.uint8)
-                        alone = int(n - np.count_nonzero(classes))
-                        if alone < prefix:
-                            shared = np.flatnonzero(classes)
-                            early = shared[np.argsort(classes[shared], kind="stable")][: prefix - alone]
-                            held = own[shared]
-                            cut = np.searchsorted(bucket_of(held, fragments), np.arange(fragments + 1))
-                            row[3:] = [cid, alone, own[early].view(np.int64), [held[a:b].view(np.int64) for a, b in zip(cut, cut[1:], strict=False)]]
-                            cid += 1
-                    for name, value in zip(_SETS.names, row, strict=True):
-                        out[name].append(value)
-                kinds = {"key": pa.binary(), "prefix": pa.list_(pa.int64()), "fragments": pa.list_(pa.list_(pa.int64()))}
-                yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(n, kinds.get(n, pa.int64())) for n in _SETS.names]))
-
-    return texts.mapInArrow(run, _SETS)
+        for p in parts_of(batches):
+            keys = p.keys.to_pylist()
+            rows = _first_of(keys)
+            hashes, cuts = gram_sets(p.texts.take(pa.array(rows)), gram)
+            classes = np.zeros(len(hashes), np.uint8)
+            order, found, bounds = by_bucket(hashes, buckets)
+            at = {b: i for i, b in enumerate(found.tolist())}
+            for a in p.rest[0] or ():
+                i = at[a["bucket"]]
+                classes[order[bounds[i] : bounds[i + 1]]] = np.frombuffer(a["classes"], np.uint8)
+            size = dict(zip((keys[i] for i in rows.tolist()), np.diff(cuts).tolist(), strict=True))
+            place = {i: j for j, i in enumerate(rows.tolist())}
+            out = {name: [] for name in _SETS.names}
+            for i, (doc_id, key) in enumerate(zip(p.doc_ids.to_pylist(), keys, strict=True)):
+                n = size[key]
+                row = [doc_id, key, n, None, None, None, None]
+                prefix = n - -(-percent * n // 100) + 1
+                if n and (j := place.get(i)) is not None:
+                    own, kind = hashes[cuts[j] : cuts[j + 1]], classes[cuts[j] : cuts[j + 1]]
+                    shared = np.flatnonzero(kind)
+                    alone = n - len(shared)
+                    if alone < prefix:
+                        early = shared[np.argsort(kind[shared], kind="stable")][: prefix - alone]
+                        held = own[shared]  # sorted, and so are its fragments
+                        cut = np.searchsorted(bucket_of(held, fragments), np.arange(fragments + 1))
+                        row[3:] = [(p.part << 22) + i, alone, own[early].view(np.int64), [held[a:b].view(np.int64) for a, b in zip(cut, cut[1:], strict=False)]]
+                for name, value in zip(_SETS.names, row, strict=True):
+                    out[name].append(value)
+            kinds = {"key": pa.binary(), "prefix": pa.list_(pa.int64()), "fragments": pa.list_(pa.list_(pa.int64()))}
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(n, kinds.get(n, pa.int64())) for n in _SETS.names]))
+
+    return parts.mapInArrow(run, _SETS)
 
 
 def count_overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -173,17 +172,48 @@ def count_overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return total.where(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b")
 
 
-def _pair(a: str, b: str) -> list:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def _can_link(percent: int):
+    """If this n-gram is the first that two sets share, whether what follows it can reach the similarity.
+
+    place is its position in a set's order. A pair that links passes at the first n-gram it shares, so
+    failing at a later one loses nothing.
+    """
+    shared = F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place"))
+    return 100 * shared >= percent * (F.col("n") + F.col("other_n") - shared)
 
 
-def _near_in_size(a: str, b: str, percent: int):
-    return (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
+def _pivot_pairs(known: DataFrame, percent: int, k: int) -> DataFrame:
+    """Each member with its n-gram's pivot, unless they are connected or cannot link."""
+    share = F.col("alone") / F.col("n")
+    rank = F.struct(share, F.col("cid")) if k == 0 else F.struct(F.xxhash64("comp", "gram"), share, F.col("cid"))
+    pivot = known.groupBy("gram").agg(F.min_by(F.struct("cid", "n", "place", "comp"), rank).alias("p"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    pivot = pivot.where("low <> high").select("gram", *[F.col(f"p.{c}").alias(f"other_{c}") for c in ("cid", "n", "place", "comp")])
+    return known.join(pivot, "gram").where((F.col("comp") != F.col("other_comp")) & _can_link(percent))
+
+
+def _pairs_across(known: DataFrame, percent: int) -> DataFrame:
+    """All pairs of an n-gram's members that lie in two components and can link.
+
+    A member whose place in its own order rules out even the best partner that its n-gram could offer
+    goes first. Of the
+    rest, members outside the n-gram's largest component meet all others; inside it nothing meets.
+    """
+    best = known.groupBy("gram").agg(F.min("n").alias("least_n"), F.min("place").alias("least_place"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    held = F.col("n") - F.col("place")
+    open_ = known.join(best, "gram").where(100 * held >= percent * (F.col("n") + F.greatest(F.col("least_n") - held, F.col("least_place"))))
+    open_ = stage(open_.select("gram", "cid", "n", "place", "comp"))
+    sizes = open_.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("m"))
+    largest = sizes.groupBy("gram").agg(F.max_by("comp", F.struct("m", "comp")).alias("largest"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    marked = open_.join(largest, "gram")
+    outside = marked.where("comp <> largest").drop("comps")
+    others = marked.select("gram", *[F.col(c).alias(f"other_{c}") for c in ("cid", "n", "place", "comp")])
+    once = (F.col("other_comp") == F.col("largest")) | (F.col("cid") < F.col("other_cid"))
+    return outside.join(others, "gram").where((F.col("comp") != F.col("other_comp")) & once & _can_link(percent))
 
 
 def link_sets(sets: DataFrame, percent: int, pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
     """Links (a, b) that connect what is connected; pairs inside a known component are left out."""
-    prefixes = sets.select("cid", "n", (F.col("alone") / F.col("n")).alias("share"), F.explode("prefix").alias("gram"))
+    prefixes = sets.select("cid", "n", "alone", F.posexplode("prefix").alias("place", "gram")).withColumn("place", F.col("alone") + F.col("place"))
     met = prefixes.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram")
     prefixes = stage(prefixes.join(met, "gram"))
     links = tested = None
@@ -191,18 +221,9 @@ def link_sets(sets: DataFrame, percent: int, pivot_rounds: int = PIVOT_ROUNDS) -
         known = prefixes.withColumn("comp", F.col("cid"))
         if links is not None:
             labels = components(links)
-            known = prefixes.join(labels, prefixes["cid"] == labels["node"], "left").select("gram", "cid", "n", "share", F.coalesce("comp", "cid").alias("comp"))
-        if k < pivot_rounds:
-            rank = F.struct("share", "cid") if k == 0 else F.struct(F.xxhash64("comp", "gram"), F.xxhash64("cid", F.lit(k)), "cid")
-            pivot = known.groupBy("gram").agg(F.min_by(F.struct("cid", "n", "comp"), rank).alias("p"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-            pivot = pivot.where("low <> high").select("gram", F.col("p.cid").alias("other"), F.col("p.n").alias("other_n"), F.col("p.comp").alias("other_comp"))
-            pairs = known.join(pivot, "gram").where((F.col("comp") != F.col("other_comp")) & _near_in_size("n", "other_n", percent)).select(*_pair("cid", "other"))
-        else:
-            held = known.select("gram", "comp").distinct()
-            across = held.join(held.withColumnRenamed("comp", "other_comp"), "gram").where("comp < other_comp")
-            there = known.select("gram", F.col("comp").alias("other_comp"), F.col("cid").alias("other"), F.col("n").alias("other_n"))
-            pairs = known.join(across, ["gram", "comp"]).join(there, ["gram", "other_comp"]).where(_near_in_size("n", "other_n", percent)).select(*_pair("cid", "other"))
-        pairs = pairs.distinct()
+            known = prefixes.join(labels, prefixes["cid"] == labels["node"], "left").select("gram", "cid", "n", "alone", "place", F.coalesce("comp", "cid").alias("comp"))
+        pairs = _pivot_pairs(known, percent, k) if k < pivot_rounds else _pairs_across(known, percent)
+        pairs = pairs.select(F.least("cid", "other_cid").alias("a"), F.greatest("cid", "other_cid").alias("b")).distinct()
         pairs = stage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         found = stage(count_overlaps(pairs, sets, percent))
         links = found if links is None else links.union(found)
@@ -214,18 +235,17 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, gram: int = GRAM, p
     """One row per document: doc_id, n_shingles, component_id, key (of its text, ignoring case)."""
     configure(spark)
     buckets = buckets or bucket_number(docs)
-    texts = keyed_lower(docs)
-    answers = pack_sets(texts, gram, buckets).groupBy("bucket").applyInArrow(frequency_classes, _ANSWER)
-    answers = stage(answers.groupBy("key").agg(F.collect_list(F.struct("bucket", "classes")).alias("answers")))
-    firsts = stage(texts.groupBy("key").agg(F.min("doc_id").alias("first_id")))
-    joined = texts.join(firsts, "key").join(answers, "key", "left")
-    joined = joined.select("doc_id", "key", "text", F.col("doc_id").eqNullSafe(F.col("first_id")).alias("first"), "answers")
-    every = stage(order_sets(joined, gram, percent, buckets, fragments))
-    sets = every.where("cid is not null").select("cid", "n", "alone", "prefix", "fragments")
+    parts = stage_parts(keyed_lower(docs))
+    answers = pack_sets(parts, gram, buckets).groupBy("bucket").applyInArrow(frequency_classes, _ANSWER)
+    answers = stage(answers.groupBy("part").agg(F.collect_list(F.struct("bucket", "classes")).alias("answers")))
+    every = stage(order_sets(parts.join(answers, "part", "left"), gram, percent, buckets, fragments))
+    members = stage(every.where("cid is not null").groupBy("key").agg(F.min("cid").alias("cid")))
+    sets = stage(every.where("cid is not null").select("cid", "n", "alone", "prefix", "fragments").join(members.select("cid"), "cid", "left_semi"))
     labels = components(link_sets(sets, percent))
-    linked = every.where("cid is not null").select("cid", "key", F.col("doc_id").alias("first_id")).join(labels, F.col("cid") == F.col("node")).select("key", "comp", "first_id")
+    firsts = every.groupBy("key").agg(F.min("doc_id").alias("first_id"))
+    linked = members.join(labels, F.col("cid") == F.col("node")).join(firsts, "key").select("key", "comp", "first_id")
     least = linked.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    of_key = linked.select("key", "comp").distinct().join(least, "comp").groupBy("key").agg(F.min("component_id").alias("linked_id"))
+    of_key = linked.select("key", "comp").join(least, "comp").select("key", F.col("component_id").alias("linked_id"))
     rows = every.select("doc_id", "key", F.col("n").alias("n_shingles")).join(firsts, "key").join(of_key, "key", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("linked_id", "first_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), "key")
