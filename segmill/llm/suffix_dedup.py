@@ -14,9 +14,9 @@ the anchor's hash, and there the suffixes are sorted:
 In each class of equal strings all but the earliest are repeats. Their bytes merge into runs for each
 text. Copies of a whole text take no part: only the first one is sorted, the others go entirely.
 
-Order: smaller doc_id first (a null one before all), then the text's digest; repeated rows with one
-doc_id and one text are the same document and get the same result. Null text is empty; texts under
-100 bytes are kept; an empty table gives no row; other columns are ignored.
+Order: smaller doc_id first (a null one before all), then the text's digest; of repeated rows with one
+doc_id and one text any one is first. Null text is empty; texts under 100 bytes are kept; an empty
+table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,32 +31,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmill.llm import hashing
-from segmill.llm.common import binary_array, configure, ragged, stage, text_bytes
-from segmill.llm.window_dedup import ask_buckets, bucket_number, bucket_of, keyed, parts, repeated_windows
+from segmill.llm.common import configure, ragged, stage, text_bytes
+from segmill.llm.parts import ask, bucket_number, by_bucket, heard, keyed, parts_of, stage_parts
 
 LENGTH = 100
 GRAM = 24
 #: Depth to which multikey quicksort goes before blind tries take over.
-SHALLOW = 32
-PART = 1 << 20
-#: Bytes of text whose surroundings go to one bucket, on average, and pairs that are compared at once.
-AROUND_TEXT, _PAIRS = 5 << 20, 1 << 15
+SHALLOW = 64
+#: Strings that are listed and sorted at once (one anchor's, or one anchor's at one place, stay together).
+_ANCHOR_STRINGS, _SORT_STRINGS = 500_000, 100_000
+#: Bytes of text in a part, bytes of text whose surroundings go to one bucket on average, and pairs
+#: that are compared at once.
+PART, AROUND_TEXT, _PAIRS = 1 << 20, 2 << 20, 1 << 15
 
 RESULT = T.StructType().add("doc_id", T.LongType()).add("n_bytes", T.LongType()).add("n_removed", T.LongType()).add("n_spans", T.LongType()).add("kept_sha256", T.StringType())
-_AROUND = (
-    T.StructType().add("bucket", T.LongType()).add("docs", T.BinaryType()).add("counts", T.BinaryType())
-    .add("places", T.BinaryType()).add("sizes", T.BinaryType()).add("bytes", T.BinaryType())
-)
-_RUNS = T.StructType().add("key", T.BinaryType()).add("runs", T.BinaryType())
-_DOC = np.dtype([("doc_id", "<i8"), ("key", "S16")])
-_PLACE = np.dtype([("hash", "<u8"), ("start", "<i8"), ("strings", "<i4"), ("back", "<i4")])
+_AROUND = T.StructType().add("bucket", T.LongType()).add("part", T.LongType()).add("docs", T.BinaryType()).add("places", T.BinaryType()).add("bytes", T.BinaryType())
+_RUNS = T.StructType().add("part", T.LongType()).add("runs", T.BinaryType())
+_DOC = np.dtype([("doc_id", "<i8"), ("high", ">u8"), ("low", ">u8"), ("row", "<i4")])
+_PLACE = np.dtype([("hash", "<u8"), ("start", "<i8"), ("strings", "<i4"), ("back", "<i4"), ("doc", "<i4")])
+_LEAST = np.iinfo(np.int64).min
 
 
-def anchors_of(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first string, number of strings, anchor position) of all anchors, and anchors before each text."""
+def anchors_of(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all anchors: hash, (first string, number of strings, anchor position), text."""
     counts = np.maximum(np.diff(offsets) - length + 1, 0)
     if not counts.any():
-        return np.empty(0, np.uint64), np.zeros((3, 0), np.int64), np.zeros(len(offsets), np.int64), counts
+        return np.empty(0, np.uint64), np.zeros((3, 0), np.int64), np.empty(0, np.int64)
     hashes = hashing.rolling(data, gram, hashing.BYTE_BASE)
     least, at = (hashes >> np.uint64(32)).astype(np.uint32), np.arange(len(hashes), dtype=np.int32)
     width, wide = 1, length - gram + 1
@@ -73,12 +73,7 @@ def anchors_of(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
     new[1:] = (owner[1:] != owner[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(new)
     rows = np.stack([strings[first], np.diff(first, append=len(strings)), owner[first].astype(np.int64)])
-    return hashes[rows[2]], rows, np.searchsorted(text[first], np.arange(len(offsets))), counts
-
-
-def anchor_hashes(column: pa.Array, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    hashes, _, cuts, _ = anchors_of(*text_bytes(column), length, gram)
-    return hashes, cuts
+    return hashes[rows[2]], rows, text[first]
 
 
 class BlindTrie:
@@ -124,13 +119,13 @@ class BlindTrie:
                 yield node[2]
 
 
-def deep_shallow(data: np.ndarray, starts: np.ndarray, length: int, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
-    """(order, class) of the strings data[start : start + length]; equal strings share a class.
+def deep_shallow(raw: bytes, starts: np.ndarray, length: int, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
+    """(order, class) of the strings raw[start : start + length]; equal strings share a class.
 
     order sorts the strings; class is given for each string in that order and never falls.
     """
     n = len(starts)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    data = np.frombuffer(raw, np.uint8)
     order, group = np.arange(n), np.zeros(n, np.int64)
     open_rows = np.arange(n)
     for depth in range(0, min(shallow, length), 8):
@@ -139,7 +134,7 @@ def deep_shallow(data: np.ndarray, starts: np.ndarray, length: int, shallow: int
         at = starts[order[open_rows]] + depth
         block = np.zeros(len(at), np.uint64)
         for j in range(min(8, length - depth)):
-            block |= padded[at + j].astype(np.uint64) << np.uint64(56 - 8 * j)
+            block |= data[at + j].astype(np.uint64) << np.uint64(56 - 8 * j)
         by = np.lexsort((block, group[open_rows]))
         order[open_rows] = order[open_rows][by]
         block, old = block[by], group[open_rows]  # groups are in order already, so they stay
@@ -149,7 +144,6 @@ def deep_shallow(data: np.ndarray, starts: np.ndarray, length: int, shallow: int
         last = np.append(new[1:], True)
         open_rows = open_rows[~(new & last)]
     if shallow < length and len(open_rows):
-        raw = data.tobytes()
         bounds = np.flatnonzero(np.diff(group[open_rows], prepend=-1, append=-1))
         for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
             rows = open_rows[a:b]
@@ -164,49 +158,36 @@ def deep_shallow(data: np.ndarray, starts: np.ndarray, length: int, shallow: int
     return order, group
 
 
-def send_surroundings(texts: DataFrame, length: int, gram: int, hash_buckets: int, buckets: int) -> DataFrame:
+def send_surroundings(parts: DataFrame, length: int, gram: int, hash_buckets: int, buckets: int) -> DataFrame:
     """Bytes around anchors that occur again, packed for each bucket of anchor hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in parts(whole, 2, PART):
-                data, offsets = text_bytes(batch.column(2))
-                hashes, rows, cuts, _ = anchors_of(data, offsets, length, gram)
-                if not len(hashes):
-                    continue
-                wanted = np.zeros(len(hashes), bool)
-                for i, (copied, answers) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
-                    if copied:
-                        wanted[cuts[i] : cuts[i + 1]] = True
-                    elif answers:
-                        wanted[cuts[i] : cuts[i + 1]] = repeated_windows(hashes[cuts[i] : cuts[i + 1]], answers, hash_buckets)
-                pick = np.flatnonzero(wanted)
-                if not len(pick):
-                    continue
-                doc = np.searchsorted(cuts, pick, side="right") - 1
-                docs = np.zeros(batch.num_rows, _DOC)
-                docs["doc_id"] = [np.iinfo(np.int64).min if x is None else x for x in batch.column(0).to_pylist()]
-                docs["key"] = batch.column(1).to_pylist()
-                place = np.zeros(len(pick), _PLACE)
-                first, strings, at = rows[:, pick]
-                place["hash"], place["start"], place["strings"], place["back"] = hashes[pick], first - offsets[doc], strings, at - first
-                sizes = strings + length - 1
-                bucket = bucket_of(hashes[pick], buckets)
-                order = np.argsort(bucket.astype(np.uint32), kind="stable")
-                bounds = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
-                out = {name: [] for name in _AROUND.names}
-                for b in np.unique(bucket).tolist():
-                    own = order[bounds[b] : bounds[b + 1]]
-                    who, at_doc = np.unique(doc[own], return_index=True)
-                    out["bucket"].append(b)
-                    out["docs"].append(docs[who].tobytes())
-                    out["counts"].append(np.diff(at_doc, append=len(own)).astype("<i4").tobytes())
-                    out["places"].append(place[own].tobytes())
-                    out["sizes"].append(sizes[own].astype("<i4").tobytes())
-                    out["bytes"].append(data[ragged(first[own], sizes[own])].tobytes())
-                yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(n, pa.int64() if n == "bucket" else pa.binary()) for n in _AROUND.names]))
-
-    return texts.mapInArrow(run, _AROUND)
+        for p in parts_of(batches):
+            data, offsets = text_bytes(p.texts)
+            hashes, rows, text = anchors_of(data, offsets, length, gram)
+            pick = np.flatnonzero(heard(hashes, p.rest[0], hash_buckets))
+            if not len(pick):
+                continue
+            docs = np.zeros(len(p.texts), _DOC)
+            docs["doc_id"] = [_LEAST if x is None else x for x in p.doc_ids.to_pylist()]
+            keys = np.frombuffer(b"".join(p.keys.to_pylist()), ">u8").reshape(-1, 2)
+            docs["high"], docs["low"], docs["row"] = keys[:, 0], keys[:, 1], np.arange(len(docs))
+            first, strings, at = rows[:, pick]
+            place = np.zeros(len(pick), _PLACE)
+            place["hash"], place["start"], place["strings"], place["back"] = hashes[pick], first - offsets[text[pick]], strings, at - first
+            order, found, bounds = by_bucket(hashes[pick], buckets)
+            out = {name: [] for name in _AROUND.names}
+            for i, b in enumerate(found.tolist()):
+                own = order[bounds[i] : bounds[i + 1]]
+                who, place["doc"][own] = np.unique(text[pick[own]], return_inverse=True)
+                out["bucket"].append(b)
+                out["part"].append(p.part)
+                out["docs"].append(docs[who].tobytes())
+                out["places"].append(place[own].tobytes())
+                out["bytes"].append(data[ragged(first[own], strings[own] + length - 1)].tobytes())
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(n, pa.int64() if n in ("bucket", "part") else pa.binary()) for n in _AROUND.names]))
+
+    return parts.mapInArrow(run, _AROUND)
 
 
 def _common(a: np.ndarray, b: np.ndarray, data: np.ndarray, most: np.ndarray, step: int) -> np.ndarray:
@@ -225,15 +206,30 @@ def _common(a: np.ndarray, b: np.ndarray, data: np.ndarray, most: np.ndarray, st
     return np.minimum(agreed, most)
 
 
+def _chunks(keys: np.ndarray, weights: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of about `most` weight; rows of one key, which stand together, stay together."""
+    if not len(keys):
+        return
+    first = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1))
+    chunk = (np.cumsum(weights) - weights)[first] // most
+    cuts = first[np.flatnonzero(np.diff(chunk, prepend=-1))].tolist()
+    for a, b in zip(cuts, [*cuts[1:], len(keys)], strict=True):
+        yield slice(a, b)
+
+
 def find_repeats(table: pa.Table, length: int = LENGTH, shallow: int = SHALLOW) -> pa.Table:
-    """Runs of strings in this bucket that start earlier too, for each text: (first, number) pairs."""
-    joined = {c: b"".join(table[c].to_pylist()) for c in ("docs", "counts", "places", "sizes", "bytes")}
-    docs, places = np.frombuffer(joined["docs"], _DOC), np.frombuffer(joined["places"], _PLACE)
-    data, sizes = np.frombuffer(joined["bytes"], np.uint8), np.frombuffer(joined["sizes"], "<i4").astype(np.int64)
-    doc = np.repeat(np.arange(len(docs)), np.frombuffer(joined["counts"], "<i4"))
+    """Runs of strings in this bucket that start earlier too, for each part: (row, first, number)."""
+    lists = {c: table[c].to_pylist() for c in ("part", "docs", "places", "bytes")}
+    docs, places = np.frombuffer(b"".join(lists["docs"]), _DOC), np.frombuffer(b"".join(lists["places"]), _PLACE)
+    raw = b"".join(lists["bytes"])
+    data = np.frombuffer(raw, np.uint8)
+    n_docs, n_places = ([len(x) // kind.itemsize for x in lists[c]] for c, kind in (("docs", _DOC), ("places", _PLACE)))
+    part = np.repeat(np.arange(len(n_docs)), n_docs)
+    doc = places["doc"] + np.repeat(np.cumsum(n_docs) - n_docs, n_places)
+    sizes = places["strings"].astype(np.int64) + length - 1
     begin = np.cumsum(sizes) - sizes
     rank = np.empty(len(docs), np.int64)
-    rank[np.lexsort((docs["key"], docs["doc_id"]))] = np.arange(len(docs))
+    rank[np.lexsort((docs["row"], np.array(lists["part"], np.int64)[part], docs["low"], docs["high"], docs["doc_id"]))] = np.arange(len(docs))
     strings, back = places["strings"].astype(np.int64), places["back"].astype(np.int64)
     order = np.lexsort((places["start"], rank[doc], places["hash"]))  # the earliest of each anchor first
     group = places["hash"][order]
@@ -251,84 +247,84 @@ def find_repeats(table: pa.Table, length: int = LENGTH, shallow: int = SHALLOW)
     low = np.maximum(back - left, 0)  # first string (from the first of this place) that agrees
     high = np.minimum(back + right - length, strings - 1)  # ... and whose end lies within the one on the right
     low, count = np.where(own, 0, low), np.where(own, 0, np.maximum(high - low + 1, 0))
-    starts, numbers, who = [places["start"] + low], [count], [doc]
+    starts, numbers, who = ([x.astype(np.int32)] for x in (places["start"] + low, count, doc))
     # 3. the strings that the earliest surroundings do not have, if a third place could have them
     members = np.bincount(head, minlength=len(base))[base]
-    other = np.flatnonzero(~own & (members > 2) & (count < strings))
-    if len(other):
-        before, after = low[other], strings[other] - low[other] - count[other]
-        before, after = np.where(count[other] > 0, before, strings[other]), np.where(count[other] > 0, after, 0)
-        local = np.concatenate([ragged(np.zeros(len(other)), before), ragged((low + count)[other], after)])
-        place = np.concatenate([np.repeat(other, before), np.repeat(other, after)])
-        by, same = deep_shallow(data, begin[place] + local, length, shallow)
-        fixed = np.lexsort((places["start"][place[by]] + local[by], rank[doc[place[by]]], same))
-        by, same = by[fixed], same[fixed]
-        again = np.zeros(len(by), bool)
-        again[1:] = same[1:] == same[:-1]
-        at = by[again]
-        starts.append(places["start"][place[at]] + local[at])
-        numbers.append(np.ones(len(at), np.int64))
-        who.append(doc[place[at]])
+    other = order[(~own & (members > 2) & (count < strings))[order]]  # anchor by anchor
+    for some in _chunks(base[other], (strings - count)[other], _ANCHOR_STRINGS):
+        rows = other[some]
+        before = np.where(count[rows] > 0, low[rows], strings[rows])
+        after = strings[rows] - count[rows] - before
+        local = np.concatenate([ragged(np.zeros(len(rows)), before), ragged((low + count)[rows], after)])
+        place = np.concatenate([np.repeat(rows, before), np.repeat(rows, after)])
+        # equal strings have one anchor, and it stands at one place in them
+        depth = back[place] - local
+        sort = np.lexsort((depth, base[place]))
+        place, local = place[sort], local[sort]
+        key = np.cumsum((np.diff(base[place], prepend=-1) != 0) | (np.diff(depth[sort], prepend=-1) != 0))
+        for piece in _chunks(key, np.ones(len(key), np.int64), _SORT_STRINGS):
+            at, inside = place[piece], local[piece]
+            by, same = deep_shallow(raw, begin[at] + inside, length, shallow)
+            fixed = np.lexsort((places["start"][at[by]] + inside[by], rank[doc[at[by]]], same))
+            by, same = by[fixed], same[fixed]
+            again = by[1:][same[1:] == same[:-1]]
+            starts.append((places["start"][at[again]] + inside[again]).astype(np.int32))
+            numbers.append(np.ones(len(again), np.int32))
+            who.append(doc[at[again]].astype(np.int32))
     starts, numbers, who = np.concatenate(starts), np.concatenate(numbers), np.concatenate(who)
-    some = numbers > 0
-    keys, codes = np.unique(docs["key"], return_inverse=True)
-    runs = np.stack([starts[some], numbers[some]], axis=1).astype("<i4")
-    text = codes[who[some]]
-    sort = np.argsort(text, kind="stable")
-    found, first = np.unique(text[sort], return_index=True)
-    cuts = np.append(first, len(sort)) * 8
-    return pa.table({"key": pa.array([k.ljust(16, b"\0") for k in keys[found].tolist()], pa.binary()), "runs": binary_array(runs[sort], cuts)})
+    some = np.flatnonzero(numbers > 0)
+    some = some[np.argsort(part[who[some]], kind="stable")]
+    runs = np.stack([docs["row"][who[some]], starts[some], numbers[some]], axis=1).astype("<i4")
+    found, first = np.unique(part[who[some]], return_index=True)
+    bounds = np.append(first, len(some)).tolist()
+    packed = [runs[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+    return pa.table({"part": pa.array([lists["part"][i] for i in found.tolist()], pa.int64()), "runs": pa.array(packed, pa.binary())})
 
 
-def remove_repeats(texts: DataFrame, length: int, with_text: bool = False) -> DataFrame:
+def remove_repeats(parts: DataFrame, length: int, with_text: bool = False) -> DataFrame:
+    """Parts with their runs: one row per text, without the bytes of repeated strings."""
     schema = T.StructType([*RESULT]).add("kept_bytes", T.BinaryType()) if with_text else RESULT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(2))
-            rows = {name: [] for name in schema.names}
-            for i, (doc_id, copy, runs) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
-                own = data[offsets[i] : offsets[i + 1]]
-                gone = np.zeros(len(own), bool)
-                if copy and len(own) >= length:
-                    gone[:] = True
-                elif runs and not copy:
-                    pairs = np.frombuffer(b"".join(runs), "<i4").reshape(-1, 2)
-                    change = np.zeros(len(own) + 1, np.int32)
-                    np.add.at(change, pairs[:, 0], 1)
-                    np.subtract.at(change, pairs[:, 0] + pairs[:, 1] + length - 1, 1)
-                    gone = np.cumsum(change)[:-1] > 0
-                kept = own[~gone].tobytes()
-                rows["doc_id"].append(doc_id)
-                rows["n_bytes"].append(len(own))
-                rows["n_removed"].append(int(gone.sum()))
-                rows["n_spans"].append(int(np.count_nonzero(gone[1:] & ~gone[:-1]) + (len(gone) > 0 and bool(gone[0]))))
-                rows["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-                if with_text:
-                    rows["kept_bytes"].append(kept)
-            kinds = {"kept_sha256": pa.string(), "kept_bytes": pa.binary()}
-            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([(n, kinds.get(n, pa.int64())) for n in schema.names]))
-
-    return texts.mapInArrow(run, schema)
+        for p in parts_of(batches):
+            data, offsets = text_bytes(p.texts)
+            change = np.zeros(len(data) + 1, np.int32)
+            rows = np.frombuffer(b"".join(p.rest[0] or []), "<i4").reshape(-1, 3).astype(np.int64)
+            start = offsets[rows[:, 0]] + rows[:, 1]
+            np.add.at(change, start, 1)
+            np.subtract.at(change, start + rows[:, 2] + length - 1, 1)
+            gone = np.cumsum(change)[:-1] > 0
+            begin = gone.copy()
+            begin[1:] &= ~gone[:-1]
+            firsts = offsets[:-1][np.diff(offsets) > 0]
+            begin[firsts] |= gone[firsts]
+            n_removed, n_spans = (np.diff(np.concatenate([[0], np.cumsum(x)])[offsets]) for x in (gone, begin))
+            raw, ends = data[~gone].tobytes(), (offsets - np.concatenate([[0], np.cumsum(gone)])[offsets]).tolist()
+            kept = [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+            columns = [p.doc_ids, pa.array(np.diff(offsets)), pa.array(n_removed), pa.array(n_spans), pa.array([hashlib.sha256(x).hexdigest() for x in kept])]
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(kept, pa.binary())] * with_text, names=schema.names)
+
+    return parts.mapInArrow(run, schema)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallow: int = SHALLOW, buckets: int | None = None, with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_bytes)."""
     configure(spark)
     buckets = buckets or bucket_number(docs, AROUND_TEXT)
-    hash_buckets = max(1, buckets // 16)  # anchors are few beside bytes
+    hash_buckets = max(1, buckets // 40)  # anchors are few beside bytes
     texts = keyed(docs)
-    answers = stage(ask_buckets(texts, lambda column: anchor_hashes(column, length, gram), hash_buckets, PART))
-    copies = stage(texts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(_order("doc_id")).alias("first_id")).where("n > 1"))
+    order = F.coalesce("doc_id", F.lit(_LEAST))
+    copies = stage(texts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first_id")).where("n > 1"))
     joined = texts.join(copies, "key", "left")
-    firsts = joined.where(F.col("n").isNull() | (_order("doc_id") == F.col("first_id"))).join(answers, "key", "left")
-    firsts = firsts.where("n is not null or answers is not null").select("doc_id", "key", "text", F.col("n").isNotNull().alias("copied"), "answers")
-    around = send_surroundings(firsts, length, gram, hash_buckets, buckets)
+    parts = stage_parts(joined.where(F.col("n").isNull() | (order == F.col("first_id"))), PART)
+    answers = stage(ask(parts, lambda column: anchors_of(*text_bytes(column), length, gram)[0], hash_buckets))
+    around = send_surroundings(parts.join(answers, "part", "left"), length, gram, hash_buckets, buckets)
     runs = around.groupBy("bucket").applyInArrow(lambda table: find_repeats(table, length, shallow), _RUNS)
-    runs = stage(runs.groupBy("key").agg(F.collect_list("runs").alias("runs")))
-    last = joined.join(runs, "key", "left")
-    return remove_repeats(last.select("doc_id", "key", "text", (F.col("n").isNotNull() & (_order("doc_id") != F.col("first_id"))).alias("copy"), "runs"), length, with_text)
-
-
-def _order(column: str):
-    return F.coalesce(F.col(column), F.lit(-(1 << 63)))
+    runs = stage(runs.groupBy("part").agg(F.collect_list("runs").alias("runs")))
+    firsts = remove_repeats(parts.join(runs, "part", "left"), length, with_text)
+    # a later copy of a whole text goes entirely, if it is as long as a string
+    size = F.octet_length("text").cast("long")
+    gone = F.when(size >= length, size).otherwise(0)
+    kept = F.when(size >= length, F.lit("")).otherwise(F.col("text")).cast("binary")
+    later = joined.where(order > F.col("first_id")).select("doc_id", size.alias("n_bytes"), gone.alias("n_removed"), (gone > 0).cast("long").alias("n_spans"), F.sha2(kept, 256).alias("kept_sha256"), *([kept.alias("kept_bytes")] * with_text))
+    return firsts.unionByName(later)
