@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from segmill.llm import hashing
 from segmill.llm.common import configure
 from segmill.llm.license_scan import word_texts
-from segmill.llm.window_dedup import PART_TEXT, parts
+from segmill.llm.parts import slices
 from segmill.llm.words import words_of
 
 SEED, COVERAGE = 5, 0.8
@@ -172,7 +172,7 @@ def tile_documents(spark: SparkSession, docs: DataFrame, items: DataFrame, seed:
         def run(batches: Iterator[pa.RecordBatch], table=table) -> Iterator[pa.RecordBatch]:
             held = table.value
             for whole in batches:
-                for batch in parts(whole, 1, PART_TEXT):
+                for batch in slices(whole, 1):
                     rows = []
                     for d, item, tiles in held.search(batch.column(1)):
                         covered, words = sum(n for _, _, n in tiles), len(held.words[item])
@@ -196,7 +196,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, se
         def run(batches: Iterator[pa.RecordBatch], table=table) -> Iterator[pa.RecordBatch]:
             at = names.index("text")
             for whole in batches:
-                for batch in parts(whole, at, PART_TEXT):
+                for batch in slices(whole, at):
                     clean = np.ones(batch.num_rows, bool)
                     for d, _, _ in table.value.search(batch.column(at)):
                         clean[d] = False

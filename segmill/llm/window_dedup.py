@@ -1,16 +1,9 @@
 """Substring deduplication by fixed windows of words.
 
 A rolling Rabin-Karp hash stands for every window of 35 words. Windows are dealt to buckets by their
-hash; a bucket is counted in one task and answers, for each text, which of its windows repeat.
+hash, counted there, and each part of the texts hears which of its windows repeat (see parts).
 Repeated windows merge into maximal removal intervals, and their words go.
 
-What travels is a packed array of hashes for each batch and bucket, in the order of texts, and one
-answer byte per window for texts with a repeat; no row per window. Windows that already repeat
-within a batch are answered on the spot and travel once per batch, so a passage that a third of all
-documents share costs a bucket one hash a batch. The number of buckets follows the size of the
-texts, so a task's share stays the same at any scale. Texts are joined to answers by their digest;
-a text with an exact copy needs no answer, since all its windows repeat.
-
 Two different windows fall together with probability 2^-64 a pair.
 
 Cases: null text has no words; fewer words than a window are kept as they are; repeated rows and
@@ -21,219 +14,71 @@ table gives no row; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmill.llm import hashing
-from segmill.llm.common import binary_array, configure, ragged, stage
+from segmill.llm.common import configure, ragged, stage
+from segmill.llm.parts import ask, bucket_number, heard, keyed, parts_of, stage_parts
 from segmill.llm.words import Words, words_of
 
 WINDOW = 35
-#: Bytes of text whose hashes go to one bucket, on average (about 1.3 bytes of hash for one of text).
-BUCKET_TEXT = 20 << 20
-#: Bytes of text that one round of array operations holds.
-PART_TEXT = 4 << 20
-
-_PACKED = (
-    T.StructType().add("bucket", T.LongType()).add("keys", T.BinaryType()).add("counts", T.BinaryType())
-    .add("hashes", T.BinaryType()).add("repeated", T.BinaryType())
-)
-_ANSWER = T.StructType().add("key", T.BinaryType()).add("bucket", T.LongType()).add("flags", T.BinaryType())
 RESULT = T.StructType().add("doc_id", T.LongType()).add("n_words", T.LongType()).add("n_removed", T.LongType()).add("n_spans", T.LongType()).add("kept_sha256", T.StringType())
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text.cast("binary"))).alias("key"), text.alias("text"))
-
-
-def parts(batch: pa.RecordBatch, text: int, most: int = PART_TEXT) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts are about `most` bytes together."""
-    sizes = np.array([len(x) if x is not None else 0 for x in batch.column(text).cast(pa.large_binary()).to_pylist()], np.int64)
-    group = (np.cumsum(sizes) - sizes) // most
-    bounds = np.flatnonzero(np.diff(group, prepend=-1, append=-1)) if len(group) else []
-    for first, last in zip(bounds, bounds[1:], strict=False):
-        yield batch.slice(first, last - first)
-
-
 def window_hashes(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all windows inside one text each, windows before each text)."""
-    counts = np.maximum(words.counts - window + 1, 0)
-    every = hashing.rolling(words.hashes(), window, hashing.WORD_BASE)
-    return every[ragged(words.cuts[:-1], counts)], np.concatenate([[0], np.cumsum(counts)])
-
+    """(hashes of all windows that lie in one text, first word of each)."""
+    first = ragged(words.cuts[:-1], np.maximum(words.counts - window + 1, 0))
+    return hashing.rolling(words.hashes(), window, hashing.WORD_BASE)[first] if len(first) else np.empty(0, np.uint64), first
 
-def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
+def kept_texts(words: Words, removed: np.ndarray) -> list[bytes]:
+    """Each text's words that stay, joined by one space."""
+    kept = np.flatnonzero(~removed)
+    sizes = words.ends[kept] - words.starts[kept] + 1
+    joined = np.append(words.data, np.uint8(32))[ragged(words.starts[kept], sizes)]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    joined[ends[1:] - 1] = 32
+    raw = joined.tobytes()
+    own = ends[np.searchsorted(kept, words.cuts)].tolist()
+    return [raw[a : max(a, b - 1)] for a, b in zip(own, own[1:], strict=False)]
 
-def pack_hashes(texts: DataFrame, hashes_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], buckets: int, part: int = PART_TEXT) -> DataFrame:
-    """Rows for buckets (0 and up), and rows of answers known at once (below 0).
 
-    hashes_of gives the hashes of a column of texts, joined, and how many stand before each text.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in parts(whole, 1, part):
-                hashes, cuts = hashes_of(batch.column(1))
-                if not len(hashes):
-                    continue
-                keys = np.frombuffer(b"".join(batch.column(0).to_pylist()), "S16")
-                order = np.argsort(hashes)
-                same = hashes[order][1:] == hashes[order][:-1]
-                local = np.zeros(len(hashes), bool)
-                local[order[1:][same]] = local[order[:-1][same]] = True
-                out = {name: [] for name in _PACKED.names}
-                known = np.unique(hashes[local])
-                doc = np.repeat(np.arange(len(keys)), np.diff(cuts))
-                for i in np.unique(doc[local]).tolist():
-                    out["bucket"].append(-1 - int.from_bytes(keys[i][:4].ljust(4, b"\0"), "little") % buckets)
-                    out["keys"].append(keys[i].ljust(16, b"\0"))
-                    out["counts"].append(b"")
-                    out["hashes"].append(local[cuts[i] : cuts[i + 1]].tobytes())
-                    out["repeated"].append(b"")
-                sent, sender = hashes[~local], doc[~local]
-                bucket, known_bucket = bucket_of(sent, buckets), bucket_of(known, buckets)
-                order = np.argsort(bucket.astype(np.uint32), kind="stable")
-                bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                known_bounds = np.searchsorted(known_bucket, np.arange(buckets + 1))
-                for b in np.unique(np.concatenate([bucket, known_bucket])).tolist():
-                    own = order[bounds[b] : bounds[b + 1]]
-                    who, first = np.unique(sender[own], return_index=True)
-                    out["bucket"].append(b)
-                    out["keys"].append(b"".join(k.ljust(16, b"\0") for k in keys[who].tolist()))
-                    out["counts"].append(np.diff(first, append=len(own)).astype("<i4").tobytes())
-                    out["hashes"].append(sent[own].tobytes())
-                    out["repeated"].append(known[known_bounds[b] : known_bounds[b + 1]].tobytes())
-                yield pa.RecordBatch.from_pydict(out, schema=_arrow(_PACKED))
-
-    return texts.select("key", "text").mapInArrow(run, _PACKED)
-
-
-def _arrow(schema: T.StructType) -> pa.Schema:
-    kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
-    return pa.schema([(f.name, kinds.get(f.dataType.typeName(), pa.int64())) for f in schema])
-
-
-def answer_bucket(table: pa.Table) -> pa.Table:
-    """For each text with a repeated window in this bucket: a byte per window, 1 if repeated."""
-    bucket = table["bucket"][0].as_py() if table.num_rows else 0
-    if bucket < 0:
-        return pa.table({"key": table["keys"], "bucket": pa.array([-1] * table.num_rows, pa.int64()), "flags": table["hashes"]})
-    joined = {c: b"".join(table[c].to_pylist()) for c in ("keys", "counts", "hashes", "repeated")}
-    hashes, known = np.frombuffer(joined["hashes"], np.uint64), np.unique(np.frombuffer(joined["repeated"], np.uint64))
-    order = np.argsort(hashes)
-    ranked = hashes[order]
-    twice = np.zeros(len(hashes), bool)
-    same = ranked[1:] == ranked[:-1]
-    twice[1:] |= same
-    twice[:-1] |= same
-    if len(known):
-        at = np.minimum(np.searchsorted(known, ranked), len(known) - 1)
-        twice |= known[at] == ranked
-    flags = np.zeros(len(hashes), np.uint8)
-    flags[order] = twice
-    ends = np.concatenate([[0], np.cumsum(np.frombuffer(joined["counts"], "<i4"), dtype=np.int64)])
-    sums = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
-    some = np.flatnonzero(sums[ends[1:]] > sums[ends[:-1]])
-    lengths = np.diff(ends)[some]
-    keys = np.frombuffer(joined["keys"], np.uint8).reshape(-1, 16)[some]
-    return pa.table({
-        "key": binary_array(keys, 16 * np.arange(len(some) + 1)),
-        "bucket": pa.array(np.full(len(some), bucket)),
-        "flags": binary_array(flags[ragged(ends[some], lengths)], np.concatenate([[0], np.cumsum(lengths)])),
-    })
-
-
-def ask_buckets(texts: DataFrame, hashes_of: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], buckets: int, part: int = PART_TEXT) -> DataFrame:
-    """(key, answers) of texts in which a hash repeats; answers are good for texts without a copy."""
-    answers = pack_hashes(texts, hashes_of, buckets, part).groupBy("bucket").applyInArrow(answer_bucket, _ANSWER)
-    return answers.groupBy("key").agg(F.collect_list(F.struct("bucket", "flags")).alias("answers"))
-
-
-def repeated_windows(hashes: np.ndarray, answers: list[dict], buckets: int) -> np.ndarray:
-    """The answers of a text's buckets, put back in the order of its windows."""
-    flags = np.zeros(len(hashes), bool)
-    known = [np.frombuffer(a["flags"], np.uint8).astype(bool) for a in answers if a["bucket"] < 0]
-    rest = np.arange(len(hashes))
-    if known:
-        flags |= known[0]
-        rest = rest[~known[0]]
-    bucket = bucket_of(hashes[rest], buckets)
-    order = rest[np.argsort(bucket.astype(np.uint32), kind="stable")]
-    bounds = np.searchsorted(np.sort(bucket), np.arange(buckets + 1)) if len(bucket) < buckets else np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
-    for a in answers:
-        if (b := a["bucket"]) >= 0:
-            flags[order[bounds[b] : bounds[b + 1]]] = np.frombuffer(a["flags"], np.uint8)
-    return flags
-
-
-def remove_windows(texts: DataFrame, window: int, buckets: int, with_text: bool = False) -> DataFrame:
-    """Texts joined to their answers, without the words that a repeated window covers."""
+def remove_windows(parts: DataFrame, window: int, buckets: int, with_text: bool = False) -> DataFrame:
+    """Parts with their answers: one row per text, without the words that a repeated window covers."""
     schema = T.StructType([*RESULT]).add("kept_text", T.StringType()) if with_text else RESULT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in parts(whole, 1):
-                words = words_of(batch.column(1))
-                counts = words.counts
-                gone = np.zeros(len(words.starts) + 1, np.int32)
-                copies, answers = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-                if any(answers):
-                    hashes, cuts = window_hashes(words, window)
-                for i, (n, copied, answer) in enumerate(zip(counts.tolist(), copies, answers, strict=True)):
-                    first = words.cuts[i]
-                    if copied and n >= window:
-                        gone[first] += 1
-                        gone[first + n] -= 1
-                    elif answer and n >= window:
-                        flags = repeated_windows(hashes[cuts[i] : cuts[i + 1]], answer, buckets)
-                        at = np.flatnonzero(flags) + first
-                        gone[at] += 1
-                        np.subtract.at(gone, at + window, 1)
-                removed = np.cumsum(gone)[:-1] > 0
-                sums = np.concatenate([[0], np.cumsum(removed)])
-                begin = removed.copy()
-                begin[1:] &= ~removed[:-1]
-                begin[words.cuts[:-1][counts > 0]] |= removed[words.cuts[:-1][counts > 0]]
-                begins = np.concatenate([[0], np.cumsum(begin)])
-                kept = np.flatnonzero(~removed)
-                sizes = words.ends[kept] - words.starts[kept] + 1
-                padded = np.append(words.data, np.uint8(32))
-                joined = padded[ragged(words.starts[kept], sizes)]
-                ends = np.concatenate([[0], np.cumsum(sizes)])
-                joined[ends[1:] - 1] = 32
-                raw = joined.tobytes()
-                own = ends[np.searchsorted(kept, words.cuts)].tolist()
-                pieces = [raw[a : max(a, b - 1)] for a, b in zip(own, own[1:], strict=False)]
-                columns = [
-                    batch.column(0), pa.array(counts), pa.array(sums[words.cuts[1:]] - sums[words.cuts[:-1]]),
-                    pa.array(begins[words.cuts[1:]] - begins[words.cuts[:-1]]), pa.array([hashlib.sha256(p).hexdigest() for p in pieces]),
-                ]
-                if with_text:
-                    columns.append(pa.array([p.decode("utf-8", "replace") for p in pieces]))
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    return texts.mapInArrow(run, schema)
-
-
-def bucket_number(docs: DataFrame, bucket_text: int = BUCKET_TEXT) -> int:
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(1, -(-size // bucket_text))
+        for p in parts_of(batches):
+            words = words_of(p.texts)
+            hashes, first = window_hashes(words, window)
+            at = first[heard(hashes, p.rest[0], buckets)]
+            change = np.zeros(len(words.starts) + 1, np.int32)
+            change[at] += 1
+            np.subtract.at(change, at + window, 1)
+            removed = np.cumsum(change)[:-1] > 0
+            begin = removed.copy()
+            begin[1:] &= ~removed[:-1]
+            firsts = words.cuts[:-1][words.counts > 0]
+            begin[firsts] |= removed[firsts]
+            n_removed, n_spans = (np.diff(np.concatenate([[0], np.cumsum(x)])[words.cuts]) for x in (removed, begin))
+            pieces = kept_texts(words, removed)
+            columns = [p.doc_ids, pa.array(words.counts), pa.array(n_removed), pa.array(n_spans), pa.array([hashlib.sha256(x).hexdigest() for x in pieces])]
+            if with_text:
+                columns.append(pa.array([x.decode("utf-8", "replace") for x in pieces]))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return parts.mapInArrow(run, schema)
 
 
 def window_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW, buckets: int | None = None, with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, n_spans, kept_sha256 (and kept_text)."""
     configure(spark)
     buckets = buckets or bucket_number(docs)
-    texts = keyed(docs)
-    grouped = stage(ask_buckets(texts, lambda column: window_hashes(words_of(column), window), buckets))
-    copies = texts.groupBy("key").count().where("count > 1").select("key", F.lit(True).alias("copied"))
-    joined = texts.join(copies, "key", "left").join(grouped, "key", "left")
-    return remove_windows(joined.select("doc_id", "text", "copied", F.when(F.col("copied").isNull(), F.col("answers")).alias("answers")), window, buckets, with_text)
+    parts = stage_parts(keyed(docs))
+    answers = stage(ask(parts, lambda texts: window_hashes(words_of(texts), window)[0], buckets))
+    return remove_windows(parts.join(answers, "part", "left"), window, buckets, with_text)
