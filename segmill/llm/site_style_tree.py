@@ -6,9 +6,13 @@ text's places on page j of m, the text's entropy to the base m is near 1 if ever
 if one page has it; importance is 1 minus the mean entropy, by length. Presentation counts too: a
 node's children, as a style, have an entropy over pages; many links and the names that pages give to
 menus, footers, adverts, forms, comments and the like lower it. The importance of a branch is that
-of all text below it, and a branch of low importance is removed from each page of the host; so is
-one whose name says that it is not content, even on a host with a single page. `article` and
-`main` branches, or else the host's largest branch, are kept.
+of all text below it that no such name covers, and a branch is removed from each page of the host if
+it and every branch below it are of low importance; so is one whose name says that it is not content,
+even on a host with a single page. `article` and `main` branches and what they stand in are kept.
+
+Pages of a host with the same main text (the same article under several addresses) count as one, so
+that copies do not make an article look like a menu. A page with unnamed text never comes out empty:
+where all of it is of low importance, it stays.
 
 Pages are parsed twice: first to blocks with their paths and a hash of their text, whose statistics are
 Spark aggregations over (host, path, hash), so a host of any size costs a task only partial sums; then
@@ -62,7 +66,7 @@ SCOPE = frozenset("html body table td th div article section main ul ol dl aside
 
 BLOCK = T.StructType().add("path", T.StringType()).add("feature", T.LongType()).add("size", T.IntegerType()).add("links", T.IntegerType())
 STYLE = T.StructType().add("path", T.StringType()).add("style", T.StringType())
-PARSED = T.StructType().add("row", T.LongType()).add("host", T.StringType()).add("blocks", T.ArrayType(BLOCK)).add("styles", T.ArrayType(STYLE))
+PARSED = T.StructType().add("row", T.LongType()).add("host", T.StringType()).add("copy", T.LongType()).add("page", T.LongType()).add("blocks", T.ArrayType(BLOCK)).add("styles", T.ArrayType(STYLE))
 RESULT = T.StructType().add("page_id", T.LongType()).add("url", T.StringType()).add("text", T.StringType()).add("n_chars", T.LongType())
 HOST = r"(?i)^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 _SEPARATOR = "/"
@@ -169,10 +173,20 @@ def hosted(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).withColumn("host", host)
 
 
+def main_text(blocks: list[tuple[str, str, int]]) -> list[tuple[str, str, int]]:
+    """Blocks that no name covers: those of the main branches, or all if the page has none there."""
+    unnamed = [b for b in blocks if "!" not in b[0]]
+    return [b for b in unnamed if "*" in b[0]] or unnamed
+
+
+def _digest(blocks: list[tuple[str, str, int]]) -> int | None:
+    return xxhash.xxh64_intdigest("\0".join(f"{p}\0{t}" for p, t, _ in blocks)) - (1 << 63) if blocks else None
+
+
 def parse_pages(pages: DataFrame) -> DataFrame:
     """What the style trees count of each page: no text, but a hash of it."""
     arrow = pa.schema([
-        ("row", pa.int64()), ("host", pa.string()),
+        ("row", pa.int64()), ("host", pa.string()), ("copy", pa.int64()), ("page", pa.int64()),
         ("blocks", pa.list_(pa.struct([("path", pa.string()), ("feature", pa.int64()), ("size", pa.int32()), ("links", pa.int32())]))),
         ("styles", pa.list_(pa.struct([("path", pa.string()), ("style", pa.string())]))),
     ])
@@ -184,7 +198,8 @@ def parse_pages(pages: DataFrame) -> DataFrame:
             for host, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tree = PageTree().read(html or "")
                 blocks = [dict(path=p, feature=xxhash.xxh64_intdigest(t) - (1 << 63), size=len(t), links=n) for p, t, n in tree.blocks]
-                out.append(dict(row=row, host=host, blocks=blocks, styles=[dict(path=p, style=s) for p, s in tree.styles]))
+                copy, page = _digest(main_text(tree.blocks) or tree.blocks), _digest(tree.blocks)
+                out.append(dict(row=row, host=host, copy=copy, page=page, blocks=blocks, styles=[dict(path=p, style=s) for p, s in tree.styles]))
                 row += 1
             yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
@@ -199,7 +214,9 @@ def _entropy(total: str, weighted: str, pages: str):
 
 def style_tree(parsed: DataFrame) -> DataFrame:
     """(host, node, importance, size): the merged trees of all hosts, every node with its branch."""
-    pages = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("m"))
+    chosen = stage(parsed.where("copy is not null").groupBy("host", "copy").agg(F.min_by("row", F.struct("page", "row")).alias("row")))
+    pages = chosen.groupBy("host").agg(F.count(F.lit(1)).alias("m"))
+    parsed = parsed.join(chosen.select("row"), "row", "left_semi")
     blocks = parsed.select("host", "row", F.explode("blocks").alias("b")).select(
         "host", "row", F.col("b.path").alias("path"), F.col("b.feature").alias("feature"), F.col("b.size").alias("size"), F.col("b.links").alias("links")
     )
@@ -209,9 +226,7 @@ def style_tree(parsed: DataFrame) -> DataFrame:
     )
     texts = texts.join(pages, "host").withColumn("entropy", F.when(F.col("m") >= LEAST_PAGES, _entropy("n", "clogc", "m")).otherwise(0.0))
     leaves = texts.groupBy("host", "path").agg(F.sum("size").alias("size"), F.sum(F.col("size") * (1 - F.col("entropy"))).alias("rare"), F.sum("links").alias("links"))
-    steps = F.split("path", _SEPARATOR)
-    nodes = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), _SEPARATOR))
-    branches = leaves.withColumn("node", F.explode(nodes)).groupBy("host", "node").agg(
+    branches = leaves.withColumn("node", F.explode(_nodes("path"))).where("not contains(substr(path, length(node) + 1), '!')").groupBy("host", "node").agg(
         F.sum("size").alias("size"), F.sum("rare").alias("rare"), F.sum("links").alias("links")
     )
     styles = parsed.select("host", F.explode("styles").alias("s")).groupBy("host", F.col("s.path").alias("node"), F.col("s.style").alias("style")).agg(F.count(F.lit(1)).alias("c"))
@@ -223,23 +238,23 @@ def style_tree(parsed: DataFrame) -> DataFrame:
     return branches.join(styles.select("host", "node", "shown"), ["host", "node"], "left").select("host", "node", importance.alias("importance"), "size")
 
 
+def _nodes(path: str):
+    """A path and all that it stands in."""
+    steps = F.split(path, _SEPARATOR)
+    return F.transform(F.sequence(F.lit(1), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), _SEPARATOR))
+
+
 def low_branches(tree: DataFrame, least: float) -> DataFrame:
-    """(host, low): paths of the branches that go; none inside the main branch."""
-    inside = tree.where("node <> ''")
-    depth = F.size(F.split("node", _SEPARATOR))
-    parent_of_main = inside.where(F.col("node").contains("*")).groupBy("host").agg(F.count(F.lit(1)).alias("mains"))
-    largest = inside.where(~F.col("node").contains("!") & (depth == 4)).groupBy("host").agg(F.max_by("node", F.struct("size", "node")).alias("largest"))
-    marked = inside.join(parent_of_main, "host", "left").join(largest, "host", "left")
-    kept = F.col("node").contains("*") | (F.col("mains").isNull() & (F.col("node").startswith(F.col("largest")) | F.col("largest").startswith(F.col("node"))))
-    low = marked.where((F.col("importance") < least) & ~F.coalesce(kept, F.lit(False)) & ~F.col("node").contains("!"))
+    """(host, low): paths that are of low importance with all that is below them; no main branch and nothing a main branch stands in."""
+    high = tree.where((F.col("importance") >= least) | F.col("node").contains("*")).select("host", F.explode(_nodes("node")).alias("node")).distinct()
+    low = tree.where("node <> ''").join(high, ["host", "node"], "left_anti")
     return low.groupBy("host").agg(F.collect_set("node").alias("low"))
 
 
 def main_blocks(blocks: list[tuple[str, str, int]], low: list[str]) -> list[str]:
-    """Texts of the blocks that stay: none under a chrome name or a low branch, and only main ones if there are any."""
-    main = any("*" in path for path, _, _ in blocks)
-    gone = tuple(f"{branch}{_SEPARATOR}" for branch in low)
-    return [t for path, t, _ in blocks if "!" not in path and (not main or "*" in path) and not f"{path}{_SEPARATOR}".startswith(gone)]
+    """Texts of the blocks that stay: none under a chrome name or of a low path, and only main ones if there are any."""
+    unnamed, gone = main_text(blocks), set(low)
+    return [t for p, t, _ in unnamed if p not in gone] or [t for _, t, _ in unnamed]
 
 
 def extract_main_text(spark: SparkSession, pages: DataFrame, least: float = LEAST_IMPORTANCE) -> DataFrame:

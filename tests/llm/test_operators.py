@@ -330,3 +330,23 @@ def test_empty_tables(spark):
         site_style_tree.extract_main_text(spark, spark.createDataFrame([], "page_id long, url string, html string")),
     ):
         assert found.count() == 0
+
+
+def main_texts(spark, pages):
+    """Texts by page number of pages (host, html)."""
+    rows = [(i, f"http://{host}/{i}", html) for i, (host, html) in enumerate(pages)]
+    got = site_style_tree.extract_main_text(spark, spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    return [t for _, t in sorted((r.page_id, r.text) for r in got.collect())]
+
+
+def test_main_text_of_copies_and_short_articles_stays(spark):
+    article = "<html><body><article><h1>Title {0}</h1><p>The text {0} of an article.</p></article></body></html>"
+    menu = "<div class=x1>" + "Words of a long menu that every page has. " * 30 + "</div>"
+    short = "<html><body>" + menu + "<article><p>Short {0}.</p></article></body></html>"
+    plain = "<html><body><div class=x0>" + menu + "<div class=x2><p>Short {0}.</p></div></div></body></html>"
+    pages = [("copies", article.format("one"))] * 12 + [("partly", article.format(max(0, i - 30))) for i in range(40)]
+    pages += [("short", short.format(i)) for i in range(12)] + [("plain", plain.format(i)) for i in range(12)]
+    got = main_texts(spark, pages)
+    assert got[:12] == ["Title one\nThe text one of an article."] * 12
+    assert got[12:52] == [f"Title {max(0, i - 30)}\nThe text {max(0, i - 30)} of an article." for i in range(40)]
+    assert got[52:] == [f"Short {i}." for i in range(12)] * 2
