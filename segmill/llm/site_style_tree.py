@@ -3,15 +3,15 @@
 Pages of one host share a tree: nodes are paths of tags with their class and id, merged over pages.
 A node's content is as important as its texts are rare over the host's pages: with p_j the share of a
 text's places on page j of m, the text's entropy to the base m is near 1 if every page has it and 0
-if one page has it; importance is 1 minus the mean entropy, by length. Presentation counts too: a
-node's children, as a style, have an entropy over pages; many links and the names that pages give to
-menus, footers, adverts, forms, comments and the like lower it. The importance of a branch is that
-of all text below it that no such name covers, and a branch is removed from each page of the host if
-it and every branch below it are of low importance; so is one whose name says that it is not content,
-even on a host with a single page. `article` and `main` branches and what they stand in are kept.
+if one page has it; importance is 1 minus the mean entropy, by length. Presentation counts too: the
+children of the element around a node, as a style, have an entropy over pages that raises it; links
+lower it, and so does standing outside `article` and `main` on a host that has them, and a tag or name
+that pages give to menus, footers, adverts, forms, comments and the like, the less the more text
+without links the named branch has on a page. The text of nodes of low importance is removed from
+each page of the host, inside `article` and `main` as well; a branch without other text goes.
 
 Pages of a host with the same main text (the same article under several addresses) count as one, so
-that copies do not make an article look like a menu. A page with unnamed text never comes out empty:
+that copies do not make an article look like a menu. One rule is fixed: a page with unnamed text never comes out empty:
 where all of it is of low importance, it stays.
 
 Pages are parsed twice: first to blocks with their paths and a hash of their text, whose statistics are
@@ -26,6 +26,7 @@ with its parent; an empty table gives no row; other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -38,8 +39,11 @@ from pyspark.sql import types as T
 
 from segmill.llm.common import configure, stage
 
-#: A branch below this importance goes.
+#: Text of a node below this importance goes.
 LEAST_IMPORTANCE = 0.3
+#: Weights of presentation: of a name (on a short branch, and what length can add up to), the length that adds half of it,
+#: what standing outside the main branches takes, what links take, and what a varied style adds.
+NAMED, NAMED_LONG, LONG, OUTSIDE, LINKED, VARIED = 0.2, 0.4, 1000, 0.5, 0.5, 0.2
 #: Pages that a host needs before its entropies count.
 LEAST_PAGES = 8
 
@@ -64,9 +68,9 @@ CLOSES_P = frozenset(
 CLOSES_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("html body table td th div article section main ul ol dl aside nav footer header form".split())
 
-BLOCK = T.StructType().add("path", T.StringType()).add("feature", T.LongType()).add("size", T.IntegerType()).add("links", T.IntegerType())
+BLOCK = T.StructType().add("path", T.StringType()).add("feature", T.LongType()).add("size", T.IntegerType()).add("links", T.IntegerType()).add("around", T.IntegerType())
 STYLE = T.StructType().add("path", T.StringType()).add("style", T.StringType())
-PARSED = T.StructType().add("row", T.LongType()).add("host", T.StringType()).add("copy", T.LongType()).add("page", T.LongType()).add("blocks", T.ArrayType(BLOCK)).add("styles", T.ArrayType(STYLE))
+PARSED = T.StructType().add("row", T.LongType()).add("host", T.StringType()).add("copy", T.LongType()).add("page", T.LongType()).add("main", T.BooleanType()).add("blocks", T.ArrayType(BLOCK)).add("styles", T.ArrayType(STYLE))
 RESULT = T.StructType().add("page_id", T.LongType()).add("url", T.StringType()).add("text", T.StringType()).add("n_chars", T.LongType())
 HOST = r"(?i)^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 _SEPARATOR = "/"
@@ -179,6 +183,11 @@ def main_text(blocks: list[tuple[str, str, int]]) -> list[tuple[str, str, int]]:
     return [b for b in unnamed if "*" in b[0]] or unnamed
 
 
+def named_branch(path: str) -> str:
+    """The outermost branch with a name for chrome that a path stands in, or ''."""
+    return path[: path.find("!") + 1]
+
+
 def _digest(blocks: list[tuple[str, str, int]]) -> int | None:
     return xxhash.xxh64_intdigest("\0".join(f"{p}\0{t}" for p, t, _ in blocks)) - (1 << 63) if blocks else None
 
@@ -186,8 +195,8 @@ def _digest(blocks: list[tuple[str, str, int]]) -> int | None:
 def parse_pages(pages: DataFrame) -> DataFrame:
     """What the style trees count of each page: no text, but a hash of it."""
     arrow = pa.schema([
-        ("row", pa.int64()), ("host", pa.string()), ("copy", pa.int64()), ("page", pa.int64()),
-        ("blocks", pa.list_(pa.struct([("path", pa.string()), ("feature", pa.int64()), ("size", pa.int32()), ("links", pa.int32())]))),
+        ("row", pa.int64()), ("host", pa.string()), ("copy", pa.int64()), ("page", pa.int64()), ("main", pa.bool_()),
+        ("blocks", pa.list_(pa.struct([("path", pa.string()), ("feature", pa.int64()), ("size", pa.int32()), ("links", pa.int32()), ("around", pa.int32())]))),
         ("styles", pa.list_(pa.struct([("path", pa.string()), ("style", pa.string())]))),
     ])
 
@@ -197,9 +206,12 @@ def parse_pages(pages: DataFrame) -> DataFrame:
             out = []
             for host, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tree = PageTree().read(html or "")
-                blocks = [dict(path=p, feature=xxhash.xxh64_intdigest(t) - (1 << 63), size=len(t), links=n) for p, t, n in tree.blocks]
+                around = Counter()
+                for p, t, n in tree.blocks:
+                    around[named_branch(p)] += len(t) - n
+                blocks = [dict(path=p, around=around[named_branch(p)], feature=xxhash.xxh64_intdigest(t) - (1 << 63), size=len(t), links=n) for p, t, n in tree.blocks]
                 copy, page = _digest(main_text(tree.blocks) or tree.blocks), _digest(tree.blocks)
-                out.append(dict(row=row, host=host, copy=copy, page=page, blocks=blocks, styles=[dict(path=p, style=s) for p, s in tree.styles]))
+                out.append(dict(row=row, host=host, copy=copy, page=page, main=any("*" in p for p, _, _ in tree.blocks), blocks=blocks, styles=[dict(path=p, style=s) for p, s in tree.styles]))
                 row += 1
             yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
@@ -213,48 +225,42 @@ def _entropy(total: str, weighted: str, pages: str):
 
 
 def style_tree(parsed: DataFrame) -> DataFrame:
-    """(host, node, importance, size): the merged trees of all hosts, every node with its branch."""
-    chosen = stage(parsed.where("copy is not null").groupBy("host", "copy").agg(F.min_by("row", F.struct("page", "row")).alias("row")))
-    pages = chosen.groupBy("host").agg(F.count(F.lit(1)).alias("m"))
+    """(host, node, importance, size): the merged trees of all hosts, every node that has text of its own."""
+    chosen = stage(parsed.where("copy is not null").groupBy("host", "copy").agg(F.min_by("row", F.struct("page", "row")).alias("row"), F.max("main").alias("main")))
+    pages = chosen.groupBy("host").agg(F.count(F.lit(1)).alias("m"), F.count_if("main").alias("mains"))
     parsed = parsed.join(chosen.select("row"), "row", "left_semi")
     blocks = parsed.select("host", "row", F.explode("blocks").alias("b")).select(
-        "host", "row", F.col("b.path").alias("path"), F.col("b.feature").alias("feature"), F.col("b.size").alias("size"), F.col("b.links").alias("links")
+        "host", "row", F.col("b.path").alias("path"), F.col("b.feature").alias("feature"), F.col("b.size").alias("size"), F.col("b.links").alias("links"), F.col("b.around").alias("around")
     )
-    on_page = blocks.groupBy("host", "path", "feature", "row").agg(F.count(F.lit(1)).alias("c"), F.max("size").alias("size"), F.sum("links").alias("links"))
+    on_page = blocks.groupBy("host", "path", "feature", "row").agg(F.count(F.lit(1)).alias("c"), F.max("size").alias("size"), F.sum("links").alias("links"), F.sum("around").alias("around"))
     texts = on_page.groupBy("host", "path", "feature").agg(
-        F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("clogc"), F.sum(F.col("c") * F.col("size")).alias("size"), F.sum("links").alias("links")
+        F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("clogc"), F.sum(F.col("c") * F.col("size")).alias("size"), F.sum("links").alias("links"), F.sum("around").alias("around")
     )
     texts = texts.join(pages, "host").withColumn("entropy", F.when(F.col("m") >= LEAST_PAGES, _entropy("n", "clogc", "m")).otherwise(0.0))
-    leaves = texts.groupBy("host", "path").agg(F.sum("size").alias("size"), F.sum(F.col("size") * (1 - F.col("entropy"))).alias("rare"), F.sum("links").alias("links"))
-    branches = leaves.withColumn("node", F.explode(_nodes("path"))).where("not contains(substr(path, length(node) + 1), '!')").groupBy("host", "node").agg(
-        F.sum("size").alias("size"), F.sum("rare").alias("rare"), F.sum("links").alias("links")
-    )
-    styles = parsed.select("host", F.explode("styles").alias("s")).groupBy("host", F.col("s.path").alias("node"), F.col("s.style").alias("style")).agg(F.count(F.lit(1)).alias("c"))
-    styles = styles.groupBy("host", "node").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("clogc")).withColumn("shown", _entropy("n", "clogc", "n"))
+    nodes = texts.groupBy("host", F.col("path").alias("node")).agg(
+        F.sum("size").alias("size"), F.sum(F.col("size") * (1 - F.col("entropy"))).alias("rare"), F.sum("links").alias("links"),
+        (F.sum("around") / F.sum("n")).alias("around"), F.max(F.col("mains") / F.col("m")).alias("mains"),
+    ).withColumn("over", F.regexp_extract("node", "^(.*)/[^/]*$", 1))
+    styles = parsed.select("host", F.explode("styles").alias("s")).groupBy("host", F.col("s.path").alias("over"), F.col("s.style").alias("style")).agg(F.count(F.lit(1)).alias("c"))
+    styles = styles.groupBy("host", "over").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("clogc")).withColumn("shown", _entropy("n", "clogc", "n"))
     content = F.col("rare") / F.greatest(F.col("size"), F.lit(1))
     linked = F.least(F.col("links") / F.greatest(F.col("size"), F.lit(1)), F.lit(1.0))
     look = F.coalesce(F.col("shown"), F.lit(0.0))  # a style that varies over pages is a sign of content
-    importance = F.least(F.lit(1.0), content * (1 - linked / 2) + 0.2 * look * content)
-    return branches.join(styles.select("host", "node", "shown"), ["host", "node"], "left").select("host", "node", importance.alias("importance"), "size")
-
-
-def _nodes(path: str):
-    """A path and all that it stands in."""
-    steps = F.split(path, _SEPARATOR)
-    return F.transform(F.sequence(F.lit(1), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), _SEPARATOR))
+    named = F.when(F.col("node").contains("!"), NAMED + NAMED_LONG * F.col("around") / (F.col("around") + LONG)).otherwise(1.0)
+    outside = F.when(F.col("node").contains("*"), 1.0).otherwise(1 - OUTSIDE * F.col("mains"))
+    importance = F.least(F.lit(1.0), content * (1 - LINKED * linked + VARIED * look)) * named * outside
+    return nodes.join(styles.select("host", "over", "shown"), ["host", "over"], "left").select("host", "node", importance.alias("importance"), "size")
 
 
 def low_branches(tree: DataFrame, least: float) -> DataFrame:
-    """(host, low): paths that are of low importance with all that is below them; no main branch and nothing a main branch stands in."""
-    high = tree.where((F.col("importance") >= least) | F.col("node").contains("*")).select("host", F.explode(_nodes("node")).alias("node")).distinct()
-    low = tree.where("node <> ''").join(high, ["host", "node"], "left_anti")
-    return low.groupBy("host").agg(F.collect_set("node").alias("low"))
+    """(host, low): nodes whose text is of low importance; a branch all of whose nodes are low goes as a whole."""
+    return tree.where(F.col("importance") < least).groupBy("host").agg(F.collect_set("node").alias("low"))
 
 
 def main_blocks(blocks: list[tuple[str, str, int]], low: list[str]) -> list[str]:
-    """Texts of the blocks that stay: none under a chrome name or of a low path, and only main ones if there are any."""
-    unnamed, gone = main_text(blocks), set(low)
-    return [t for p, t, _ in unnamed if p not in gone] or [t for _, t, _ in unnamed]
+    """Texts of the blocks that stay: those of nodes that are not low, or all main text if there are none."""
+    gone = set(low)
+    return [t for p, t, _ in blocks if p not in gone] or [t for _, t, _ in main_text(blocks)]
 
 
 def extract_main_text(spark: SparkSession, pages: DataFrame, least: float = LEAST_IMPORTANCE) -> DataFrame:

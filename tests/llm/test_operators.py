@@ -350,3 +350,10 @@ def test_main_text_of_copies_and_short_articles_stays(spark):
     assert got[:12] == ["Title one\nThe text one of an article."] * 12
     assert got[12:52] == [f"Title {max(0, i - 30)}\nThe text {max(0, i - 30)} of an article." for i in range(40)]
     assert got[52:] == [f"Short {i}." for i in range(12)] * 2
+
+
+def test_importance_decides_inside_and_outside_the_main_branch(spark):
+    page = "<html><body><div class=top>Unique words {0} outside.</div><div class=x1>Same line</div><article><p>Unique text {0} of an article.</p><div class=n1>The same note everywhere</div>"
+    page += "<div class=related><p>" + "Long text {0} under a name. " * 40 + "</p></div><div class=share>Share</div></article></body></html>"
+    long = ("Long text {0} under a name. " * 40).strip()
+    assert main_texts(spark, [("h", page.format(i)) for i in range(12)]) == [f"Unique words {i} outside.\nUnique text {i} of an article.\n{long.format(i)}" for i in range(12)]
