@@ -44,8 +44,6 @@ LEAST_IMPORTANCE = 0.3
 #: Weights of presentation: of a name (on a short branch, and what length can add up to), the length that adds half of it,
 #: what standing outside the main branches takes, what links take, and what a varied style adds.
 NAMED, NAMED_LONG, LONG, OUTSIDE, LINKED, VARIED = 0.2, 0.4, 1000, 0.5, 0.5, 0.2
-#: Pages that a host needs before its entropies count.
-LEAST_PAGES = 8
 
 #: Elements without text for readers, without content, and without an end tag.
 SILENT = frozenset("script style noscript template head title iframe object svg canvas select option textarea button".split())
@@ -236,7 +234,7 @@ def style_tree(parsed: DataFrame) -> DataFrame:
     texts = on_page.groupBy("host", "path", "feature").agg(
         F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("clogc"), F.sum(F.col("c") * F.col("size")).alias("size"), F.sum("links").alias("links"), F.sum("around").alias("around")
     )
-    texts = texts.join(pages, "host").withColumn("entropy", F.when(F.col("m") >= LEAST_PAGES, _entropy("n", "clogc", "m")).otherwise(0.0))
+    texts = texts.join(pages, "host").withColumn("entropy", _entropy("n", "clogc", "m"))
     nodes = texts.groupBy("host", F.col("path").alias("node")).agg(
         F.sum("size").alias("size"), F.sum(F.col("size") * (1 - F.col("entropy"))).alias("rare"), F.sum("links").alias("links"),
         (F.sum("around") / F.sum("n")).alias("around"), F.max(F.col("mains") / F.col("m")).alias("mains"),

@@ -357,3 +357,9 @@ def test_importance_decides_inside_and_outside_the_main_branch(spark):
     page += "<div class=related><p>" + "Long text {0} under a name. " * 40 + "</p></div><div class=share>Share</div></article></body></html>"
     long = ("Long text {0} under a name. " * 40).strip()
     assert main_texts(spark, [("h", page.format(i)) for i in range(12)]) == [f"Unique words {i} outside.\nUnique text {i} of an article.\n{long.format(i)}" for i in range(12)]
+
+
+def test_entropies_count_from_two_pages(spark):
+    page = "<html><body><div class=x1>Same words everywhere</div><div class=x2><p>Unique text {0}.</p></div></body></html>"
+    pages = [(f"h{m}", page.format(i)) for m in (2, 3, 7) for i in range(m)]
+    assert main_texts(spark, pages) == [f"Unique text {i}." for m in (2, 3, 7) for i in range(m)]
