@@ -51,6 +51,7 @@ CHROME = frozenset("nav footer aside form menu dialog".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br img wbr".split())
 MAIN = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 #: Words in class, id or role that name what is not the article.
 CHROME_WORDS = frozenset(
     "ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr "
@@ -58,6 +59,13 @@ CHROME_WORDS = frozenset(
     "recommended replies reply respond share sharing sidebar sponsor sponsored subscribe toolbar widget widgets alert complementary "
     "contentinfo search banners topbar copyright social".split()
 )
+#: Words that may stand beside those in one name; with any other word (has-sidebar, related-work) it is not such a name.
+PLAIN_WORDS = frozenset(
+    "area article bar block body bottom box btn button buttons col column container content entry global group inner item items left link links list main "
+    "message outer page panel post posts primary right row secondary section site slot small stories sub text title top unit wide wrap wrapper".split()
+)
+#: Words that name no chrome inside the main branch.
+HEADER_WORDS = frozenset(("header", "masthead", "banner"))
 #: Which open element a start tag ends, and where the search for it stops.
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup "
@@ -80,17 +88,20 @@ class PageTree(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, str, list[str]]] = []
+        self.stack: list[tuple[str, list, list[str]]] = []
+        self.found: list[tuple[list, str, int]] = []
+        self.shown: list[tuple[list, str]] = []
         self.blocks: list[tuple[str, str, int]] = []
         self.styles: list[tuple[str, str]] = []
         self.text: list[str] = []
         self.links = self.silent = self.in_link = 0
-        self.path = ""
+        self.root = self.node = [None, "", "", 0, ""]  # parent, label, mark, length of text without links, path
+        self.mains = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.blocks.append((self.path, text, min(self.links, len(text))))
+            self.found.append((self.node, text, min(self.links, len(text))))
         self.text, self.links = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -111,14 +122,34 @@ class PageTree(HTMLParser):
         self.flush()
         names = [w for k, v in attrs if k in ("class", "id", "role") and v for w in _NAME.split(v.lower()) if w]
         label = ".".join([tag, *names[:4]])
-        chrome = tag in CHROME or bool(CHROME_WORDS.intersection(names)) or (tag == "header" and not any(t in MAIN for t, _, _ in self.stack))
-        mark = "!" if chrome and tag not in ("html", "body") and tag not in MAIN else "*" if tag in MAIN else ""
+        mark = "*" if tag in MAIN else "!" if self.is_chrome(tag, attrs) else ""
+        if tag in MAIN:
+            self.mains += 1
+            above = self.node
+            while above is not None:  # no name counts for what holds the main branch
+                above[2] = above[2].replace("!", "")
+                above = above[0]
         if self.stack:
             self.stack[-1][2].append(label)
-        self.stack.append((tag, self.path, []))
-        self.path = f"{self.path}{_SEPARATOR}{label}{mark}"
+        self.stack.append((tag, self.node, []))
+        self.node = [self.node, label, mark, 0, None]
         self.silent += tag in SILENT
 
+    def is_chrome(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        """Whether the tag, or a whole class, id or role, names what is not content."""
+        inside = any(t in MAIN for t, _, _ in self.stack)
+        if tag in ("html", "body") or (inside and tag in HEADINGS):
+            return False
+        if tag in CHROME or tag == "header":
+            return True
+        chrome = CHROME_WORDS - HEADER_WORDS if inside else CHROME_WORDS
+        for k, v in attrs:
+            for name in (v or "").lower().split() if k in ("class", "id", "role") else ():
+                words = [w for w in _NAME.split(name) if w]
+                if not chrome.isdisjoint(words) and all(w in chrome or w in PLAIN_WORDS or w.isdigit() for w in words):
+                    return True
+        return False
+
     def handle_endtag(self, tag: str) -> None:
         if tag in INLINE:
             if tag == "a":
@@ -146,9 +177,9 @@ class PageTree(HTMLParser):
         tag, before, children = self.stack.pop()
         if children:
             short = [c for c, before_it in zip(children, [None, *children], strict=False) if c != before_it]
-            self.styles.append((self.path, ",".join(short)))
+            self.shown.append((self.node, ",".join(short)))
         self.silent -= tag in SILENT
-        self.path = before
+        self.node = before
         self.in_link = 0
         return tag
 
@@ -168,6 +199,19 @@ class PageTree(HTMLParser):
         while self.stack:
             self.pop()
         self.flush()
+        if not self.mains:  # the main branch of such a page is what holds most of its text
+            for node, text, links in self.found:
+                while node is not None:
+                    node[3] += len(text) - links
+                    node = node[0]
+        self.blocks = [(self.path_of(node), text, links) for node, text, links in self.found]
+        self.styles = [(self.path_of(node), style) for node, style in self.shown]
+
+    def path_of(self, node: list) -> str:
+        if node[4] is None:
+            mark = "" if node[2] == "!" and 2 * node[3] > self.root[3] else node[2]
+            node[4] = f"{self.path_of(node[0])}{_SEPARATOR}{node[1]}{mark}"
+        return node[4]
 
 
 def hosted(pages: DataFrame) -> DataFrame:

@@ -363,3 +363,14 @@ def test_entropies_count_from_two_pages(spark):
     page = "<html><body><div class=x1>Same words everywhere</div><div class=x2><p>Unique text {0}.</p></div></body></html>"
     pages = [(f"h{m}", page.format(i)) for m in (2, 3, 7) for i in range(m)]
     assert main_texts(spark, pages) == [f"Unique text {i}." for m in (2, 3, 7) for i in range(m)]
+
+
+def test_names_do_not_cover_articles(spark):
+    article = "<article><header class=entry-header><h1 class=header>Head</h1></header><p>Some text.</p>{}</article>"
+    whole = [f"<div class='content {name}'>{article}</div>" for name in ("has-sidebar", "with-sidebar", "no-sidebar", "has-header", "sidebar")]
+    whole += [f"<form id=aspnetForm>{article}</form>", "<form id=aspnetForm><h1>Head</h1><p>Some text.</p></form>"]
+    inside = ["<section class=search-results><p>Found.</p></section>", "<div class=related-work><p>Found.</p></div>"]
+    chrome = ["<div class='related-posts list'><p>Found.</p></div>", "<div id=comments-2>Found.</div>", "<nav>Found.</nav>"]
+    pages = [*(h.format("") for h in whole), *(article.format(h) for h in (*inside, *chrome))]
+    got = main_texts(spark, [(f"h{i}", f"<html><body>{html}</body></html>") for i, html in enumerate(pages)])
+    assert got == ["Head\nSome text."] * len(whole) + ["Head\nSome text.\nFound."] * len(inside) + ["Head\nSome text."] * len(chrome)
