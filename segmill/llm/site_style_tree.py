@@ -66,6 +66,8 @@ PLAIN_WORDS = frozenset(
 )
 #: Words that name no chrome inside the main branch.
 HEADER_WORDS = frozenset(("header", "masthead", "banner"))
+#: Elements of a head; any other ends it.
+IN_HEAD = frozenset("head meta link title style script base noscript template basefont bgsound noframes".split())
 #: Which open element a start tag ends, and where the search for it stops.
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup "
@@ -105,6 +107,8 @@ class PageTree(HTMLParser):
         self.text, self.links = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in IN_HEAD and self.stack and self.stack[-1][0] == "head":
+            self.pop()
         if tag in CLOSES_P:
             self.close(("p",))
         if tag in CLOSES_SAME:

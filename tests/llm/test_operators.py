@@ -374,3 +374,10 @@ def test_names_do_not_cover_articles(spark):
     pages = [*(h.format("") for h in whole), *(article.format(h) for h in (*inside, *chrome))]
     got = main_texts(spark, [(f"h{i}", f"<html><body>{html}</body></html>") for i, html in enumerate(pages)])
     assert got == ["Head\nSome text."] * len(whole) + ["Head\nSome text.\nFound."] * len(inside) + ["Head\nSome text."] * len(chrome)
+
+
+def test_head_without_end_tag(spark):
+    heads = ["<html><head><meta charset=utf-8><title>T</title><script>1</script>{}", "<head><title>T</title><noscript><p>no</p></noscript>{}", "<title>T</title>{}"]
+    pages = [h.format(body) for h in heads for body in ("<body><p>Some text.</p></body></html>", "<p>Some text.")]
+    assert main_texts(spark, [(f"h{i}", html) for i, html in enumerate(pages)]) == ["Some text."] * len(pages)
+    assert site_style_tree.PageTree().read("<head><title>T</title></head><p>Some text.").blocks[0][1] == "Some text."
