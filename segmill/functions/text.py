@@ -12,7 +12,9 @@ ALNUM = r"[\p{L}\p{N}]"
 TOKEN_PATTERN = r"(?s) ?\p{L}{1,4}| ?\p{N}{1,3}|\s+|."
 #: A short formula such as x+y=2, on stripped text.
 FORMULA = rf"^[A-Za-z0-9]+(?:{SPACE}*[-+*/=<>^%:]+{SPACE}*[A-Za-z0-9]+)+$"
-#: Characters on each side of a cut that the word test reads.
+#: Connectors inside a word: the first of a run between letters or digits, and those that follow it.
+CONNECTED = rf"(?<={ALNUM})[_-](?=[_-]*+{ALNUM})|\G(?<=[_-])[_-]"
+#: Characters on each side of a cut that the queries' SQL reads.
 CONTEXT = 32
 
 
@@ -51,6 +53,11 @@ def inside_word(left: Column, right: Column, cut: Column, length: Column) -> Col
     return (cut > 0) & (cut < length) & joined & ~cjk
 
 
+def words_filled(text: Column) -> Column:
+    """text with a letter for each connector inside a word, so that the characters beside a cut tell of it."""
+    return F.regexp_replace(text, CONNECTED, "w")
+
+
 def is_valid_segment(text: Column) -> Column:
     """Three letters or digits in a row, or one run of two, or a short formula."""
     runs = F.regexp_extract_all(text, F.lit(f"{ALNUM}+"), 0)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segmill.functions.protected import PROTECTED
-from segmill.functions.text import CONTEXT, inside_word, is_valid_segment
+from segmill.functions.text import inside_word, is_valid_segment
 
 
 def segment_rows(converted: DataFrame, key: str = "source_idx") -> DataFrame:
@@ -17,8 +17,7 @@ def segment_quality(converted: DataFrame, key: str = "source_idx") -> DataFrame:
     """Per sample: segments, characters, invalid ones, cuts inside words, protected strings kept whole."""
     following = F.get("thoughts_list", F.col("k").cast("int") + 1)
     rows = converted.select(key, "gt_output", "thoughts_list", F.posexplode("thoughts_list").alias("k", "segment")).withColumn("next", following)
-    right = F.substring("next", 1, CONTEXT)
-    in_word = F.col("next").isNotNull() & inside_word(F.right("segment", F.lit(CONTEXT)), right, F.lit(1), F.lit(2))
+    in_word = F.col("next").isNotNull() & inside_word(F.col("segment"), F.col("next"), F.lit(1), F.lit(2))
     hits = lambda text: sum((F.size(F.split(text, _quoted(t), -1)) - 1 for t in PROTECTED), F.lit(0))
     kept = rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_segments"),

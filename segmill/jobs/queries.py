@@ -212,10 +212,10 @@ def cuttable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {_SAMPLES}, {_tokens('usable')} select source_idx, idx, \"end\", {_inside('gt_output', '\"end\"')} as inside from toks join usable using (source_idx)")
 def inside_word_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = usable(spark, sf_dir).select("source_idx", "gt_output")
-    cuts = text.token_rows(rows, "source_idx", "gt_output").join(rows, "source_idx")
-    left = F.substring(F.col("gt_output"), F.greatest(F.col("end") - text.CONTEXT + 1, F.lit(1)), F.least(F.col("end"), F.lit(text.CONTEXT)))
-    right = F.substring(F.col("gt_output"), F.col("end") + 1, F.lit(text.CONTEXT))
-    return cuts.select("source_idx", "idx", "end", text.inside_word(left, right, F.col("end"), F.length("gt_output")).alias("inside"))
+    filled = rows.select("source_idx", text.words_filled(F.col("gt_output")).alias("filled"))
+    cuts = text.token_rows(rows, "source_idx", "gt_output").join(filled, "source_idx")
+    left, right = F.substring(F.col("filled"), F.col("end"), F.lit(1)), F.substring(F.col("filled"), F.col("end") + 1, F.lit(1))
+    return cuts.select("source_idx", "idx", "end", text.inside_word(left, right, F.col("end"), F.length("filled")).alias("inside"))
 
 
 _FORMULA_SQL = text.FORMULA.replace("'", "''")

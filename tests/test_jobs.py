@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmill.functions import chat, protected, scores, text
-from segmill.jobs import convert, quality, tau
+from segmill.jobs import convert, quality, queries, tau
 from segmill.jobs.config import SegmentConfig
 from segmill.operators import align, rank, segment
 from segmill.sources import jsonl
@@ -208,3 +208,16 @@ def test_stream_of_files(spark, tmp_path):
         convert_folder(spark, str(tmp_path / "in"), rows.schema, str(tmp_path / "out"), str(tmp_path / "check"), config).awaitTermination()
     got = {r.source_idx: r.thoughts_list for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {r.source_idx: r.thoughts_list for r in convert.convert(rows, config).collect()}
+
+
+def test_long_runs_of_connectors_are_inside_words(spark, tmp_path):
+    body = "word" + "-" * 80 + "word " + "_-" * 40 + " a" + "-_" * 50 + "中文" + "_" * 70 + "\n" + "-" * 90 + "b --c"
+    rows = [(1, 0, "user", "Question?"), (1, 1, "assistant", body)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    flags = segment.inside_word_flags(queries.usable(spark, str(tmp_path)).first().gt_output)
+    got = queries.inside_word_cuts(spark, str(tmp_path)).collect()
+    assert len(got) > 300 and all(r.inside == bool(flags[r.end]) for r in got)
+    ends = {r.idx: r.end for r in got}
+    assert not any(flags[ends[r.boundary]] for r in queries.boundaries_fixed(spark, str(tmp_path)).collect())
+    pieces = spark.createDataFrame([(0, "", ["word" + "-" * 40, "-" * 40 + "word", "next"])], "source_idx long, gt_output string, thoughts_list array<string>")
+    assert quality.segment_quality(pieces).first().n_in_word == 2
