@@ -46,7 +46,11 @@ _SETS = (
 
 def keyed_lower(docs: DataFrame) -> DataFrame:
     """(doc_id, key, text) with A-Z in lower case, so texts that differ in case only are one member."""
-    return keyed(docs, F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return keyed(docs, _lower())
+
+
+def _lower():
+    return F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def gram_sets(column: pa.Array, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -233,6 +237,11 @@ def link_sets(sets: DataFrame, percent: int, pivot_rounds: int = PIVOT_ROUNDS) -
 
 def jaccard_components(spark: SparkSession, docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, fragments: int = FRAGMENTS, buckets: int | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, key (of its text, ignoring case)."""
+    return _components(spark, docs, gram, percent, fragments, buckets).drop("kept_key")
+
+
+def _components(spark: SparkSession, docs: DataFrame, gram: int, percent: int, fragments: int = FRAGMENTS, buckets: int | None = None) -> DataFrame:
+    """jaccard_components() with kept_key: the component's text of smallest (doc_id, key), null doc_ids last."""
     configure(spark)
     buckets = buckets or bucket_number(docs)
     parts = stage_parts(keyed_lower(docs))
@@ -244,19 +253,26 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, gram: int = GRAM, p
     labels = components(link_sets(sets, percent))
     firsts = every.groupBy("key").agg(F.min("doc_id").alias("first_id"))
     linked = members.join(labels, F.col("cid") == F.col("node")).join(firsts, "key").select("key", "comp", "first_id")
-    least = linked.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    of_key = linked.select("key", "comp").join(least, "comp").select("key", F.col("component_id").alias("linked_id"))
+    least = linked.groupBy("comp").agg(F.min("first_id").alias("component_id"), F.min_by("key", F.struct(F.col("first_id").isNull(), "first_id", "key")).alias("kept_key"))
+    of_key = linked.select("key", "comp").join(least, "comp").select("key", F.col("component_id").alias("linked_id"), "kept_key")
     rows = every.select("doc_id", "key", F.col("n").alias("n_shingles")).join(firsts, "key").join(of_key, "key", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("linked_id", "first_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"), "key")
+    return rows.select("doc_id", "n_shingles", component.alias("component_id"), "key", F.coalesce("kept_key", "key").alias("kept_key"))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, gram: int = 5, percent: int = 80) -> DataFrame:
-    """docs without the members of each component but its smallest doc_id; columns stay.
+    """docs without the members of each component but one; columns stay.
 
-    Rows of the smallest doc_id that repeat (same id and text) count as one document's and stay once.
-    Documents without a word, or without an id, link with nothing that decides here and stay.
+    The one that stays has the smallest (doc_id, key of its text); a null doc_id comes after all others,
+    so a component without ids keeps one row as well. A row goes for its own text only: where a doc_id
+    occurs with several texts, each is a document of its own. Rows that repeat (same id and text, ignoring
+    case, null ids alike) stay once. Documents without a word link with nothing and stay.
     """
-    found = stage(jaccard_components(spark, docs, gram, percent))
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    found = stage(_components(spark, docs, gram, percent).where("n_shingles > 0"))
+    rows = found.groupBy("doc_id", "key").agg(F.first("component_id").alias("component_id"), F.first("kept_key").alias("kept_key"), F.count(F.lit(1)).alias("n"))
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("kept_key"))
+    decided = stage(rows.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), stays.alias("_stays"), "n").where("not _stays or n > 1"))
+    again = decided.where("_stays").select("_id", "_key")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.unhex(F.md5(_lower().cast("binary"))) == F.col("_key"))
+    kept = docs.join(decided, same, "left_anti")
+    return kept if again.isEmpty() else kept.union(docs.join(again, same).dropDuplicates(["_id", "_key"]).select(*docs.columns))

@@ -381,3 +381,15 @@ def test_head_without_end_tag(spark):
     pages = [h.format(body) for h in heads for body in ("<body><p>Some text.</p></body></html>", "<p>Some text.")]
     assert main_texts(spark, [(f"h{i}", html) for i, html in enumerate(pages)]) == ["Some text."] * len(pages)
     assert site_style_tree.PageTree().read("<head><title>T</title></head><p>Some text.").blocks[0][1] == "Some text."
+
+
+def test_keep_one_with_repeated_and_null_ids(spark):
+    text = {k: " ".join(f"{k}{j}" for j in range(60)) for k in "abcd"}
+    near = {k: t + " end" for k, t in text.items()}
+    rows = [(1, text["a"]), (2, near["a"]), (2, text["b"]), (3, near["b"]), (None, text["c"]), (None, near["c"]), (None, near["c"]), (1, near["d"]), (None, text["d"])]
+    rows += [(1, near["a"]), (9, None), (9, ""), (None, "")]
+    kept = [(r.doc_id, r.text) for r in jaccard_join.keep_one(spark, frame(spark, rows)).collect()]
+    c = [t for i, t in kept if i is None and t and t.startswith("c")]
+    a = [t for i, t in kept if t in (text["a"], near["a"])]
+    assert len(c) == 1 and len(a) == 1 and len(kept) == 7
+    assert {(2, text["b"]), (1, near["d"]), (9, None), (9, ""), (None, "")} <= set(kept)
