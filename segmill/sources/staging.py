@@ -4,24 +4,47 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Fixed value: buckets that Spark allows for a table.
+MOST_BUCKETS = 100_000
 
 
 def work_dir(spark: SparkSession) -> str:
     """A fresh path in the folder that all executors share (spark.checkpoint.dir).
 
-    Only where the setting is absent (tests in one JVM) a temporary folder takes its place.
+    Where the setting is absent, a session in one JVM (as in tests) gets a temporary folder; on a
+    cluster that would be a folder of each machine's own, so it raises.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="segmill-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/segmill-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _cleaned(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside are removed when these end."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back.
 
@@ -30,17 +53,32 @@ def stage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_dir(spark)
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with _cleaned(spark):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_bucketed(df: DataFrame, column: str, buckets: int) -> DataFrame:
+    """stage() as a table bucketed by a column: a join on this column leaves its rows where they are.
+
+    Only the other side of such a join is shuffled, so wide rows (texts) are written once and never
+    travel again.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark)
+    name = path.rpartition("/")[2].replace("-", "_")
+    with _cleaned(spark):
+        df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, column).saveAsTable(name)
+    return spark.table(name)
+
+
+def bucket_homes(spark: SparkSession, buckets: int) -> list[int]:
+    """For each of the buckets a number that bucketing puts there: rows that carry it share that bucket."""
+    tries = buckets * (buckets.bit_length() + 20)
+    found = spark.range(tries).groupBy(F.pmod(F.hash("id"), F.lit(buckets)).alias("bucket")).agg(F.min("id").alias("id")).collect()  # a row a bucket
+    at = {r.bucket: r.id for r in found}
+    return [at.get(k, k) for k in range(buckets)]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
