@@ -36,6 +36,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def binary_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """text_bytes() of a binary column."""
+    return text_bytes(as_array(column).cast(pa.large_binary()).view(pa.large_string()))
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices start, start + 1, ... for every (start, length), joined."""
     lengths = np.asarray(lengths, np.int64)

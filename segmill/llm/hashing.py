@@ -1,11 +1,18 @@
-"""Rolling polynomial hashes modulo 2^64 over arrays, for all positions at once."""
+"""Rolling polynomial hashes modulo 2^64 over arrays, for all positions at once.
+
+Arrays are worked through in stretches, so memory beyond the result does not grow with a text.
+"""
 
 from __future__ import annotations
 
 import numpy as np
 
+from segmill.llm.common import ragged
+
 #: Odd multipliers of the polynomials over bytes and over words.
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+#: Values that are hashed at once.
+STRETCH = 1 << 18
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -49,8 +56,27 @@ def spans(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) ->
 
 def rolling(values: np.ndarray, size: int, base: int) -> np.ndarray:
     """Hashes of all windows of size values (n - size + 1 of them)."""
-    if len(values) < size:
+    number = len(values) - size + 1
+    if number <= 0:
         return np.empty(0, np.uint64)
-    sums = prefix(values, base)
-    _, inverse = _powers(base, len(sums))
-    return mix((sums[size:] - sums[:-size]) * inverse[: len(values) - size + 1])
+    out = np.empty(number, np.uint64)
+    for a in range(0, number, STRETCH):
+        b = min(number, a + STRETCH)
+        sums = prefix(values[a : b + size - 1], base)
+        _, inverse = _powers(base, len(sums))
+        out[a:b] = mix((sums[size:] - sums[:-size]) * inverse[: b - a] + np.uint64(size))
+    return out
+
+
+def of_spans(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, base: int) -> np.ndarray:
+    """Hashes of data[start : start + size] for spans anywhere, overlapping or not."""
+    out = np.empty(len(starts), np.uint64)
+    ends = np.cumsum(sizes)
+    a = 0
+    while a < len(starts):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + STRETCH, side="right")))
+        begin = np.concatenate([[0], np.cumsum(sizes[a:b])])
+        sums = prefix(data[ragged(starts[a:b], sizes[a:b])], base)
+        out[a:b] = spans(sums, begin[:-1], begin[1:], base)
+        a = b
+    return out

@@ -3,19 +3,22 @@
 A document is its set of distinct word n-grams. The global n-gram order is by frequency (unique ones
 first, then classes of twice the frequency, then hash). With similarity t, two sets that link share
 an n-gram among the first n - ceil(t n) + 1 of each, so only these prefixes meet. The order is cut
-into fragments by hash; a pair's overlap is counted in each fragment separately and summed.
+into fragments that hold about equal shares of all n-grams; a pair's overlap is counted in each
+fragment separately and summed.
 
 What the result needs is who is connected, so members of a prefix n-gram are not paired with each
 other: each is paired with one pivot, the member with the smallest share of unique n-grams (in a group of edited
 copies, the original). What links becomes one component; pairs inside one are settled. After two
 rounds of pivots every pair that still lies across components is tested, so no link is lost.
 
-Frequencies come from packed hashes per batch and bucket, as in window_dedup. A text and its exact
-copies are one member throughout. Nothing is capped: a hot n-gram stands last in the order.
+Frequencies come from packed hashes per part and bucket (see parts). A text and its exact copies are
+one member throughout: only the first copy sends n-grams, and a part hears of a copied text once,
+however many rows have it. Nothing is capped: a hot n-gram stands last in the order.
 
 Cases: null or blank text has an empty set and links with nothing; with fewer words than n the whole
 sequence is one n-gram; a null doc_id is no component's id (null if it is alone); repeated rows
-share their component; an empty table gives no row; other columns are ignored.
+share their component; a text of any length is hashed in stretches; an empty table gives no row;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,17 +34,17 @@ from pyspark.sql import types as T
 from segmill.llm import hashing
 from segmill.llm.common import configure, ragged, stage
 from segmill.llm.components import components
-from segmill.llm.parts import bucket_number, bucket_of, by_bucket, keyed, parts_of, stage_parts
+from segmill.llm.parts import LATER, PART_TEXT, Part, ask, ask_copies, bucket_number, heard, heard_copies, keyed, parts_of, stage_parts, tell, text_size
 from segmill.llm.words import words_of
 
 GRAM, PERCENT, FRAGMENTS, PIVOT_ROUNDS = 3, 90, 4, 2
 
-_PACKED = T.StructType().add("bucket", T.LongType()).add("part", T.LongType()).add("keys", T.BinaryType()).add("counts", T.BinaryType()).add("hashes", T.BinaryType())
-_ANSWER = T.StructType().add("part", T.LongType()).add("bucket", T.LongType()).add("classes", T.BinaryType())
 _SETS = (
-    T.StructType().add("doc_id", T.LongType()).add("key", T.BinaryType()).add("n", T.LongType()).add("cid", T.LongType())
+    T.StructType().add("key", T.BinaryType()).add("doc_ids", T.ArrayType(T.LongType())).add("n", T.LongType()).add("cid", T.LongType())
     .add("alone", T.LongType()).add("prefix", T.ArrayType(T.LongType())).add("fragments", T.ArrayType(T.ArrayType(T.LongType())))
 )
+#: An n-gram's place in the global order: its class in the upper byte, its hash below.
+_CLASS_BITS = 56
 
 
 def keyed_lower(docs: DataFrame) -> DataFrame:
@@ -74,93 +77,60 @@ def gram_sets(column: pa.Array, gram: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes[new], np.searchsorted(text[new], np.arange(len(counts) + 1))
 
 
-def _first_of(keys: list[bytes]) -> np.ndarray:
-    """Rows of the first text of each key."""
-    return np.fromiter(sorted({k: i for i, k in reversed(list(enumerate(keys)))}.values()), np.int64)
+def _members(p: Part, buckets: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(rows and numbers of distinct(), those that are no later copies, their n-grams and cuts)."""
+    rows, text, state = heard_copies(p, p.rest[0], buckets)
+    first = np.flatnonzero(state != LATER)
+    return rows, text, first, *gram_sets(p.texts.take(pa.array(rows[first])), gram)
 
 
-def pack_sets(parts: DataFrame, gram: int, buckets: int) -> DataFrame:
-    """For each part and bucket: its texts there, how many n-grams each has, and their hashes."""
+def order_cuts(answers: DataFrame, fragments: int) -> np.ndarray:
+    """Cuts of the global order into fragments of about equal numbers of n-grams that texts share."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for p in parts_of(batches):
-            keys = p.keys.to_pylist()
-            rows = _first_of(keys)  # a text and its copies are one member
-            hashes, cuts = gram_sets(p.texts.take(pa.array(rows)), gram)
-            if not len(hashes):
-                continue
-            doc = np.repeat(np.arange(len(rows)), np.diff(cuts))
-            order, found, bounds = by_bucket(hashes, buckets)
-            out = {name: [] for name in _PACKED.names}
-            for i, b in enumerate(found.tolist()):
-                own = order[bounds[i] : bounds[i + 1]]
-                who, at = np.unique(doc[own], return_index=True)
-                out["bucket"].append(b)
-                out["part"].append(p.part)
-                out["keys"].append(b"".join(keys[rows[j]] for j in who.tolist()))
-                out["counts"].append(np.diff(at, append=len(own)).astype("<i4").tobytes())
-                out["hashes"].append(hashes[own].tobytes())
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(n, pa.int64() if n in ("bucket", "part") else pa.binary()) for n in _PACKED.names]))
-
-    return parts.mapInArrow(run, _PACKED)
-
-
-def frequency_classes(table: pa.Table) -> pa.Table:
-    """For each part in this bucket: a byte per n-gram, 0 if no other text has it, else 1 + log2 of how many do."""
-    lists = {c: table[c].to_pylist() for c in _PACKED.names}
-    keys = np.frombuffer(b"".join(lists["keys"]), "V16")
-    counts = np.frombuffer(b"".join(lists["counts"]), "<i4").astype(np.int64)
-    hashes = np.frombuffer(b"".join(lists["hashes"]), np.uint64)
-    new = np.zeros(len(keys), bool)
-    new[np.unique(keys, return_index=True)[1]] = True  # copies in other parts do not count again
-    order = np.argsort(hashes)
-    ranked = hashes[order]
-    first = np.ones(len(ranked), bool)
-    first[1:] = ranked[1:] != ranked[:-1]
-    starts = np.flatnonzero(first)
-    held = np.add.reduceat(np.repeat(new, counts)[order].astype(np.int64), starts) if len(starts) else np.empty(0, np.int64)
-    classes = np.zeros(len(ranked), np.uint8)
-    classes[order] = np.repeat(np.where(held > 1, 1 + np.log2(np.maximum(held, 1)), 0).astype(np.uint8), np.diff(starts, append=len(ranked)))
-    ends = np.cumsum([0, *(len(h) // 8 for h in lists["hashes"])])
-    rows = [(p, b, classes[i:j].tobytes()) for p, b, i, j in zip(lists["part"], lists["bucket"], ends, ends[1:], strict=False) if classes[i:j].any()]
-    columns = list(zip(*rows, strict=True)) or [(), (), ()]
-    return pa.table({n: pa.array(c, k) for n, c, k in zip(_ANSWER.names, columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)})
-
-
-def order_sets(parts: DataFrame, gram: int, percent: int, buckets: int, fragments: int) -> DataFrame:
-    """Every document's set size; for the first of each text in a part, if it can link, its prefix and fragments."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = b"".join(a["flags"] for said in batch.column(0).to_pylist() for a in said)
+            number = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(number)], names=["class", "n"])
+
+    counts = answers.select("said").mapInArrow(count, "class long, n long").where("class > 0 and n > 0").groupBy("class").agg(F.sum("n").alias("n"))
+    classes = sorted(tuple(r) for r in counts.collect())  # at most 64 rows
+    total, before, cuts = sum(n for _, n in classes), 0, []
+    for c, n in classes:
+        while len(cuts) < fragments - 1 and (want := total * (len(cuts) + 1) / fragments) <= before + n:
+            cuts.append((c << _CLASS_BITS) + int((want - before) / n * ((1 << _CLASS_BITS) - 1)))
+        before += n
+    return np.array(cuts, np.uint64)
+
+
+def order_sets(parts: DataFrame, gram: int, percent: int, copy_buckets: int, buckets: int, cuts: np.ndarray) -> DataFrame:
+    """A row per part and distinct text: key, doc_ids; if no earlier copy stands elsewhere, the set's size and, if it can link, prefix and fragments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in parts_of(batches):
-            keys = p.keys.to_pylist()
-            rows = _first_of(keys)
-            hashes, cuts = gram_sets(p.texts.take(pa.array(rows)), gram)
-            classes = np.zeros(len(hashes), np.uint8)
-            order, found, bounds = by_bucket(hashes, buckets)
-            at = {b: i for i, b in enumerate(found.tolist())}
-            for a in p.rest[0] or ():
-                i = at[a["bucket"]]
-                classes[order[bounds[i] : bounds[i + 1]]] = np.frombuffer(a["classes"], np.uint8)
-            size = dict(zip((keys[i] for i in rows.tolist()), np.diff(cuts).tolist(), strict=True))
-            place = {i: j for j, i in enumerate(rows.tolist())}
-            out = {name: [] for name in _SETS.names}
-            for i, (doc_id, key) in enumerate(zip(p.doc_ids.to_pylist(), keys, strict=True)):
-                n = size[key]
-                row = [doc_id, key, n, None, None, None, None]
+            rows, text, first, hashes, bounds = _members(p, copy_buckets, gram)
+            classes = heard(hashes, p.rest[1], buckets)
+            keys, by_text = p.keys.to_pylist(), np.argsort(text, kind="stable")
+            ids = pa.ListArray.from_arrays(pa.array(np.searchsorted(text[by_text], np.arange(len(rows) + 1)), pa.int32()), p.doc_ids.take(pa.array(by_text)))
+            out = {name: [None] * len(rows) for name in _SETS.names if name != "doc_ids"}
+            out["key"] = [keys[i] for i in rows.tolist()]
+            for j, i in enumerate(first.tolist()):
+                own, kind = hashes[bounds[j] : bounds[j + 1]], classes[bounds[j] : bounds[j + 1]]
+                n = out["n"][i] = len(own)
                 prefix = n - -(-percent * n // 100) + 1
-                if n and (j := place.get(i)) is not None:
-                    own, kind = hashes[cuts[j] : cuts[j + 1]], classes[cuts[j] : cuts[j + 1]]
-                    shared = np.flatnonzero(kind)
-                    alone = n - len(shared)
-                    if alone < prefix:
-                        early = shared[np.argsort(kind[shared], kind="stable")][: prefix - alone]
-                        held = own[shared]  # sorted, and so are its fragments
-                        cut = np.searchsorted(bucket_of(held, fragments), np.arange(fragments + 1))
-                        row[3:] = [(p.part << 22) + i, alone, own[early].view(np.int64), [held[a:b].view(np.int64) for a, b in zip(cut, cut[1:], strict=False)]]
-                for name, value in zip(_SETS.names, row, strict=True):
-                    out[name].append(value)
+                shared = np.flatnonzero(kind)
+                alone = n - len(shared)
+                if n and alone < prefix:
+                    place = (kind[shared].astype(np.uint64) << np.uint64(_CLASS_BITS)) | (own[shared] >> np.uint64(64 - _CLASS_BITS))
+                    order = np.argsort(place, kind="stable")
+                    held = own[shared][order]  # in the global order, and so are its fragments
+                    cut = [0, *np.searchsorted(place[order], cuts).tolist(), len(held)]
+                    out["cid"][i], out["alone"][i] = (p.part << 22) + int(rows[i]), alone
+                    out["prefix"][i] = held[: prefix - alone].view(np.int64)
+                    out["fragments"][i] = [held[a:b].view(np.int64) for a, b in zip(cut, cut[1:], strict=False)]
             kinds = {"key": pa.binary(), "prefix": pa.list_(pa.int64()), "fragments": pa.list_(pa.list_(pa.int64()))}
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(n, kinds.get(n, pa.int64())) for n in _SETS.names]))
+            columns = [ids if n == "doc_ids" else pa.array(out[n], kinds.get(n, pa.int64())) for n in _SETS.names]
+            yield pa.RecordBatch.from_arrays(columns, names=_SETS.names)
 
     return parts.mapInArrow(run, _SETS)
 
@@ -235,29 +205,30 @@ def link_sets(sets: DataFrame, percent: int, pivot_rounds: int = PIVOT_ROUNDS) -
     return links
 
 
-def jaccard_components(spark: SparkSession, docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, fragments: int = FRAGMENTS, buckets: int | None = None) -> DataFrame:
+def jaccard_components(spark: SparkSession, docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, fragments: int = FRAGMENTS, buckets: int | None = None, part_text: int = PART_TEXT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, key (of its text, ignoring case)."""
-    return _components(spark, docs, gram, percent, fragments, buckets).drop("kept_key")
+    return _components(spark, docs, gram, percent, fragments, buckets, part_text).drop("kept_key")
 
 
-def _components(spark: SparkSession, docs: DataFrame, gram: int, percent: int, fragments: int = FRAGMENTS, buckets: int | None = None) -> DataFrame:
+def _components(spark: SparkSession, docs: DataFrame, gram: int, percent: int, fragments: int = FRAGMENTS, buckets: int | None = None, part_text: int = PART_TEXT) -> DataFrame:
     """jaccard_components() with kept_key: the component's text of smallest (doc_id, key), null doc_ids last."""
     configure(spark)
-    buckets = buckets or bucket_number(docs)
-    parts = stage_parts(keyed_lower(docs))
-    answers = pack_sets(parts, gram, buckets).groupBy("bucket").applyInArrow(frequency_classes, _ANSWER)
-    answers = stage(answers.groupBy("part").agg(F.collect_list(F.struct("bucket", "classes")).alias("answers")))
-    every = stage(order_sets(parts.join(answers, "part", "left"), gram, percent, buckets, fragments))
-    members = stage(every.where("cid is not null").groupBy("key").agg(F.min("cid").alias("cid")))
-    sets = stage(every.where("cid is not null").select("cid", "n", "alone", "prefix", "fragments").join(members.select("cid"), "cid", "left_semi"))
+    size = text_size(docs)
+    buckets, copy_buckets = buckets or bucket_number(size), bucket_number(size)
+    parts = stage_parts(keyed_lower(docs), size, part_text)
+    parts = tell(parts, ask_copies(parts, copy_buckets), "copies")
+    answers = ask(parts, lambda p: _members(p, copy_buckets, gram)[3], buckets)
+    every = stage(order_sets(tell(parts, answers, "answers"), gram, percent, copy_buckets, buckets, order_cuts(answers, fragments)))
+    sets = every.where("cid is not null").select("cid", "n", "alone", "prefix", "fragments")
     labels = components(link_sets(sets, percent))
-    firsts = every.groupBy("key").agg(F.min("doc_id").alias("first_id"))
-    linked = members.join(labels, F.col("cid") == F.col("node")).join(firsts, "key").select("key", "comp", "first_id")
+    texts = every.groupBy("key").agg(F.min(F.array_min("doc_ids")).alias("first_id"), F.max("n").alias("n"), F.max("cid").alias("cid"))
+    texts = stage(texts.join(labels, F.col("cid") == F.col("node"), "left").select("key", "first_id", "n", "comp"))
+    linked = texts.where("comp is not null")
     least = linked.groupBy("comp").agg(F.min("first_id").alias("component_id"), F.min_by("key", F.struct(F.col("first_id").isNull(), "first_id", "key")).alias("kept_key"))
-    of_key = linked.select("key", "comp").join(least, "comp").select("key", F.col("component_id").alias("linked_id"), "kept_key")
-    rows = every.select("doc_id", "key", F.col("n").alias("n_shingles")).join(firsts, "key").join(of_key, "key", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("linked_id", "first_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"), "key", F.coalesce("kept_key", "key").alias("kept_key"))
+    component = F.when(F.col("comp").isNull(), F.col("first_id")).otherwise(F.col("component_id"))
+    of_text = texts.join(least, "comp", "left").select("key", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce("kept_key", "key").alias("kept_key"))
+    rows = every.select("key", "doc_ids").join(of_text, "key").select(F.explode("doc_ids").alias("doc_id"), "n_shingles", "component_id", "key", "kept_key")
+    return rows.withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, gram: int = 5, percent: int = 80) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from segmill.llm import hashing
 from segmill.llm.common import configure, ragged, stage
-from segmill.llm.parts import ask, bucket_number, heard, keyed, parts_of, stage_parts
+from segmill.llm.parts import PART_TEXT, ask, bucket_number, heard, keyed, parts_of, stage_parts, tell, text_size
 from segmill.llm.words import Words, words_of
 
 WINDOW = 35
@@ -56,7 +56,7 @@ def remove_windows(parts: DataFrame, window: int, buckets: int, with_text: bool
         for p in parts_of(batches):
             words = words_of(p.texts)
             hashes, first = window_hashes(words, window)
-            at = first[heard(hashes, p.rest[0], buckets)]
+            at = first[heard(hashes, p.rest[0], buckets) > 0]
             change = np.zeros(len(words.starts) + 1, np.int32)
             change[at] += 1
             np.subtract.at(change, at + window, 1)
@@ -75,10 +75,11 @@ def remove_windows(parts: DataFrame, window: int, buckets: int, with_text: bool
     return parts.mapInArrow(run, schema)
 
 
-def window_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW, buckets: int | None = None, with_text: bool = False) -> DataFrame:
+def window_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW, buckets: int | None = None, part_text: int = PART_TEXT, with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, n_spans, kept_sha256 (and kept_text)."""
     configure(spark)
-    buckets = buckets or bucket_number(docs)
-    parts = stage_parts(keyed(docs))
-    answers = stage(ask(parts, lambda texts: window_hashes(words_of(texts), window)[0], buckets))
-    return remove_windows(parts.join(answers, "part", "left"), window, buckets, with_text)
+    size = text_size(docs)
+    buckets = buckets or bucket_number(size)
+    parts = stage_parts(keyed(docs), size, part_text)
+    answers = ask(parts, lambda p: window_hashes(words_of(p.texts), window)[0], buckets)
+    return remove_windows(tell(parts, answers, "answers"), window, buckets, with_text)

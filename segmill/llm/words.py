@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 from segmill.llm import hashing
 from segmill.llm.common import text_bytes
@@ -30,8 +31,19 @@ class Words:
         return np.diff(self.cuts)
 
     def hashes(self) -> np.ndarray:
-        sums = hashing.prefix(self.data, hashing.BYTE_BASE)
-        return hashing.spans(sums, self.starts, self.ends, hashing.BYTE_BASE)
+        """A hash of each word, in stretches of the text; a very long word has a hash of its own kind."""
+        out, sizes = np.empty(len(self.starts), np.uint64), self.ends - self.starts
+        a = 0
+        while a < len(out):
+            b = max(a + 1, int(np.searchsorted(self.ends, self.starts[a] + hashing.STRETCH, side="right")))
+            if sizes[a] <= hashing.STRETCH:
+                low = self.starts[a]
+                sums = hashing.prefix(self.data[low : self.ends[b - 1]], hashing.BYTE_BASE)
+                out[a:b] = hashing.spans(sums, self.starts[a:b] - low, self.ends[a:b] - low, hashing.BYTE_BASE)
+            else:
+                out[a] = xxhash.xxh64_intdigest(self.data[self.starts[a] : self.ends[a]])
+            a = b
+        return out
 
 
 def words_of(column: pa.Array, lower: bool = False) -> Words:

@@ -14,7 +14,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from segmill.llm import exact_dedup, jaccard_join, langid, license_scan, packing, site_style_tree, string_tiling, suffix_dedup, token_binary, tokens, window_dedup
+from segmill.llm.common import text_bytes
 from segmill.llm.components import components
+from segmill.llm.words import words_of
 from tests.llm import brute
 
 #: Names that operators use inside; as columns of the input they must not matter.
@@ -59,28 +61,73 @@ def rows_of(df, *columns):
 
 def test_suffix_dedup(spark):
     rows = corpus()
-    for length, gram in ((100, 24), (30, 8)):
-        got = suffix_dedup.suffix_dedup(spark, frame(spark, rows), length=length, gram=gram, buckets=5)
+    for length, gram, more in ((100, 24, {}), (30, 8, dict(buckets=5)), (30, 8, dict(buckets=3, part_text=400, hot=2)), (100, 24, dict(part_text=3000, hot=3))):
+        got = suffix_dedup.suffix_dedup(spark, frame(spark, rows), length=length, gram=gram, **more)
         assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(brute.suffix_dedup(rows, length), key=repr)
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.binary(min_size=40, max_size=400), st.integers(0, 2**30))
-def test_deep_shallow_sorts(data, seed):
-    rng = random.Random(seed)
-    data = bytes(b % 3 for b in data)
-    starts = np.array([rng.randrange(len(data) - 20) for _ in range(60)])
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 40), st.integers(1, 3), st.integers(0, 2**30))
+def test_deep_shallow_sorts(n, words, seed):
+    rng = np.random.default_rng(seed)
+    rows, group = rng.integers(0, 3, (n, 8 * words)).astype(np.uint8), rng.integers(0, 3, n)
+    rows[rng.integers(0, max(n, 1), n // 2) if n else []] = rows[:1]
     for shallow in (0, 8, 16):
-        order, classes = suffix_dedup.deep_shallow(data, starts, 20, shallow)
-        strings = [data[s : s + 20] for s in starts[order]]
-        assert strings == sorted(strings) and sorted(order.tolist()) == list(range(60))
-        assert all((a == b) == (x == y) for a, b, x, y in zip(strings, strings[1:], classes, classes[1:], strict=False))
+        strings = [(group[i], rows[i].tobytes()) for i in suffix_dedup.deep_shallow(rows, group, shallow)]
+        assert strings == sorted(strings) and len(strings) == n
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**30), st.integers(2, 5))
+def test_repeated_strings_at_one_anchor(seed, letters):
+    """Places of some anchors, each in random bytes (zeros among them): strings against a set of those seen."""
+    rng, length, gram = random.Random(seed), 12, 4
+    raw, group, at, back, strings, expected, seen = b"", [], [], [], [], [], set()
+    for _ in range(40):
+        own = rng.randrange(2)
+        b = rng.randint(0, length - gram)
+        n = rng.randint(1, b + 1)
+        whole = bytes(rng.randrange(letters) for _ in range(b)) + bytes([own] * gram) + bytes(rng.randrange(letters) for _ in range(length + n - 1 - b - gram))
+        group, at, back, strings, raw = [*group, own], [*at, len(raw) + b], [*back, b], [*strings, n], raw + whole
+        for j in range(n):
+            key = (own, b - j, whole[j : j + length])
+            expected.append(key in seen)
+            seen.add(key)
+    flags = suffix_dedup.repeated_strings(np.frombuffer(raw, np.uint8), *map(np.array, (group, at, back, strings)), length, gram, 8)
+    assert [bool(x) for f, n in zip(flags, strings, strict=True) for x in f[:n]] == expected
+
+
+def test_anchors_do_not_depend_on_stretches(monkeypatch):
+    data, offsets = np.random.default_rng(1).integers(0, 4, 9000).astype(np.uint8), np.array([0, 50, 50, 3000, 3099, 3199, 9000])
+    whole = suffix_dedup.anchors_of(data, offsets, 100, 24)
+    monkeypatch.setattr(suffix_dedup, "_STRINGS", 777)
+    assert all((x == y).all() for x, y in zip(vars(whole).values(), vars(suffix_dedup.anchors_of(data, offsets, 100, 24)).values(), strict=True))
+
+
+def test_long_texts_need_little_beside_themselves():
+    """Peak of what a worker holds for one text of 50 MB, as a multiple of the text."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    text = (b"word " * 3 + b"other words and more of them 12345 ") * (1 << 20)
+    column = pa.array([text.decode()], pa.large_string())
+    for work, most in (
+        (lambda: suffix_dedup.anchors_of(*text_bytes(column), 100, 24), 12),
+        (lambda: window_dedup.window_hashes(words_of(column), 35), 16),
+        (lambda: words_of(column).hashes(), 12),
+    ):
+        tracemalloc.start()
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most * len(text)
 
 
 def test_window_dedup(spark):
     rows = corpus()
-    for window in (35, 4):
-        got = window_dedup.window_dedup(spark, frame(spark, rows), window=window, buckets=4)
+    for window, part_text in ((35, 4 << 20), (4, 4 << 20), (4, 500)):
+        got = window_dedup.window_dedup(spark, frame(spark, rows), window=window, buckets=4, part_text=part_text)
         assert rows_of(got, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(brute.window_dedup(rows, window), key=repr)
     text = rows_of(window_dedup.window_dedup(spark, frame(spark, rows), with_text=True), "kept_text", "kept_sha256")
     assert all(hashlib.sha256(t.encode()).hexdigest() == s for t, s in text)
@@ -89,7 +136,7 @@ def test_window_dedup(spark):
 @pytest.mark.parametrize(("gram", "percent"), [(3, 90), (5, 80), (1, 50)])
 def test_jaccard_components(spark, gram, percent):
     rows = corpus()
-    got = jaccard_join.jaccard_components(spark, frame(spark, rows), gram, percent, buckets=3)
+    got = jaccard_join.jaccard_components(spark, frame(spark, rows), gram, percent, buckets=3, part_text=2000)
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_components(rows, gram, percent), key=repr)
 
 
