@@ -89,7 +89,8 @@ def anchors_of(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
         new = np.ones(len(strings), bool)
         new[1:] = (owner[1:] != owner[:-1]) | (text[1:] != text[:-1])
         first = np.flatnonzero(new)
-        found.append((hashes[owner[first]], strings[first] + low, np.diff(first, append=len(strings)), owner[first] + low, text[first]))
+        # an anchor's hash is a least one, so small: mixed, anchors spread evenly over buckets
+        found.append((hashing.mix(hashes[owner[first]]), strings[first] + low, np.diff(first, append=len(strings)), owner[first] + low, text[first]))
     if not found:
         return Places(np.empty(0, np.uint64), *(np.empty(0, np.int64) for _ in range(4)))
     places = Places(*(np.concatenate(x) for x in zip(*found, strict=True)))
