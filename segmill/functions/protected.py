@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from segmill.functions.text import Tokenizer, ends_of, lengths, tokens
+
 #: Strings that no cut may split.
 PROTECTED = (
     "<｜begin▁of▁sentence｜>",
@@ -27,21 +29,30 @@ PROTECTED = (
 )
 
 
+def quoted(text: str) -> str:
+    """A pattern, as Java and RE2 read it, of the text itself."""
+    return re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", text)
+
+
+def count_protected(text: Column, strings: Sequence[str] = PROTECTED) -> Column:
+    """How often protected strings occur (those of the default list cannot overlap)."""
+    return F.regexp_count(text, F.lit("|".join(quoted(t) for t in strings))).cast("long")
+
+
 def protected_spans(text: Column, strings: Sequence[str] = PROTECTED) -> Column:
     """Sorted array of (start, end, token); hits of one string never overlap, those of two may.
 
-    A string's places follow from the lengths of the pieces between its hits, so the text is read
-    once per string and never cut by position.
+    A string's places follow from running sums of the lengths of the pieces between its hits, so the
+    text is read once per string and never cut by position.
     """
     if not all(strings):
         raise ValueError("a protected string must not be empty")
 
     def of(token: str) -> Column:
-        sizes = F.transform(F.split(text, re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", token), -1), lambda p: F.length(p))
-        hits = F.sequence(F.lit(1), F.size(sizes) - 1)
-        place = lambda k: F.aggregate(F.slice(sizes, F.lit(1), k), F.lit(0), lambda a, x: a + x) + (k - 1) * len(token)
-        spans = F.transform(hits, lambda k: F.struct(place(k).alias("start"), (place(k) + len(token)).alias("end"), F.lit(token).alias("token")))
-        return F.when(F.size(sizes) > 1, spans).otherwise(F.array().cast("array<struct<start:int,end:int,token:string>>"))
+        ends = ends_of(lengths(F.split(text, quoted(token), -1)))  # of the pieces, without the hits between them
+        hits = F.slice(ends, F.lit(1), F.size(ends) - 1)
+        start = lambda e, k: e + k * len(token)
+        return F.transform(hits, lambda e, k: F.struct(start(e, k).alias("start"), (start(e, k) + len(token)).alias("end"), F.lit(token).alias("token")))
 
     return F.array_sort(F.flatten(F.array(*[of(t) for t in strings])))
 
@@ -50,3 +61,11 @@ def is_cuttable(token: Column, start: Column, end: Column, spans: Column, specia
     """Not special, not empty, and no overlap with a protected span (touching one is fine)."""
     clear = ~F.exists(spans, lambda s: (end > s["start"]) & (start < s["end"]))
     return (end > start) & clear & (~token.isin(*special) if special else F.lit(True))
+
+
+def cuttable_rows(rows: DataFrame, key: str, text: str, special: Sequence[str] = (), tokenizer: Tokenizer = tokens) -> DataFrame:
+    """(key, idx, cuttable) of every token; a text's spans are compared in its own row, not joined to its tokens."""
+    listed = rows.select(key, tokenizer(F.col(text)).alias("token"), protected_spans(F.col(text)).alias("spans"))
+    listed = listed.select(key, "spans", F.arrays_zip("token", ends_of(lengths(F.col("token"))).alias("end")).alias("at"))
+    flags = F.transform("at", lambda t: is_cuttable(t["token"], t["end"] - F.length(t["token"]), t["end"], F.col("spans"), special))
+    return listed.select(key, F.posexplode(flags).alias("idx", "cuttable")).withColumn("idx", F.col("idx").cast("long"))

@@ -1,7 +1,16 @@
-"""Columns over text: white space, paragraphs, tokens, words and segments. All native, no shuffle."""
+"""Columns over text: white space, paragraphs, tokens, words and segments, without a shuffle.
+
+All are native but one: running sums inside an array, which Spark's folds would copy at each step,
+take one small Arrow function over the lengths alone.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +23,10 @@ TOKEN_PATTERN = r"(?s) ?\p{L}{1,4}| ?\p{N}{1,3}|\s+|."
 FORMULA = rf"^[A-Za-z0-9]+(?:{SPACE}*[-+*/=<>^%:]+{SPACE}*[A-Za-z0-9]+)+$"
 #: Connectors inside a word: the first of a run between letters or digits, and those that follow it.
 CONNECTED = rf"(?<={ALNUM})[_-](?=[_-]*+{ALNUM})|\G(?<=[_-])[_-]"
-#: Characters on each side of a cut that the queries' SQL reads.
-CONTEXT = 32
+#: Characters between which a cut is free (unified ideographs).
+CJK = r"[\x{4e00}-\x{9fff}]"
+#: A tokenizer: from a text column to an array column of its tokens, which joined are the text.
+Tokenizer = Callable[[Column], Column]
 
 
 def strip(text: Column) -> Column:
@@ -36,21 +47,50 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0)
 
 
-def token_rows(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, idx, token, start, end): code points, half-open; one row per token."""
-    from pyspark.sql.window import Window
+def _running_sums(lists: pa.Array) -> pa.Array:
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    cuts = np.concatenate([[0], np.cumsum(sizes)])
+    sums = np.concatenate([[0], np.cumsum(lists.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)])
+    own = sums[1:] - np.repeat(sums[cuts[:-1]], sizes)
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(own), mask=lists.is_null())
+
 
-    exploded = rows.select(key, F.posexplode(tokens(F.col(text))).alias("idx", "token"))
-    before = Window.partitionBy(key).orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.length("token")).over(before)
-    return exploded.withColumn("end", end).select(key, F.col("idx").cast("long").alias("idx"), "token", (F.col("end") - F.length("token")).alias("start"), "end")
+def ends_of(lengths: Column) -> Column:
+    """Where each of consecutive pieces ends, from the array of their lengths; null stays null."""
+    return F.arrow_udf(_running_sums, "array<bigint>")(lengths)
 
 
-def inside_word(left: Column, right: Column, cut: Column, length: Column) -> Column:
-    """Whether a cut lies inside a word, from the characters before and after it."""
-    cjk = left.rlike(r"[\x{4e00}-\x{9fff}]$") & right.rlike(r"^[\x{4e00}-\x{9fff}]")
-    joined = left.rlike(rf"{ALNUM}[_-]*$") & right.rlike(rf"^[_-]*{ALNUM}")
-    return (cut > 0) & (cut < length) & joined & ~cjk
+def lengths(pieces: Column) -> Column:
+    return F.transform(pieces, lambda x: F.length(x))
+
+
+def token_rows(rows: DataFrame, key: str, text: str, tokenizer: Tokenizer = tokens) -> DataFrame:
+    """(key, idx, token, start, end): code points, half-open; one row per token."""
+    listed = rows.select(key, tokenizer(F.col(text)).alias("token"))
+    zipped = listed.select(key, F.posexplode(F.arrays_zip("token", ends_of(lengths(F.col("token"))).alias("end"))).alias("idx", "t"))
+    return zipped.select(key, F.col("idx").cast("long").alias("idx"), "t.token", (F.col("t.end") - F.length("t.token")).alias("start"), "t.end")
+
+
+def inside_word(left: Column, right: Column) -> Column:
+    """Whether a cut between two texts lies inside a word."""
+    cjk = left.rlike(f"{CJK}$") & right.rlike(f"^{CJK}")
+    return left.rlike(rf"{ALNUM}[_-]*$") & right.rlike(rf"^[_-]*{ALNUM}") & ~cjk
+
+
+def inside_word_ends(rows: DataFrame, key: str, text: str, tokenizer: Tokenizer = tokens) -> DataFrame:
+    """(key, idx, end, inside) of every token: whether a cut after it lies inside a word.
+
+    A text becomes words and single characters; a cut is inside a word if neither of these ends
+    there, unless ideographs stand on both sides. Arrays are compared row by row, so no text is
+    joined to its tokens.
+    """
+    listed = rows.select(key, tokenizer(F.col(text)).alias("token"), F.regexp_extract_all(words_filled(F.col(text)), F.lit(f"{ALNUM}+|(?s:.)"), 0).alias("piece"))
+    ends = listed.select(key, "token", ends_of(lengths(F.col("token"))).alias("ends"), ends_of(lengths(F.col("piece"))).alias("free"))
+    marked = lambda found, inside: F.transform(found, lambda e: F.struct(e.alias("end"), F.lit(inside).alias("inside")))
+    flags = F.array_sort(F.concat(marked(F.array_except("ends", "free"), True), marked(F.array_intersect("ends", "free"), False)))
+    cjk = F.transform("token", lambda t, i: t.rlike(f"{CJK}$") & F.coalesce(F.get("token", i + 1).rlike(f"^{CJK}"), F.lit(False)))
+    zipped = ends.select(key, F.posexplode(F.arrays_zip(flags.alias("at"), cjk.alias("cjk"))).alias("idx", "c"))
+    return zipped.select(key, F.col("idx").cast("long").alias("idx"), F.col("c.at.end").alias("end"), (F.col("c.at.inside") & ~F.col("c.cjk")).alias("inside"))
 
 
 def words_filled(text: Column) -> Column:

@@ -16,7 +16,7 @@ PRESETS = {
 @dataclass(frozen=True)
 class SegmentConfig:
     mode: str = "threshold"
-    tau: float | None = None
+    tau: float | None = None  # threshold mode needs one when it runs; full_run() estimates it
     fixed_segment_tokens: int = 128
     random_min_tokens: int = 64
     random_max_tokens: int = 256
@@ -36,8 +36,6 @@ class SegmentConfig:
             raise ValueError(f"mode must be one of {MODES}, not {self.mode!r}")
         if self.long_policy not in ("window", "skip"):
             raise ValueError("long_policy must be 'window' or 'skip'")
-        if self.mode == "threshold" and self.tau is None:
-            raise ValueError("threshold mode needs a tau")
         for name in ("fixed_segment_tokens", "random_min_tokens", "random_max_tokens", "max_length", "min_step_tokens", "min_step_chars", "window"):
             if getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive")

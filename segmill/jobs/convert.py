@@ -2,55 +2,63 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segmill.functions.chat import is_usable
 from segmill.functions.scores import window_count
-from segmill.functions.text import tokens
+from segmill.functions.text import Tokenizer, lengths, tokens
 from segmill.jobs.config import SegmentConfig
-from segmill.operators.align import align, attach_scores
+from segmill.jobs.tau import QUANTILES, TAU_KEY, estimate_tau, pick_tau
+from segmill.operators.align import align, attach_scores, require_aligned
 from segmill.operators.segment import segment
 
 
-def flagged(samples: DataFrame, config: SegmentConfig) -> DataFrame:
-    """samples with usable, n_tokens, overlong, dropped (by policy), n_windows: all native, per row."""
-    n = F.when(is_usable(), F.size(tokens(F.col("gt_output")))).otherwise(0).cast("long")
-    rows = samples.withColumn("usable", is_usable()).withColumn("n_tokens", n)
+def flagged(samples: DataFrame, config: SegmentConfig, tokenizer: Tokenizer = tokens) -> DataFrame:
+    """samples with usable, token_lengths, n_tokens, overlong, dropped (by policy), n_windows: per row, without a shuffle."""
+    sizes = F.when(is_usable(), lengths(tokenizer(F.col("gt_output")))).otherwise(F.array().cast("array<int>"))
+    rows = samples.withColumn("usable", is_usable()).withColumn("token_lengths", sizes).withColumn("n_tokens", F.size("token_lengths").cast("long"))
     rows = rows.withColumn("overlong", F.col("n_tokens") > config.max_length)
     dropped = F.col("overlong") & F.lit(config.long_policy == "skip")
     return rows.withColumn("dropped", dropped).withColumn("n_windows", window_count(F.col("n_tokens"), config.window, config.stride))
 
 
-def convert(samples: DataFrame, config: SegmentConfig, scores: DataFrame | None = None) -> DataFrame:
+def convert(samples: DataFrame, config: SegmentConfig, scores: DataFrame | None = None, tokenizer: Tokenizer = tokens) -> DataFrame:
     """Usable samples with thoughts_list replaced by their segments; all other columns pass through.
 
     samples has source_idx, question and gt_output. Threshold mode joins scores(source_idx,
-    confidences) by source_idx; the other modes run without any shuffle.
+    confidences) by source_idx and raises for a sample without a confidence per token; the other
+    modes run without any shuffle. A tokenizer of the user's own, native or a pandas UDF, gives the
+    array of an answer's tokens, which joined must be the answer.
     """
+    if config.mode == "threshold" and (scores is None or config.tau is None):
+        raise ValueError("threshold mode needs scores and a tau")
     if config.limit_rows is not None:
         samples = samples.where(F.col("source_idx") < config.limit_rows)
     kept = [c for c in samples.columns if c != "thoughts_list"]
-    rows = flagged(samples.select(*kept), config).where("usable and not dropped")
+    rows = flagged(samples.select(*kept), config, tokenizer).where("usable and not dropped")
     if config.mode == "threshold":
-        if scores is None:
-            raise ValueError("threshold mode needs scores")
         rows = attach_scores(rows, scores)
-    return segment(rows, config).select(*kept, F.col("segments").alias("thoughts_list"), "boundaries")
+    return segment(rows, config, token_lengths=F.col("token_lengths")).select(*kept, F.col("segments").alias("thoughts_list"), "boundaries")
+
 
+def convert_aligned(inputs: DataFrame, reference: DataFrame, config: SegmentConfig, scores: DataFrame | None = None, own: str = "reference_idx", tokenizer: Tokenizer = tokens) -> DataFrame:
+    """Conversion of a reference data set that must cover the rows of inputs.
 
-def convert_aligned(inputs: DataFrame, reference: DataFrame, config: SegmentConfig, scores: DataFrame | None = None) -> DataFrame:
-    """Conversion of a reference data set that must cover the rows of inputs."""
-    return convert(align(inputs, reference), config, scores)
+    If reference has the column `own`, its index by its own account, a row that states another than
+    its position raises; null states none.
+    """
+    rows = align(inputs, reference)
+    return convert(require_aligned(rows, own) if own in rows.columns else rows, config, scores, tokenizer)
 
 
-def full_run(samples: DataFrame, config: SegmentConfig, scores: DataFrame, token_scores: DataFrame, quantiles: tuple[float, ...], key: str) -> DataFrame:
+def full_run(samples: DataFrame, config: SegmentConfig, scores: DataFrame, token_scores: DataFrame, quantiles: Sequence[float] = QUANTILES, key: str = TAU_KEY, tokenizer: Tokenizer = tokens) -> DataFrame:
     """Estimate tau over the token scores (skipped where config.tau is given), convert, sort."""
-    from segmill.jobs.tau import estimate_tau, pick_tau
-
-    if config.tau is None:
+    if config.mode == "threshold" and config.tau is None:
         config = config.with_(tau=pick_tau(estimate_tau(token_scores, quantiles), key))
-    return convert(samples, config, scores).orderBy("source_idx")
+    return convert(samples, config, scores, tokenizer).orderBy("source_idx")
 
 
 def _sum_if(value: str | Column, condition: str) -> Column:

@@ -103,12 +103,56 @@ _TAU = f"(select tau from taus where tau_key = '{TAU_KEY}')"
 _ALNUM = r"[\p{L}\p{N}]"
 
 
-def _inside(body: str, cut: str) -> str:
-    left, right = f"substr({body}, greatest({cut} - {text.CONTEXT - 1}, 1), least({cut}, {text.CONTEXT}))", f"substr({body}, {cut} + 1, {text.CONTEXT})"
-    return (
-        f"({cut} > 0 and {cut} < length({body}) and regexp_matches({left}, '{_ALNUM}[_-]*$') and regexp_matches({right}, '^[_-]*{_ALNUM}')"
-        f" and not (regexp_matches({left}, '[\\x{{4e00}}-\\x{{9fff}}]$') and regexp_matches({right}, '^[\\x{{4e00}}-\\x{{9fff}}]')))"
-    )
+def _cuts(source: str, column: str = "gt_output", key: str = "source_idx") -> str:
+    """cuts: toks with `inside`. A cut is inside a word unless a word or a single character ends there, or ideographs stand on both sides."""
+    word = rf"{_ALNUM}+(?:[_-]+{_ALNUM}+)*|(?s:.)"
+    return f"""ends as (
+    select {key}, cast(sum(length(piece)) over (partition by {key} order by k) as bigint) as "end", true as free from (
+        select {key}, unnest(l) as piece, unnest(range(len(l))) as k from (select {key}, regexp_extract_all({column}, '{word}') as l from {source}))),
+cuts as materialized (
+    select t.{key}, idx, token, "end", free is null and not (regexp_matches(token, '{text.CJK}$') and coalesce(regexp_matches(next, '^{text.CJK}'), false)) as inside
+    from (select *, lead(token) over (partition by {key} order by idx) as next from toks) t left join ends using ({key}, "end"))"""
+
+
+def _valid(piece: str) -> str:
+    runs = f"regexp_extract_all({piece}, '{_ALNUM}+')"
+    return f"(regexp_matches({piece}, '{_ALNUM}{{3,}}') or (len({runs}) = 1 and length({runs}[1]) >= 2) or regexp_matches({_strip(piece)}, '{_FORMULA_SQL}'))"
+
+
+def _strip(piece: str) -> str:
+    return f"regexp_replace({piece}, '^{text.SPACE}+|{text.SPACE}+$', '', 'g')"
+
+
+def _fixed(source: str, mask: str, size: int, key: str = "source_idx") -> str:
+    """picked(key, boundary): each next token that may end a segment, `size` tokens on. From cuts."""
+    return f"""places as materialized (select {key}, list(idx order by idx) as usable, max(n) as n from (
+    select {key}, idx, inside, token, count(*) over (partition by {key}) as n from cuts) where not inside and {mask} group by {key}),
+rec as (select {key}, -1::bigint as pick from places union all
+    select r.{key}, list_filter(p.usable, lambda x: x >= r.pick + {size} and x <= p.n - 2)[1] as pick from rec r join places p using ({key}) where r.pick is not null),
+picked as materialized (select {key}, pick as boundary from rec where pick >= 0)"""
+
+
+def _segments(source: str, min_chars: int, column: str = "gt_output", key: str = "source_idx") -> str:
+    """segs(key, k, segment): the text cut after picked tokens, pieces without meaning joined to their neighbours."""
+    stands = lambda piece: f"({_valid(piece)} and not (several and length({_strip(piece)}) < 3 and regexp_full_match({_strip(piece)}, '\\p{{L}}+')))"
+    return f"""marks as (select p.{key}, list("end" order by idx) as l from picked p join cuts c on c.{key} = p.{key} and idx = boundary where not inside group by p.{key}),
+cutting as (select {key}, 0::bigint as pos from {source} union all
+    select c.{key}, list_filter(l, lambda x: x >= c.pos + {min_chars})[1] as pos from cutting c join marks using ({key}) where c.pos is not null),
+stretches as materialized (select {key}, pos, coalesce(lead(pos) over (partition by {key} order by pos), length({column})) as stop, lead(pos) over (partition by {key} order by pos) is null as tail, {column} as body
+    from cutting join {source} using ({key}) where pos is not null),
+filled as (select {key}, pos, piece, tail and length(piece) < {min_chars} and row_number() over (partition by {key} order by pos) > 1 as short
+    from (select *, substr(body, pos + 1, stop - pos) as piece from stretches) where regexp_matches(piece, '[^{text.SPACE[1:]}')),
+pieces as (select {key}, g, string_agg(piece, '' order by pos) as piece from (
+    select *, row_number() over (partition by {key} order by pos) - case when short then 1 else 0 end as g from filled) group by {key}, g),
+begun as (select *, count(*) over (partition by {key}) > 1 as several, string_agg(piece, '') over (partition by {key} order by g) as whole from pieces),
+opening as (select {key}, min(g) as first from begun where {stands("whole")} group by {key}),
+labelled as (select {key}, g, piece, sum(case when g > first and {stands("piece")} then 1 else 0 end) over (partition by {key} order by g) as k from begun join opening using ({key})),
+segs as (select {key}, cast(k as bigint) as k, string_agg(piece, '' order by g) as segment from labelled group by {key}, k)"""
+
+
+_FORMULA_SQL = text.FORMULA.replace("'", "''")
+_LONG = "longs as (select doc_id as source_idx, '' as system_prompt, source as question, text as gt_output, n_chars from documents where source <> '' and text <> '')"
+_LONG_FIXED = f"{_LONG}, {_tokens('longs')}, {_cuts('longs')}, {_fixed('longs', 'true', LONG.fixed_segment_tokens)}, {_segments('longs', LONG.min_step_chars)}"
 
 
 # Sources and sinks.
@@ -130,6 +174,11 @@ def limit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples(spark, sf_dir).where(F.col("source_idx") < LIMIT).select("source_idx", "conv_id")
 
 
+@query(f"with {_SAMPLES} select source_idx % {RANKS} as rank, count(*) as n_rows, cast(sum(length(gt_output)) as bigint) as n_chars from samples group by 1")
+def rank_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jsonl.rank_report(jsonl.with_rank(samples(spark, sf_dir), RANKS), "gt_output")
+
+
 @query(f"with {_SAMPLES} select source_idx, source_idx % {RANKS} as rank from samples")
 def shard_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonl.with_rank(samples(spark, sf_dir), RANKS).select("source_idx", "rank")
@@ -204,26 +253,16 @@ def protected_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     select source_idx, idx, not (start < 7 or "end" > n - 8) as cuttable from toks join size using (source_idx)""")
 def cuttable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = usable(spark, sf_dir).select("source_idx", F.concat(F.lit("<think>"), "gt_output", F.lit("</think>")).alias("w"))
-    spans = rows.select("source_idx", protected.protected_spans(F.col("w")).alias("spans"))
-    marked = text.token_rows(rows, "source_idx", "w").join(spans, "source_idx")
-    return marked.select("source_idx", "idx", protected.is_cuttable(F.col("token"), F.col("start"), F.col("end"), F.col("spans")).alias("cuttable"))
+    return protected.cuttable_rows(rows, "source_idx", "w")
 
 
-@query(f"with {_SAMPLES}, {_tokens('usable')} select source_idx, idx, \"end\", {_inside('gt_output', '\"end\"')} as inside from toks join usable using (source_idx)")
+@query(f"with {_SAMPLES}, {_tokens('usable')}, {_cuts('usable')} select source_idx, idx, \"end\", inside from cuts")
 def inside_word_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = usable(spark, sf_dir).select("source_idx", "gt_output")
-    filled = rows.select("source_idx", text.words_filled(F.col("gt_output")).alias("filled"))
-    cuts = text.token_rows(rows, "source_idx", "gt_output").join(filled, "source_idx")
-    left, right = F.substring(F.col("filled"), F.col("end"), F.lit(1)), F.substring(F.col("filled"), F.col("end") + 1, F.lit(1))
-    return cuts.select("source_idx", "idx", "end", text.inside_word(left, right, F.col("end"), F.length("filled")).alias("inside"))
-
-
-_FORMULA_SQL = text.FORMULA.replace("'", "''")
+    return text.inside_word_ends(usable(spark, sf_dir), "source_idx", "gt_output")
 
 
 @query(f"""with p as (select distinct unnest(string_split(text, ' ')) as piece from documents)
-    select piece, regexp_matches(piece, '{_ALNUM}{{3,}}') or (len(regexp_extract_all(piece, '{_ALNUM}+')) = 1
-           and length(regexp_extract_all(piece, '{_ALNUM}+')[1]) >= 2) or regexp_matches(regexp_replace(piece, '^{text.SPACE}+|{text.SPACE}+$', '', 'g'), '{_FORMULA_SQL}') as valid from p""")
+    select piece, {_valid("piece")} as valid from p""")
 def valid_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = read_table(spark, sf_dir, "documents").select(F.explode(F.split("text", " ", -1)).alias("piece")).distinct()
     return pieces.select("piece", text.is_valid_segment(F.col("piece")).alias("valid"))
@@ -404,31 +443,26 @@ def cluster_minima(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Segmentation.
 
-_PLACES = f"""places as (select source_idx, list(idx order by idx) as usable, any_value(n) as n from (
-    select t.source_idx, idx, count(*) over (partition by t.source_idx) as n, MASK and not {_inside("gt_output", 't."end"')} as ok
-    from toks t join usable u using (source_idx)) where ok group by source_idx)"""
+_SHORT = SMALL.with_(mode="threshold", max_length=8192, special_tokens=("\n",))
+_THRESHOLD = f"""{_SCORED}, {_LOW}, {_cuts("usable")},
+places as materialized (select source_idx, list(idx order by idx) as usable from cuts where token <> chr(10) and not inside group by source_idx),
+runs as materialized (select source_idx, row_number() over (partition by source_idx order by min(idx)) as k, list(idx order by confidence, idx) as tries from low group by source_idx, island),
+rec as (select source_idx, 0::bigint as k, -1::bigint as last, null::bigint as pick from usable union all
+    select source_idx, k, coalesce(pick, last) as last, pick from (
+        select r.source_idx, i.k, r.last, coalesce(list_filter(i.tries, lambda x: x - r.last >= {MIN_STEP} and list_contains(p.usable, x))[1],
+            list_filter(flatten(list_transform(i.tries, lambda x: [x + 1, x - 1, x + 2, x - 2, x + 3, x - 3])), lambda x: x - r.last >= {MIN_STEP} and list_contains(p.usable, x))[1]) as pick
+        from rec r join runs i on i.source_idx = r.source_idx and i.k = r.k + 1 join places p on p.source_idx = r.source_idx)),
+picked as materialized (select source_idx, pick as boundary from rec where pick is not null)"""
+_THRESHOLD_SEGMENTS = f"{_THRESHOLD}, {_segments('usable', SMALL.min_step_chars)}"
 
 
-@query(f"""with recursive {_SAMPLES}, {_tokens("usable")}, {_PLACES.replace("MASK", "true")},
-    rec as (select source_idx, -1::bigint as pick from places union all
-        select r.source_idx, list_filter(p.usable, lambda x: x >= r.pick + {FIXED} and x <= p.n - 2)[1] as pick
-        from rec r join places p using (source_idx) where r.pick is not null)
-    select source_idx, pick as boundary from rec where pick >= 0""")
+@query(f"with recursive {_SAMPLES}, {_tokens('usable')}, {_cuts('usable')}, {_fixed('usable', 'true', FIXED)} select source_idx, boundary from picked")
 def boundaries_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inside_word_cuts(spark, sf_dir)
-    sizes = rows.groupBy("source_idx").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.when(~F.col("inside"), F.col("idx")))).alias("usable"))
-    cuts = sizes.select("source_idx", F.explode(segment.fixed_boundaries(F.col("usable"), F.col("n"), FIXED, MIN_STEP)).alias("boundary"))
-    return cuts
-
-
-@query(f"""with recursive {_SCORED}, {_LOW}, {_PLACES.replace("MASK", "token <> chr(10)")},
-    runs as (select source_idx, row_number() over (partition by source_idx order by min(idx)) as k, list(idx order by confidence, idx) as tries from low group by source_idx, island),
-    rec as (select source_idx, 0::bigint as k, -1::bigint as last, null::bigint as pick from usable union all
-        select source_idx, k, coalesce(pick, last) as last, pick from (
-            select r.source_idx, i.k, r.last, coalesce(list_filter(i.tries, lambda x: x - r.last >= {MIN_STEP} and list_contains(p.usable, x))[1],
-                list_filter(flatten(list_transform(i.tries, lambda x: [x + 1, x - 1, x + 2, x - 2, x + 3, x - 3])), lambda x: x - r.last >= {MIN_STEP} and list_contains(p.usable, x))[1]) as pick
-            from rec r join runs i on i.source_idx = r.source_idx and i.k = r.k + 1 join places p on p.source_idx = r.source_idx))
-    select source_idx, pick as boundary from rec where pick is not null""")
+    rows = convert.convert(samples(spark, sf_dir), SMALL.with_(max_length=8192))
+    return rows.select("source_idx", F.explode("boundaries").alias("boundary"))
+
+
+@query(f"with recursive {_THRESHOLD} select source_idx, boundary from picked")
 def boundaries_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convert_threshold_rows(spark, sf_dir).select("source_idx", F.explode("boundaries").alias("boundary"))
 
@@ -436,8 +470,7 @@ def boundaries_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def convert_threshold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = stage(token_scores(spark, sf_dir))
     chosen = tau.pick_tau(tau.estimate_tau(tokens, QUANTILES), TAU_KEY)
-    arrays = ngram.confidence_arrays(tokens, "source_idx")
-    return convert.convert(samples(spark, sf_dir), SMALL.with_(mode="threshold", tau=chosen, max_length=8192, special_tokens=("\n",)), arrays)
+    return convert.convert(samples(spark, sf_dir), _SHORT.with_(tau=chosen), ngram.confidence_arrays(tokens, "source_idx"))
 
 
 @query()
@@ -446,29 +479,49 @@ def boundaries_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("source_idx", F.explode("boundaries").alias("boundary"))
 
 
-@query()
+@query(f"with recursive {_LONG_FIXED} select source_idx, k, segment from segs")
 def convert_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.segment_rows(convert.convert(long_samples(spark, sf_dir), LONG))
 
 
+@query(f"""with recursive {_SAMPLES}, {_tokens("usable")}, {_cuts("usable")}, {_fixed("usable", "true", FIXED)}, {_segments("usable", SMALL.min_step_chars)}
+    select source_idx, k, segment from segs where source_idx % 3 = 0""")
+def convert_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stage(samples(spark, sf_dir))
+    inputs = rows.select("source_idx").where("source_idx % 3 = 0")  # a run over some rows of the reference
+    reference = rows.withColumn("reference_idx", F.when(F.col("source_idx") % 2 == 0, F.col("source_idx")))
+    return quality.segment_rows(convert.convert_aligned(inputs, reference, SMALL.with_(max_length=8192)))
+
+
 @query()
 def convert_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.segment_rows(convert.convert(long_samples(spark, sf_dir), LONG.with_(mode="random")))
 
 
-@query()
+@query(f"with recursive {_THRESHOLD_SEGMENTS} select source_idx, k, segment from segs")
 def convert_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.segment_rows(convert_threshold_rows(spark, sf_dir))
 
 
-@query()
+_HITS = " + ".join(f"len(string_split({{0}}, '{t}')) - 1" for t in protected.PROTECTED)
+
+
+@query(f"""with recursive {_LONG_FIXED}, seen as (select *, lead(segment) over (partition by source_idx order by k) as next from segs)
+    select source_idx, count(*) as n_segments, cast(sum(length(segment)) as bigint) as n_chars, count(*) filter (not {_valid("segment")}) as n_invalid,
+        count(*) filter (regexp_matches(segment, '{_ALNUM}[_-]*$') and regexp_matches(next, '^[_-]*{_ALNUM}') and not (regexp_matches(segment, '{text.CJK}$') and regexp_matches(next, '^{text.CJK}'))) as n_in_word,
+        cast(sum({_HITS.format("segment")}) as bigint) as n_protected, cast(any_value({_HITS.format("gt_output")}) - sum({_HITS.format("segment")}) as bigint) as n_protected_lost
+    from seen join longs using (source_idx) group by source_idx""")
 def segment_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.segment_quality(convert.convert(long_samples(spark, sf_dir), LONG))
 
 
-@query()
+@query(f"""with recursive {_THRESHOLD_SEGMENTS}, joined as (select source_idx, string_agg(segment, '|~|' order by k) as thoughts_list, count(*) as n_segments from segs group by source_idx)
+    select conv_id, system_prompt, question, gt_output, coalesce(thoughts_list, '') as thoughts_list, coalesce(n_segments, 0) as n_segments from usable left join joined using (source_idx)""")
 def full_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.segment_rows(convert_threshold_rows(spark, sf_dir).orderBy("source_idx"))
+    """From raw turns to training records: confidences, tau over all tokens, segments, in order of position."""
+    tokens = stage(token_scores(spark, sf_dir))
+    records = convert.full_run(samples(spark, sf_dir), _SHORT, ngram.confidence_arrays(tokens, "source_idx"), tokens, QUANTILES, TAU_KEY)
+    return records.select("conv_id", "system_prompt", "question", "gt_output", F.array_join("thoughts_list", "|~|").alias("thoughts_list"), F.size("thoughts_list").cast("long").alias("n_segments"))
 
 
 # Counters and audits.

@@ -2,7 +2,8 @@
 
 conf(t_i) = (c(t_{i-1}, t_i) + 1) / (c(t_{i-1}) + V), with V distinct tokens; a row's first token
 follows a start mark. Counts combine map-side; a pair's context count is joined at pair level, so
-token rows meet counts in one join, whose skew AQE can split.
+token rows meet counts in one join. Frequent pairs, of which there are few, are broadcast first and
+their rows are dealt out evenly, so no key of the join has many rows.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from segmill.functions.text import tokens
 from segmill.sources.staging import stage
 
 START = "\u0002"
+#: Pairs that are broadcast: those with at least this share of all tokens, so at most so many.
+MOST_FREQUENT = 10_000
 
 
 def pair_rows(rows: DataFrame, key: str, text: str) -> DataFrame:
@@ -29,9 +32,15 @@ def ngram_confidence(rows: DataFrame, key: str, text: str) -> DataFrame:
     pairs = pair_rows(rows, key, text)
     counts = stage(pairs.groupBy("prev", "token").agg(F.count(F.lit(1)).alias("c")))
     size = counts.select("token").distinct().count()
+    total = counts.agg(F.sum("c")).first()[0] or 0
     context = counts.groupBy("prev").agg(F.sum("c").alias("c_prev"))
-    model = counts.join(context, "prev").select("prev", "token", ((F.col("c") + 1).cast("double") / (F.col("c_prev") + size)).alias("confidence"))
-    return pairs.join(model, ["prev", "token"]).select(key, "idx", "token", "confidence")
+    model = stage(counts.join(context, "prev").select("prev", "token", "c", ((F.col("c") + 1).cast("double") / (F.col("c_prev") + size)).alias("confidence")))
+    frequent = F.col("c") * MOST_FREQUENT >= total
+    often = F.broadcast(model.where(frequent).select("prev", "token", F.col("confidence").alias("often")))
+    spread = F.concat(F.lit(START * 2), F.xxhash64(key, "idx").cast("string"))  # matches no pair
+    met = pairs.join(often, ["prev", "token"], "left").withColumn("prev", F.when(F.col("often").isNull(), F.col("prev")).otherwise(spread))
+    found = met.join(model.where(~frequent).drop("c"), ["prev", "token"], "left")
+    return found.select(key, "idx", "token", F.coalesce("often", "confidence").alias("confidence"))
 
 
 def confidence_arrays(scores: DataFrame, key: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Exact positions and order statistics without a single task that sorts everything.
 
-Rows are range-partitioned by their order and sorted inside partitions; the number of rows in each
-partition (one row a partition) gives where it begins.
+Rows are range-partitioned by their order and sorted inside partitions. There monotonically
+increasing ids number them: partition in the upper bits, row in the lower ones. The numbers of rows
+before each partition (one number a partition) turn that into a position, without a second shuffle.
 """
 
 from __future__ import annotations
@@ -14,40 +15,50 @@ from pyspark.sql.window import Window
 
 from segmill.sources.staging import stage
 
+#: Fixed value: bits of a monotonically increasing id that number the rows of a partition.
+_ROW_BITS = 33
 
-def _ranged(df: DataFrame, order: Sequence[str], weight: str | None) -> DataFrame:
-    """df with _part, and _before: the weight of all partitions before; staged, so both stay as they are."""
-    rows = stage(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()))
-    sums = rows.groupBy("_part").agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_sum"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    return rows.join(F.broadcast(sums.select("_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))), "_part")
+
+def _ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """df with _part and _row, staged, so both stay as they are."""
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    rows = rows.withColumn("_part", F.shiftright("_id", _ROW_BITS)).withColumn("_row", F.col("_id").bitwiseAND((1 << _ROW_BITS) - 1))
+    return stage(rows.drop("_id"))
+
+
+def _before(sums: DataFrame) -> DataFrame:
+    """(_part, _before) from (_part, _sum): what all partitions before hold; one row a partition."""
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select("_part", "_sum", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
 
 
 def with_position(df: DataFrame, *order: str, name: str = "source_idx") -> DataFrame:
     """A dense 0-based position by `order` (ties in any order)."""
-    own = Window.partitionBy("_part").orderBy(*order)
-    rows = _ranged(df, order, None)
-    return rows.withColumn(name, F.col("_before") + F.row_number().over(own) - 1).drop("_part", "_before")
+    rows = _ranged(df, order)
+    starts = _before(rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_sum"))).drop("_sum")
+    return rows.join(F.broadcast(starts), "_part").withColumn(name, F.col("_before") + F.col("_row")).drop("_part", "_row", "_before")
 
 
 def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float]) -> DataFrame:
     """(tau_key, quantile, tau): the value at place round((n - 1) q), half to even, of the sorted values.
 
-    Equal values are counted first, so ties cost nothing; all quantiles share one pass. Without a
-    value tau is null; of equal keys the last quantile counts.
+    Equal values are counted first, so ties cost nothing; only partitions that hold a wanted place
+    are looked at again. Without a value tau is null; of equal keys the last quantile counts.
     """
     if not quantiles or any(not 0 <= q <= 1 for q in quantiles):
         raise ValueError("quantiles must lie between 0 and 1, one at least")
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("tau")).agg(F.count(F.lit(1)).alias("n"))
-    own = Window.partitionBy("_part").orderBy("tau").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = _ranged(counts, ["tau"], "n").withColumn("last", F.col("_before") + F.sum("n").over(own))
-    ranked = stage(ranked.select("tau", "n", "last"))
-    total = ranked.agg(F.sum("n")).first()[0] or 0
+    ranked = _ranged(counts, ["tau"])
+    starts = stage(_before(ranked.groupBy("_part").agg(F.sum("n").alias("_sum"))))
+    total = starts.agg(F.sum("_sum")).first()[0] or 0
     wanted = {f"q_{q:.4f}": float(q) for q in quantiles}
     places = [(k, q, round((total - 1) * q)) for k, q in wanted.items()]  # one row a quantile
     places = df.sparkSession.createDataFrame(places, "tau_key string, quantile double, place long")
-    inside = (F.col("place") >= F.col("last") - F.col("n")) & (F.col("place") < F.col("last"))
-    found = ranked.join(F.broadcast(places), inside).select("tau_key", "tau")
+    inside = lambda first, n: (F.col("place") >= first) & (F.col("place") < first + n)
+    held = starts.join(F.broadcast(places.select("place").distinct()), inside(F.col("_before"), F.col("_sum")), "left_semi").drop("_sum")
+    own = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    last = ranked.join(F.broadcast(held), "_part").withColumn("first", F.col("_before") + F.sum("n").over(own) - F.col("n"))
+    found = last.join(F.broadcast(places), inside(F.col("first"), F.col("n"))).select("tau_key", "tau")
     return places.drop("place").join(found, "tau_key", "left").select("tau_key", "quantile", "tau")
 
 

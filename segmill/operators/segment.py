@@ -1,44 +1,54 @@
-"""Cutting answers into segments: one Arrow pass over slim columns, one row per sample, no shuffle.
+"""Cutting answers into segments: one Arrow function over slim columns, one row per sample, no shuffle.
 
-Everything that depends on the row's previous cut (threshold and random modes, repair of pieces) is a
-small state machine per row; token ends and the word test are linear in the text. Fixed mode also
-has a native form, fixed_boundaries().
+Everything that depends on the row's previous cut is decided here, per row; word and mask flags are
+numpy over the whole text, and a fixed or random cut costs one binary search. Only the key, the text,
+the tokens' lengths and the confidences go to Python; all other columns stay where they are.
 """
 
 from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterator, Sequence
-from itertools import groupby
+from collections.abc import Sequence
+from functools import cache
+from itertools import accumulate, groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmill.functions.protected import PROTECTED
-from segmill.functions.text import tokens
+from segmill.functions.text import FORMULA, lengths, tokens
 from segmill.jobs.config import SegmentConfig
 
-_WORD = re.compile(r"[^\W_]+(?:[_-]+[^\W_]+)*")
 _RUN = re.compile(r"[^\W_]+")
-_FORMULA = re.compile(r"[A-Za-z0-9]+(?:\s*[-+*/=<>^%:]+\s*[A-Za-z0-9]+)+")
+_FORMULA = re.compile(re.sub(r"\[\\t-.*?3000\}\]", r"\\s", FORMULA))
 SEGMENTED = T.StructType().add("boundaries", T.ArrayType(T.LongType())).add("segments", T.ArrayType(T.StringType()))
 
 
+@cache
+def _alnum() -> np.ndarray:
+    """For each code point, whether it is a letter or digit."""
+    return np.fromiter((chr(i).isalnum() for i in range(0x110000)), bool, 0x110000)
+
+
 def inside_word_flags(text: str) -> np.ndarray:
     """For every cut 0..len: whether it lies inside a word (two CJK neighbours may be cut)."""
-    change = np.zeros(len(text) + 2, np.int32)
-    for word in _WORD.finditer(text):
-        change[word.start() + 1] += 1
-        change[word.end()] -= 1
-    inside = np.cumsum(change)[: len(text) + 1] > 0
-    if not text.isascii():
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-        cjk = (codes >= 0x4E00) & (codes <= 0x9FFF)
-        inside[1:-1] &= ~(cjk[:-1] & cjk[1:])
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    word = _alnum()[codes]
+    edges = np.diff(np.pad(((codes == ord("_")) | (codes == ord("-"))).astype(np.int8), 1))
+    first, last = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)  # runs of connectors
+    joined = (first > 0) & (last < len(codes))
+    joined[joined] = word[first[joined] - 1] & word[last[joined]]
+    change = np.zeros(len(codes) + 1, np.int32)
+    change[first[joined]], change[last[joined]] = 1, -1
+    word = word | (np.cumsum(change)[:-1] > 0)
+    cjk = (codes >= 0x4E00) & (codes <= 0x9FFF)
+    inside = np.zeros(len(codes) + 1, bool)
+    inside[1:-1] = word[:-1] & word[1:] & ~(cjk[:-1] & cjk[1:])
     return inside
 
 
@@ -73,7 +83,7 @@ def threshold_boundaries(conf: Sequence[float], cuttable: Sequence[bool], tau: f
         raise ValueError("min_step must be at least 1")
     if len(conf) != len(cuttable):
         raise ValueError("confidences and mask differ in length")
-    low = [i for i, (c, ok) in enumerate(zip(conf, cuttable, strict=True)) if ok and c < tau]
+    low = np.flatnonzero(np.asarray(cuttable, bool) & (np.asarray(conf, float) < tau)).tolist()
     chosen, last = [], -1
     for _, run in groupby(enumerate(low), lambda p: p[1] - p[0]):
         tries = sorted((i for _, i in run), key=lambda i: (conf[i], i))
@@ -87,19 +97,26 @@ def threshold_boundaries(conf: Sequence[float], cuttable: Sequence[bool], tau: f
     return chosen
 
 
-def _usable(cuttable: Sequence[bool], inside: Sequence[bool] | None) -> list[int]:
+def _usable(cuttable: Sequence[bool], inside: Sequence[bool] | None) -> np.ndarray:
     """Tokens after which a segment of given length may end; the last token is not one."""
-    return [i for i in range(len(cuttable) - 1) if cuttable[i] and not (inside is not None and inside[i])]
+    free = np.array(cuttable, bool)
+    if inside is not None:
+        free &= ~np.asarray(inside, bool)
+    return np.flatnonzero(free[:-1])
 
 
 def fixed_length_boundaries(cuttable: Sequence[bool], size: int, min_step: int, inside: Sequence[bool] | None = None) -> list[int]:
     if size <= 0 or min_step <= 0:
         raise ValueError("segment size and min_step must be positive")
-    chosen, last = [], -1
-    for i in _usable(cuttable, inside):
-        if i - last >= max(size, min_step):
-            chosen.append(i)
-            last = i
+    return _spaced(_usable(cuttable, inside), max(size, min_step), -1)
+
+
+def _spaced(places: np.ndarray, step: int, last: int) -> list[int]:
+    """Of ascending places each first one that is at least a step from the one before it."""
+    chosen = []
+    while (at := int(np.searchsorted(places, last + step))) < len(places):
+        last = int(places[at])
+        chosen.append(last)
     return chosen
 
 
@@ -108,13 +125,11 @@ def random_length_boundaries(cuttable: Sequence[bool], low: int, high: int, seed
     if not 0 < low <= high:
         raise ValueError("sizes must be positive and in order")
     draw, usable, chosen, last = random.Random(seed + source_idx), _usable(cuttable, inside), [], -1
-    at, n = 0, len(cuttable)
-    while (target := last + draw.randint(low, high)) < n - 1:
-        while at < len(usable) and usable[at] < target:
-            at += 1
+    while (target := last + draw.randint(low, high)) < len(cuttable) - 1:
+        at = int(np.searchsorted(usable, target))
         if at == len(usable):
             break
-        last = usable[at]
+        last = int(usable[at])
         chosen.append(last)
     return chosen
 
@@ -122,98 +137,82 @@ def random_length_boundaries(cuttable: Sequence[bool], low: int, high: int, seed
 def split_text(text: str, ends: Sequence[int], boundaries: Sequence[int], min_chars: int, inside: Sequence[bool]) -> list[str]:
     """Cut after the boundary tokens, then join pieces that mean nothing to their neighbours.
 
-    inside is given by character here. Pieces of white space only are left out.
+    inside is given by character here. White space alone is no piece. A last piece under min_chars
+    belongs to the one before it. The first segment takes as many pieces as it needs to mean
+    something; from there on every piece that means something opens a segment of its own.
     """
-    if any(not 0 <= b < len(ends) for b in boundaries) or any(a >= b for a, b in zip(boundaries, boundaries[1:], strict=False)):
+    picked = np.asarray(boundaries, np.int64)
+    if len(picked) and (picked[0] < 0 or picked[-1] >= len(ends) or (np.diff(picked) <= 0).any()):
         raise ValueError("boundaries must be in range, in order and without repeats")
-    if not text:
+    places = np.asarray(ends, np.int64)[picked]
+    cuts = [0, *_spaced(places[~np.asarray(inside, bool)[places]], min_chars, 0), len(text)]
+    pieces = [piece for a, b in pairwise(cuts) if (piece := text[a:b]).strip()]
+    if len(pieces) > 1 and len(text) - cuts[-2] < min_chars and text[cuts[-2] :].strip():
+        pieces[-2:] = [pieces[-2] + pieces[-1]]
+    several = len(pieces) > 1
+    opening = next((k for k, begun in enumerate(accumulate(pieces)) if _stands(begun, several)), None)
+    if opening is None:
         return []
-    if not boundaries:
-        return [text] if is_valid(text) else []
-    pieces, start = [], 0
-    for b in boundaries:
-        end = int(ends[b])
-        if inside[end] or end - start < min_chars:
-            continue
-        if text[start:end].strip():
-            pieces.append(text[start:end])
-        start = end
-    tail = text[start:]
-    if tail.strip():
-        if len(tail) < min_chars and pieces:
-            pieces[-1] += tail
-        else:
-            pieces.append(tail)
-    segments, pending = [], ""
-    for raw in pieces:
-        piece = pending + raw
-        pending = ""
-        bare = piece.strip()
-        short_word = bare.isalpha() and len(bare) < 3 and (bool(segments) or len(pieces) > 1)
-        if is_valid(piece) and not short_word:
-            segments.append(piece)
-        elif segments:
-            segments[-1] += piece
-        else:
-            pending = piece
-    if pending and segments:
-        segments[-1] += pending
-    return segments
+    opens = [0, *(k for k in range(opening + 1, len(pieces)) if _stands(pieces[k], several)), len(pieces)]
+    return ["".join(pieces[a:b]) for a, b in pairwise(opens)]
+
+
+def _stands(piece: str, among_others: bool) -> bool:
+    """Whether a piece can be a segment: it is valid and, among others, no word of one or two letters."""
+    bare = piece.strip()
+    return is_valid(piece) and not (among_others and bare.isalpha() and len(bare) < 3)
 
 
-def segment(rows: DataFrame, config: SegmentConfig, text: str = "gt_output", key: str = "source_idx") -> DataFrame:
+def segment(rows: DataFrame, config: SegmentConfig, text: str = "gt_output", key: str = "source_idx", token_lengths: Column | None = None) -> DataFrame:
     """rows with `boundaries` and `segments`; threshold mode reads the array column `confidences`.
 
-    Only the key, the text, its tokens' lengths and the confidences go to Python; other columns stay
-    in the JVM row and pass through.
+    token_lengths is the array of the tokens' lengths, the default tokenizer's if it is not given;
+    lengths that do not add up to the text raise.
     """
-    names = rows.columns
-    slim = [F.col(key).cast("long").alias("k"), F.col(text).alias("t"), F.transform(tokens(F.col(text)), lambda x: F.length(x)).alias("n")]
-    slim.append(F.col("confidences").alias("c") if config.mode == "threshold" else F.lit(None).cast("array<double>").alias("c"))
-    schema = T.StructType([*rows.schema, *SEGMENTED])
-    cut = _cutter(config)
+    sizes = lengths(tokens(F.col(text))) if token_lengths is None else token_lengths
+    conf = F.col("confidences") if config.mode == "threshold" else F.lit(None)
+    cut = F.arrow_udf(_cutter(config), SEGMENTED)
+    found = cut(F.col(key).cast("long"), F.col(text), sizes.cast("array<int>"), conf.cast("array<double>"))
+    return rows.withColumn("_cut", found).select(*rows.columns, "_cut.boundaries", "_cut.segments")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            inner = batch.column(batch.schema.get_field_index("_slim"))
-            found = [cut(*row.values()) for row in inner.to_pylist()]
-            columns = [batch.column(i) for i in range(len(names))]
-            columns += [pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "boundaries", "segments"])
 
-    return rows.select(*names, F.struct(*slim).alias("_slim")).mapInArrow(run, schema)
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a list column and the cuts between its rows; null is empty."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes)])
 
 
 def _cutter(config: SegmentConfig):
+    if config.mode == "threshold" and config.tau is None:
+        raise ValueError("threshold mode needs a tau")
     special = frozenset(config.special_tokens)
 
-    def cut(key: int, text: str | None, lengths: list[int] | None, conf: list[float] | None) -> tuple[list[int], list[str]]:
+    def cut(key: int | None, text: str | None, sizes: np.ndarray, conf: np.ndarray) -> tuple[list[int], list[str]]:
         if not text:
             return [], []
-        ends = np.cumsum(lengths, dtype=np.int64)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        if not len(ends) or ends[-1] != len(text):
+            raise ValueError(f"the tokens of source_idx {key} do not add up to its text")
         by_char = inside_word_flags(text)
-        cuttable, inside = cuttable_flags(ends, text).tolist(), by_char[ends].tolist()
+        cuttable, inside = cuttable_flags(ends, text), by_char[ends]
         if special:
             starts = [0, *ends[:-1].tolist()]
-            cuttable = [ok and text[a:b] not in special for ok, a, b in zip(cuttable, starts, ends.tolist(), strict=True)]
+            cuttable &= np.array([text[a:b] not in special for a, b in zip(starts, ends.tolist(), strict=True)])
         if config.mode == "threshold":
-            found = threshold_boundaries(conf, cuttable, config.tau, config.min_step_tokens, inside, config.relocation_window)
+            found = threshold_boundaries(conf.tolist(), cuttable.tolist(), config.tau, config.min_step_tokens, inside.tolist(), config.relocation_window)
         elif config.mode == "fixed":
             found = fixed_length_boundaries(cuttable, config.fixed_segment_tokens, config.min_step_tokens, inside)
         else:
-            found = random_length_boundaries(cuttable, config.random_min_tokens, config.random_max_tokens, config.random_seed, key, inside)
+            found = random_length_boundaries(cuttable, config.random_min_tokens, config.random_max_tokens, config.random_seed, key or 0, inside)
         return found, split_text(text, ends, found, config.min_step_chars, by_char)
 
-    return cut
-
-
-def fixed_boundaries(usable: Column, n_tokens: Column, size: int, min_step: int) -> Column:
-    """Native fixed mode: a fold over the ascending positions that may end a segment."""
-    step = max(size, min_step)
-    state = F.struct(F.lit(-1).cast("long").alias("last"), F.array().cast("array<bigint>").alias("out"))
-    early = F.filter(usable, lambda x: x <= n_tokens - 2)
-
-    def add(a: Column, x: Column) -> Column:
-        return F.when(x - a["last"] >= step, F.struct(x.alias("last"), F.concat(a["out"], F.array(x)).alias("out"))).otherwise(a)
+    def run(keys: pa.Array, texts: pa.Array, sizes: pa.Array, confidences: pa.Array) -> pa.Array:
+        (size, size_cuts), (conf, conf_cuts) = _lists(sizes), _lists(confidences)
+        found = [
+            cut(key, text, size[a:b], conf[c:d])
+            for key, text, (a, b), (c, d) in zip(keys.to_pylist(), texts.to_pylist(), pairwise(size_cuts.tolist()), pairwise(conf_cuts.tolist()), strict=True)
+        ]
+        columns = [pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.string()))]
+        return pa.StructArray.from_arrays(columns, names=SEGMENTED.names)
 
-    return F.aggregate(early, state, add, lambda a: a["out"])
+    return run

@@ -52,6 +52,12 @@ def with_rank(df: DataFrame, world_size: int, key: str = "source_idx") -> DataFr
     return df.withColumn("rank", F.pmod(F.col(key), F.lit(world_size)).cast("long"))
 
 
+def rank_report(rows: DataFrame, *texts: str) -> DataFrame:
+    """Rows and characters of each rank, combined before the shuffle."""
+    chars = sum((F.coalesce(F.length(t), F.lit(0)) for t in texts), F.lit(0).cast("long"))
+    return rows.groupBy("rank").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(chars).alias("n_chars"))
+
+
 def merge_shards(shards: Sequence[DataFrame], *within: str) -> DataFrame:
     """All shards' rows by source_idx; equal ones by shard, then by `within`; duplicates stay.
 

@@ -54,8 +54,11 @@ def test_native_word_and_segment_tests_agree_with_python(spark):
     assert all(got[t] == segment.is_valid(t) for t in texts)
     cuts = rows.select("t", F.explode(F.sequence(F.lit(0), F.length("t"))).alias("c"))
     left, right = F.substring(F.col("t"), F.lit(1), F.col("c")), F.substring(F.col("t"), F.col("c") + 1, F.lit(99))
-    for r in cuts.select("t", "c", text.inside_word(left, right, F.col("c"), F.length("t")).alias("v")).collect():
+    for r in cuts.select("t", "c", text.inside_word(left, right).alias("v")).collect():
         assert r.v == bool(segment.inside_word_flags(r.t)[r.c]), r
+    numbered = rows.select(F.monotonically_increasing_id().alias("k"), "t")
+    every = numbered.join(text.inside_word_ends(numbered, "k", "t"), "k").collect()
+    assert len(every) > 1000 and all(r.inside == bool(segment.inside_word_flags(r.t)[r.end]) for r in every)
 
 
 def test_strip_and_blank_use_python_white_space(spark):
@@ -146,10 +149,64 @@ def test_alignment(spark):
     scored = spark.createDataFrame([(0, [0.1])], "source_idx long, confidences array<double>")
     with pytest.raises(Exception, match="MALFORMED|no reference row|wrong number"):
         align.attach_scores(inputs.withColumn("n_tokens", F.lit(2)), scored).collect()
+    one = inputs.where("source_idx < 2").withColumn("n_tokens", F.lit(1))
+    with pytest.raises(Exception, match="no confidences for source_idx 1"):
+        align.attach_scores(one, scored).collect()
+    assert [r.source_idx for r in align.attach_scores(one, scored, strict=False).collect()] == [0]
+
+
+def test_aligned_conversion_checks_the_reference(spark):
+    config = SegmentConfig(mode="fixed", fixed_segment_tokens=16, min_step_tokens=4)
+    inputs = spark.range(10).withColumnRenamed("id", "source_idx")
+    stated = F.when(F.col("source_idx") % 2 == 0, F.col("source_idx"))
+    good = samples(spark).withColumn("reference_idx", stated)
+    assert convert.convert_aligned(inputs, good, config).count() == convert.convert(samples(spark, 10), config).count() > 0
+    with pytest.raises(Exception, match="another row than source_idx 7"):
+        convert.convert_aligned(inputs, good.withColumn("reference_idx", F.when(F.col("source_idx") == 7, 8)), config).collect()
+    with pytest.raises(Exception, match="no reference row"):
+        convert.convert_aligned(inputs, good.where("source_idx < 9"), config).collect()
+
+
+def test_full_run_estimates_tau(spark):
+    rows = samples(spark)
+    listed = rows.select("source_idx", text.tokens(F.col("gt_output")).alias("t"))
+    every = listed.select("source_idx", F.posexplode("t").alias("idx", "token")).withColumn("confidence", (F.xxhash64("source_idx", "idx") % 1000 + 1000) / 2000)
+    scored = every.withColumn("cuttable", F.lit(True))
+    arrays = every.groupBy("source_idx").agg(F.array_sort(F.collect_list(F.struct("idx", "confidence"))).alias("s")).select("source_idx", F.col("s.confidence").alias("confidences"))
+    config = SegmentConfig(min_step_tokens=4)
+    found = convert.full_run(rows.where("gt_output <> ''"), config, arrays, scored, (0.1, 0.2), "q_0.2000").collect()
+    given = config.with_(tau=tau.pick_tau(tau.estimate_tau(scored, (0.1, 0.2)), "q_0.2000"))
+    expected = convert.convert(rows.where("gt_output <> ''"), given, arrays).orderBy("source_idx").collect()
+    assert found == expected and any(len(r.thoughts_list) > 2 for r in found)
+    with pytest.raises(ValueError, match="tau"):
+        convert.convert(rows, config, arrays)
+
+
+def test_a_tokenizer_of_ones_own(spark):
+    words = lambda c: F.regexp_extract_all(c, F.lit(r"\s*\S+|\s+"), 0)
+    config = SegmentConfig(mode="fixed", fixed_segment_tokens=5, min_step_tokens=2, min_step_chars=1)
+    found = convert.convert(samples(spark), config, tokenizer=words).collect()
+    assert any(r.boundaries == list(range(4, 5 * len(r.boundaries), 5)) and len(r.boundaries) > 5 for r in found)
+    with pytest.raises(Exception, match="do not add up"):
+        convert.convert(samples(spark), config, tokenizer=lambda c: F.split(c, " ")).collect()
+
+
+def test_rank_report(spark):
+    rows = spark.createDataFrame([(0, "ab", "c"), (1, None, "d"), (2, "", "ee")], "source_idx long, a string, b string")
+    assert sorted(tuple(r) for r in jsonl.rank_report(jsonl.with_rank(rows, 2), "a", "b").collect()) == [(0, 2, 5), (1, 1, 1)]
+
+
+def test_positions_take_one_shuffle(spark):
+    rows = spark.range(0, 999, 1, 7).select((F.col("id") * 37 % 100).alias("v"))
+    placed = rank.with_position(rows, "v")
+    got = [(r.source_idx, r.v) for r in placed.orderBy("source_idx").collect()]
+    assert [p for p, _ in got] == list(range(999)) and [v for _, v in got] == sorted(v for _, v in got)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "Window [row_number" not in plan and plan.count("hashpartitioning") == plan.count("hashpartitioning(_part")  # only one row a partition is shuffled
 
 
 def test_config_checks():
-    for bad in ({"mode": "x"}, {"mode": "threshold"}, {"mode": "fixed", "fixed_segment_tokens": 4}, {"mode": "random", "random_min_tokens": 9}, {"mode": "fixed", "window": 0}):
+    for bad in ({"mode": "x"}, {"mode": "fixed", "fixed_segment_tokens": 4}, {"mode": "random", "random_min_tokens": 9}, {"mode": "fixed", "window": 0}):
         with pytest.raises(ValueError):
             SegmentConfig(**bad)
     assert SegmentConfig.preset("short", mode="fixed").fixed_segment_tokens == 64
@@ -197,7 +254,11 @@ def test_merge_partials(spark):
 def test_quality(spark):
     found = quality.segment_quality(convert.convert(samples(spark), SegmentConfig(mode="fixed", fixed_segment_tokens=16, min_step_tokens=4)))
     summary = quality.quality_summary(found).first()
-    assert summary.in_word == 0 and summary.segments > summary.samples
+    assert summary.in_word == 0 and summary.segments > summary.samples and summary.protected_lost == 0
+    rows = [(0, "a<think>bcd</think>", ["a<think>bcd", "</think>"]), (1, "a<think>bcd", ["a<thi", "nk>bcd"]), (2, "x", [])]
+    rows = spark.createDataFrame(rows, "source_idx long, gt_output string, thoughts_list array<string>")
+    assert [(r.source_idx, r.n_protected, r.n_protected_lost) for r in quality.segment_quality(rows).orderBy("source_idx").collect()] == [(0, 2, 0), (1, 0, 1)]
+    assert "Exchange" not in quality.segment_quality(rows)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_stream_of_files(spark, tmp_path):

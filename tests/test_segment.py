@@ -90,20 +90,82 @@ def test_cuttable():
     assert S.cuttable_flags(np.array([1, 8, 9]), "a<think>b").tolist() == [True, False, True]
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.text(alphabet="ab1_- .中é\n!", min_size=1, max_size=120), st.integers(0, 10**6))
-def test_segments_keep_the_text(text, seed):
+def plain_inside(text, cut):
+    """The word test by walking over connectors on both sides."""
+    if not 0 < cut < len(text):
+        return False
+    if "\u4e00" <= text[cut - 1] <= "\u9fff" and "\u4e00" <= text[cut] <= "\u9fff":
+        return False
+    left, right = text[:cut].rstrip("_-"), text[cut:].lstrip("_-")
+    return left[-1:].isalnum() and right[:1].isalnum()
+
+
+def plain_split(text, ends, boundaries, least, good=S.is_valid):
+    """The splitting rule told piece by piece, as a fold over what is left (see SURVEY, rule G5)."""
+
+    def cut(start, left):
+        if not left:
+            return [text[start:]]
+        end = ends[left[0]]
+        if plain_inside(text, end) or end - start < least:
+            return cut(start, left[1:])
+        return [text[start:end], *cut(end, left[1:])]
+
+    *front, tail = cut(0, list(boundaries))
+    raw = [p for p in front if p.strip()]
+    if tail.strip():
+        raw = [*raw[:-1], raw[-1] + tail] if raw and len(tail) < least else [*raw, tail]
+
+    def repair(done, waiting, left):
+        if not left:
+            return [*done[:-1], done[-1] + waiting] if done else []
+        piece, word = waiting + left[0], (waiting + left[0]).strip()
+        tiny = word.isalpha() and len(word) <= 2 and (len(done) > 0 or len(raw) > 1)
+        if good(piece) and not tiny:
+            return repair([*done, piece], "", left[1:])
+        return repair([*done[:-1], done[-1] + piece], "", left[1:]) if done else repair(done, piece, left[1:])
+
+    return repair([], "", raw)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="ab1_- .中文é\n!", min_size=1, max_size=120), st.integers(0, 10**6))
+def test_all_modes_against_plain_versions(text, seed):
     rng = random.Random(seed)
     ends = sorted(rng.sample(range(1, len(text) + 1), rng.randint(1, len(text))))
     if ends[-1] != len(text):
         ends.append(len(text))
     flags = S.inside_word_flags(text)
+    assert flags.tolist() == [plain_inside(text, c) for c in range(len(text) + 1)]
     inside = flags[ends].tolist()
     mask = S.cuttable_flags(np.array(ends), text).tolist()
-    found = S.fixed_length_boundaries(mask, 3, 2, inside)
-    assert all(b - a >= 3 for a, b in zip([-1, *found], found, strict=False)) and all(mask[i] and not inside[i] for i in found)
-    pieces = S.split_text(text, ends, found, 2, flags)
-    assert not pieces or "".join("".join(pieces).split()) == "".join(text.split())
-    assert all(S.is_valid(p) for p in pieces[:1])
-    drawn = S.random_length_boundaries(mask, 2, 5, seed, 1, inside)
-    assert all(i <= len(ends) - 2 for i in drawn) and drawn == sorted(set(drawn))
+    free = [i for i in range(len(ends) - 1) if mask[i] and not inside[i]]
+
+    fixed, last = [], -1
+    while more := [i for i in free if i >= last + 3]:
+        last = more[0]
+        fixed.append(last)
+    assert S.fixed_length_boundaries(mask, 3, 2, inside) == fixed
+
+    drawn, last, draw = [], -1, random.Random(seed + 1)
+    while (target := last + draw.randint(2, 5)) < len(ends) - 1 and (more := [i for i in free if i >= target]):
+        last = more[0]
+        drawn.append(last)
+    assert S.random_length_boundaries(mask, 2, 5, seed, 1, inside) == drawn
+
+    conf = [rng.choice([0.1, 0.2, 0.3, 0.6, 0.9]) for _ in ends]
+    chosen = S.threshold_boundaries(conf, mask, 0.4, 2, inside)
+    assert all(mask[i] and not inside[i] for i in chosen) and all(b - a >= 2 for a, b in zip([-1, *chosen], chosen, strict=False))
+
+    some = sorted(rng.sample(range(len(ends)), rng.randint(0, len(ends))))
+    for picked in (fixed, drawn, chosen, some):
+        least = rng.randint(1, 6)
+        pieces = S.split_text(text, ends, picked, least, flags)
+        assert pieces == plain_split(text, ends, picked, least)
+        assert not pieces or "".join("".join(pieces).split()) == "".join(text.split())
+
+
+def test_split_joins_to_neighbours():
+    assert split("11_.1", [3, 5], [0], 2) == ["11_.1"]
+    assert split("ab cde fgh", [2, 6, 10], [0, 1], 2) == ["ab cde", " fgh"]
+    assert split("abc x def", [3, 5, 9], [0, 1], 2) == ["abc x", " def"]
