@@ -5,12 +5,17 @@ of needles: whole phrases, and the seeds of fuzzy notices. A notice with at most
 least one of k + 1 disjoint parts unchanged (pigeonhole), so its parts are the seeds. Around each
 seed hit the regex library verifies the notice with at most k edits and gives span and edits.
 
-Cases: null text is empty (no word, no label); repeated rows and ids each get their row; an empty
-table gives no row; other columns are ignored. Very long texts cost time in proportion.
+A notice's spans are chosen best first: the match with the fewest edits (of equals the leftmost),
+then the best one that does not overlap it, and so on until nothing within k edits is left over.
+
+Cases: null text is empty (no word, no label); repeated rows and ids each get their row; of a
+notice's overlapping matches one is a span, those of two notices may overlap; an empty table gives
+no row; other columns are ignored. Very long texts cost time in proportion to words and seed hits.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -36,7 +41,16 @@ NOTICES = {
     "redistribution and use in source and binary forms with or without modification": "bsd",
     "creative commons attribution": "cc-by",
     "licensed under cc by": "cc-by",
+    "creative commons attribution sharealike": "cc-by-sa",
     "mozilla public license": "mpl",
+    "eclipse public license": "epl",
+    "gnu affero general public license": "agpl",
+    "boost software license version 1 0": "boost",
+    "neither the name of the copyright holder nor the names of its contributors": "bsd",
+    "you may not use this file except in compliance with the license": "apache",
+    "permission to use copy modify and or distribute this software for any purpose": "isc",
+    "this software is provided as is without any express or implied warranty": "zlib",
+    "this is free and unencumbered software released into the public domain": "unlicense",
     "all rights reserved": "all-rights-reserved",
 }
 #: One edit is allowed for so many characters of a notice, and so many at most.
@@ -101,7 +115,7 @@ class Scanner:
     def scan(self, text: str) -> tuple[list[tuple[str, int]], list[tuple[str, int, int, int, int]]]:
         """Base hits (label, character), and notices (label, first and end character, edits, length)."""
         hits: list[tuple[str, int]] = []
-        windows: dict[int, list[list[int]]] = {}
+        windows: dict[int, set[tuple[int, int]]] = {}
         for end, (size, uses) in self.automaton.iter(text):
             start = end + 1 - size
             for kind, what, shift in uses:
@@ -111,20 +125,43 @@ class Scanner:
                 phrase, _, edits, _ = self.notices[what]
                 low = max(0, start - shift - edits - 1)
                 high = min(len(text), start - shift + len(phrase) + edits + 1)
-                own = windows.setdefault(what, [])
-                if own and low <= own[-1][1]:
-                    own[-1][1] = max(own[-1][1], high)
-                else:
-                    own.append([low, high])
+                windows.setdefault(what, set()).add((low, high))
         found = []
         for what, own in windows.items():
             phrase, label, edits, pattern = self.notices[what]
-            for low, high in own:
-                for m in pattern.finditer(text, low, high, overlapped=False):
-                    found.append((label, m.start(), m.end(), sum(m.fuzzy_counts), len(phrase)))
+            found += [(label, a, b, e, len(phrase)) for e, a, b in _best_first(pattern, text, own, len(phrase) - edits)]
         return hits, found
 
 
+def _best_first(pattern, text: str, windows: set[tuple[int, int]], shortest: int) -> list[tuple[int, int, int]]:
+    """(edits, start, end) of matches that do not overlap, the best of all that are left at each step.
+
+    A match lies in some window. The best of each window waits in a heap; one that meets a chosen
+    span makes way for the best on either side of that span.
+    """
+    heap: list[tuple[int, int, int, int, int]] = []
+
+    def search(low: int, high: int) -> None:
+        m = pattern.search(text, low, high) if high - low > shortest else None
+        if m:
+            heapq.heappush(heap, (sum(m.fuzzy_counts), m.start(), m.end(), low, high))
+
+    for low, high in windows:
+        search(low, high)
+    spans: list[tuple[int, int, int]] = []
+    taken: dict[int, tuple[int, int]] = {}  # a chosen span at each of its characters
+    while heap:
+        edits, start, end, low, high = heapq.heappop(heap)
+        met = next((taken[c] for c in range(start, end) if c in taken), None)
+        if met:
+            search(low, met[0])
+            search(met[1], high)
+        else:
+            spans.append((edits, start, end))
+            taken.update(dict.fromkeys(range(start, end), (start, end)))
+    return spans
+
+
 def _word_at(text: str, places: Sequence[int]) -> dict[int, int]:
     """Number of the word that holds or starts at each character."""
     out, last, n = {}, 0, 0
