@@ -289,18 +289,39 @@ def test_string_tiling(spark):
     assert rows_of(kept, "doc_id") == sorted([(3,), (4,), (5,), (8,)], key=repr) and kept.columns == documents.columns
 
 
-@settings(max_examples=80, deadline=None)
-@given(st.lists(st.integers(0, 3), max_size=24), st.lists(st.integers(0, 3), max_size=24))
-def test_tiles_are_greedy(a, b):
-    item, text = np.array(a, np.uint64), np.array(b, np.uint64)
-    tiles = string_tiling.tile(item, text, 2)
-    free_a, free_b = [True] * len(a), [True] * len(b)
-    for i, j, n in sorted(tiles, key=lambda t: -t[2]):
-        assert n >= 2 and a[i : i + n] == b[j : j + n] and all(free_a[i : i + n]) and all(free_b[j : j + n])
-        free_a[i : i + n] = free_b[j : j + n] = [False] * n
-    for i in range(len(a) - 1):  # nothing that could be marked is left
-        for j in range(len(b) - 1):
-            assert not (a[i : i + 2] == b[j : j + 2] and all(free_a[i : i + 2]) and all(free_b[j : j + 2]))
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=24), st.lists(st.integers(0, 3), max_size=40), st.integers(1, 4), st.sampled_from([2, 5, 20]))
+def test_tiles_equal_plain_greedy_tiling(a, b, least, search):
+    tiles = string_tiling.tile(np.array(a, np.uint64), np.array(b, np.uint64), least, search)
+    free_a, free_b, expected = [True] * len(a), [True] * len(b), []
+    while True:  # mark the longest common run of what is unmarked, the first in a, then in b
+        runs = {}
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and free_a[i + n] and free_b[j + n]:
+                    n += 1
+                runs[i, j] = n
+        i, j = min(runs, key=lambda k: (-runs[k], k), default=(0, 0))
+        n = runs.get((i, j), 0)
+        if n < least:
+            break
+        free_a[i : i + n], free_b[j : j + n] = [False] * n, [False] * n
+        expected.append((i, j, n))
+    assert tiles == expected
+
+
+def test_short_and_equal_test_items(spark):
+    docs = [(1, "it says: To BE, or not! the end"), (2, "to be not or"), (3, "to"), (4, None), (5, "or not to be"), (1, "to be or not")]
+    items = [(1, "to be or not"), (2, "To be; or NOT"), (1, "to be or not"), (3, "or"), (None, "to be or not"), (4, "... !"), (5, "\n")]
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    for block in (1 << 20, 1):
+        got = string_tiling.tile_documents(spark, frame(spark, docs), tests, block_bytes=block).collect()
+        whole = [(i, k) for i in (1, 1) for k in (1, 2, 1, None)]
+        assert sorted(((r.doc_id, r.item_id) for r in got), key=repr) == sorted(whole + [(i, 3) for i in (1, 2, 5, 1)], key=repr)
+        assert all(r.coverage == 1 and r.tiles == 1 for r in got)
+    kept = string_tiling.drop_contaminated(spark, frame(spark, docs + docs), tests.where("item_id <> 3"))
+    assert rows_of(kept, "doc_id") == sorted([(i,) for i in (2, 3, 4, 5)] * 2, key=repr) and kept.columns == frame(spark, docs).columns
 
 
 def test_token_binary(spark):
@@ -356,6 +377,41 @@ def test_license_scan(spark):
     assert by_id[6].labels == "mit" and by_id[6].spans[0].edits == 2 and by_id[10].labels == "gpl" and by_id[8].labels == "" == by_id[3].labels
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def test_notices_against_plain_edit_distance():
+    """Every stretch of whole words within the edits is a span or meets one with no more edits: recall 1."""
+    phrase, rng = "free software foundation", random.Random(1)
+    scanner = license_scan.Scanner({}, {phrase: "x"}, 12, 4)
+
+    def noisy():
+        p = list(phrase)
+        for _ in range(rng.randint(0, 4)):
+            at, new = rng.randrange(len(p)), rng.choice("abefo ")
+            p[at : at + rng.randint(0, 1)] = rng.choice([[], [new]])
+        return "".join(p)
+
+    for _ in range(1500):
+        parts = [rng.choice([noisy(), noisy(), "free", "software foundation", "xyz abc"]) for _ in range(rng.randint(1, 5))]
+        text = " " + " ".join(" ".join(parts).split()) + " "
+        found = sorted((a, b, e) for _, a, b, e, _ in scanner.scan(text)[1])
+        assert all(x[1] <= y[0] for x, y in zip(found, found[1:], strict=False)) and all(edits(text[a:b], phrase) == e for a, b, e in found)
+        spaces = [i for i, c in enumerate(text) if c == " "]
+        for a in spaces:
+            for b in spaces:
+                if abs(b - a - 1 - len(phrase)) <= 2 and (d := edits(text[a + 1 : b], phrase)) <= 2:
+                    assert any(e <= d and s < b and t > a + 1 for s, t, e in found), (text, a, b)
+    assert [s[:4] for s in sorted(scanner.scan(" free softwre foundation free software foundation ")[1])] == [("x", 1, 24, 1), ("x", 25, 49, 0)]
+    assert len(scanner.scan(" " + "free softwre foundation " * 5000)[1]) == 5000
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(100 + i, 101 + i) for i in range(40)]
