@@ -45,14 +45,14 @@ def _cleaned(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_CLEANUP, before)
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back.
+def stage(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write df as a Parquet table in the shared folder (or at a path of one's own) and read it back.
 
     This cuts the lineage: a lost executor costs no recomputation of what lies before, and the
     shuffle files of the write are removed when it ends.
     """
     spark = df.sparkSession
-    path = work_dir(spark)
+    path = path or work_dir(spark)
     with _cleaned(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
