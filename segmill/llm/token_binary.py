@@ -5,7 +5,8 @@ small. A rank takes one to four bytes; how many is two bits in a control stream
 ranks to a control byte. Both streams decode with numpy table lookups, without a branch per id.
 
 A file is a Parquet part of the table that Spark's writer commits, so a lost executor never leaves
-half a file. Each row is one block of consecutive documents in ascending doc_id order.
+half a file. Each row is one block of consecutive documents in ascending doc_id order. The table of
+ranks stands beside the files, so a folder can be read by itself, in any session.
 
 Cases: null text is empty (one id, the end id); a null doc_id sorts first; repeated doc_ids stay as
 they are, ordered by their ids; an empty table gives no block and no row; other columns are ignored.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from segmill.llm.common import BATCH_BYTES, binary_array, configure, ragged, stage, text_bytes
+from segmill.llm.common import BATCH_BYTES, binary_array, configure, ragged, stage, text_bytes, work_dir
 from segmill.llm.tokens import WordEncoder, tokenizer_path
 
 #: Id appended to each document.
@@ -88,8 +89,8 @@ def id_type(vocabulary: int) -> type:
     return np.uint16 if vocabulary <= 1 << 16 else np.uint32
 
 
-def rank_table(ids: DataFrame, kind: type, vocabulary: int) -> np.ndarray:
-    """Rank of each id by its count over the whole corpus; as long as the vocabulary, no longer."""
+def ranked_ids(ids: DataFrame, kind: type, vocabulary: int) -> np.ndarray:
+    """The ids that occur, most frequent in the whole corpus first; no more than the vocabulary has."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(vocabulary, np.int64)
@@ -100,19 +101,18 @@ def rank_table(ids: DataFrame, kind: type, vocabulary: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["id", "n"])
 
     rows = ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    order = [r.id for r in sorted(rows, key=lambda r: (-r.n, r.id))]
-    rank = np.full(vocabulary, len(order), np.uint32)
-    rank[order] = np.arange(len(order))
-    return rank
+    return np.array([r.id for r in sorted(rows, key=lambda r: (-r.n, r.id))], np.uint32)
 
 
 def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return text_bytes(column.cast(pa.large_binary()).view(pa.large_string()))
 
 
-def write_blocks(ids: DataFrame, rank: np.ndarray, kind: type, block_ids: int = BLOCK_IDS) -> DataFrame:
+def blocks_of(ids: DataFrame, ranked: np.ndarray, kind: type, vocabulary: int, block_ids: int = BLOCK_IDS) -> DataFrame:
     """Blocks of packed ranks, in ascending doc_id order over shards and blocks."""
     size = kind().itemsize
+    rank = np.zeros(vocabulary, np.uint32)
+    rank[ranked] = np.arange(len(ranked))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block, start = TaskContext.get().partitionId(), 0, 0
@@ -141,40 +141,54 @@ def _arrow_blocks() -> pa.Schema:
     return pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("start_in_shard", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.binary()), ("control", pa.binary()), ("data", pa.binary())])
 
 
-def read_blocks(blocks: DataFrame, rank: np.ndarray) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the files."""
+def write_files(spark: SparkSession, docs: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID) -> None:
+    """Encode all documents and write folder/blocks and folder/ranks, which has a row per id that occurs."""
+    from tokenizers import Tokenizer
+
+    configure(spark)
+    path = path or tokenizer_path()
+    vocabulary = Tokenizer.from_file(path).get_vocab_size()
+    kind = id_type(vocabulary)
+    ids = stage(tokenize(docs, path, end_id))
+    ranked = ranked_ids(ids, kind, vocabulary)
+    stage(spark.createDataFrame(pa.table({"rank": pa.array(range(len(ranked)), pa.int64()), "id": pa.array(ranked, pa.int64())})), f"{folder}/ranks")
+    stage(blocks_of(ids, ranked, kind, vocabulary), f"{folder}/blocks")
+
+
+def read_files(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the files alone; with_ids adds the ids."""
+    ranks = spark.read.parquet(f"{folder}/ranks").toArrow()  # at most the vocabulary
+    vocabulary = np.zeros(ranks.num_rows, "<u4")
+    vocabulary[ranks["rank"].to_numpy()] = ranks["id"].to_numpy()
+    blocks = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks")
     sums = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("shard_tokens"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     starts = sums.select("shard", F.coalesce(F.sum("shard_tokens").over(before), F.lit(0)).alias("shard_start"))
-    vocabulary = np.argsort(rank, kind="stable").astype("<u4")
+    schema = T.StructType([*DECODED]).add("ids", T.ArrayType(T.LongType())) if with_ids else DECODED
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 lengths = np.frombuffer(row["lengths"], "<i8")
                 ends = np.cumsum(lengths)
-                ranks = unpack(np.frombuffer(row["control"], np.uint8), np.frombuffer(row["data"], np.uint8), int(lengths.sum()))
-                raw = memoryview(vocabulary[ranks]).cast("B")
+                ids = vocabulary[unpack(np.frombuffer(row["control"], np.uint8), np.frombuffer(row["data"], np.uint8), int(lengths.sum()))]
+                raw = memoryview(ids).cast("B")
                 crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
                 start = row["shard_start"] + row["start_in_shard"] + ends - lengths
                 columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(start), pa.array(lengths), pa.array(crc, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=DECODED.names)
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids.astype(np.int64))))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return blocks.join(starts, "shard").select("start_in_shard", "doc_ids", "lengths", "control", "data", "shard_start").mapInArrow(run, DECODED)
+    return blocks.join(starts, "shard").select("start_in_shard", "doc_ids", "lengths", "control", "data", "shard_start").mapInArrow(run, schema)
 
 
-def token_binary(spark: SparkSession, docs: DataFrame, path: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """Encode, write and read back all documents; one row per document (see the module's docstring).
+def token_binary(spark: SparkSession, docs: DataFrame, path: str | None = None, end_id: int = END_ID, folder: str | None = None) -> DataFrame:
+    """Write all documents to a folder and read them back from it; one row per document (see the module's docstring).
 
-    Two tables go to the shared folder: the ids (once through the tokenizer, counted and sorted from
-    there) and the files. The rank table has one entry per vocabulary id, whatever the corpus.
+    The ids go once through the tokenizer to a table in the shared folder, and are counted and sorted
+    from there. The rank table has one entry per vocabulary id, whatever the corpus.
     """
-    configure(spark)
-    path = path or tokenizer_path()
-    from tokenizers import Tokenizer
-
-    vocabulary = Tokenizer.from_file(path).get_vocab_size()
-    kind = id_type(vocabulary)
-    ids = stage(tokenize(docs, path, end_id))
-    rank = rank_table(ids, kind, vocabulary)
-    return read_blocks(stage(write_blocks(ids, rank, kind)), rank)
+    folder = folder or work_dir(spark)
+    write_files(spark, docs, folder, path, end_id)
+    return read_files(spark, folder)
