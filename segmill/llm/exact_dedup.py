@@ -1,23 +1,28 @@
-"""Exact deduplication as a stateful stream.
+"""Exact deduplication as a stateful stream over a store that lasts.
 
-Documents become slim events (digest, doc_id, content locator) in the shared folder. A stream reads
-these files in micro-batches and keeps one state row per digest in RocksDB on disk, without expiry:
-the stable identifier that stays (the largest doc_id so far), its locator and the number of rows.
-Rows of one digest are combined before the shuffle, so a group of any size costs a task one row.
-A hit (a digest met more than once) is then checked on full bytes: rows of repeated digests are
-grouped by digest and whole normalised text. Digests with more than one text are split by text.
+Documents become slim events: digest, doc_id (the stable identifier) and a content locator, the file
+and row where the text stands. Events are appended to the store, and a stream reads what is new there
+in micro-batches. It keeps one state row per digest in RocksDB on disk, without expiry: the identifier
+that stays (the largest doc_id so far), the locator of the text that came first, and the number of
+rows. Rows of one digest are combined before the shuffle, so a group of any size costs a task one row.
+
+A hit is a digest that was met before. Its new rows are fetched by their locators, and so is the text
+that came first, whichever run brought it; their full bytes are compared. A digest with several texts
+is split by whole text. Given a store of its own, a later run meets the documents of all runs before.
 
 Texts are equal if they are identical after lower-casing A-Z only.
 
 Cases: null text counts as empty; a null doc_id is smaller than any other; of repeated rows with the
-same doc_id and text exactly one stays (that of the largest locator); an empty table gives no row;
-other columns are ignored.
+same doc_id and text exactly one stays (that of the largest locator); an empty table gives no row; a
+text of any length is one value of a column; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import string
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,12 +30,15 @@ from segmill.llm.common import configure, stage, work_dir
 
 #: Event files in a micro-batch.
 FILES_PER_BATCH = 64
+#: Digests that are broadcast at most: each has a share of the rows of at least one in so many.
+MOST_HOT = 1000
 _ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many small stores: no space ahead
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
+_LOCATOR = ["run", "file", "row"]
 
 
 def normal_text(text: str | Column = "text") -> Column:
@@ -42,32 +50,65 @@ def text_digest(text: Column, digest_bytes: int = 32) -> Column:
     return F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, digest_bytes)
 
 
-def events_of(docs: DataFrame, digest_bytes: int) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normal_text().alias("normal"))
-    return rows.select(
-        "doc_id",
-        text_digest(F.col("normal"), digest_bytes).alias("digest"),
-        F.sha2(F.col("normal").cast("binary"), 256).alias("text_sha256"),
-        F.monotonically_increasing_id().alias("locator"),
-    )
-
-
-def stream_groups(spark: SparkSession, events: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """(digest, keep, n): the state after all event files, as the stream's last update per digest."""
-    paths = sorted({f.rpartition("/")[0] for f in events.inputFiles()})
-    empty = events.limit(0).groupBy("digest").agg(_keep(), _number())
-    if not paths:
-        return empty
-    updates, checkpoint = work_dir(spark), work_dir(spark)
+def locate(scan: DataFrame, run: int | Column) -> DataFrame:
+    """A scan of files with the locator of each row: run, hash of the file's path, row in the file."""
+    place = F.col("_metadata")
+    return scan.select("*", F.lit(run).cast("long").alias("_run"), F.xxhash64(place["file_path"]).alias("_file"), place["row_index"].alias("_row"))
+
+
+class Store:
+    """A folder with the events, the stream's state and, for each run, where its contents stand."""
+
+    def __init__(self, spark: SparkSession, folder: str | None):
+        self.spark, self.folder = spark, folder or work_dir(spark)
+        self.events, self.sources, self.mixed, self.checkpoint = (f"{self.folder}/{name}" for name in ("events", "sources", "mixed", "checkpoint"))
+        runs = self.table(self.sources)
+        self.run = 0 if runs is None else runs.agg(F.coalesce(F.max("run") + 1, F.lit(0))).first()[0]
+
+    def table(self, path: str) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(path)
+        except AnalysisException:  # nothing was written there yet
+            return None
+
+    def add(self, docs: DataFrame, located: bool) -> DataFrame:
+        """docs with locators; unless they can be located where they stand, their columns are copied to the store."""
+        scan = docs if located else stage(docs, f"{self.folder}/contents-{self.run}")
+        found = locate(scan, self.run)
+        paths = [(self.run, path) for path in scan.inputFiles()]
+        self.spark.createDataFrame(paths or [(self.run, None)], "run long, path string").write.mode("append").parquet(self.sources)
+        return found
+
+    def texts(self, locators: DataFrame, present: DataFrame) -> DataFrame:
+        """(digest, normal) of the texts at locators(digest, run, file, row); present is what add() gave for this run."""
+        every = present.select("text", "_run", "_file", "_row")
+        earlier = locators.where(F.col("run") < self.run).select("run").distinct().collect()  # a row a run
+        for run in sorted(r.run for r in earlier):
+            paths = [r.path for r in self.table(self.sources).where(F.col("run") == run).select("path").distinct().collect()]
+            every = every.unionByName(locate(self.spark.read.parquet(*paths).select("text"), run))
+        same = [F.col(c) == F.col(f"_{c}") for c in _LOCATOR]
+        return every.join(locators, same).select("digest", normal_text().alias("normal"), *_LOCATOR)
+
+
+def events_of(contents: DataFrame, digest_bytes: int) -> DataFrame:
+    normal = normal_text()
+    rows = contents.select(F.col("doc_id").cast("long").alias("doc_id"), normal.alias("normal"), *[F.col(f"_{c}").alias(c) for c in _LOCATOR])
+    return rows.select("doc_id", text_digest(F.col("normal"), digest_bytes).alias("digest"), F.sha2(F.col("normal").cast("binary"), 256).alias("text_sha256"), *_LOCATOR)
+
+
+def stream_groups(store: Store, events: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """(digest, keep, first, n) of every digest among the new events, after all of them."""
+    spark = store.spark
+    updates = f"{store.folder}/updates-{store.run}-{uuid.uuid4().hex}"
     before = {k: spark.conf.get(k, None) for k in _ROCKSDB}
     for k, v in _ROCKSDB.items():
         spark.conf.set(k, v)
     try:
-        source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files_per_batch).parquet(paths[0])
-        state = source.groupBy("digest").agg(_keep(), _number())
+        source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files_per_batch).parquet(store.events)
+        state = source.groupBy("digest").agg(*_state())
         query = (
             state.writeStream.outputMode("update")
-            .option("checkpointLocation", checkpoint)
+            .option("checkpointLocation", store.checkpoint)
             .trigger(availableNow=True)
             .foreachBatch(lambda batch, k: batch.write.mode("overwrite").parquet(f"{updates}/batch={k}"))
             .start()
@@ -76,45 +117,66 @@ def stream_groups(spark: SparkSession, events: DataFrame, files_per_batch: int =
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    rows = spark.read.schema(empty.schema).option("basePath", updates).parquet(updates)
-    return rows.groupBy("digest").agg(F.max("keep").alias("keep"), F.max("n").alias("n"))
-
-
-def _keep() -> Column:
-    return F.max(F.struct("doc_id", "locator")).alias("keep")
+    empty = events.limit(0).groupBy("digest").agg(*_state())
+    try:
+        rows = spark.read.schema(empty.schema).option("basePath", updates).parquet(updates)
+    except AnalysisException:  # no new event
+        return empty
+    return rows.groupBy("digest").agg(F.max("keep").alias("keep"), F.min("first").alias("first"), F.max("n").alias("n"))
 
 
-def _number() -> Column:
-    return F.count(F.lit(1)).alias("n")
+def _state() -> list[Column]:
+    locator = F.struct(*_LOCATOR)
+    return [F.max(F.struct("doc_id", locator.alias("at"))).alias("keep"), F.min(locator).alias("first"), F.count(F.lit(1)).alias("n")]
 
 
-def _hit_texts(docs: DataFrame, groups: DataFrame, digest_bytes: int) -> DataFrame:
-    """Rows of repeated digests with their whole normalised text."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normal_text().alias("normal"))
-    rows = rows.withColumn("digest", text_digest(F.col("normal"), digest_bytes))
-    return rows.join(groups.where("n > 1").select("digest"), "digest", "left_semi")
+def _with_groups(events: DataFrame, groups: DataFrame) -> DataFrame:
+    """events with their digests' groups. The few digests with a large share of all rows are broadcast, so no task gets them all."""
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    large = F.col("n") * MOST_HOT >= total + MOST_HOT * MOST_HOT
+    hot = groups.where(large)  # at most MOST_HOT rows, as their n add up to total
+    if hot.isEmpty():
+        return events.join(groups, "digest")
+    rest = events.join(F.broadcast(hot.select("digest")), "digest", "left_anti").join(groups.where(~large), "digest")
+    return events.join(F.broadcast(hot), "digest").unionByName(rest)
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, digest_bytes: int = 32, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+def exact_dedup(spark: SparkSession, docs: DataFrame, digest_bytes: int = 32, files_per_batch: int = FILES_PER_BATCH, store: str | None = None, located: bool = False) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text).
 
-    A shorter digest (digest_bytes) only makes collisions likelier; results stay the same.
+    With a store, a folder of one's own, groups take in the documents of all runs on it. located says
+    that docs are a plain scan of files that stay, so texts need not be copied to the store. A shorter
+    digest (digest_bytes) only makes collisions likelier; results stay the same.
     """
+    return _exact_dedup(spark, docs, digest_bytes, files_per_batch, store, located)[1].drop(*_LOCATOR)
+
+
+def _exact_dedup(spark: SparkSession, docs: DataFrame, digest_bytes: int, files_per_batch: int, folder: str | None, located: bool) -> tuple[DataFrame, DataFrame]:
+    """(docs with locators, exact_dedup() with locators)."""
     configure(spark)
-    events = stage(events_of(docs, digest_bytes))
-    groups = stage(stream_groups(spark, events, files_per_batch))
-    texts = _hit_texts(docs, groups, digest_bytes).groupBy("digest", "normal").agg(F.count(F.lit(1)).alias("m"))
+    store = Store(spark, folder)
+    contents = store.add(docs, located)
+    events_of(contents, digest_bytes).write.mode("append").parquet(store.events)
+    every = spark.read.parquet(store.events)
+    events = every.where(F.col("run") == store.run)
+    groups = stage(stream_groups(store, events, files_per_batch))
+
+    hits = groups.where("n > 1").select("digest", "first")
+    met = stage(_with_groups(events, groups).where("n > 1").select("digest", *_LOCATOR).union(hits.select("digest", *[F.col(f"first.{c}").alias(c) for c in _LOCATOR])).distinct())
+    texts = store.texts(met, contents).groupBy("digest", "normal").agg(F.count(F.lit(1)).alias("m"))
     mixed = stage(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("digest"))
+    known = store.table(store.mixed)
+    if not mixed.isEmpty():
+        mixed.write.mode("append").parquet(store.mixed)
+    if known is not None:
+        mixed = stage(mixed.union(known.join(groups, "digest", "left_semi")).distinct())
     if mixed.isEmpty():
-        return _result(events.join(groups, "digest"))
-    # Different texts share a digest: their groups are those of the full hash with the whole text.
-    full = _hit_texts(docs, groups, digest_bytes).join(mixed, "digest", "left_semi")
-    full = full.select("doc_id", "normal").withColumn("text_sha256", F.sha2(F.col("normal").cast("binary"), 256))
-    full = full.withColumn("locator", F.monotonically_increasing_id())
-    full = stage(full)
-    split = full.groupBy("normal").agg(_keep(), _number())
-    rest = events.join(mixed, "digest", "left_anti").join(groups, "digest")
-    return _result(rest).unionByName(_result(full.join(split, "normal")))
+        return contents, _result(_with_groups(events, groups))
+    # Different texts share a digest: their groups are those of the whole texts, over all runs.
+    whole = stage(store.texts(every.join(mixed, "digest", "left_semi").select("digest", *_LOCATOR), contents).join(every.select("doc_id", "text_sha256", *_LOCATOR), _LOCATOR))
+    split = whole.groupBy("normal").agg(*_state())
+    rest = _with_groups(events.join(mixed, "digest", "left_anti"), groups.join(mixed, "digest", "left_anti"))
+    return contents, _result(rest).unionByName(_result(whole.where(F.col("run") == store.run).join(split, "normal")))
 
 
 def _result(rows: DataFrame) -> DataFrame:
@@ -122,19 +184,14 @@ def _result(rows: DataFrame) -> DataFrame:
         "doc_id",
         F.col("keep.doc_id").alias("keep_id"),
         F.col("n").alias("group_size"),
-        (F.col("locator") == F.col("keep.locator")).alias("kept"),
+        (F.struct(*_LOCATOR) == F.col("keep.at")).alias("kept"),
         "text_sha256",
+        *_LOCATOR,
     )
 
 
-def drop_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents that exact_dedup() keeps, with their own columns."""
-    found = stage(exact_dedup(spark, docs))
-    repeated = found.where("not kept and doc_id <=> keep_id").select("doc_id", "text_sha256").distinct()
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_sha")).distinct()
-    gone = gone.join(repeated, (gone["_gone_id"].eqNullSafe(repeated["doc_id"])) & (gone["_gone_sha"] == repeated["text_sha256"]), "left_anti")
-    marked = docs.withColumn("_own_sha", F.sha2(normal_text().cast("binary"), 256))
-    kept = marked.join(gone, marked["doc_id"].eqNullSafe(gone["_gone_id"]) & (marked["_own_sha"] == gone["_gone_sha"]), "left_anti")
-    if not repeated.isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "_own_sha"])
-    return kept.select(*[docs[c] for c in docs.columns]) if repeated.isEmpty() else kept.select(*docs.columns)
+def drop_copies(spark: SparkSession, docs: DataFrame, store: str | None = None, located: bool = False) -> DataFrame:
+    """The documents that exact_dedup() keeps, with their own columns; rows go by their locators."""
+    contents, found = _exact_dedup(spark, docs, 32, FILES_PER_BATCH, store, located)
+    gone = stage(found.where("not kept").select(*[F.col(c).alias(f"_{c}") for c in _LOCATOR]))
+    return contents.join(gone, [f"_{c}" for c in _LOCATOR], "left_anti").select(*docs.columns)

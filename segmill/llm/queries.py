@@ -25,7 +25,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(spark, read_table(spark, sf_dir, "documents"))
+    return exact_dedup(spark, read_table(spark, sf_dir, "documents"), located=True)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -170,6 +170,33 @@ def test_exact_dedup(spark, digest_bytes):
     assert len(kept) == len({r.text_sha256 for r in got}) and all(r.doc_id == r.keep_id for r in kept)
 
 
+@pytest.mark.parametrize("digest_bytes", [32, 1])
+def test_a_store_meets_the_documents_of_earlier_runs(spark, tmp_path, digest_bytes):
+    rows = corpus()
+    thirds, store, seen = [rows[::3], rows[1::3], rows[2::3]], f"file://{tmp_path}/store", []
+    for k, part in enumerate(thirds):
+        docs, located = frame(spark, part), k == 1
+        if located:
+            docs.write.parquet(f"{tmp_path}/docs")
+            docs = spark.read.parquet(f"{tmp_path}/docs")
+        seen += part
+        groups = brute.exact_groups(seen)
+        got = exact_dedup.exact_dedup(spark, docs, digest_bytes, store=store, located=located).collect()
+        assert sorted(((r.doc_id, r.keep_id, r.group_size) for r in got), key=repr) == sorted(((i, *groups[brute.lower(t or "")]) for i, t in part), key=repr)
+    assert exact_dedup.exact_dedup(spark, frame(spark, []), digest_bytes, store=store).count() == 0
+    again = exact_dedup.exact_dedup(spark, frame(spark, rows[:5]), digest_bytes, store=store).collect()
+    assert all(r.group_size == 1 + groups[brute.lower(t or "")][1] for (i, t), r in zip(sorted(rows[:5], key=repr), sorted(again, key=lambda r: repr((r.doc_id, dict(rows[:5])[r.doc_id]))), strict=True))
+
+
+def test_hot_digests_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "MOST_HOT", 3)
+    rows = [(i, "hot" if i % 2 else f"t{i % 20}") for i in range(200)]
+    got = exact_dedup.exact_dedup(spark, frame(spark, rows)).collect()
+    groups = brute.exact_groups(rows)
+    assert sorted((r.doc_id, r.keep_id, r.group_size) for r in got) == sorted((i, *groups[t]) for i, t in rows)
+    assert sum(r.kept for r in got) == 11
+
+
 def test_drop_copies(spark):
     rows = corpus()
     kept = exact_dedup.drop_copies(spark, frame(spark, rows))
@@ -340,6 +367,15 @@ def test_token_binary(spark):
     assert sorted(((i, n, c) for _, i, n, c in by_start), key=repr) == sorted(expected, key=repr)
 
 
+def test_token_files_stand_alone(spark, tmp_path):
+    rows = corpus()
+    token_binary.write_files(spark, frame(spark, rows), f"file://{tmp_path}/tokens")
+    got = token_binary.read_files(spark.newSession(), f"file://{tmp_path}/tokens", with_ids=True).collect()
+    expected = [(i, [*ENCODER.tokenizer.encode(t or "", add_special_tokens=False).ids, token_binary.END_ID]) for i, t in rows]
+    assert sorted(((r.doc_id, r.ids) for r in got), key=repr) == sorted(expected, key=repr)
+    assert all(r.n_tokens == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in got)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1)))
 def test_packed_ranks_round_trip(ranks):
