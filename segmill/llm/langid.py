@@ -28,6 +28,8 @@ from segmill.llm.common import configure, text_bytes
 
 WINDOW = 256
 WIDTHS = (2, 3, 4, 5)
+#: Bytes of windows that are cut and predicted at once.
+STRETCH = 1 << 21
 #: Labelled documents that training reads at most.
 TRAIN_ROWS = 6000
 UNKNOWN = "und"
@@ -133,17 +135,29 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=1, keepdims=True)
 
 
-def windows_of(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of all texts (the last of each is padded), the text of each, and its bytes."""
-    lengths = np.diff(offsets)
-    counts = -(-lengths // window)
-    text = np.repeat(np.arange(len(lengths)), counts)
-    nth = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+def window_counts(offsets: np.ndarray, window: int) -> np.ndarray:
+    return -(-np.diff(offsets) // window)
+
+
+def windows_at(data: np.ndarray, offsets: np.ndarray, text: np.ndarray, nth: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nth windows of texts (the last of each is padded) and their bytes."""
     start = offsets[text] + nth * window
-    size = np.minimum(window, lengths[text] - nth * window)
-    at = start[:, None] + np.arange(window)
-    padded = np.concatenate([data, np.zeros(window, np.uint8)])
-    return padded[at] * (np.arange(window) < size[:, None]), text, size
+    size = np.minimum(window, offsets[text + 1] - start)
+    at = np.minimum(start[:, None] + np.arange(window), max(len(data) - 1, 0))
+    return data[at] * (np.arange(window) < size[:, None]), size
+
+
+def mean_scores(net: ByteNet, data: np.ndarray, offsets: np.ndarray, window: int) -> np.ndarray:
+    """(texts, languages): the mean over each text's windows by their bytes, a stretch of windows at a time."""
+    ends = np.cumsum(window_counts(offsets, window))
+    total = np.zeros((len(ends), len(net.langs)))
+    step = max(1, STRETCH // window)
+    for first in range(0, int(ends[-1]) if len(ends) else 0, step):
+        every = np.arange(first, min(first + step, ends[-1]))
+        text = np.searchsorted(ends, every, side="right")
+        windows, size = windows_at(data, offsets, text, every - np.append(0, ends)[text], window)
+        np.add.at(total, text, net.predict(windows) * size[:, None])
+    return total / np.maximum(np.diff(offsets), 1)[:, None]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -160,12 +174,11 @@ def training_sample(docs: DataFrame, train_rows: int, window: int, seed: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            windows, text, _ = windows_of(data, offsets, window)
-            counts = np.bincount(text, minlength=len(offsets) - 1)
+            counts = window_counts(offsets, window)
             ids = np.array(batch.column(0).to_pylist(), np.int64)
             has = np.flatnonzero(counts)
-            pick = (np.cumsum(counts) - counts)[has] + (ids[has] * 2654435761 % (1 << 31)) % counts[has]
-            raw = [windows[i].tobytes() for i in pick.tolist()]
+            windows, _ = windows_at(data, offsets, has, (ids[has] * 2654435761 % (1 << 31)) % counts[has], window)
+            raw = [w.tobytes() for w in windows]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(has)), pa.array(raw, pa.binary()), batch.column(2).take(pa.array(has))], names=["doc_id", "bytes", "lang"])
 
     sample = rows.select("doc_id", "text", F.col("lang").cast("string")).mapInArrow(run, "doc_id long, bytes binary, lang string")
@@ -209,10 +222,7 @@ def predict_langid(docs: DataFrame, net: ByteNet | None, window: int = WINDOW) -
                 names = np.array(net.langs, object)
                 data, offsets = text_bytes(batch.column(2))
                 letters = has_letter(data, offsets, batch.column(2))
-                windows, text, size = windows_of(data, offsets, window)
-                total = np.zeros((n, len(names)))
-                np.add.at(total, text, net.predict(windows) * size[:, None])
-                mean = total / np.maximum(np.bincount(text, weights=size, minlength=n), 1)[:, None]
+                mean = mean_scores(net, data, offsets, window)
                 best = mean.argmax(axis=1)
                 langs[letters] = names[best[letters]]
                 score[letters] = np.clip(mean[np.arange(n), best], 0, 1)[letters]
@@ -245,11 +255,7 @@ def keep_known(spark: SparkSession, docs: DataFrame, least_score: float = 0.5, t
             data, offsets = text_bytes(texts)
             keep = has_letter(data, offsets, texts)
             if net is not None:
-                windows, text, size = windows_of(data, offsets, WINDOW)
-                total = np.zeros((batch.num_rows, len(net.langs)))
-                np.add.at(total, text, net.predict(windows) * size[:, None])
-                mean = total.max(axis=1) / np.maximum(np.bincount(text, weights=size, minlength=batch.num_rows), 1)
-                keep &= mean >= least_score
+                keep &= mean_scores(net, data, offsets, WINDOW).max(axis=1) >= least_score
             if keep.any():
                 yield batch.filter(pa.array(keep))
 
