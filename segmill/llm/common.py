@@ -5,13 +5,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from segmill.sources.staging import read_table, stage, work_dir  # noqa: F401  (shared by the operators)
 
 #: Fixed for every operator: Arrow batches stay small, so that a few very long texts fit a worker.
 BATCH_ROWS = 2000
 BATCH_BYTES = 8 << 20
+#: Keys that join_counted() broadcasts at most.
+MOST_HOT = 1000
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -21,6 +24,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def join_counted(rows: DataFrame, groups: DataFrame, key: str, most_hot: int | None = None) -> DataFrame:
+    """rows joined to groups, a staged table of one row per key with n, the number of rows that have it.
+
+    The few keys with a large share of all rows are broadcast, so no task gets all rows of such a
+    key: as the n add up to the total, at most MOST_HOT keys have the share of one in MOST_HOT.
+    """
+    most = most_hot or MOST_HOT
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    large = F.col("n") * most >= total + most * most
+    hot = groups.where(large)
+    if hot.isEmpty():
+        return rows.join(groups, key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.where(~large), key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
+
+
 def as_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 

@@ -26,12 +26,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmill.llm.common import configure, stage, work_dir
+from segmill.llm.common import configure, join_counted, stage, work_dir
 
 #: Event files in a micro-batch.
 FILES_PER_BATCH = 64
-#: Digests that are broadcast at most: each has a share of the rows of at least one in so many.
-MOST_HOT = 1000
 _ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many small stores: no space ahead
@@ -130,17 +128,6 @@ def _state() -> list[Column]:
     return [F.max(F.struct("doc_id", locator.alias("at"))).alias("keep"), F.min(locator).alias("first"), F.count(F.lit(1)).alias("n")]
 
 
-def _with_groups(events: DataFrame, groups: DataFrame) -> DataFrame:
-    """events with their digests' groups. The few digests with a large share of all rows are broadcast, so no task gets them all."""
-    total = groups.agg(F.sum("n")).first()[0] or 0
-    large = F.col("n") * MOST_HOT >= total + MOST_HOT * MOST_HOT
-    hot = groups.where(large)  # at most MOST_HOT rows, as their n add up to total
-    if hot.isEmpty():
-        return events.join(groups, "digest")
-    rest = events.join(F.broadcast(hot.select("digest")), "digest", "left_anti").join(groups.where(~large), "digest")
-    return events.join(F.broadcast(hot), "digest").unionByName(rest)
-
-
 def exact_dedup(spark: SparkSession, docs: DataFrame, digest_bytes: int = 32, files_per_batch: int = FILES_PER_BATCH, store: str | None = None, located: bool = False) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text).
 
@@ -162,7 +149,7 @@ def _exact_dedup(spark: SparkSession, docs: DataFrame, digest_bytes: int, files_
     groups = stage(stream_groups(store, events, files_per_batch))
 
     hits = groups.where("n > 1").select("digest", "first")
-    met = stage(_with_groups(events, groups).where("n > 1").select("digest", *_LOCATOR).union(hits.select("digest", *[F.col(f"first.{c}").alias(c) for c in _LOCATOR])).distinct())
+    met = stage(join_counted(events, groups, "digest").where("n > 1").select("digest", *_LOCATOR).union(hits.select("digest", *[F.col(f"first.{c}").alias(c) for c in _LOCATOR])).distinct())
     texts = store.texts(met, contents).groupBy("digest", "normal").agg(F.count(F.lit(1)).alias("m"))
     mixed = stage(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("digest"))
     known = store.table(store.mixed)
@@ -171,11 +158,11 @@ def _exact_dedup(spark: SparkSession, docs: DataFrame, digest_bytes: int, files_
     if known is not None:
         mixed = stage(mixed.union(known.join(groups, "digest", "left_semi")).distinct())
     if mixed.isEmpty():
-        return contents, _result(_with_groups(events, groups))
+        return contents, _result(join_counted(events, groups, "digest"))
     # Different texts share a digest: their groups are those of the whole texts, over all runs.
     whole = stage(store.texts(every.join(mixed, "digest", "left_semi").select("digest", *_LOCATOR), contents).join(every.select("doc_id", "text_sha256", *_LOCATOR), _LOCATOR))
     split = whole.groupBy("normal").agg(*_state())
-    rest = _with_groups(events.join(mixed, "digest", "left_anti"), groups.join(mixed, "digest", "left_anti"))
+    rest = join_counted(events.join(mixed, "digest", "left_anti"), groups.join(mixed, "digest", "left_anti"), "digest")
     return contents, _result(rest).unionByName(_result(whole.where(F.col("run") == store.run).join(split, "normal")))
 
 

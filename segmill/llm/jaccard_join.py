@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmill.llm import hashing
-from segmill.llm.common import configure, ragged, stage
+from segmill.llm.common import configure, join_counted, ragged, stage
 from segmill.llm.components import components
 from segmill.llm.parts import LATER, PART_TEXT, Part, ask, ask_copies, bucket_number, heard, heard_copies, keyed, parts_of, stage_parts, tell, text_size
 from segmill.llm.words import words_of
@@ -160,9 +160,19 @@ def _pivot_pairs(known: DataFrame, percent: int, k: int) -> DataFrame:
     """Each member with its n-gram's pivot, unless they are connected or cannot link."""
     share = F.col("alone") / F.col("n")
     rank = F.struct(share, F.col("cid")) if k == 0 else F.struct(F.xxhash64("comp", "gram"), share, F.col("cid"))
-    pivot = known.groupBy("gram").agg(F.min_by(F.struct("cid", "n", "place", "comp"), rank).alias("p"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    pivot = pivot.where("low <> high").select("gram", *[F.col(f"p.{c}").alias(f"other_{c}") for c in ("cid", "n", "place", "comp")])
-    return known.join(pivot, "gram").where((F.col("comp") != F.col("other_comp")) & _can_link(percent))
+    pivot = known.groupBy("gram").agg(F.min_by(F.struct("cid", "n", "place", "comp"), rank).alias("p"), F.min("comp").alias("low"), F.max("comp").alias("high"), _members_number())
+    pivot = stage(pivot.where("low <> high").select("gram", "members", *[F.col(f"p.{c}").alias(f"other_{c}") for c in ("cid", "n", "place", "comp")]))
+    return _met(known, pivot).where((F.col("comp") != F.col("other_comp")) & _can_link(percent))
+
+
+def _members_number():
+    return F.count(F.lit(1)).alias("members")
+
+
+def _met(known: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members with what their n-gram's group says (staged, with its number of members)."""
+    own = known.withColumnRenamed("n", "own_n")
+    return join_counted(own, groups.withColumnRenamed("members", "n"), "gram").drop("n").withColumnRenamed("own_n", "n")
 
 
 def _pairs_across(known: DataFrame, percent: int) -> DataFrame:
@@ -172,14 +182,14 @@ def _pairs_across(known: DataFrame, percent: int) -> DataFrame:
     goes first. Of the
     rest, members outside the n-gram's largest component meet all others; inside it nothing meets.
     """
-    best = known.groupBy("gram").agg(F.min("n").alias("least_n"), F.min("place").alias("least_place"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    best = known.groupBy("gram").agg(F.min("n").alias("least_n"), F.min("place").alias("least_place"), F.min("comp").alias("low"), F.max("comp").alias("high"), _members_number())
     held = F.col("n") - F.col("place")
-    open_ = known.join(best, "gram").where(100 * held >= percent * (F.col("n") + F.greatest(F.col("least_n") - held, F.col("least_place"))))
+    open_ = _met(known, stage(best.where("low <> high"))).where(100 * held >= percent * (F.col("n") + F.greatest(F.col("least_n") - held, F.col("least_place"))))
     open_ = stage(open_.select("gram", "cid", "n", "place", "comp"))
     sizes = open_.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("m"))
-    largest = sizes.groupBy("gram").agg(F.max_by("comp", F.struct("m", "comp")).alias("largest"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    marked = open_.join(largest, "gram")
-    outside = marked.where("comp <> largest").drop("comps")
+    largest = sizes.groupBy("gram").agg(F.max_by("comp", F.struct("m", "comp")).alias("largest"), F.count(F.lit(1)).alias("comps"), F.sum("m").alias("members"))
+    marked = stage(_met(open_, stage(largest.where("comps > 1").drop("comps"))))
+    outside = marked.where("comp <> largest")
     others = marked.select("gram", *[F.col(c).alias(f"other_{c}") for c in ("cid", "n", "place", "comp")])
     once = (F.col("other_comp") == F.col("largest")) | (F.col("cid") < F.col("other_cid"))
     return outside.join(others, "gram").where((F.col("comp") != F.col("other_comp")) & once & _can_link(percent))
@@ -188,14 +198,14 @@ def _pairs_across(known: DataFrame, percent: int) -> DataFrame:
 def link_sets(sets: DataFrame, percent: int, pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
     """Links (a, b) that connect what is connected; pairs inside a known component are left out."""
     prefixes = sets.select("cid", "n", "alone", F.posexplode("prefix").alias("place", "gram")).withColumn("place", F.col("alone") + F.col("place"))
-    met = prefixes.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram")
-    prefixes = stage(prefixes.join(met, "gram"))
+    met = stage(prefixes.groupBy("gram").agg(_members_number()).where("members > 1"))
+    prefixes = stage(_met(prefixes, met))
     links = tested = None
     for k in range(pivot_rounds + 1):
         known = prefixes.withColumn("comp", F.col("cid"))
         if links is not None:
             labels = components(links)
-            known = prefixes.join(labels, prefixes["cid"] == labels["node"], "left").select("gram", "cid", "n", "alone", "place", F.coalesce("comp", "cid").alias("comp"))
+            known = stage(prefixes.join(labels, prefixes["cid"] == labels["node"], "left").select("gram", "cid", "n", "alone", "place", F.coalesce("comp", "cid").alias("comp")))
         pairs = _pivot_pairs(known, percent, k) if k < pivot_rounds else _pairs_across(known, percent)
         pairs = pairs.select(F.least("cid", "other_cid").alias("a"), F.greatest("cid", "other_cid").alias("b")).distinct()
         pairs = stage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
@@ -223,10 +233,10 @@ def _components(spark: SparkSession, docs: DataFrame, gram: int, percent: int, f
     labels = components(link_sets(sets, percent))
     texts = every.groupBy("key").agg(F.min(F.array_min("doc_ids")).alias("first_id"), F.max("n").alias("n"), F.max("cid").alias("cid"))
     texts = stage(texts.join(labels, F.col("cid") == F.col("node"), "left").select("key", "first_id", "n", "comp"))
-    linked = texts.where("comp is not null")
-    least = linked.groupBy("comp").agg(F.min("first_id").alias("component_id"), F.min_by("key", F.struct(F.col("first_id").isNull(), "first_id", "key")).alias("kept_key"))
-    component = F.when(F.col("comp").isNull(), F.col("first_id")).otherwise(F.col("component_id"))
-    of_text = texts.join(least, "comp", "left").select("key", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce("kept_key", "key").alias("kept_key"))
+    linked = texts.where("comp is not null").withColumnRenamed("n", "n_shingles")
+    least = linked.groupBy("comp").agg(F.min("first_id").alias("component_id"), F.min_by("key", F.struct(F.col("first_id").isNull(), "first_id", "key")).alias("kept_key"), F.count(F.lit(1)).alias("n"))
+    of_text = join_counted(linked, stage(least), "comp").select("key", "n_shingles", "component_id", "kept_key")
+    of_text = of_text.union(texts.where("comp is null").select("key", "n", "first_id", "key"))
     rows = every.select("key", "doc_ids").join(of_text, "key").select(F.explode("doc_ids").alias("doc_id"), "n_shingles", "component_id", "key", "kept_key")
     return rows.withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")))
 

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from segmill.llm import exact_dedup, jaccard_join, langid, license_scan, packing, site_style_tree, string_tiling, suffix_dedup, token_binary, tokens, window_dedup
+from segmill.llm import common, exact_dedup, jaccard_join, langid, license_scan, packing, site_style_tree, string_tiling, suffix_dedup, token_binary, tokens, window_dedup
 from segmill.llm.common import text_bytes
 from segmill.llm.components import components
 from segmill.llm.words import words_of
@@ -116,6 +116,7 @@ def test_long_texts_need_little_beside_themselves():
         (lambda: suffix_dedup.anchors_of(*text_bytes(column), 100, 24), 12),
         (lambda: window_dedup.window_hashes(words_of(column), 35), 16),
         (lambda: words_of(column).hashes(), 12),
+        (lambda: langid.mean_scores(langid.ByteNet(["a", "b"], 1, 1), *text_bytes(column), langid.WINDOW), 2),
     ):
         tracemalloc.start()
         work()
@@ -152,6 +153,15 @@ def test_jaccard_chains_and_many_near_copies(spark):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_components(rows), key=repr)
 
 
+def test_hot_ngrams_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(common, "MOST_HOT", 4)
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(w if rng.random() > 0.02 else f"e{rng.randrange(9)}" for w in base)) for i in range(120)] + corpus()
+    got = jaccard_join.jaccard_components(spark, frame(spark, rows), buckets=2, part_text=3000)
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_components(rows), key=repr)
+
+
 def test_keep_one(spark):
     rows = [r for r in corpus() if r[0] is not None and r[0] != 7]
     kept = jaccard_join.keep_one(spark, frame(spark, rows))
@@ -189,7 +199,7 @@ def test_a_store_meets_the_documents_of_earlier_runs(spark, tmp_path, digest_byt
 
 
 def test_hot_digests_are_dealt_out(spark, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "MOST_HOT", 3)
+    monkeypatch.setattr(common, "MOST_HOT", 3)
     rows = [(i, "hot" if i % 2 else f"t{i % 20}") for i in range(200)]
     got = exact_dedup.exact_dedup(spark, frame(spark, rows)).collect()
     groups = brute.exact_groups(rows)
@@ -225,6 +235,16 @@ def test_language_id(spark):
     assert langid.keep_known(spark, docs).columns == docs.columns
 
 
+def test_language_id_on_the_given_tables(spark):
+    """Held-out accuracy; lang of held-out documents is never read."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    hidden = docs.withColumn("lang", F.when(~langid.held_out(F.col("doc_id")), F.col("lang")))
+    got = langid.language_id(spark, hidden).collect()
+    right = [r.lang_pred == lang[r.doc_id] for r in got if r.held_out and lang[r.doc_id] is not None and r.lang_pred != "und"]
+    assert len(right) > 200 and np.mean(right) > 0.98
+
+
 def test_network_gradients():
     net = langid.ByteNet(["a", "b", "c"], embed=3, filters=2)
     rng = np.random.default_rng(0)
