@@ -1,6 +1,7 @@
 """Main text of web pages by site style trees.
 
-Pages of one host share a tree: nodes are paths of tags with their class and id, merged over pages.
+Pages of one host share a tree: nodes are paths of tags with their class and id (long numbers in names
+count as one), merged over pages. A node is known by a hash of its path, so depth costs no memory.
 A node's content is as important as its texts are rare over the host's pages: with p_j the share of a
 text's places on page j of m, the text's entropy to the base m is near 1 if every page has it and 0
 if one page has it; importance is 1 minus the mean entropy, by length. Presentation counts too: the
@@ -20,7 +21,9 @@ to text, with the low branches of their host at hand.
 
 Cases: null html is empty, and its text is empty; a null url has a host of its own (''); repeated
 rows each get their row; text outside any element is a block of the root; an unclosed element ends
-with its parent; an empty table gives no row; other columns are ignored.
+with its parent; a page of any depth or length is read in time in proportion to its blocks times
+their depth; nodes of equal importance go or stay alike; an empty table gives no row; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -76,13 +80,36 @@ CLOSES_P = frozenset(
 CLOSES_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("html body table td th div article section main ul ol dl aside nav footer header form".split())
 
-BLOCK = T.StructType().add("path", T.StringType()).add("feature", T.LongType()).add("size", T.IntegerType()).add("links", T.IntegerType()).add("around", T.IntegerType())
-STYLE = T.StructType().add("path", T.StringType()).add("style", T.StringType())
+BLOCK = (
+    T.StructType().add("node", T.LongType()).add("over", T.LongType()).add("in_main", T.BooleanType()).add("named", T.BooleanType())
+    .add("feature", T.LongType()).add("size", T.IntegerType()).add("links", T.IntegerType()).add("around", T.IntegerType())
+)
+STYLE = T.StructType().add("node", T.LongType()).add("style", T.LongType())
 PARSED = T.StructType().add("row", T.LongType()).add("host", T.StringType()).add("copy", T.LongType()).add("page", T.LongType()).add("main", T.BooleanType()).add("blocks", T.ArrayType(BLOCK)).add("styles", T.ArrayType(STYLE))
 RESULT = T.StructType().add("page_id", T.LongType()).add("url", T.StringType()).add("text", T.StringType()).add("n_chars", T.LongType())
 HOST = r"(?i)^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
-_SEPARATOR = "/"
-_NAME = re.compile(r"[^a-z0-9]+")
+_NAME, _NUMBER = re.compile(r"[^a-z0-9]+"), re.compile(r"\d{3,}")
+
+
+@dataclass(frozen=True)
+class Place:
+    """A node of the tree: its path's hash, the one above it, whether it stands in a main branch, and the outermost branch with a name for chrome."""
+
+    node: int
+    over: int
+    in_main: bool
+    branch: int | None
+
+
+@dataclass(frozen=True)
+class Block:
+    place: Place
+    text: str
+    links: int
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
 class PageTree(HTMLParser):
@@ -93,11 +120,11 @@ class PageTree(HTMLParser):
         self.stack: list[tuple[str, list, list[str]]] = []
         self.found: list[tuple[list, str, int]] = []
         self.shown: list[tuple[list, str]] = []
-        self.blocks: list[tuple[str, str, int]] = []
-        self.styles: list[tuple[str, str]] = []
+        self.blocks: list[Block] = []
+        self.styles: list[tuple[int, int]] = []
         self.text: list[str] = []
         self.links = self.silent = self.in_link = 0
-        self.root = self.node = [None, "", "", 0, ""]  # parent, label, mark, length of text without links, path
+        self.root = self.node = [None, "", "", 0, Place(0, 0, False, None)]  # parent, label, mark, length of text without links, place
         self.mains = 0
 
     def flush(self) -> None:
@@ -125,7 +152,7 @@ class PageTree(HTMLParser):
             return
         self.flush()
         names = [w for k, v in attrs if k in ("class", "id", "role") and v for w in _NAME.split(v.lower()) if w]
-        label = ".".join([tag, *names[:4]])
+        label = _NUMBER.sub("#", ".".join([tag, *names]))
         mark = "*" if tag in MAIN else "!" if self.is_chrome(tag, attrs) else ""
         if tag in MAIN:
             self.mains += 1
@@ -208,14 +235,20 @@ class PageTree(HTMLParser):
                 while node is not None:
                     node[3] += len(text) - links
                     node = node[0]
-        self.blocks = [(self.path_of(node), text, links) for node, text, links in self.found]
-        self.styles = [(self.path_of(node), style) for node, style in self.shown]
-
-    def path_of(self, node: list) -> str:
-        if node[4] is None:
-            mark = "" if node[2] == "!" and 2 * node[3] > self.root[3] else node[2]
-            node[4] = f"{self.path_of(node[0])}{_SEPARATOR}{node[1]}{mark}"
-        return node[4]
+        self.blocks = [Block(self.place_of(node), text, links) for node, text, links in self.found]
+        self.styles = [(self.place_of(node).node, _hash(style)) for node, style in self.shown]
+
+    def place_of(self, node: list) -> Place:
+        way = []
+        while node[4] is None:
+            way.append(node)
+            node = node[0]
+        place = node[4]
+        for below in reversed(way):
+            mark = "" if below[2] == "!" and 2 * below[3] > self.root[3] else below[2]
+            own = _hash(f"{place.node}/{below[1]}/{mark}")
+            place = below[4] = Place(own, place.node, place.in_main or mark == "*", own if mark == "!" and place.branch is None else place.branch)
+        return place
 
 
 def hosted(pages: DataFrame) -> DataFrame:
@@ -223,27 +256,22 @@ def hosted(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).withColumn("host", host)
 
 
-def main_text(blocks: list[tuple[str, str, int]]) -> list[tuple[str, str, int]]:
+def main_text(blocks: list[Block]) -> list[Block]:
     """Blocks that no name covers: those of the main branches, or all if the page has none there."""
-    unnamed = [b for b in blocks if "!" not in b[0]]
-    return [b for b in unnamed if "*" in b[0]] or unnamed
-
+    unnamed = [b for b in blocks if b.place.branch is None]
+    return [b for b in unnamed if b.place.in_main] or unnamed
 
-def named_branch(path: str) -> str:
-    """The outermost branch with a name for chrome that a path stands in, or ''."""
-    return path[: path.find("!") + 1]
 
-
-def _digest(blocks: list[tuple[str, str, int]]) -> int | None:
-    return xxhash.xxh64_intdigest("\0".join(f"{p}\0{t}" for p, t, _ in blocks)) - (1 << 63) if blocks else None
+def _digest(blocks: list[Block]) -> int | None:
+    return _hash("\0".join(f"{b.place.node}\0{b.text}" for b in blocks)) if blocks else None
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
     """What the style trees count of each page: no text, but a hash of it."""
     arrow = pa.schema([
         ("row", pa.int64()), ("host", pa.string()), ("copy", pa.int64()), ("page", pa.int64()), ("main", pa.bool_()),
-        ("blocks", pa.list_(pa.struct([("path", pa.string()), ("feature", pa.int64()), ("size", pa.int32()), ("links", pa.int32()), ("around", pa.int32())]))),
-        ("styles", pa.list_(pa.struct([("path", pa.string()), ("style", pa.string())]))),
+        ("blocks", pa.list_(pa.struct([("node", pa.int64()), ("over", pa.int64()), ("in_main", pa.bool_()), ("named", pa.bool_()), ("feature", pa.int64()), ("size", pa.int32()), ("links", pa.int32()), ("around", pa.int32())]))),
+        ("styles", pa.list_(pa.struct([("node", pa.int64()), ("style", pa.int64())]))),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,11 +281,14 @@ def parse_pages(pages: DataFrame) -> DataFrame:
             for host, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tree = PageTree().read(html or "")
                 around = Counter()
-                for p, t, n in tree.blocks:
-                    around[named_branch(p)] += len(t) - n
-                blocks = [dict(path=p, around=around[named_branch(p)], feature=xxhash.xxh64_intdigest(t) - (1 << 63), size=len(t), links=n) for p, t, n in tree.blocks]
+                for b in tree.blocks:
+                    around[b.place.branch] += len(b.text) - b.links
+                blocks = [
+                    dict(node=b.place.node, over=b.place.over, in_main=b.place.in_main, named=b.place.branch is not None, around=around[b.place.branch], feature=_hash(b.text), size=len(b.text), links=b.links)
+                    for b in tree.blocks
+                ]
                 copy, page = _digest(main_text(tree.blocks) or tree.blocks), _digest(tree.blocks)
-                out.append(dict(row=row, host=host, copy=copy, page=page, main=any("*" in p for p, _, _ in tree.blocks), blocks=blocks, styles=[dict(path=p, style=s) for p, s in tree.styles]))
+                out.append(dict(row=row, host=host, copy=copy, page=page, main=any(b.place.in_main for b in tree.blocks), blocks=blocks, styles=[dict(node=p, style=s) for p, s in tree.styles]))
                 row += 1
             yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
@@ -275,25 +306,24 @@ def style_tree(parsed: DataFrame) -> DataFrame:
     chosen = stage(parsed.where("copy is not null").groupBy("host", "copy").agg(F.min_by("row", F.struct("page", "row")).alias("row"), F.max("main").alias("main")))
     pages = chosen.groupBy("host").agg(F.count(F.lit(1)).alias("m"), F.count_if("main").alias("mains"))
     parsed = parsed.join(chosen.select("row"), "row", "left_semi")
-    blocks = parsed.select("host", "row", F.explode("blocks").alias("b")).select(
-        "host", "row", F.col("b.path").alias("path"), F.col("b.feature").alias("feature"), F.col("b.size").alias("size"), F.col("b.links").alias("links"), F.col("b.around").alias("around")
-    )
-    on_page = blocks.groupBy("host", "path", "feature", "row").agg(F.count(F.lit(1)).alias("c"), F.max("size").alias("size"), F.sum("links").alias("links"), F.sum("around").alias("around"))
-    texts = on_page.groupBy("host", "path", "feature").agg(
-        F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("clogc"), F.sum(F.col("c") * F.col("size")).alias("size"), F.sum("links").alias("links"), F.sum("around").alias("around")
+    blocks = parsed.select("host", "row", F.inline("blocks"))
+    node = [F.max(c).alias(c) for c in ("over", "in_main", "named")]  # the same wherever the node stands
+    on_page = blocks.groupBy("host", "node", "feature", "row").agg(F.count(F.lit(1)).alias("c"), F.max("size").alias("size"), F.sum("links").alias("links"), F.sum("around").alias("around"), *node)
+    texts = on_page.groupBy("host", "node", "feature").agg(
+        F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("clogc"), F.sum(F.col("c") * F.col("size")).alias("size"), F.sum("links").alias("links"), F.sum("around").alias("around"), *node
     )
     texts = texts.join(pages, "host").withColumn("entropy", _entropy("n", "clogc", "m"))
-    nodes = texts.groupBy("host", F.col("path").alias("node")).agg(
+    nodes = texts.groupBy("host", "node").agg(
         F.sum("size").alias("size"), F.sum(F.col("size") * (1 - F.col("entropy"))).alias("rare"), F.sum("links").alias("links"),
-        (F.sum("around") / F.sum("n")).alias("around"), F.max(F.col("mains") / F.col("m")).alias("mains"),
-    ).withColumn("over", F.regexp_extract("node", "^(.*)/[^/]*$", 1))
-    styles = parsed.select("host", F.explode("styles").alias("s")).groupBy("host", F.col("s.path").alias("over"), F.col("s.style").alias("style")).agg(F.count(F.lit(1)).alias("c"))
+        (F.sum("around") / F.sum("n")).alias("around"), F.max(F.col("mains") / F.col("m")).alias("mains"), *node,
+    )
+    styles = parsed.select("host", F.inline("styles")).groupBy("host", F.col("node").alias("over"), "style").agg(F.count(F.lit(1)).alias("c"))
     styles = styles.groupBy("host", "over").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("clogc")).withColumn("shown", _entropy("n", "clogc", "n"))
     content = F.col("rare") / F.greatest(F.col("size"), F.lit(1))
     linked = F.least(F.col("links") / F.greatest(F.col("size"), F.lit(1)), F.lit(1.0))
     look = F.coalesce(F.col("shown"), F.lit(0.0))  # a style that varies over pages is a sign of content
-    named = F.when(F.col("node").contains("!"), NAMED + NAMED_LONG * F.col("around") / (F.col("around") + LONG)).otherwise(1.0)
-    outside = F.when(F.col("node").contains("*"), 1.0).otherwise(1 - OUTSIDE * F.col("mains"))
+    named = F.when(F.col("named"), NAMED + NAMED_LONG * F.col("around") / (F.col("around") + LONG)).otherwise(1.0)
+    outside = F.when(F.col("in_main"), 1.0).otherwise(1 - OUTSIDE * F.col("mains"))
     importance = F.least(F.lit(1.0), content * (1 - LINKED * linked + VARIED * look)) * named * outside
     return nodes.join(styles.select("host", "over", "shown"), ["host", "over"], "left").select("host", "node", importance.alias("importance"), "size")
 
@@ -303,10 +333,10 @@ def low_branches(tree: DataFrame, least: float) -> DataFrame:
     return tree.where(F.col("importance") < least).groupBy("host").agg(F.collect_set("node").alias("low"))
 
 
-def main_blocks(blocks: list[tuple[str, str, int]], low: list[str]) -> list[str]:
+def main_blocks(blocks: list[Block], low: list[int]) -> list[str]:
     """Texts of the blocks that stay: those of nodes that are not low, or all main text if there are none."""
     gone = set(low)
-    return [t for p, t, _ in blocks if p not in gone] or [t for _, t, _ in main_text(blocks)]
+    return [b.text for b in blocks if b.place.node not in gone] or [b.text for b in main_text(blocks)]
 
 
 def extract_main_text(spark: SparkSession, pages: DataFrame, least: float = LEAST_IMPORTANCE) -> DataFrame:

@@ -539,7 +539,17 @@ def test_head_without_end_tag(spark):
     heads = ["<html><head><meta charset=utf-8><title>T</title><script>1</script>{}", "<head><title>T</title><noscript><p>no</p></noscript>{}", "<title>T</title>{}"]
     pages = [h.format(body) for h in heads for body in ("<body><p>Some text.</p></body></html>", "<p>Some text.")]
     assert main_texts(spark, [(f"h{i}", html) for i, html in enumerate(pages)]) == ["Some text."] * len(pages)
-    assert site_style_tree.PageTree().read("<head><title>T</title></head><p>Some text.").blocks[0][1] == "Some text."
+    assert site_style_tree.PageTree().read("<head><title>T</title></head><p>Some text.").blocks[0].text == "Some text."
+
+
+def test_deep_pages_and_many_names(spark):
+    deep = "<html><body><article><p>Text {0}.</p>" + "<div class=a>" * 5000 + "<p>Deep text {0}.</p>" + "</div>" * 5000 + "</article></body></html>"
+    names = "<html><body><div class='a b c d e menu1'>Same words</div><div class='a b c d f'>Unique words {0}.</div></body></html>"
+    numbers = "<html><body><div id=post-{0}00{0}>Same words</div><div class=x2>Unique words {0}.</div></body></html>"
+    pages = [(h, page.format(i)) for h, page in (("deep", deep), ("names", names), ("numbers", numbers)) for i in range(1, 9)]
+    assert main_texts(spark, pages) == [f"Text {i}.\nDeep text {i}." for i in range(1, 9)] + [f"Unique words {i}." for i in range(1, 9)] * 2
+    tree = site_style_tree.parse_pages(spark.createDataFrame([(1, "http://h/", deep.format(1))], "page_id long, url string, html string"))
+    assert tree.select(F.length(F.to_json(F.struct("blocks", "styles")))).first()[0] < 400_000
 
 
 def test_keep_one_with_repeated_and_null_ids(spark):
