@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import os
+import random
+from itertools import accumulate
 
 import duckdb
 import pytest
+import regex
 
-from segmill.jobs.queries import LONG, QUERIES, ORACLES, SMALL
+from segmill.jobs.queries import LONG, ORACLES, QUERIES, SMALL, usable
+from tests.test_segment import plain_inside, plain_split
 
 
 @pytest.fixture(scope="module")
@@ -44,6 +48,28 @@ def test_segments_keep_the_documents(spark, sf):
     assert LONG.fixed_segment_tokens == 128
 
 
+def test_random_conversion_equals_a_plain_version(spark, sf):
+    """Tokens by the regex library, draws and cuts told plainly, pieces by the plain splitter."""
+    pattern = regex.compile(r"(?s) ?\p{L}{1,4}| ?\p{N}{1,3}|[ \t\n\x0b\f\r]+|.")
+
+    def plain(text, key, config):
+        ends = list(accumulate(len(t) for t in pattern.findall(text)))
+        draw, cuts, last = random.Random(config.random_seed + key), [], -1
+        while (target := last + draw.randint(config.random_min_tokens, config.random_max_tokens)) < len(ends) - 1:
+            last = next((i for i in range(target, len(ends) - 1) if not plain_inside(text, ends[i])), None)
+            if last is None:
+                break
+            cuts.append(last)
+        return cuts, plain_split(text, ends, cuts, config.min_step_chars)
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("text <> '' and source <> ''").collect()
+    expected = {(r.doc_id, k, s) for r in docs for k, s in enumerate(plain(r.text, r.doc_id, LONG)[1])}
+    assert {tuple(r) for r in QUERIES["convert_random"](spark, sf).collect()} == expected
+    rows = usable(spark, sf).select("source_idx", "gt_output").collect()
+    expected = {(r.source_idx, b) for r in rows for b in plain(r.gt_output, r.source_idx, SMALL)[0]}
+    assert {tuple(r) for r in QUERIES["boundaries_random"](spark, sf).collect()} == expected
+
+
 def test_random_boundaries(spark, sf):
     by_row: dict[int, list[int]] = {}
     for r in QUERIES["boundaries_random"](spark, sf).collect():
