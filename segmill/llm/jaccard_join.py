@@ -52,8 +52,8 @@ def keyed_lower(docs: DataFrame) -> DataFrame:
     return keyed(docs, _lower())
 
 
-def _lower():
-    return F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def _lower(text: str = "text"):
+    return F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def gram_sets(column: pa.Array, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -252,8 +252,11 @@ def keep_one(spark: SparkSession, docs: DataFrame, gram: int = 5, percent: int =
     found = stage(_components(spark, docs, gram, percent).where("n_shingles > 0"))
     rows = found.groupBy("doc_id", "key").agg(F.first("component_id").alias("component_id"), F.first("kept_key").alias("kept_key"), F.count(F.lit(1)).alias("n"))
     stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("kept_key"))
-    decided = stage(rows.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), stays.alias("_stays"), "n").where("not _stays or n > 1"))
-    again = decided.where("_stays").select("_id", "_key")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.unhex(F.md5(_lower().cast("binary"))) == F.col("_key"))
-    kept = docs.join(decided, same, "left_anti")
-    return kept if again.isEmpty() else kept.union(docs.join(again, same).dropDuplicates(["_id", "_key"]).select(*docs.columns))
+    decided = stage(rows.select("doc_id", "key", stays.alias("stays"), "n").where("not stays or n > 1"))
+    again = decided.where("stays").select("doc_id", "key")
+    every = docs.select(F.struct(*docs.columns).alias("doc"))  # columns of the input have names of their own
+    same = F.col("doc.doc_id").cast("long").eqNullSafe(F.col("doc_id")) & (F.unhex(F.md5(_lower("doc.text").cast("binary"))) == F.col("key"))
+    kept = every.join(decided, same, "left_anti")
+    if not again.isEmpty():
+        kept = kept.union(every.join(again, same).dropDuplicates(["doc_id", "key"]).select("doc"))
+    return kept.select("doc.*")
