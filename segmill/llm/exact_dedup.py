@@ -48,10 +48,10 @@ def text_digest(text: Column, digest_bytes: int = 32) -> Column:
     return F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, digest_bytes)
 
 
-def locate(scan: DataFrame, run: int | Column) -> DataFrame:
-    """A scan of files with the locator of each row: run, hash of the file's path, row in the file."""
+def locate(scan: DataFrame, run: int) -> DataFrame:
+    """(doc, run, file, row): a scan of files, its columns in a struct of their own, with each row's locator (file is a hash of the path)."""
     place = F.col("_metadata")
-    return scan.select("*", F.lit(run).cast("long").alias("_run"), F.xxhash64(place["file_path"]).alias("_file"), place["row_index"].alias("_row"))
+    return scan.select(F.struct(*scan.columns).alias("doc"), F.lit(run).cast("long").alias("run"), F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("row"))
 
 
 class Store:
@@ -79,18 +79,16 @@ class Store:
 
     def texts(self, locators: DataFrame, present: DataFrame) -> DataFrame:
         """(digest, normal) of the texts at locators(digest, run, file, row); present is what add() gave for this run."""
-        every = present.select("text", "_run", "_file", "_row")
+        every = present.select(F.col("doc.text").alias("text"), *_LOCATOR)
         earlier = locators.where(F.col("run") < self.run).select("run").distinct().collect()  # a row a run
         for run in sorted(r.run for r in earlier):
             paths = [r.path for r in self.table(self.sources).where(F.col("run") == run).select("path").distinct().collect()]
-            every = every.unionByName(locate(self.spark.read.parquet(*paths).select("text"), run))
-        same = [F.col(c) == F.col(f"_{c}") for c in _LOCATOR]
-        return every.join(locators, same).select("digest", normal_text().alias("normal"), *_LOCATOR)
+            every = every.unionByName(locate(self.spark.read.parquet(*paths).select("text"), run).select(F.col("doc.text").alias("text"), *_LOCATOR))
+        return every.join(locators.hint("merge"), _LOCATOR).select("digest", normal_text().alias("normal"), *_LOCATOR)
 
 
 def events_of(contents: DataFrame, digest_bytes: int) -> DataFrame:
-    normal = normal_text()
-    rows = contents.select(F.col("doc_id").cast("long").alias("doc_id"), normal.alias("normal"), *[F.col(f"_{c}").alias(c) for c in _LOCATOR])
+    rows = contents.select(F.col("doc.doc_id").cast("long").alias("doc_id"), normal_text("doc.text").alias("normal"), *_LOCATOR)
     return rows.select("doc_id", text_digest(F.col("normal"), digest_bytes).alias("digest"), F.sha2(F.col("normal").cast("binary"), 256).alias("text_sha256"), *_LOCATOR)
 
 
@@ -180,5 +178,5 @@ def _result(rows: DataFrame) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, store: str | None = None, located: bool = False) -> DataFrame:
     """The documents that exact_dedup() keeps, with their own columns; rows go by their locators."""
     contents, found = _exact_dedup(spark, docs, 32, FILES_PER_BATCH, store, located)
-    gone = stage(found.where("not kept").select(*[F.col(c).alias(f"_{c}") for c in _LOCATOR]))
-    return contents.join(gone, [f"_{c}" for c in _LOCATOR], "left_anti").select(*docs.columns)
+    gone = stage(found.where("not kept").select(*_LOCATOR))
+    return contents.join(gone, _LOCATOR, "left_anti").select("doc.*")
