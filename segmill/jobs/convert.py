@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from segmill.functions.scores import window_count
 from segmill.functions.text import Tokenizer, lengths, tokens
 from segmill.jobs.config import SegmentConfig
 from segmill.jobs.tau import QUANTILES, TAU_KEY, estimate_tau, pick_tau
-from segmill.operators.align import align, attach_scores, require_aligned
+from segmill.operators.align import align, attach_scores, checked_scores, require_aligned
 from segmill.operators.segment import segment
 
 
@@ -33,14 +33,25 @@ def convert(samples: DataFrame, config: SegmentConfig, scores: DataFrame | None
     modes run without any shuffle. A tokenizer of the user's own, native or a pandas UDF, gives the
     array of an answer's tokens, which joined must be the answer.
     """
-    if config.mode == "threshold" and (scores is None or config.tau is None):
+    if config.mode == "threshold" and scores is None:
+        raise ValueError("threshold mode needs scores and a tau")
+    return _convert(samples, config, lambda rows: attach_scores(rows, scores), tokenizer)
+
+
+def convert_scored(samples: DataFrame, config: SegmentConfig, tokenizer: Tokenizer = tokens) -> DataFrame:
+    """convert() of samples that carry their confidences (threshold mode), under the same checks; no join, so streams can use it."""
+    return _convert(samples, config, checked_scores, tokenizer)
+
+
+def _convert(samples: DataFrame, config: SegmentConfig, scored: Callable[[DataFrame], DataFrame], tokenizer: Tokenizer) -> DataFrame:
+    if config.mode == "threshold" and config.tau is None:
         raise ValueError("threshold mode needs scores and a tau")
     if config.limit_rows is not None:
         samples = samples.where(F.col("source_idx") < config.limit_rows)
     kept = [c for c in samples.columns if c != "thoughts_list"]
     rows = flagged(samples.select(*kept), config, tokenizer).where("usable and not dropped")
     if config.mode == "threshold":
-        rows = attach_scores(rows, scores)
+        rows = scored(rows)
     return segment(rows, config, token_lengths=F.col("token_lengths")).select(*kept, F.col("segments").alias("thoughts_list"), "boundaries")
 
 

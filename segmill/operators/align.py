@@ -40,7 +40,11 @@ def not_done(rows: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def attach_scores(samples: DataFrame, scores: DataFrame, strict: bool = True) -> DataFrame:
     """samples (with n_tokens) and their confidences; a sample without them, or with another number, raises if strict, else goes."""
-    joined = samples.join(scores, "source_idx", "left" if strict else "inner")
+    return checked_scores(samples.join(scores, "source_idx", "left" if strict else "inner"), strict)
+
+
+def checked_scores(joined: DataFrame, strict: bool = True) -> DataFrame:
+    """Rows with n_tokens and confidences, under the same rule."""
     right = F.coalesce(F.size("confidences") == F.col("n_tokens"), F.lit(False))
     if not strict:
         return joined.where(right)

@@ -1,7 +1,8 @@
 """Conversion of samples that arrive as Parquet files in a folder.
 
 Fixed and random modes (and threshold mode with given confidences) decide each row by itself, so the
-stream needs no state and no watermark: the checkpoint alone makes each file count once.
+stream needs no state and no watermark: the checkpoint alone makes each file count once. Row limits
+and the check of the number of confidences hold as in a batch.
 """
 
 from __future__ import annotations
@@ -11,14 +12,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from segmill.jobs.config import SegmentConfig
-from segmill.jobs.convert import flagged
-from segmill.operators.segment import segment
+from segmill.jobs.convert import convert_scored
 
 
 def convert_folder(spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, config: SegmentConfig, files_per_batch: int = 64) -> StreamingQuery:
     """Start a run over all files that are there and not yet converted; it ends by itself."""
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    kept = [f.name for f in schema]
-    done = segment(flagged(rows, config).where("usable and not dropped"), config)
-    out = done.select(*kept, done["segments"].alias("thoughts_list"))
+    out = convert_scored(rows, config).drop("boundaries")
     return out.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

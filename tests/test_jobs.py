@@ -271,6 +271,21 @@ def test_stream_of_files(spark, tmp_path):
     assert got == {r.source_idx: r.thoughts_list for r in convert.convert(rows, config).collect()}
 
 
+def test_stream_of_scored_rows_is_checked(spark, tmp_path):
+    size = F.size(text.tokens(F.col("gt_output")))
+    rows = samples(spark).where("gt_output <> ''").withColumn("confidences", F.transform(text.tokens(F.col("gt_output")), lambda _, i: (i % 9) / F.lit(10.0)))
+    config = SegmentConfig(tau=0.25, min_step_tokens=4, limit_rows=30)
+    rows.write.parquet(str(tmp_path / "in"))
+    convert_folder(spark, str(tmp_path / "in"), rows.schema, str(tmp_path / "out"), str(tmp_path / "check"), config).awaitTermination()
+    got = {r.source_idx: r.thoughts_list for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    expected = convert.convert(rows.drop("confidences"), config, rows.select("source_idx", "confidences")).collect()
+    assert got == {r.source_idx: r.thoughts_list for r in expected} and max(got) < 30
+    wrong = rows.withColumn("confidences", F.when(size > 20, F.array(F.lit(0.1))).otherwise(F.col("confidences")))
+    wrong.write.parquet(str(tmp_path / "wrong"))
+    with pytest.raises(Exception, match="wrong number"):
+        convert_folder(spark, str(tmp_path / "wrong"), rows.schema, str(tmp_path / "out2"), str(tmp_path / "check2"), config).awaitTermination()
+
+
 def test_long_runs_of_connectors_are_inside_words(spark, tmp_path):
     body = "word" + "-" * 80 + "word " + "_-" * 40 + " a" + "-_" * 50 + "中文" + "_" * 70 + "\n" + "-" * 90 + "b --c"
     rows = [(1, 0, "user", "Question?"), (1, 1, "assistant", body)]
