@@ -17,7 +17,7 @@ from segmill.jobs.config import SegmentConfig
 from segmill.operators import align as joins
 from segmill.operators import clusters, ngram, rank, segment
 from segmill.sources import jsonl
-from segmill.sources.staging import read_table, stage
+from segmill.sources.staging import read_table, stage, work_dir
 
 RANKS, LIMIT, SAMPLE, MAX_SAMPLES = 4, 50, 40, 15
 MIN_STEP, FIXED, TAU_KEY, QUANTILES = 4, 16, "q_0.2000", (0.05, 0.1, 0.2)
@@ -169,6 +169,17 @@ def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank.with_position(ingest_samples(spark, sf_dir).select("conv_id", "turn"), "conv_id", "turn").select("source_idx", "conv_id", "turn")
 
 
+@query(f"with {_SAMPLES} select source_idx, source_idx as reference_idx, system_prompt, question, gt_output, conv_id from samples")
+def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples as JSON lines, appended in two writes, and read again; what the schema does not name stays in the raw line."""
+    rows, path = stage(samples(spark, sf_dir).orderBy("source_idx")), work_dir(spark)
+    for half in (0, 1):
+        jsonl.write_jsonl(rows.where(F.col("source_idx") % 2 == half).coalesce(1), path)
+    found = jsonl.read_jsonl(spark, path, jsonl.REFERENCE)
+    named = found.select(*[c for c in found.columns if c not in ("raw", "source_idx")], F.get_json_object("raw", "$.conv_id").cast("long").alias("conv_id"))
+    return rank.with_position(named, "reference_idx")
+
+
 @query(f"with {_SAMPLES} select source_idx, conv_id from samples where source_idx < {LIMIT}")
 def limit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples(spark, sf_dir).where(F.col("source_idx") < LIMIT).select("source_idx", "conv_id")
@@ -412,6 +423,13 @@ def tau_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tau.estimate_tau(token_scores(spark, sf_dir), QUANTILES)
 
 
+@query(f"""with {_SCORED}, n as (select count(*) as n from conf where confidence > 1)
+    select format('q_{{:.4f}}', q) as tau_key, q as quantile, case when n > 0 then 1.0::double end as tau from (select unnest([{", ".join(f"cast({q} as double)" for q in QUANTILES)}]) as q), n""")
+def tau_of_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No confidence is over 1: every candidate is null."""
+    return tau.estimate_tau(token_scores(spark, sf_dir).where("confidence > 1"), QUANTILES)
+
+
 @query(f"with {_SCORED} select tau_key, tau from taus where tau_key = '{TAU_KEY}'")
 def pick_tau(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tau_candidates(spark, sf_dir).where(F.col("tau_key") == TAU_KEY).select("tau_key", "tau")
@@ -493,6 +511,16 @@ def convert_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.segment_rows(convert.convert_aligned(inputs, reference, SMALL.with_(max_length=8192)))
 
 
+@query(f"""with recursive {_SAMPLES}, {_tokens("usable")}, {_cuts("usable")}, {_fixed("usable", "true", FIXED)}, {_segments("usable", SMALL.min_step_chars)},
+    joined as (select source_idx, count(*) as n_segments from segs group by source_idx)
+    select source_idx, conv_id, system_prompt, question, length(gt_output) as n_chars, coalesce(n_segments, 0) as n_segments from usable left join joined using (source_idx)""")
+def inherited_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every field of the reference but its segments passes through a conversion."""
+    rows = stage(samples(spark, sf_dir).withColumn("n_chars", F.length("gt_output").cast("long")).withColumn("thoughts_list", F.array(F.lit("old"))))
+    found = convert.convert_aligned(rows.select("source_idx"), rows, SMALL.with_(max_length=8192))
+    return found.select("source_idx", "conv_id", "system_prompt", "question", "n_chars", F.size("thoughts_list").cast("long").alias("n_segments"))
+
+
 @query()
 def convert_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.segment_rows(convert.convert(long_samples(spark, sf_dir), LONG.with_(mode="random")))
@@ -541,6 +569,14 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convert.run_counters(_flags(spark, sf_dir))
 
 
+@query(f"with {_SAMPLES}, {_COUNTED} select {_SUMS} from counted")
+def summary_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters as the JSON file beside the data, read again."""
+    counters, path = run_counters(spark, sf_dir), work_dir(spark)
+    jsonl.write_summary(counters, path)
+    return jsonl.read_summary(spark, path, counters.schema)
+
+
 _BY_RANK = f"by_rank as (select source_idx % {RANKS} as rank, {_SUMS} from counted group by 1)"
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from segmill.functions.text import is_blank
 
@@ -19,12 +20,11 @@ def read_jsonl(spark: SparkSession, path: str | Sequence[str], schema: T.StructT
     """One row per non-blank line: source_idx (0-based, in file order), the schema's fields, raw.
 
     Blank lines take no index. Bad JSON fails the job. Fields outside the schema stay in `raw`. The
-    index comes from one counting job over the lines; nothing is shuffled.
+    index comes from one counting job over the lines, with a row per split of a file; nothing is shuffled.
     """
     lines = spark.read.text(path).where(~is_blank(F.col("value")))
     if index or limit_rows is not None:
-        indexed = lines.rdd.map(lambda r: r[0]).zipWithIndex().map(lambda p: (p[1], p[0]))
-        lines = spark.createDataFrame(indexed, "source_idx long, value string")
+        lines = _indexed(lines)
         if limit_rows is not None:
             lines = lines.where(F.col("source_idx") < max(0, limit_rows))
     parsed = lines.withColumn("_j", F.from_json("value", schema, {"mode": "FAILFAST"}))
@@ -32,6 +32,16 @@ def read_jsonl(spark: SparkSession, path: str | Sequence[str], schema: T.StructT
     return parsed.select(*(["source_idx"] if "source_idx" in lines.columns else []), *fields, F.col("value").alias("raw"))
 
 
+def _indexed(lines: DataFrame) -> DataFrame:
+    """(source_idx, value): lines numbered by file and place in it. Ids are consecutive within a split of a file."""
+    split = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    placed = lines.select("value", *split, F.monotonically_increasing_id().alias("_id"))
+    splits = placed.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("_first"))
+    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)  # one row a split
+    starts = splits.select("_file", "_block", "_first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
+    return placed.join(F.broadcast(starts), ["_file", "_block"]).select((F.col("_before") + F.col("_id") - F.col("_first")).alias("source_idx"), "value")
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
     """JSON lines; nulls are written, text is not escaped."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)

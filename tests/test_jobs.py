@@ -134,6 +134,22 @@ def test_jsonl_round_trip(spark, tmp_path):
     assert '"t":null' in "".join(p.read_text() for p in (tmp_path / "out").glob("part-*"))
 
 
+def test_jsonl_index_over_splits_and_files(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for k, n in ((0, 700), (1, 3), (2, 900)):
+        lines = [f'{{"gt_output": "{k}-{i}"}}' + "\n" * (1 + i % 3 // 2) for i in range(n)]
+        (tmp_path / f"part-{k}.jsonl").write_text("".join(lines), encoding="utf-8")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+        rows = jsonl.read_jsonl(spark, str(tmp_path), jsonl.REFERENCE).select("source_idx", "gt_output").collect()
+        some = jsonl.read_jsonl(spark, str(tmp_path), jsonl.REFERENCE, limit_rows=705).count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    expected = [f"{k}-{i}" for k, n in ((0, 700), (1, 3), (2, 900)) for i in range(n)]
+    assert [t for _, t in sorted((r.source_idx, r.gt_output) for r in rows)] == expected and some == 705
+    assert sorted(r.source_idx for r in rows) == list(range(len(expected)))
+
+
 def test_merge_is_stable(spark):
     a = spark.createDataFrame([(0, "a"), (2, "b")], "source_idx long, v string")
     b = spark.createDataFrame([(1, "c", 1), (2, "d", 1)], "source_idx long, v string, more int")
