@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from segmill.llm import common, exact_dedup, jaccard_join, langid, license_scan, packing, site_style_tree, string_tiling, suffix_dedup, token_binary, tokens, window_dedup
-from segmill.llm.common import text_bytes
+from segmill.llm.common import stage, text_bytes
 from segmill.llm.components import components
 from segmill.llm.words import words_of
 from tests.llm import brute
@@ -542,6 +542,61 @@ def test_head_without_end_tag(spark):
     assert site_style_tree.PageTree().read("<head><title>T</title></head><p>Some text.").blocks[0].text == "Some text."
 
 
+def plain_importance(trees):
+    """{node: importance} of one host's pages, told plainly (see the module's docstring)."""
+    tree_of, log = {}, np.log
+    for t in trees:  # pages with the same main text count once
+        main = [b for b in t.blocks if b.place.branch is None]
+        main = [b for b in main if b.place.in_main] or main or t.blocks
+        if main:
+            whole = lambda blocks: site_style_tree._hash("\0".join(f"{b.place.node}\0{b.text}" for b in blocks))
+            tree_of.setdefault(whole(main), []).append((whole(t.blocks), t))
+    chosen = [min(group, key=lambda x: x[0])[1] for group in tree_of.values()]
+    m, mains = len(chosen), sum(any(b.place.in_main for b in t.blocks) for t in chosen)
+
+    def entropy(counts, base):
+        p = np.array(list(counts)) / sum(counts)
+        return float(np.clip(-(p * log(p)).sum() / log(base), 0, 1)) if base > 1 else 0.0
+
+    places, styles, out = defaultdict(lambda: defaultdict(list)), defaultdict(lambda: defaultdict(int)), {}
+    for k, t in enumerate(chosen):
+        around = defaultdict(int)
+        for b in t.blocks:
+            around[b.place.branch] += len(b.text) - b.links
+        for b in t.blocks:
+            places[b.place][b.text].append((k, b.links, around[b.place.branch]))
+        for node, style in t.styles:
+            styles[node][style] += 1
+    for place, texts in places.items():
+        size = sum(len(t) * len(at) for t, at in texts.items())
+        rare = sum(len(t) * len(at) * (1 - entropy([sum(k == j for k, _, _ in at) for j in {k for k, _, _ in at}], m)) for t, at in texts.items())
+        every = [x for at in texts.values() for x in at]
+        links, long = sum(x[1] for x in every), np.mean([x[2] for x in every])
+        look = entropy(styles[place.over].values(), sum(styles[place.over].values())) if styles[place.over] else 0
+        s = site_style_tree
+        importance = min(1.0, rare / max(size, 1) * (1 - s.LINKED * min(links / max(size, 1), 1) + s.VARIED * look))
+        importance *= s.NAMED + s.NAMED_LONG * long / (long + s.LONG) if place.branch is not None else 1
+        out[place.node] = importance * (1 if place.in_main else 1 - s.OUTSIDE * mains / m)
+    return out
+
+
+def test_importance_equals_a_plain_tree(spark):
+    rng = random.Random(5)
+    bits = ["<p>Same words on all pages</p>", "<p>Unique words {0} here</p>", "<div class=ad><p>Buy {1}</p></div>", "<div class='x1 x2'><p>One of {1}</p><p>Two {0}</p></div>", "<ul><li><a href=x>Link {1}</a><li>Item {0}</ul>",
+            "<article><p>Article {0}</p><div class=share>Share</div></article>", "<nav><a href=y>Home</a></nav>", "<div id=post-{0}000>Post text</div>", "<section><h2>Head {1}</h2>Text {0}</section>"]
+    pages = []
+    for host in range(6):
+        for i in range(rng.choice([1, 2, 3, 7])):
+            page = "".join(rng.choice(bits).format(rng.randint(0, 30), rng.randint(0, 3)) for _ in range(rng.randint(1, 6)))
+            pages += [(host, f"<html><body>{page}</body></html>")] * rng.choice([1, 1, 2])
+    rows = spark.createDataFrame([(i, f"http://h{h}/{i}", p) for i, (h, p) in enumerate(pages)], "page_id long, url string, html string").repartition(3)
+    got = {(r.host, r.node): r.importance for r in site_style_tree.style_tree(stage(site_style_tree.parse_pages(rows))).collect()}
+    expected = {(f"h{h}", node): x for h in range(6) for node, x in plain_importance([site_style_tree.PageTree().read(p) for k, p in pages if k == h]).items()}
+    assert got.keys() == expected.keys() and all(abs(got[k] - expected[k]) < 1e-9 for k in got)
+    texts, whole = ({r.page_id: r.text for r in site_style_tree.extract_main_text(spark, rows, least).collect()} for least in (site_style_tree.LEAST_IMPORTANCE, 0.0))
+    assert sum(texts[i] != whole[i] for i in texts) > len(pages) / 4  # without low branches nothing goes
+
+
 def test_deep_pages_and_many_names(spark):
     deep = "<html><body><article><p>Text {0}.</p>" + "<div class=a>" * 5000 + "<p>Deep text {0}.</p>" + "</div>" * 5000 + "</article></body></html>"
     names = "<html><body><div class='a b c d e menu1'>Same words</div><div class='a b c d f'>Unique words {0}.</div></body></html>"
