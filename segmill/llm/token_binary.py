@@ -133,7 +133,7 @@ def blocks_of(ids: DataFrame, ranked: np.ndarray, kind: type, vocabulary: int, b
                 )
                 first, block, start = last, block + 1, start + total
 
-    ordered = ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n_tokens", "ids")
+    ordered = ids.repartitionByRange("doc_id", "n_tokens").sortWithinPartitions("doc_id", "n_tokens", "ids")
     return ordered.select("doc_id", "ids").mapInArrow(run, BLOCKS)
 
 
