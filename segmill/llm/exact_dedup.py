@@ -14,7 +14,8 @@ Texts are equal if they are identical after lower-casing A-Z only.
 
 Cases: null text counts as empty; a null doc_id is smaller than any other; of repeated rows with the
 same doc_id and text exactly one stays (that of the largest locator); an empty table gives no row; a
-text of any length is one value of a column; other columns are ignored.
+text of any length is one value of a column; other columns are ignored. A store has as many state
+partitions as spark.sql.shuffle.partitions said when it was made.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 
 from segmill.llm.common import configure, join_counted, stage, work_dir
 
-#: Event files in a micro-batch.
-FILES_PER_BATCH = 64
+#: Event files in a micro-batch: enough to keep a large cluster busy.
+FILES_PER_BATCH = 4096
 _ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many small stores: no space ahead
