@@ -73,8 +73,9 @@ def token_rows(rows: DataFrame, key: str, text: str, tokenizer: Tokenizer = toke
 
 def inside_word(left: Column, right: Column) -> Column:
     """Whether a cut between two texts lies inside a word."""
-    cjk = left.rlike(f"{CJK}$") & right.rlike(f"^{CJK}")
-    return left.rlike(rf"{ALNUM}[_-]*$") & right.rlike(rf"^[_-]*{ALNUM}") & ~cjk
+    left = F.reverse(left)  # so that both are read from the cut on
+    cjk = left.rlike(f"^{CJK}") & right.rlike(f"^{CJK}")
+    return left.rlike(rf"^[_-]*{ALNUM}") & right.rlike(rf"^[_-]*{ALNUM}") & ~cjk
 
 
 def inside_word_ends(rows: DataFrame, key: str, text: str, tokenizer: Tokenizer = tokens) -> DataFrame:

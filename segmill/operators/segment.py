@@ -24,7 +24,7 @@ from segmill.functions.protected import PROTECTED
 from segmill.functions.text import FORMULA, lengths, tokens
 from segmill.jobs.config import SegmentConfig
 
-_RUN = re.compile(r"[^\W_]+")
+_RUN, _LONG_RUN = re.compile(r"[^\W_]+"), re.compile(r"[^\W_]{3}")
 _FORMULA = re.compile(re.sub(r"\[\\t-.*?3000\}\]", r"\\s", FORMULA))
 SEGMENTED = T.StructType().add("boundaries", T.ArrayType(T.LongType())).add("segments", T.ArrayType(T.StringType()))
 
@@ -66,9 +66,11 @@ def cuttable_flags(ends: np.ndarray, text: str, strings: Sequence[str] = PROTECT
     return (ends > starts) & (covered[ends] == covered[starts])
 
 
-def is_valid(text: str, least: int = 3) -> bool:
+def is_valid(text: str) -> bool:
+    if _LONG_RUN.search(text):
+        return True
     runs = _RUN.findall(text)
-    if any(len(r) >= least for r in runs) or (len(runs) == 1 and len(runs[0]) >= 2):
+    if len(runs) == 1 and len(runs[0]) == 2:
         return True
     return bool(runs) and bool(_FORMULA.fullmatch(text.strip()))
 
