@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock, _held = threading.Lock(), {}  # of settings(): users and the value before, by session and name
 #: Fixed value: buckets that Spark allows for a table.
 MOST_BUCKETS = 100_000
 
@@ -32,17 +34,33 @@ def work_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def _cleaned(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of the writes inside are removed when these end."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def settings(spark: SparkSession, names: dict[str, str]) -> Iterator[None]:
+    """Settings that hold inside.
+
+    Jobs of several threads may use the same ones at once: what stood before comes back when the last ends.
+    """
+    with _lock:
+        for name, value in names.items():
+            users, before = _held.get((id(spark), name), (0, spark.conf.get(name, None)))
+            _held[id(spark), name] = users + 1, before
+            spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+        with _lock:
+            for name in names:
+                users, before = _held.pop((id(spark), name))
+                if users > 1:
+                    _held[id(spark), name] = users - 1, before
+                elif before is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, before)
+
+
+def _cleaned(spark: SparkSession):
+    """Shuffle files of the writes inside are removed when these end."""
+    return settings(spark, {_CLEANUP: "true"})
 
 
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from segmill.functions import chat, protected, scores, text
 from segmill.jobs import convert, quality, queries, tau
 from segmill.jobs.config import SegmentConfig
 from segmill.operators import align, rank, segment
-from segmill.sources import jsonl
+from segmill.sources import jsonl, staging
 from segmill.streaming.drop_folder import convert_folder
 
 
@@ -313,3 +313,13 @@ def test_long_runs_of_connectors_are_inside_words(spark, tmp_path):
     assert not any(flags[ends[r.boundary]] for r in queries.boundaries_fixed(spark, str(tmp_path)).collect())
     pieces = spark.createDataFrame([(0, "", ["word" + "-" * 40, "-" * 40 + "word", "next"])], "source_idx long, gt_output string, thoughts_list array<string>")
     assert quality.segment_quality(pieces).first().n_in_word == 2
+
+
+def test_settings_come_back_when_the_last_job_ends(spark):
+    name = "spark.sql.test.setting"
+    with staging.settings(spark, {name: "a"}):
+        other = staging.settings(spark, {name: "a"})
+        other.__enter__()
+    assert spark.conf.get(name) == "a"
+    other.__exit__(None, None, None)
+    assert spark.conf.get(name, None) is None
