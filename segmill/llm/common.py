@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmill.sources.staging import read_table, stage, work_dir  # noqa: F401  (shared by the operators)
+from segmill.sources.staging import read_table, settings, stage, work_dir  # noqa: F401  (shared by the operators)
 
 #: Fixed for every operator: Arrow batches stay small, so that a few very long texts fit a worker.
 BATCH_ROWS = 2000

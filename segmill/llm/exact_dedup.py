@@ -27,7 +27,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmill.llm.common import configure, join_counted, stage, work_dir
+from segmill.llm.common import configure, join_counted, settings, stage, work_dir
 
 #: Event files in a micro-batch: enough to keep a large cluster busy.
 FILES_PER_BATCH = 4096
@@ -97,12 +97,9 @@ def stream_groups(store: Store, events: DataFrame, files_per_batch: int = FILES_
     """(digest, keep, first, n) of every digest among the new events, after all of them."""
     spark = store.spark
     updates = f"{store.folder}/updates-{store.run}-{uuid.uuid4().hex}"
-    before = {k: spark.conf.get(k, None) for k in _ROCKSDB}
-    for k, v in _ROCKSDB.items():
-        spark.conf.set(k, v)
-    try:
-        source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files_per_batch).parquet(store.events)
-        state = source.groupBy("digest").agg(*_state())
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files_per_batch).parquet(store.events)
+    state = source.groupBy("digest").agg(*_state())
+    with settings(spark, _ROCKSDB):  # a query keeps the settings with which it starts
         query = (
             state.writeStream.outputMode("update")
             .option("checkpointLocation", store.checkpoint)
@@ -110,10 +107,7 @@ def stream_groups(store: Store, events: DataFrame, files_per_batch: int = FILES_
             .foreachBatch(lambda batch, k: batch.write.mode("overwrite").parquet(f"{updates}/batch={k}"))
             .start()
         )
-        query.awaitTermination()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    query.awaitTermination()
     empty = events.limit(0).groupBy("digest").agg(*_state())
     try:
         rows = spark.read.schema(empty.schema).option("basePath", updates).parquet(updates)

@@ -193,6 +193,7 @@ def test_a_store_meets_the_documents_of_earlier_runs(spark, tmp_path, digest_byt
         groups = brute.exact_groups(seen)
         got = exact_dedup.exact_dedup(spark, docs, digest_bytes, store=store, located=located).collect()
         assert sorted(((r.doc_id, r.keep_id, r.group_size) for r in got), key=repr) == sorted(((i, *groups[brute.lower(t or "")]) for i, t in part), key=repr)
+    assert "RocksDB" in (tmp_path / "store/checkpoint/offsets/0").read_text()
     assert exact_dedup.exact_dedup(spark, frame(spark, []), digest_bytes, store=store).count() == 0
     again = exact_dedup.exact_dedup(spark, frame(spark, rows[:5]), digest_bytes, store=store).collect()
     assert all(r.group_size == 1 + groups[brute.lower(t or "")][1] for (i, t), r in zip(sorted(rows[:5], key=repr), sorted(again, key=lambda r: repr((r.doc_id, dict(rows[:5])[r.doc_id]))), strict=True))
