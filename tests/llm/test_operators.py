@@ -414,7 +414,7 @@ def test_word_encoder_equals_the_tokenizer(texts):
     assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == [ENCODER.tokenizer.encode(t, add_special_tokens=False).ids for t in [*texts, ""]]
 
 
-ENCODER = tokens.WordEncoder(tokens.tokenizer_path(), cache_words=50)
+ENCODER = tokens.WordEncoder(tokens.tokenizer_path(), cache_bytes=9000)
 
 
 def test_license_scan(spark):
