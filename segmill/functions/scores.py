@@ -31,16 +31,24 @@ def logprob_at(logprobs: Column, position: Column, full_length: Column, start: C
     )
 
 
+def checked_stride(window: int, stride: int | None = None) -> int:
+    """The stride (a quarter of the window if none is given); over the window it would leave tokens out, so it raises."""
+    stride = max(1, window // 4) if stride is None else stride
+    if not 0 < stride <= window:
+        raise ValueError("stride must be positive and at most the window")
+    return stride
+
+
 def window_count(n_tokens: Column, window: int, stride: int | None = None) -> Column:
     """Scoring windows that cover n tokens, each further one with at most `stride` fresh ones."""
-    stride = stride or max(1, window // 4)
+    stride = checked_stride(window, stride)
     more = 1 + F.ceil((n_tokens - window) / stride)
     return F.when(n_tokens <= 0, 0).when(n_tokens <= window, 1).otherwise(more).cast("long")
 
 
 def scoring_windows(n_tokens: Column, window: int, stride: int | None = None) -> Column:
     """Array of (window_idx, start, end, fresh_start); fresh_start is relative to the window."""
-    stride = stride or max(1, window // 4)
+    stride = checked_stride(window, stride)
     k = window_count(n_tokens, window, stride)
     rows = F.transform(
         F.sequence(F.lit(0).cast("long"), k - 1),

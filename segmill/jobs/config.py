@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from segmill.functions.scores import checked_stride
+
 MODES = ("threshold", "fixed", "random")
+GENERATORS = ("mersenne", "hash")
 #: Named sizes of segments, in tokens.
 PRESETS = {
     "short": {"fixed_segment_tokens": 64, "random_min_tokens": 64, "random_max_tokens": 128},
@@ -21,6 +24,7 @@ class SegmentConfig:
     random_min_tokens: int = 64
     random_max_tokens: int = 256
     random_seed: int = 42
+    random_generator: str = "mersenne"
     max_length: int = 8192
     min_step_tokens: int = 12
     min_step_chars: int = 8
@@ -34,13 +38,14 @@ class SegmentConfig:
     def __post_init__(self) -> None:
         if self.mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}, not {self.mode!r}")
+        if self.random_generator not in GENERATORS:
+            raise ValueError(f"random_generator must be one of {GENERATORS}, not {self.random_generator!r}")
         if self.long_policy not in ("window", "skip"):
             raise ValueError("long_policy must be 'window' or 'skip'")
         for name in ("fixed_segment_tokens", "random_min_tokens", "random_max_tokens", "max_length", "min_step_tokens", "min_step_chars", "window"):
             if getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive")
-        if self.stride is not None and self.stride <= 0:
-            raise ValueError("stride must be positive")
+        checked_stride(self.window, self.stride)
         if self.random_min_tokens > self.random_max_tokens:
             raise ValueError("random_min_tokens must not exceed random_max_tokens")
         if self.mode == "fixed" and self.fixed_segment_tokens < self.min_step_tokens:

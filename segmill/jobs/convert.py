@@ -8,42 +8,54 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segmill.functions.chat import is_usable
+from segmill.functions.offsets import SPANS, InContext
 from segmill.functions.scores import window_count
 from segmill.functions.text import Tokenizer, lengths, tokens
 from segmill.jobs.config import SegmentConfig
-from segmill.jobs.tau import QUANTILES, TAU_KEY, estimate_tau, pick_tau
+from segmill.jobs.tau import QUANTILES, SAMPLE_SIZE, SEED, TAU_KEY, estimate_tau, pick_tau, sample_rows
 from segmill.operators.align import align, attach_scores, checked_scores, require_aligned
 from segmill.operators.segment import segment
+from segmill.operators.windows import Scorer, confidence_rows, score_answers
+from segmill.sources.staging import stage
 
 
-def flagged(samples: DataFrame, config: SegmentConfig, tokenizer: Tokenizer = tokens) -> DataFrame:
-    """samples with usable, token_lengths, n_tokens, overlong, dropped (by policy), n_windows: per row, without a shuffle."""
-    sizes = F.when(is_usable(), lengths(tokenizer(F.col("gt_output")))).otherwise(F.array().cast("array<int>"))
-    rows = samples.withColumn("usable", is_usable()).withColumn("token_lengths", sizes).withColumn("n_tokens", F.size("token_lengths").cast("long"))
+#: The column of flagged() that tells where tokens stand, by kind of tokenizer.
+LENGTHS, PLACES = "token_lengths", "token_spans"
+
+
+def flagged(samples: DataFrame, config: SegmentConfig, tokenizer: Tokenizer | InContext = tokens) -> DataFrame:
+    """samples with usable, token_lengths, n_tokens, overlong, dropped (by policy), n_windows: per row, without a shuffle.
+
+    A tokenizer in context gives token_spans instead of token_lengths.
+    """
+    name, found, kind = (PLACES, tokenizer.spans(), SPANS) if isinstance(tokenizer, InContext) else (LENGTHS, lengths(tokenizer(F.col("gt_output"))), "array<int>")
+    places = F.when(is_usable(), found).otherwise(F.array().cast(kind))
+    rows = samples.withColumn("usable", is_usable()).withColumn(name, places).withColumn("n_tokens", F.size(name).cast("long"))
     rows = rows.withColumn("overlong", F.col("n_tokens") > config.max_length)
     dropped = F.col("overlong") & F.lit(config.long_policy == "skip")
     return rows.withColumn("dropped", dropped).withColumn("n_windows", window_count(F.col("n_tokens"), config.window, config.stride))
 
 
-def convert(samples: DataFrame, config: SegmentConfig, scores: DataFrame | None = None, tokenizer: Tokenizer = tokens) -> DataFrame:
+def convert(samples: DataFrame, config: SegmentConfig, scores: DataFrame | None = None, tokenizer: Tokenizer | InContext = tokens) -> DataFrame:
     """Usable samples with thoughts_list replaced by their segments; all other columns pass through.
 
     samples has source_idx, question and gt_output. Threshold mode joins scores(source_idx,
     confidences) by source_idx and raises for a sample without a confidence per token; the other
     modes run without any shuffle. A tokenizer of the user's own, native or a pandas UDF, gives the
-    array of an answer's tokens, which joined must be the answer.
+    array of an answer's tokens, which joined must be the answer; one in context (functions/offsets)
+    gives tokens with offsets of their own.
     """
     if config.mode == "threshold" and scores is None:
         raise ValueError("threshold mode needs scores and a tau")
     return _convert(samples, config, lambda rows: attach_scores(rows, scores), tokenizer)
 
 
-def convert_scored(samples: DataFrame, config: SegmentConfig, tokenizer: Tokenizer = tokens) -> DataFrame:
+def convert_scored(samples: DataFrame, config: SegmentConfig, tokenizer: Tokenizer | InContext = tokens) -> DataFrame:
     """convert() of samples that carry their confidences (threshold mode), under the same checks; no join, so streams can use it."""
     return _convert(samples, config, checked_scores, tokenizer)
 
 
-def _convert(samples: DataFrame, config: SegmentConfig, scored: Callable[[DataFrame], DataFrame], tokenizer: Tokenizer) -> DataFrame:
+def _convert(samples: DataFrame, config: SegmentConfig, scored: Callable[[DataFrame], DataFrame], tokenizer: Tokenizer | InContext) -> DataFrame:
     if config.mode == "threshold" and config.tau is None:
         raise ValueError("threshold mode needs scores and a tau")
     if config.limit_rows is not None:
@@ -52,10 +64,15 @@ def _convert(samples: DataFrame, config: SegmentConfig, scored: Callable[[DataFr
     rows = flagged(samples.select(*kept), config, tokenizer).where("usable and not dropped")
     if config.mode == "threshold":
         rows = scored(rows)
-    return segment(rows, config, token_lengths=F.col("token_lengths")).select(*kept, F.col("segments").alias("thoughts_list"), "boundaries")
+    return segmented(rows, config).select(*kept, F.col("segments").alias("thoughts_list"), "boundaries")
+
+
+def segmented(rows: DataFrame, config: SegmentConfig) -> DataFrame:
+    """Rows of flagged() with boundaries and segments."""
+    return segment(rows, config, token_spans=F.col(PLACES)) if PLACES in rows.columns else segment(rows, config, token_lengths=F.col(LENGTHS))
 
 
-def convert_aligned(inputs: DataFrame, reference: DataFrame, config: SegmentConfig, scores: DataFrame | None = None, own: str = "reference_idx", tokenizer: Tokenizer = tokens) -> DataFrame:
+def convert_aligned(inputs: DataFrame, reference: DataFrame, config: SegmentConfig, scores: DataFrame | None = None, own: str = "reference_idx", tokenizer: Tokenizer | InContext = tokens) -> DataFrame:
     """Conversion of a reference data set that must cover the rows of inputs.
 
     If reference has the column `own`, its index by its own account, a row that states another than
@@ -65,13 +82,34 @@ def convert_aligned(inputs: DataFrame, reference: DataFrame, config: SegmentConf
     return convert(require_aligned(rows, own) if own in rows.columns else rows, config, scores, tokenizer)
 
 
-def full_run(samples: DataFrame, config: SegmentConfig, scores: DataFrame, token_scores: DataFrame, quantiles: Sequence[float] = QUANTILES, key: str = TAU_KEY, tokenizer: Tokenizer = tokens) -> DataFrame:
+def full_run(samples: DataFrame, config: SegmentConfig, scores: DataFrame, token_scores: DataFrame, quantiles: Sequence[float] = QUANTILES, key: str = TAU_KEY, tokenizer: Tokenizer | InContext = tokens) -> DataFrame:
     """Estimate tau over the token scores (skipped where config.tau is given), convert, sort."""
     if config.mode == "threshold" and config.tau is None:
         config = config.with_(tau=pick_tau(estimate_tau(token_scores, quantiles), key))
     return convert(samples, config, scores, tokenizer).orderBy("source_idx")
 
 
+def scored_run(
+    samples: DataFrame, config: SegmentConfig, load: Callable[[], Scorer], sample_size: int = SAMPLE_SIZE, seed: int = SEED,
+    quantiles: Sequence[float] = QUANTILES, key: str = TAU_KEY, tokenizer: Tokenizer | InContext = tokens,
+) -> DataFrame:
+    """Conversion with a user's scorer: tau from the answers of a seeded sample (unless config has one), then every answer.
+
+    Answers are scored in windows of config.window tokens (see operators/windows). Rows that the policy
+    on long answers drops are not scored.
+    """
+    config = config.with_(mode="threshold")
+    if config.limit_rows is not None:
+        samples = samples.where(F.col("source_idx") < config.limit_rows)
+    rows = flagged(samples, config, tokenizer).where("usable and not dropped").select(*samples.columns)
+    score = lambda some: stage(score_answers(some, load, config.window, config.stride, tokenizer))
+    if config.tau is None:
+        drawn = stage(rows.join(sample_rows(samples, sample_size, seed), "source_idx", "left_semi"))
+        found = confidence_rows(drawn, score(drawn), config.special_tokens, tokenizer)
+        config = config.with_(tau=pick_tau(estimate_tau(found, quantiles), key))
+    return convert(samples, config, score(rows), tokenizer)
+
+
 def _sum_if(value: str | Column, condition: str) -> Column:
     return F.coalesce(F.sum(F.when(F.expr(condition), F.col(value) if isinstance(value, str) else value)), F.lit(0)).cast("long")
 

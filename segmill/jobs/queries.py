@@ -11,11 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmill.functions import chat, protected, scores, text
-from segmill.jobs import convert, quality, tau
+from segmill.functions import chat, offsets, protected, scores, text
+from segmill.jobs import convert, quality, runs, tau
 from segmill.jobs.config import SegmentConfig
 from segmill.operators import align as joins
-from segmill.operators import clusters, ngram, rank, segment
+from segmill.operators import clusters, ngram, rank, windows
 from segmill.sources import jsonl
 from segmill.sources.staging import read_table, stage, work_dir
 
@@ -132,6 +132,17 @@ rec as (select {key}, -1::bigint as pick from places union all
 picked as materialized (select {key}, pick as boundary from rec where pick >= 0)"""
 
 
+def _random(mask: str, config: SegmentConfig, key: str = "source_idx") -> str:
+    """picked as _fixed() gives it, with a size drawn for each segment from a hash of seed, row and number. From cuts."""
+    low, span = config.random_min_tokens, config.random_max_tokens - config.random_min_tokens + 1
+    draw = f"{low} + cast('0x' || substr(md5('{config.random_seed}:' || r.{key} || ':' || r.k), 1, 8) as bigint) % {span}"
+    return f"""places as materialized (select {key}, list(idx order by idx) as usable, max(n) as n from (
+    select {key}, idx, inside, token, count(*) over (partition by {key}) as n from cuts) where not inside and {mask} group by {key}),
+rec as (select {key}, 0::bigint as k, -1::bigint as pick from places union all
+    select r.{key}, r.k + 1 as k, list_filter(p.usable, lambda x: x >= r.pick + {draw} and x <= p.n - 2)[1] as pick from rec r join places p using ({key}) where r.pick is not null),
+picked as materialized (select {key}, pick as boundary from rec where pick >= 0)"""
+
+
 def _segments(source: str, min_chars: int, column: str = "gt_output", key: str = "source_idx") -> str:
     """segs(key, k, segment): the text cut after picked tokens, pieces without meaning joined to their neighbours."""
     stands = lambda piece: f"({_valid(piece)} and not (several and length({_strip(piece)}) < 3 and regexp_full_match({_strip(piece)}, '\\p{{L}}+')))"
@@ -155,6 +166,8 @@ _LONG = "longs as (select doc_id as source_idx, '' as system_prompt, source as q
 _LONG_FIXED = f"{_LONG}, {_tokens('longs')}, {_cuts('longs')}, {_fixed('longs', 'true', LONG.fixed_segment_tokens)}, {_segments('longs', LONG.min_step_chars)}"
 
 
+_DRAWN = f"drawn as (select source_idx from samples order by md5('{tau.SEED}:' || source_idx), source_idx limit {SAMPLE})"
+
 # Sources and sinks.
 
 
@@ -195,9 +208,6 @@ def shard_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonl.with_rank(samples(spark, sf_dir), RANKS).select("source_idx", "rank")
 
 
-_DRAWN = f"drawn as (select source_idx from samples order by md5('{tau.SEED}:' || source_idx), source_idx limit {SAMPLE})"
-
-
 @query(f"with {_SAMPLES}, {_DRAWN} select source_idx, (row_number() over (order by source_idx) - 1) % {RANKS} as rank from drawn")
 def sample_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = rank.with_position(tau.sample_rows(samples(spark, sf_dir), SAMPLE), "source_idx", name="place")
@@ -365,6 +375,42 @@ def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convert.flagged(samples(spark, sf_dir), SMALL).select("source_idx", "n_tokens", "n_windows")
 
 
+# A scorer over windows. The one here knows a token and the one before it (of a first one: the prompt's last character).
+
+
+def toy_scorer():
+    def score(found):
+        for w in found:
+            before = [w.prefix[-1:], *w.tokens]
+            yield [(len(w.tokens[i]) * 29 + len(before[i]) * 13 + ord(w.tokens[i][0]) % 31) % 101 / 128 for i in range(w.fresh_start, len(w.tokens))]
+
+    return score
+
+
+_TOY = f"""conf as (select source_idx, idx, token, (length(token) * 29 + coalesce(length(lag(token) over (partition by source_idx order by idx)), 1) * 13 + unicode(token) % 31) % 101 / 128.0::double as confidence,
+        token <> chr(10) as cuttable from toks),
+    vals as (select list_sort(list(confidence)) as l from conf semi join drawn using (source_idx) where cuttable),
+    taus as (select format('q_{{:.4f}}', q) as tau_key, q as quantile, l[1 + cast(round_even((len(l) - 1) * q, 0) as bigint)] as tau from (select unnest([{", ".join(f"cast({q} as double)" for q in QUANTILES)}]) as q), vals)"""
+
+
+@query(f"with {_SAMPLES}, {_DRAWN}, {_tokens('usable')}, {_TOY} select source_idx, idx, confidence from conf")
+def windowed_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of windows of 64 tokens, 16 of them fresh, as one array per answer."""
+    found = windows.score_answers(samples(spark, sf_dir), toy_scorer, SMALL.window, SMALL.stride)
+    rows = found.select("source_idx", F.posexplode("confidences").alias("idx", "confidence"))
+    return rows.withColumn("idx", F.col("idx").cast("long"))
+
+
+@query(f"""with {_SAMPLES}, {_COUNTED}, w as (select source_idx, unnest(range(n_windows)) as window_idx, n_tokens as n from counted)
+    select source_idx, window_idx, least({SMALL.window}, n - window_idx * {SMALL.stride}) as n_tokens,
+        case when window_idx = 0 then least({SMALL.window}, n) else least({SMALL.window}, n - window_idx * {SMALL.stride}) - {SMALL.window - SMALL.stride} end as n_fresh from w""")
+def scored_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each window of an answer holds, and how much of it is scored."""
+    rows = windows.window_rows(samples(spark, sf_dir), SMALL.window, SMALL.stride)
+    size = F.size("tokens").cast("long")
+    return rows.select("source_idx", "window_idx", size.alias("n_tokens"), (size - F.col("fresh_start")).alias("n_fresh"))
+
+
 # Joins.
 
 _SHIFTED = "ref as (select source_idx, case when source_idx % 10 = 7 then source_idx + 1 when source_idx % 10 = 3 then null else source_idx end as reference_idx, length(gt_output) as n_chars from samples)"
@@ -462,7 +508,7 @@ def cluster_minima(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Segmentation.
 
 _SHORT = SMALL.with_(mode="threshold", max_length=8192, special_tokens=("\n",))
-_THRESHOLD = f"""{_SCORED}, {_LOW}, {_cuts("usable")},
+_PICKED = f"""{_LOW}, {_cuts("usable")},
 places as materialized (select source_idx, list(idx order by idx) as usable from cuts where token <> chr(10) and not inside group by source_idx),
 runs as materialized (select source_idx, row_number() over (partition by source_idx order by min(idx)) as k, list(idx order by confidence, idx) as tries from low group by source_idx, island),
 rec as (select source_idx, 0::bigint as k, -1::bigint as last, null::bigint as pick from usable union all
@@ -471,6 +517,7 @@ rec as (select source_idx, 0::bigint as k, -1::bigint as last, null::bigint as p
             list_filter(flatten(list_transform(i.tries, lambda x: [x + 1, x - 1, x + 2, x - 2, x + 3, x - 3])), lambda x: x - r.last >= {MIN_STEP} and list_contains(p.usable, x))[1]) as pick
         from rec r join runs i on i.source_idx = r.source_idx and i.k = r.k + 1 join places p on p.source_idx = r.source_idx)),
 picked as materialized (select source_idx, pick as boundary from rec where pick is not null)"""
+_THRESHOLD = f"{_SCORED}, {_PICKED}"
 _THRESHOLD_SEGMENTS = f"{_THRESHOLD}, {_segments('usable', SMALL.min_step_chars)}"
 
 
@@ -491,8 +538,19 @@ def convert_threshold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convert.convert(samples(spark, sf_dir), _SHORT.with_(tau=chosen), ngram.confidence_arrays(tokens, "source_idx"))
 
 
-@query()
+_HASHED = SMALL.with_(mode="random", random_generator="hash")
+_LONG_HASHED = LONG.with_(mode="random", random_generator="hash")
+
+
+@query(f"with recursive {_SAMPLES}, {_tokens('usable')}, {_cuts('usable')}, {_random('true', _HASHED)} select source_idx, boundary from picked")
 def boundaries_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = convert.convert(samples(spark, sf_dir), _HASHED.with_(max_length=8192))
+    return rows.select("source_idx", F.explode("boundaries").alias("boundary"))
+
+
+@query()
+def boundaries_mersenne(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with Python's generator, which SQL cannot repeat."""
     rows = convert.convert(samples(spark, sf_dir), SMALL.with_(mode="random"))
     return rows.select("source_idx", F.explode("boundaries").alias("boundary"))
 
@@ -521,9 +579,9 @@ def inherited_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("source_idx", "conv_id", "system_prompt", "question", "n_chars", F.size("thoughts_list").cast("long").alias("n_segments"))
 
 
-@query()
+@query(f"with recursive {_LONG}, {_tokens('longs')}, {_cuts('longs')}, {_random('true', _LONG_HASHED)}, {_segments('longs', LONG.min_step_chars)} select source_idx, k, segment from segs")
 def convert_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.segment_rows(convert.convert(long_samples(spark, sf_dir), LONG.with_(mode="random")))
+    return quality.segment_rows(convert.convert(long_samples(spark, sf_dir), _LONG_HASHED))
 
 
 @query(f"with recursive {_THRESHOLD_SEGMENTS} select source_idx, k, segment from segs")
@@ -531,6 +589,86 @@ def convert_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.segment_rows(convert_threshold_rows(spark, sf_dir))
 
 
+@query(f"with recursive {_SAMPLES}, {_DRAWN}, {_tokens('usable')}, {_TOY}, {_PICKED}, {_segments('usable', SMALL.min_step_chars)} select source_idx, k, segment from segs")
+def convert_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's scorer over windows, from the sample that gives tau to the segments."""
+    rows = stage(samples(spark, sf_dir))
+    return quality.segment_rows(convert.scored_run(rows, _SHORT, toy_scorer, SAMPLE, tau.SEED, QUANTILES, TAU_KEY))
+
+
+# Tokens in context: the prompt here ends in a word, so that tokens do straddle its edge.
+
+IN_CONTEXT = offsets.InContext(offsets.with_offsets(text.tokens), lambda: (F.col("question"), F.concat("question", "gt_output")))
+_CHAT = """chat as (select source_idx, question || gt_output as gt_output, length(question) as edge from usable)"""
+_SPANS = f"""{_CHAT}, {_tokens("chat").replace("toks as", "every as", 1)},
+    toks as (select source_idx, row_number() over (partition by source_idx order by idx) - 1 as idx, token, greatest(start - edge, 0) as start, "end" - edge as "end"
+        from every join chat using (source_idx) where "end" > edge)"""
+
+
+@query(f"with {_SAMPLES}, {_SPANS} select source_idx, idx, token, start, \"end\" from toks")
+def tokens_in_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = usable(spark, sf_dir).select("source_idx", F.posexplode(IN_CONTEXT.spans()).alias("idx", "t"))
+    return rows.select("source_idx", F.col("idx").cast("long").alias("idx"), "t.token", F.col("t.start").cast("long").alias("start"), F.col("t.end").cast("long").alias("end"))
+
+
+@query(f"with recursive {_SAMPLES}, {_SPANS}, {_cuts('usable')}, {_fixed('usable', 'true', FIXED)}, {_segments('usable', SMALL.min_step_chars)} select source_idx, k, segment from segs")
+def convert_in_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.segment_rows(convert.convert(samples(spark, sf_dir), SMALL.with_(max_length=8192), tokenizer=IN_CONTEXT))
+
+
+# Records as their own text, and committed runs.
+
+_FIXED_SEGMENTS = f"{_SAMPLES}, {_tokens('usable')}, {_cuts('usable')}, {_fixed('usable', 'true', FIXED)}, {_segments('usable', SMALL.min_step_chars)}"
+_LINE = """'{"weight": 1.50, "gt_output": ' || to_json(gt_output) || ', "thoughts_list": ' || THOUGHTS || ', "question": ' || to_json(question) || ' , "conv": {"id": [' || conv_id || ', null]}' || END || '}'"""
+
+
+@query(f"""with recursive {_FIXED_SEGMENTS}, l as (select source_idx, '[' || string_agg(to_json(segment), ',' order by k) || ']' as thoughts from segs group by source_idx)
+    select source_idx, {_LINE.replace("THOUGHTS", "coalesce(thoughts, '[]')").replace("END", "', " + '"source_idx": ' + "' || source_idx")} as value from usable left join l using (source_idx)""")
+def jsonl_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with fields that no schema names: read, converted and written, they differ in thoughts_list alone."""
+    rows, path, target = stage(samples(spark, sf_dir)), work_dir(spark), work_dir(spark)
+    quoted = lambda c: F.regexp_extract(F.to_json(F.struct(F.col(c).alias("x"))), r'(?s)^\{"x":(.*)\}$', 1)
+    old = F.concat(F.lit('{"weight": 1.50, "gt_output": '), quoted("gt_output"), F.lit(', "thoughts_list": ["old", {"x": "}"}], "question": '), quoted("question"), F.lit(' , "conv": {"id": ['), F.col("conv_id").cast("string"), F.lit(", null]}}"))
+    rows.orderBy("source_idx").select(old.alias("value")).write.text(path)
+    jsonl.write_records(convert.convert(jsonl.read_jsonl(spark, path, jsonl.REFERENCE), SMALL.with_(max_length=8192)), target)
+    written = spark.read.text(target)
+    return written.select(F.get_json_object("value", "$.source_idx").cast("long").alias("source_idx"), "value")
+
+
+def _two_runs(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of a run of two ranks, one that was lost before its manifest, and one of the rest; rows of one segment are dropped."""
+    rows, target, config = stage(samples(spark, sf_dir)), work_dir(spark), SMALL.with_(long_policy="skip")
+    several = F.size("thoughts_list") > 1
+    runs.convert_run(rows, config, target, RANKS, ranks=(0, 1), keep=several)
+    runs.write_run(runs.converted_rows(rows, config, RANKS), target, 1)
+    runs.convert_run(rows, config, target, RANKS, keep=several)
+    return target
+
+
+_RUN = f"case when source_idx % {RANKS} < 2 then 0 else 1 end as run, source_idx % {RANKS} as rank"
+_SEEN = f"""{_FIXED_SEGMENTS}, {_COUNTED}, joined as (select source_idx, count(*) as n_segments from segs group by source_idx),
+    seen as (select *, {_RUN}, usable and not overlong as scored, usable and not overlong and coalesce(n_segments, 0) > 1 as written from counted left join joined using (source_idx))"""
+
+
+@query(f"""with recursive {_SEEN} select run, rank, count(*) as rows_seen, count(*) filter (scored) as rows_scored, count(*) filter (written) as rows_written,
+    count(*) filter (scored and not written) as rows_dropped, count(*) filter (written) as output_rows, true as finished, true as consistent from seen group by run, rank""")
+def committed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.audit_runs(spark, _two_runs(spark, sf_dir))
+
+
+@query(f"with recursive {_SEEN} select source_idx, conv_id, run, rank, n_segments from seen where written")
+def resumed_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What committed runs hold: each row once, whatever was lost between."""
+    return runs.read_output(spark, _two_runs(spark, sf_dir)).select("source_idx", "conv_id", "run", "rank", F.size("thoughts_list").cast("long").alias("n_segments"))
+
+
+@query(f"""with recursive {_SEEN} select run, rank, count(*) as rows_seen, count(*) filter (scored) as rows_scored, count(*) filter (written) as rows_written, count(*) filter (not usable) as rows_skipped,
+    count(*) filter (overlong) as num_overlong, count(*) filter (scored and not written) as rows_dropped, cast(coalesce(sum(n_tokens) filter (scored), 0) as bigint) as token_count,
+    cast(coalesce(sum(n_windows) filter (scored), 0) as bigint) as window_count, max(source_idx) as last_source_idx from seen group by run, rank""")
+def run_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.manifest(spark, _two_runs(spark, sf_dir)).drop("world_size", "finished", "settings")
+
+
 _HITS = " + ".join(f"len(string_split({{0}}, '{t}')) - 1" for t in protected.PROTECTED)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -43,9 +43,11 @@ def attach_scores(samples: DataFrame, scores: DataFrame, strict: bool = True) ->
     return checked_scores(samples.join(scores, "source_idx", "left" if strict else "inner"), strict)
 
 
-def checked_scores(joined: DataFrame, strict: bool = True) -> DataFrame:
-    """Rows with n_tokens and confidences, under the same rule."""
+def checked_scores(joined: DataFrame, strict: bool = True, only: Column | None = None) -> DataFrame:
+    """Rows with n_tokens and confidences, under the same rule; it holds for all rows, or `only` for some."""
     right = F.coalesce(F.size("confidences") == F.col("n_tokens"), F.lit(False))
+    if only is not None:
+        right = right | ~only
     if not strict:
         return joined.where(right)
     what = F.when(F.col("confidences").isNull(), "no confidences").otherwise("wrong number of confidences")

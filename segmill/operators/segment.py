@@ -7,11 +7,12 @@ the tokens' lengths and the confidences go to Python; all other columns stay whe
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import cache
-from itertools import accumulate, groupby, pairwise
+from itertools import count, groupby, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmill.functions.protected import PROTECTED
-from segmill.functions.text import FORMULA, lengths, tokens
+from segmill.functions.text import lengths, tokens
 from segmill.jobs.config import SegmentConfig
 
 _RUN, _LONG_RUN = re.compile(r"[^\W_]+"), re.compile(r"[^\W_]{3}")
-_FORMULA = re.compile(re.sub(r"\[\\t-.*?3000\}\]", r"\\s", FORMULA))
+#: The formula of functions/text, with white space as Python's own class of the same characters.
+_FORMULA = re.compile(r"[A-Za-z0-9]+(?:\s*[-+*/=<>^%:]+\s*[A-Za-z0-9]+)+")
+_FORMULA_BEGUN = re.compile(r"\s*(?:[A-Za-z0-9]+(?:\s*[-+*/=<>^%:]+\s*[A-Za-z0-9]+)*)?[-+*/=<>^%:\s]*")
 SEGMENTED = T.StructType().add("boundaries", T.ArrayType(T.LongType())).add("segments", T.ArrayType(T.StringType()))
 
 
@@ -52,9 +55,13 @@ def inside_word_flags(text: str) -> np.ndarray:
     return inside
 
 
-def cuttable_flags(ends: np.ndarray, text: str, strings: Sequence[str] = PROTECTED) -> np.ndarray:
+def starts_of(ends: np.ndarray) -> np.ndarray:
+    """Where tokens begin that follow each other without gaps."""
+    return np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+
+
+def cuttable_flags(starts: np.ndarray, ends: np.ndarray, text: str, strings: Sequence[str] = PROTECTED) -> np.ndarray:
     """Tokens that are not empty and touch no protected string, in one pass over the text."""
-    starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
     change = np.zeros(len(text) + 1, np.int32)
     for token in strings:
         at = text.find(token)
@@ -122,12 +129,28 @@ def _spaced(places: np.ndarray, step: int, last: int) -> list[int]:
     return chosen
 
 
-def random_length_boundaries(cuttable: Sequence[bool], low: int, high: int, seed: int, source_idx: int, inside: Sequence[bool] | None = None) -> list[int]:
-    """One draw per segment from a generator of the row's own, so partitioning changes nothing."""
+def draws(config: SegmentConfig, source_idx: int) -> Callable[[int, int], int]:
+    """A row's own draws from low to high, so partitioning changes nothing.
+
+    "mersenne" is Python's generator seeded by seed + row; "hash" takes the k-th draw from the MD5 of
+    seed:row:k, which SQL can repeat.
+    """
+    if config.random_generator == "mersenne":
+        return random.Random(config.random_seed + source_idx).randint
+    number = count()
+
+    def draw(low: int, high: int) -> int:
+        return low + int(hashlib.md5(f"{config.random_seed}:{source_idx}:{next(number)}".encode()).hexdigest()[:8], 16) % (high - low + 1)
+
+    return draw
+
+
+def random_length_boundaries(cuttable: Sequence[bool], low: int, high: int, draw: Callable[[int, int], int], inside: Sequence[bool] | None = None) -> list[int]:
+    """One draw per segment; a segment ends at the first token from there on that may end one."""
     if not 0 < low <= high:
         raise ValueError("sizes must be positive and in order")
-    draw, usable, chosen, last = random.Random(seed + source_idx), _usable(cuttable, inside), [], -1
-    while (target := last + draw.randint(low, high)) < len(cuttable) - 1:
+    usable, chosen, last = _usable(cuttable, inside), [], -1
+    while (target := last + draw(low, high)) < len(cuttable) - 1:
         at = int(np.searchsorted(usable, target))
         if at == len(usable):
             break
@@ -152,29 +175,53 @@ def split_text(text: str, ends: Sequence[int], boundaries: Sequence[int], min_ch
     if len(pieces) > 1 and len(text) - cuts[-2] < min_chars and text[cuts[-2] :].strip():
         pieces[-2:] = [pieces[-2] + pieces[-1]]
     several = len(pieces) > 1
-    opening = next((k for k, begun in enumerate(accumulate(pieces)) if _stands(begun, several)), None)
+    opening = _opening(pieces, several)
     if opening is None:
         return []
     opens = [0, *(k for k in range(opening + 1, len(pieces)) if _stands(pieces[k], several)), len(pieces)]
     return ["".join(pieces[a:b]) for a, b in pairwise(opens)]
 
 
+def _opening(pieces: list[str], several: bool) -> int | None:
+    """The first piece with which all up to it together can be a segment; the text is read once, however long nothing stands."""
+    text, end = "".join(pieces), 0
+    long, runs = _LONG_RUN.search(text), list(islice(_RUN.finditer(text), 2))
+    certain, formula = long.start() + 3 if long else len(text) + 1, _FORMULA_BEGUN.match(text).end()
+    for k, piece in enumerate(pieces):
+        end += len(piece)
+        if end >= certain:
+            return k
+        if not runs or end <= runs[0].start():
+            continue
+        alone = len(runs) < 2 or end <= runs[1].start()
+        pair = alone and min(end, runs[0].end()) - runs[0].start() == 2
+        if (pair or end <= formula) and _stands(text[:end], several):
+            return k
+    return None
+
+
 def _stands(piece: str, among_others: bool) -> bool:
     """Whether a piece can be a segment: it is valid and, among others, no word of one or two letters."""
     bare = piece.strip()
     return is_valid(piece) and not (among_others and bare.isalpha() and len(bare) < 3)
 
 
-def segment(rows: DataFrame, config: SegmentConfig, text: str = "gt_output", key: str = "source_idx", token_lengths: Column | None = None) -> DataFrame:
+def segment(rows: DataFrame, config: SegmentConfig, text: str = "gt_output", key: str = "source_idx", token_lengths: Column | None = None, token_spans: Column | None = None) -> DataFrame:
     """rows with `boundaries` and `segments`; threshold mode reads the array column `confidences`.
 
     token_lengths is the array of the tokens' lengths, the default tokenizer's if it is not given;
-    lengths that do not add up to the text raise.
+    lengths that do not add up to the text raise. token_spans is an array of (token, start, end) in its
+    place: tokens with gaps, overlaps or nothing in them. Spans outside the text, or whose ends go back, raise.
     """
-    sizes = lengths(tokens(F.col(text))) if token_lengths is None else token_lengths
     conf = F.col("confidences") if config.mode == "threshold" else F.lit(None)
-    cut = F.arrow_udf(_cutter(config), SEGMENTED)
-    found = cut(F.col(key).cast("long"), F.col(text), sizes.cast("array<int>"), conf.cast("array<double>"))
+    if token_spans is None:
+        sizes = lengths(tokens(F.col(text))) if token_lengths is None else token_lengths
+        places = [F.lit(None).cast("array<int>"), sizes.cast("array<int>"), F.lit(None).cast("array<boolean>")]
+    else:
+        special = F.transform(token_spans, lambda t: t["token"].isin(*config.special_tokens)) if config.special_tokens else F.lit(None)
+        places = [F.transform(token_spans, lambda t: t["start"]).cast("array<int>"), F.transform(token_spans, lambda t: t["end"]).cast("array<int>"), special.cast("array<boolean>")]
+    cut = F.arrow_udf(_cutter(config, token_spans is not None), SEGMENTED)
+    found = cut(F.col(key).cast("long"), F.col(text), *places, conf.cast("array<double>"))
     return rows.withColumn("_cut", found).select(*rows.columns, "_cut.boundaries", "_cut.segments")
 
 
@@ -184,36 +231,44 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def _cutter(config: SegmentConfig):
+def _placed(key: int | None, text: str, starts: np.ndarray, ends: np.ndarray, spans: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Where tokens begin and end, from spans or from lengths."""
+    if not spans:
+        ends = np.cumsum(ends, dtype=np.int64)
+        if not len(ends) or ends[-1] != len(text):
+            raise ValueError(f"the tokens of source_idx {key} do not add up to its text")
+        return starts_of(ends), ends
+    if len(ends) and ((starts < 0).any() or (starts > ends).any() or ends[-1] > len(text) or (np.diff(ends) < 0).any()):
+        raise ValueError(f"the token spans of source_idx {key} do not lie in order in its text")
+    return starts.astype(np.int64), ends.astype(np.int64)
+
+
+def _cutter(config: SegmentConfig, spans: bool):
     if config.mode == "threshold" and config.tau is None:
         raise ValueError("threshold mode needs a tau")
     special = frozenset(config.special_tokens)
 
-    def cut(key: int | None, text: str | None, sizes: np.ndarray, conf: np.ndarray) -> tuple[list[int], list[str]]:
+    def cut(key: int | None, text: str | None, starts: np.ndarray, ends: np.ndarray, marked: np.ndarray, conf: np.ndarray) -> tuple[list[int], list[str]]:
         if not text:
             return [], []
-        ends = np.cumsum(sizes, dtype=np.int64)
-        if not len(ends) or ends[-1] != len(text):
-            raise ValueError(f"the tokens of source_idx {key} do not add up to its text")
+        starts, ends = _placed(key, text, starts, ends, spans)
         by_char = inside_word_flags(text)
-        cuttable, inside = cuttable_flags(ends, text), by_char[ends]
+        cuttable, inside = cuttable_flags(starts, ends, text), by_char[ends]
         if special:
-            starts = [0, *ends[:-1].tolist()]
-            cuttable &= np.array([text[a:b] not in special for a, b in zip(starts, ends.tolist(), strict=True)])
+            cuttable &= ~marked.astype(bool) if spans else np.array([text[a:b] not in special for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], bool)
         if config.mode == "threshold":
             found = threshold_boundaries(conf.tolist(), cuttable.tolist(), config.tau, config.min_step_tokens, inside.tolist(), config.relocation_window)
         elif config.mode == "fixed":
             found = fixed_length_boundaries(cuttable, config.fixed_segment_tokens, config.min_step_tokens, inside)
         else:
-            found = random_length_boundaries(cuttable, config.random_min_tokens, config.random_max_tokens, config.random_seed, key or 0, inside)
+            found = random_length_boundaries(cuttable, config.random_min_tokens, config.random_max_tokens, draws(config, key or 0), inside)
         return found, split_text(text, ends, found, config.min_step_chars, by_char)
 
-    def run(keys: pa.Array, texts: pa.Array, sizes: pa.Array, confidences: pa.Array) -> pa.Array:
-        (size, size_cuts), (conf, conf_cuts) = _lists(sizes), _lists(confidences)
-        found = [
-            cut(key, text, size[a:b], conf[c:d])
-            for key, text, (a, b), (c, d) in zip(keys.to_pylist(), texts.to_pylist(), pairwise(size_cuts.tolist()), pairwise(conf_cuts.tolist()), strict=True)
-        ]
+    def run(keys: pa.Array, texts: pa.Array, *columns: pa.Array) -> pa.Array:
+        lists = [_lists(c) for c in columns]
+        found = []
+        for i, (key, text) in enumerate(zip(keys.to_pylist(), texts.to_pylist(), strict=True)):
+            found.append(cut(key, text, *(values[cuts[i] : cuts[i + 1]] for values, cuts in lists)))
         columns = [pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.string()))]
         return pa.StructArray.from_arrays(columns, names=SEGMENTED.names)
 

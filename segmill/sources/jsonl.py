@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from segmill.functions.json_text import json_array, with_fields
 from segmill.functions.text import is_blank
 
 MESSAGE = T.StructType().add("from", T.StringType()).add("value", T.StringType())
@@ -19,8 +20,9 @@ REFERENCE = T.StructType().add("source_idx", T.LongType()).add("system_prompt",
 def read_jsonl(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, limit_rows: int | None = None, index: bool = True) -> DataFrame:
     """One row per non-blank line: source_idx (0-based, in file order), the schema's fields, raw.
 
-    Blank lines take no index. Bad JSON fails the job. Fields outside the schema stay in `raw`. The
-    index comes from one counting job over the lines, with a row per split of a file; nothing is shuffled.
+    Blank lines take no index. Bad JSON fails the job. Fields outside the schema stay in `raw`, and
+    write_records() writes them again. The index comes from one counting job over the lines, with a row
+    per split of a file; no text is shuffled.
     """
     lines = spark.read.text(path).where(~is_blank(F.col("value")))
     if index or limit_rows is not None:
@@ -47,6 +49,21 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
+def record_lines(converted: DataFrame, line: str = "raw") -> DataFrame:
+    """(value): each converted record as its own input line with thoughts_list replaced.
+
+    All other text of a line stays byte for byte: fields that no schema names, their order, and how
+    numbers are written. source_idx is added where the line has none, or null.
+    """
+    fields = {"thoughts_list": json_array(F.col("thoughts_list")), "source_idx": F.col("source_idx").cast("string")}
+    return converted.select(with_fields(F.col(line), fields, keep={"source_idx"}).alias("value"))
+
+
+def write_records(converted: DataFrame, path: str, mode: str = "append", line: str = "raw") -> None:
+    """record_lines() as text files: JSON lines in the order of each partition."""
+    record_lines(converted, line).write.mode(mode).text(path)
+
+
 def write_summary(df: DataFrame, path: str) -> None:
     """A small result (counters, tau candidates) as one JSON file beside the data."""
     df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)

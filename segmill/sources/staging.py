@@ -90,6 +90,12 @@ def stage_bucketed(df: DataFrame, column: str, buckets: int) -> DataFrame:
     return spark.table(name)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever file system the path names."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def bucket_homes(spark: SparkSession, buckets: int) -> list[int]:
     """For each of the buckets a number that bucketing puts there: rows that carry it share that bucket."""
     tries = buckets * (buckets.bit_length() + 20)

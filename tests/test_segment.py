@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import random
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from segmill.jobs.config import SegmentConfig
 from segmill.operators import segment as S
 
 
@@ -63,8 +66,14 @@ def test_fixed():
 
 
 def test_random_is_the_rows_own():
-    assert S.random_length_boundaries([True] * 10, 4, 4, 42, 0) == [3, 7]
-    assert S.random_length_boundaries([True] * 99, 4, 9, 42, 5) == S.random_length_boundaries([True] * 99, 4, 9, 42, 5)
+    for generator in ("mersenne", "hash"):
+        config = SegmentConfig(mode="random", random_generator=generator)
+        own = lambda row: S.draws(config, row)  # noqa: E731, B023
+        assert S.random_length_boundaries([True] * 10, 4, 4, own(0)) == [3, 7]
+        assert S.random_length_boundaries([True] * 99, 4, 9, own(5)) == S.random_length_boundaries([True] * 99, 4, 9, own(5)) != S.random_length_boundaries([True] * 99, 4, 9, own(6))
+    draw, drawn = S.draws(SegmentConfig(random_generator="hash"), 5), Counter()
+    drawn.update(draw(3, 7) for _ in range(5000))
+    assert sorted(drawn) == [3, 4, 5, 6, 7] and min(drawn.values()) > 850
 
 
 def split(text, ends, boundaries, chars):
@@ -84,10 +93,17 @@ def test_split():
             split("abc def ghi", [3, 7, 11], bad, 4)
 
 
+def cuttable(ends, text):
+    ends = np.array(ends)
+    return S.cuttable_flags(S.starts_of(ends), ends, text)
+
+
 def test_cuttable():
-    mask = S.cuttable_flags(np.array([1, 2, 7, 9, 9]), "a<think>b")
+    spans = np.array([(0, 1), (0, 8), (1, 1), (8, 8), (8, 9), (0, 1), (7, 9)])  # overlaps, nothing, touching
+    assert S.cuttable_flags(spans[:, 0], spans[:, 1], "a<think>b").tolist() == [True, False, False, False, True, True, False]
+    mask = cuttable([1, 2, 7, 9, 9], "a<think>b")
     assert mask.tolist() == [True, False, False, False, False]
-    assert S.cuttable_flags(np.array([1, 8, 9]), "a<think>b").tolist() == [True, False, True]
+    assert cuttable([1, 8, 9], "a<think>b").tolist() == [True, False, True]
 
 
 def plain_inside(text, cut):
@@ -138,7 +154,7 @@ def test_all_modes_against_plain_versions(text, seed):
     flags = S.inside_word_flags(text)
     assert flags.tolist() == [plain_inside(text, c) for c in range(len(text) + 1)]
     inside = flags[ends].tolist()
-    mask = S.cuttable_flags(np.array(ends), text).tolist()
+    mask = cuttable(ends, text).tolist()
     free = [i for i in range(len(ends) - 1) if mask[i] and not inside[i]]
 
     fixed, last = [], -1
@@ -151,7 +167,7 @@ def test_all_modes_against_plain_versions(text, seed):
     while (target := last + draw.randint(2, 5)) < len(ends) - 1 and (more := [i for i in free if i >= target]):
         last = more[0]
         drawn.append(last)
-    assert S.random_length_boundaries(mask, 2, 5, seed, 1, inside) == drawn
+    assert S.random_length_boundaries(mask, 2, 5, random.Random(seed + 1).randint, inside) == drawn
 
     conf = [rng.choice([0.1, 0.2, 0.3, 0.6, 0.9]) for _ in ends]
     chosen = S.threshold_boundaries(conf, mask, 0.4, 2, inside)
@@ -169,3 +185,10 @@ def test_split_joins_to_neighbours():
     assert split("11_.1", [3, 5], [0], 2) == ["11_.1"]
     assert split("ab cde fgh", [2, 6, 10], [0, 1], 2) == ["ab cde", " fgh"]
     assert split("abc x def", [3, 5, 9], [0, 1], 2) == ["abc x", " def"]
+
+
+def test_long_texts_in_which_nothing_stands_take_linear_time():
+    text = "!? a.. " * 60_000
+    began = time.process_time()
+    pieces = S.split_text(text, list(range(7, len(text) + 1, 7)), list(range(0, 60_000 - 1)), 7, S.inside_word_flags(text))
+    assert pieces == [] and time.process_time() - began < 5
