@@ -24,7 +24,7 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def join_counted(rows: DataFrame, groups: DataFrame, key: str, most_hot: int | None = None) -> DataFrame:
+def join_counted(rows: DataFrame, groups: DataFrame, key: str | list[str], most_hot: int | None = None) -> DataFrame:
     """rows joined to groups, a staged table of one row per key with n, the number of rows that have it.
 
     The few keys with a large share of all rows are broadcast, so no task gets all rows of such a

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
+import time
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+from xml.etree import ElementTree
 
 import numpy as np
 import pytest
@@ -543,61 +546,178 @@ def test_head_without_end_tag(spark):
     assert site_style_tree.PageTree().read("<head><title>T</title></head><p>Some text.").blocks[0].text == "Some text."
 
 
-def plain_importance(trees):
-    """{node: importance} of one host's pages, told plainly (see the module's docstring)."""
-    tree_of, log = {}, np.log
-    for t in trees:  # pages with the same main text count once
-        main = [b for b in t.blocks if b.place.branch is None]
-        main = [b for b in main if b.place.in_main] or main or t.blocks
-        if main:
-            whole = lambda blocks: site_style_tree._hash("\0".join(f"{b.place.node}\0{b.text}" for b in blocks))
-            tree_of.setdefault(whole(main), []).append((whole(t.blocks), t))
-    chosen = [min(group, key=lambda x: x[0])[1] for group in tree_of.values()]
-    m, mains = len(chosen), sum(any(b.place.in_main for b in t.blocks) for t in chosen)
-
-    def entropy(counts, base):
-        p = np.array(list(counts)) / sum(counts)
-        return float(np.clip(-(p * log(p)).sum() / log(base), 0, 1)) if base > 1 else 0.0
-
-    places, styles, out = defaultdict(lambda: defaultdict(list)), defaultdict(lambda: defaultdict(int)), {}
-    for k, t in enumerate(chosen):
-        around = defaultdict(int)
-        for b in t.blocks:
-            around[b.place.branch] += len(b.text) - b.links
-        for b in t.blocks:
-            places[b.place][b.text].append((k, b.links, around[b.place.branch]))
-        for node, style in t.styles:
-            styles[node][style] += 1
-    for place, texts in places.items():
-        size = sum(len(t) * len(at) for t, at in texts.items())
-        rare = sum(len(t) * len(at) * (1 - entropy([sum(k == j for k, _, _ in at) for j in {k for k, _, _ in at}], m)) for t, at in texts.items())
-        every = [x for at in texts.values() for x in at]
-        links, long = sum(x[1] for x in every), np.mean([x[2] for x in every])
-        look = entropy(styles[place.over].values(), sum(styles[place.over].values())) if styles[place.over] else 0
-        s = site_style_tree
-        importance = min(1.0, rare / max(size, 1) * (1 - s.LINKED * min(links / max(size, 1), 1) + s.VARIED * look))
-        importance *= s.NAMED + s.NAMED_LONG * long / (long + s.LONG) if place.branch is not None else 1
-        out[place.node] = importance * (1 if place.in_main else 1 - s.OUTSIDE * mains / m)
-    return out
-
-
-def test_importance_equals_a_plain_tree(spark):
+class PlainSite:
+    """One host's pages, well formed, read with an XML parser; importance and texts told plainly (see the module's docstring)."""
+
+    def __init__(self, pages):
+        self.pages = [self.blocks(ElementTree.fromstring(p)) for p in pages]
+        self.groups = defaultdict(list)
+        for k, (blocks, _) in enumerate(self.pages):
+            if main := self.main(blocks) or blocks:
+                self.groups[tuple((b["path"], b["text"]) for b in main)].append(k)
+
+    def blocks(self, root):
+        found, styles = [], []
+        holds = {e for e in root.iter() if any(x is not e and x.tag in ("article", "main") for x in e.iter())}
+
+        def label(e):
+            return re.sub(r"\d{3,}", "#", ".".join([e.tag, *(w for k in e.attrib if k in ("class", "id", "role") for w in re.findall("[a-z0-9]+", e.attrib[k].lower()))]))
+
+        def mark(e, inside):
+            if e.tag in ("article", "main"):
+                return "*"
+            if e in holds or e.tag in ("html", "body"):
+                return ""
+            names = " ".join(e.attrib.get(k, "") for k in ("class", "id", "role")).split()
+            return "?" if "comments" in names else "!" if {"ad", "share", "related"} & set(names) or e.tag in ("nav", "footer") or (e.tag == "aside" and not inside) else "~" if e.tag == "aside" else ""
+
+        def walk(e, path, above, inside):
+            own = mark(e, inside)
+            path = (*path, (label(e), own))
+            above = (*above, (path, own)) if own in ("!", "?", "~") else above
+            inside = inside or own == "*"
+            text, links = [], []
+
+            def flush():
+                if words := " ".join("".join(text).split()):
+                    found.append(dict(path=path, text=words, links=min(len(words), len("".join(links))), inside=inside, names=[p for p, m in above if m == "!"], sure=any(m == "?" for _, m in above), aside=any(m == "~" for _, m in above)))
+                text.clear()
+                links.clear()
+
+            text.append(e.text or "")
+            children = []
+            for c in e:
+                if c.tag in ("a", "b"):
+                    text.append(c.text or "")
+                    links.append(c.text or "" if c.tag == "a" else "")
+                else:
+                    flush()
+                    walk(c, path, above, inside)
+                    children += [label(c)] if not children or children[-1] != label(c) else []
+                text.append(c.tail or "")
+            flush()
+            if children:
+                styles.append((path, tuple(children)))
+
+        walk(root, (), (), False)
+        return found, styles
+
+    @staticmethod
+    def main(blocks):
+        free = [b for b in blocks if not b["names"] and not b["sure"]]
+        return [b for b in free if b["inside"]] or free
+
+    def importance(self):
+        groups = list(self.groups.values())
+        m, mains = len(groups), sum(any(b["inside"] for k in g for b in self.pages[k][0]) for g in groups)
+
+        def entropy(counts, base):
+            p = np.array(list(counts)) / max(1, sum(counts))
+            return float(np.clip(-(p * np.log(p)).sum() / np.log(base), 0, 1)) if base > 1 else 0.0
+
+        places, styles, node = defaultdict(lambda: defaultdict(dict)), defaultdict(Counter), {}
+        for j, g in enumerate(groups):
+            shown = Counter()
+            for k in g:
+                own, links = Counter((b["path"], b["text"]) for b in self.pages[k][0]), Counter()
+                for b in self.pages[k][0]:
+                    node[b["path"]] = b
+                    links[b["path"], b["text"]] += b["links"]
+                for (path, text), c in own.items():
+                    before = places[path][text].get(j, (0, 0))
+                    places[path][text][j] = (max(c, before[0]), max(links[path, text], before[1]))
+                shown |= Counter(self.pages[k][1])
+            for (path, style), c in shown.items():
+                styles[path][style] += c
+        size, rare, free, links = Counter(), Counter(), Counter(), Counter()
+        for path, texts in places.items():
+            for text, at in texts.items():
+                n, own = sum(c for c, _ in at.values()) * len(text), sum(x for _, x in at.values())
+                e = entropy([c for c, _ in at.values()], m)
+                size[path] += n
+                links[path] += own
+                rare[path] += n * (1 - e)
+                free[path] += (n - own) * (1 - e)
+        counts = {p: b for p, b in node.items() if b["inside"] or mains / m < 0.5}
+        held = Counter()
+        for p, b in counts.items():
+            for branch in b["names"]:
+                held[branch, b["inside"]] += free[p]
+        whole = {True: sum(free[p] for p, b in counts.items() if b["inside"]), False: sum(free[p] for p in counts)}
+        wraps = {branch for (branch, inside), x in held.items() if 2 * x > whole[inside]}
+        out = {}
+        for p, b in node.items():
+            look = entropy(styles[p[:-1]].values(), sum(styles[p[:-1]].values())) if styles.get(p[:-1]) else 0
+            x = min(1.0, rare[p] / size[p] * (1 - 0.5 * min(1, links[p] / size[p]) + 0.2 * look))
+            x *= 0.2 if b["sure"] or any(n not in wraps for n in b["names"]) else 0.5 if b["aside"] else 1
+            out[p] = x * (1 if b["inside"] else 1 - 0.5 * mains / m)
+        return out
+
+    def texts(self, least=0.3):
+        of = self.importance()
+        return ["\n".join(b["text"] for b in [b for b in blocks if of[b["path"]] >= least] or self.main(blocks)) for blocks, _ in self.pages]
+
+
+def test_main_text_equals_a_plain_version(spark):
     rng = random.Random(5)
-    bits = ["<p>Same words on all pages</p>", "<p>Unique words {0} here</p>", "<div class=ad><p>Buy {1}</p></div>", "<div class='x1 x2'><p>One of {1}</p><p>Two {0}</p></div>", "<ul><li><a href=x>Link {1}</a><li>Item {0}</ul>",
-            "<article><p>Article {0}</p><div class=share>Share</div></article>", "<nav><a href=y>Home</a></nav>", "<div id=post-{0}000>Post text</div>", "<section><h2>Head {1}</h2>Text {0}</section>"]
+    bits = ["<p>Same words on all pages</p>", "<p>Unique words {0} here</p>", "<div class='ad'><p>Buy {1}</p></div>", "<div class='x1 x2'><p>One of {1}</p><p>Two {0}</p></div>", "<ul><li><a href='x'>Link {1}</a></li><li>Item {0}</li></ul>",
+            "<nav><a href='y'>Home</a></nav>", "<div id='post-{0}000'>Post text</div>", "<section><h2>Head {1}</h2>Text {0}</section>", "<aside>Aside {1}</aside>", "<div class='comments'><p>Comment {0} by a reader.</p></div>",
+            "<div class='related'><p>Related long text {0} that goes on and on {0}.</p></div>", "<footer>Same foot {1}</footer>"]
+    some = lambda most: "".join(rng.choice(bits).format(rng.randint(0, 30), rng.randint(0, 3)) for _ in range(rng.randint(1, most)))
     pages = []
-    for host in range(6):
-        for i in range(rng.choice([1, 2, 3, 7])):
-            page = "".join(rng.choice(bits).format(rng.randint(0, 30), rng.randint(0, 3)) for _ in range(rng.randint(1, 6)))
+    for host in range(14):
+        for _ in range(rng.choice([1, 2, 3, 7, 12])):
+            page = some(6) + (f"<article><p>Article {rng.randint(0, 30)}</p>{some(4)}</article>" if rng.random() < host % 3 / 2 else "") + some(2)
             pages += [(host, f"<html><body>{page}</body></html>")] * rng.choice([1, 1, 2])
+            if rng.random() < 0.3:  # the same main text beside another advert
+                pages.append((host, pages[-1][1].replace("</body>", "<div class='ad'>Other</div></body>")))
+    sites = {h: PlainSite([p for k, p in pages if k == h]) for h in range(14)}
     rows = spark.createDataFrame([(i, f"http://h{h}/{i}", p) for i, (h, p) in enumerate(pages)], "page_id long, url string, html string").repartition(3)
-    got = {(r.host, r.node): r.importance for r in site_style_tree.style_tree(stage(site_style_tree.parse_pages(rows))).collect()}
-    expected = {(f"h{h}", node): x for h in range(6) for node, x in plain_importance([site_style_tree.PageTree().read(p) for k, p in pages if k == h]).items()}
-    assert got.keys() == expected.keys() and all(abs(got[k] - expected[k]) < 1e-9 for k in got)
+    got = sorted((r.host, round(r.importance, 9), r.size) for r in site_style_tree.style_tree(stage(site_style_tree.parse_pages(rows))).collect())
+    assert sorted({x[0] for x in got}) == sorted({f"h{h}" for h in sites}) and len(got) > 150
+    assert [x[:2] for x in got] == sorted((f"h{h}", round(x, 9)) for h, site in sites.items() for x in site.importance().values())
     texts, whole = ({r.page_id: r.text for r in site_style_tree.extract_main_text(spark, rows, least).collect()} for least in (site_style_tree.LEAST_IMPORTANCE, 0.0))
+    own = {h: iter(site.texts()) for h, site in sites.items()}
+    assert [texts[i] for i in range(len(pages))] == [next(own[h]) for h, _ in pages]
     assert sum(texts[i] != whole[i] for i in texts) > len(pages) / 4  # without low branches nothing goes
 
 
+@pytest.mark.parametrize("length", (20, 500, 20_000))
+def test_comments_of_any_length_go(spark, length):
+    comments = "<section class=comments><h3>Comments</h3>" + "<div id=comment-{0}><p>A reader said {0} things.</p></div>" * max(1, length // 30) + "</section>"
+    body, inside = "<p>The text {0} of the article, in some words.</p>", "<article>{}</article>"
+    hosts = {"inside": [inside.format(body + comments)] * 12, "outside": [inside.format(body) + comments] * 12, "none": [f"<div class=x>{body}</div>" + comments] * 12}
+    hosts |= {"mixed": [inside.format(body + comments), f"<div class=x>{body}</div>" + comments] * 6, "one": [inside.format(body + comments)], "single": [f"<div class=x>{body}</div>" + comments]}
+    pages = [(h, f"<html><body>{p.replace('{0}', str(i))}</body></html>") for h, own in hosts.items() for i, p in enumerate(own)]
+    assert main_texts(spark, pages) == [f"The text {i} of the article, in some words." for own in hosts.values() for i in range(len(own))]
+
+
+def test_the_tree_alone_finds_boilerplate(spark):
+    """No tag and no name tells: only entropies do, in and out of the article, and without them it all stays."""
+    page = "<html><body><div class=q1><p>Home News About us and all the rest</p></div><article><h1>Title {0}</h1><p>Body {0} words.</p><div class=q2>Sign up for our letter</div></article><div class=q3>All rights reserved</div></body></html>"
+    aside = "<html><body><article><p>Body {0} of the text.</p><aside>Quote {0} from it.</aside><aside class=q4>Read more of ours.</aside></article></body></html>"
+    pages = [("a", page.format(i)) for i in range(5)] + [("b", aside.format(i)) for i in range(5)] + [("c", page.format(0))]
+    whole = "Home News About us and all the rest\nTitle 0\nBody 0 words.\nSign up for our letter\nAll rights reserved"
+    assert main_texts(spark, pages) == [f"Title {i}\nBody {i} words." for i in range(5)] + [f"Body {i} of the text.\nQuote {i} from it." for i in range(5)] + [whole]
+
+
+def test_broken_markup(spark):
+    read = lambda html: [b.text for b in site_style_tree.PageTree().read(html).blocks]
+    for html, expected in (
+        ("<p>a</p><![foo[ x ]]><p>b</p>", ["a", "b"]), ("<p>a<![ >b", ["ab"]), ("<![", []), ("<!", []), ("</", ["</"]), ("a<", ["a<"]), ("a < b <3", ["a < b <3"]), ("<!-->a<!--->b<!-- c", ["ab"]), ("<?x y?>a", ["a"]),
+        ("<select><option>1<p>after</p>", ["after"]), ("<textarea>in<p>after</p>", ["after"]), ("<textarea><p>in</p></textarea><p>after</p>", ["after"]), ("<title>t<p>after", ["after"]), ("<button>b<p>after", ["after"]),
+        ("<button><div>b</div></button><p>after", ["after"]), ("<svg><text>x<p>after", ["after"]), ("<script>var a='</p>'<p>gone", []), ("<p title='a>b'>c", ["c"]), ("<p title=a>b</p>", ["b"]), ("<p a=\"x>y", []),
+        ("<P CLASS=X>a&#x41;&amp;&lt;b&gt;</P >c", ["aA&<b>", "c"]), ("<p>&#55296;\ud800x", ["\ufffd\ud800x"]), ("<iframe>gone</iframe>a<iframe>b<p>c", ["a", "c"]), ("</p></div></article>x", ["x"]), ("a\x00b", ["a\x00b"]),
+    ):
+        assert read(html) == expected, html
+    for html in ("<a " * 400_000, "<div><p>x" * 40_000, "<!--" * 400_000, "<p class='" * 200_000, "<textarea>" * 100_000, "<main>" * 20_000 + "x", "<x-a>" * 20_000 + "<p>" * 20_000, "<" * 800_000, "= " * 500_000, "<p " + "=" * 800_000, "<p " + "a" * 800_000 + ">"):
+        began = time.process_time()
+        site_style_tree.PageTree().read(html)
+        assert time.process_time() - began < 6, html[:9]
+    got = main_texts(spark, [("h", "<p>a</p><![foo[ x ]]><p>b</p>"), ("h", "<![ >"), ("h", None)])
+    assert got == ["a\nb", "", ""]
+
+
 def test_deep_pages_and_many_names(spark):
     deep = "<html><body><article><p>Text {0}.</p>" + "<div class=a>" * 5000 + "<p>Deep text {0}.</p>" + "</div>" * 5000 + "</article></body></html>"
     names = "<html><body><div class='a b c d e menu1'>Same words</div><div class='a b c d f'>Unique words {0}.</div></body></html>"
@@ -605,7 +725,7 @@ def test_deep_pages_and_many_names(spark):
     pages = [(h, page.format(i)) for h, page in (("deep", deep), ("names", names), ("numbers", numbers)) for i in range(1, 9)]
     assert main_texts(spark, pages) == [f"Text {i}.\nDeep text {i}." for i in range(1, 9)] + [f"Unique words {i}." for i in range(1, 9)] * 2
     tree = site_style_tree.parse_pages(spark.createDataFrame([(1, "http://h/", deep.format(1))], "page_id long, url string, html string"))
-    assert tree.select(F.length(F.to_json(F.struct("blocks", "styles")))).first()[0] < 400_000
+    assert tree.select(F.length(F.to_json(F.struct("features", "styles")))).first()[0] < 400_000
 
 
 def test_keep_one_with_repeated_and_null_ids(spark):
