@@ -10,6 +10,13 @@ A hit is a digest that was met before. Its new rows are fetched by their locator
 that came first, whichever run brought it; their full bytes are compared. A digest with several texts
 is split by whole text. Given a store of its own, a later run meets the documents of all runs before.
 
+A run's events are whole once their folder has its mark; until then a new run takes the number and
+writes over them. A run that fails later is taken up again by the next call with the same documents
+(the same pairs of doc_id and text): its events are there already, the stream's checkpoint lets each of
+them count once, and what micro-batches have said stays under the run's number. With a run_id a call is
+the same run for good, so a caller whose own write fails can ask again. A failed run that is never
+taken up counts as a run.
+
 Texts are equal if they are identical after lower-casing A-Z only.
 
 Cases: null text counts as empty; a null doc_id is smaller than any other; of repeated rows with the
@@ -28,6 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmill.llm.common import configure, join_counted, settings, stage, work_dir
+from segmill.sources.staging import exists
 
 #: Event files in a micro-batch: enough to keep a large cluster busy.
 FILES_PER_BATCH = 4096
@@ -56,13 +64,12 @@ def locate(scan: DataFrame, run: int) -> DataFrame:
 
 
 class Store:
-    """A folder with the events, the stream's state and, for each run, where its contents stand."""
+    """A folder with each run's events, sources and group updates, and the stream's state."""
 
     def __init__(self, spark: SparkSession, folder: str | None):
-        self.spark, self.folder = spark, folder or work_dir(spark)
+        self.spark, self.fresh, self.folder = spark, folder is None, folder or work_dir(spark)
         self.events, self.sources, self.mixed, self.checkpoint = (f"{self.folder}/{name}" for name in ("events", "sources", "mixed", "checkpoint"))
-        runs = self.table(self.sources)
-        self.run = 0 if runs is None else runs.agg(F.coalesce(F.max("run") + 1, F.lit(0))).first()[0]
+        self.run, self.run_id = 0, ""
 
     def table(self, path: str) -> DataFrame | None:
         try:
@@ -70,21 +77,51 @@ class Store:
         except AnalysisException:  # nothing was written there yet
             return None
 
-    def add(self, docs: DataFrame, located: bool) -> DataFrame:
-        """docs with locators; unless they can be located where they stand, their columns are copied to the store."""
-        scan = docs if located else stage(docs, f"{self.folder}/contents-{self.run}")
+    def add(self, docs: DataFrame, located: bool, digest_bytes: int, run_id: str | None) -> DataFrame:
+        """docs with locators, their events being in the store; unless docs can be located where they stand, their columns are copied to the store."""
+        if not self.fresh:
+            self._find(docs, digest_bytes, run_id)
+            if self.whole(self.run):
+                paths = self.source(self.run)
+                return locate(docs if located else self.spark.read.parquet(*paths), self.run)
+        scan = docs if located else stage(docs, f"{self.folder}/contents-{self.run}-{uuid.uuid4().hex}")
         found = locate(scan, self.run)
-        paths = [(self.run, path) for path in scan.inputFiles()]
-        self.spark.createDataFrame(paths or [(self.run, None)], "run long, path string").write.mode("append").parquet(self.sources)
+        paths = [(self.run, self.run_id, path) for path in scan.inputFiles()]
+        self.spark.createDataFrame(paths or [(self.run, self.run_id, None)], "run long, run_id string, path string").coalesce(1).write.mode("overwrite").parquet(f"{self.sources}/run-{self.run}")
+        events_of(found, digest_bytes).write.mode("overwrite").parquet(f"{self.events}/run-{self.run}")
         return found
 
+    def _find(self, docs: DataFrame, digest_bytes: int, run_id: str | None) -> None:
+        """Set run and run_id: those of an earlier call that this one repeats, or the next."""
+        given = run_id is not None
+        if not given:
+            pairs = docs.select(F.xxhash64(F.col("doc_id").cast("long"), text_digest(normal_text(), digest_bytes)).alias("h"))
+            n, total, mixed = pairs.agg(F.count(F.lit(1)), F.sum(F.col("h").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("h"))).first()
+            run_id = f"{n}:{total}:{mixed}"
+        self.run_id, self.run = run_id, 0
+        while self.whole(self.run):  # a number a run
+            ids = {r.run_id for r in self.spark.read.parquet(f"{self.sources}/run-{self.run}").select("run_id").distinct().collect()}
+            if run_id in ids and (given or not exists(self.spark, f"{self.folder}/commits/run-{self.run}")):
+                return
+            self.run += 1
+
+    def whole(self, run: int) -> bool:
+        return exists(self.spark, f"{self.events}/run-{run}/_SUCCESS")
+
+    def source(self, run: int) -> list[str]:
+        return [r.path for r in self.spark.read.parquet(f"{self.sources}/run-{run}").select("path").distinct().collect() if r.path is not None]
+
+    def commit(self) -> None:
+        """The run is done: the same documents come again as a run of their own."""
+        if not self.fresh:
+            self.spark.range(1).write.mode("overwrite").parquet(f"{self.folder}/commits/run-{self.run}")
+
     def texts(self, locators: DataFrame, present: DataFrame) -> DataFrame:
         """(digest, normal) of the texts at locators(digest, run, file, row); present is what add() gave for this run."""
         every = present.select(F.col("doc.text").alias("text"), *_LOCATOR)
         earlier = locators.where(F.col("run") < self.run).select("run").distinct().collect()  # a row a run
         for run in sorted(r.run for r in earlier):
-            paths = [r.path for r in self.table(self.sources).where(F.col("run") == run).select("path").distinct().collect()]
-            every = every.unionByName(locate(self.spark.read.parquet(*paths).select("text"), run).select(F.col("doc.text").alias("text"), *_LOCATOR))
+            every = every.unionByName(locate(self.spark.read.parquet(*self.source(run)).select("text"), run).select(F.col("doc.text").alias("text"), *_LOCATOR))
         return every.join(locators.hint("merge"), _LOCATOR).select("digest", normal_text().alias("normal"), *_LOCATOR)
 
 
@@ -96,8 +133,8 @@ def events_of(contents: DataFrame, digest_bytes: int) -> DataFrame:
 def stream_groups(store: Store, events: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """(digest, keep, first, n) of every digest among the new events, after all of them."""
     spark = store.spark
-    updates = f"{store.folder}/updates-{store.run}-{uuid.uuid4().hex}"
-    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files_per_batch).parquet(store.events)
+    updates = f"{store.folder}/updates-{store.run}"  # of a run that is taken up again, some may be there
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{store.events}/*")
     state = source.groupBy("digest").agg(*_state())
     with settings(spark, _ROCKSDB):  # a query keeps the settings with which it starts
         query = (
@@ -121,23 +158,23 @@ def _state() -> list[Column]:
     return [F.max(F.struct("doc_id", locator.alias("at"))).alias("keep"), F.min(locator).alias("first"), F.count(F.lit(1)).alias("n")]
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, digest_bytes: int = 32, files_per_batch: int = FILES_PER_BATCH, store: str | None = None, located: bool = False) -> DataFrame:
+def exact_dedup(spark: SparkSession, docs: DataFrame, digest_bytes: int = 32, files_per_batch: int = FILES_PER_BATCH, store: str | None = None, located: bool = False, run_id: str | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text).
 
     With a store, a folder of one's own, groups take in the documents of all runs on it. located says
     that docs are a plain scan of files that stay, so texts need not be copied to the store. A shorter
-    digest (digest_bytes) only makes collisions likelier; results stay the same.
+    digest (digest_bytes) only makes collisions likelier; results stay the same. run_id names the run
+    for callers who may ask again.
     """
-    return _exact_dedup(spark, docs, digest_bytes, files_per_batch, store, located)[1].drop(*_LOCATOR)
+    return _exact_dedup(spark, docs, digest_bytes, files_per_batch, store, located, run_id)[1].drop(*_LOCATOR)
 
 
-def _exact_dedup(spark: SparkSession, docs: DataFrame, digest_bytes: int, files_per_batch: int, folder: str | None, located: bool) -> tuple[DataFrame, DataFrame]:
+def _exact_dedup(spark: SparkSession, docs: DataFrame, digest_bytes: int, files_per_batch: int, folder: str | None, located: bool, run_id: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(docs with locators, exact_dedup() with locators)."""
     configure(spark)
     store = Store(spark, folder)
-    contents = store.add(docs, located)
-    events_of(contents, digest_bytes).write.mode("append").parquet(store.events)
-    every = spark.read.parquet(store.events)
+    contents = store.add(docs, located, digest_bytes, run_id)
+    every = spark.read.parquet(f"{store.events}/*").where(F.col("run") <= store.run)
     events = every.where(F.col("run") == store.run)
     groups = stage(stream_groups(store, events, files_per_batch))
 
@@ -148,6 +185,7 @@ def _exact_dedup(spark: SparkSession, docs: DataFrame, digest_bytes: int, files_
     known = store.table(store.mixed)
     if not mixed.isEmpty():
         mixed.write.mode("append").parquet(store.mixed)
+    store.commit()
     if known is not None:
         mixed = stage(mixed.union(known.join(groups, "digest", "left_semi")).distinct())
     if mixed.isEmpty():

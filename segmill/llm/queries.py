@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmill.llm.best_fit import best_fit_packing
-from segmill.llm.common import read_table
+from segmill.llm.common import read_table, stage, work_dir
 from segmill.llm.exact_dedup import exact_dedup
 from segmill.llm.filter_audit import FILTERS, filter_audit
 from segmill.llm.jaccard_join import jaccard_components
@@ -31,6 +31,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, read_table(spark, sf_dir, "documents"), located=True)
 
 
+def exact_dedup_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as two runs on one store: the second meets those of the first. run numbers the runs."""
+    docs, store = read_table(spark, sf_dir, "documents"), work_dir(spark)
+    first = stage(exact_dedup(spark, docs.where("doc_id % 2 = 0"), store=store))
+    second = exact_dedup(spark, docs.where("doc_id % 2 <> 0"), store=store)
+    return first.withColumn("run", F.lit(0)).unionByName(second.withColumn("run", F.lit(1)))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(spark, read_table(spark, sf_dir, "documents"))
 
@@ -81,7 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_exact_dedup, op3_language_id, op4_site_style_tree, op5_packing, op6_string_tiling, op7_token_binary, op8_window_dedup, op9_jaccard_join, op10_license_scan,
-        op11_filter_audit, op12_best_fit, op13_token_alignment,
+        op11_filter_audit, op12_best_fit, op13_token_alignment, exact_dedup_two_runs,
     )
 }
 
@@ -115,4 +123,9 @@ ORACLES: dict[str, str] = {
              g as (select t, max(doc_id) as keep_id, count(*) as group_size from d group by t)
         select d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id as kept, sha256(d.t) as text_sha256
         from d join g using (t)""",
+    "exact_dedup_two_runs": f"""
+        with d as (select doc_id, cast(abs(doc_id % 2) as integer) as run, {_LOWER} as t from documents),
+             g as (select r.run, d.t, max(d.doc_id) as keep_id, count(*) as group_size from d, (select unnest([0, 1]) as run) r where d.run <= r.run group by r.run, d.t)
+        select d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id as kept, sha256(d.t) as text_sha256, d.run
+        from d join g on g.t = d.t and g.run = d.run""",
 }

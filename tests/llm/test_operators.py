@@ -202,6 +202,48 @@ def test_a_store_meets_the_documents_of_earlier_runs(spark, tmp_path, digest_byt
     assert all(r.group_size == 1 + groups[brute.lower(t or "")][1] for (i, t), r in zip(sorted(rows[:5], key=repr), sorted(again, key=lambda r: repr((r.doc_id, dict(rows[:5])[r.doc_id]))), strict=True))
 
 
+def plain_groups(runs, k):
+    """exact_dedup() of run k, told plainly: its rows among those of all runs up to it."""
+    every = [(i, brute.lower(t or "")) for rows in runs[: k + 1] for i, t in rows]
+    groups = defaultdict(list)
+    for i, t in every:
+        groups[t].append(i)
+    last = {t: max(own, key=lambda i: (i is not None, i or 0)) for t, own in groups.items()}
+    return sorted(((i, last[brute.lower(t or "")], len(groups[brute.lower(t or "")])) for i, t in runs[k]), key=repr)
+
+
+@pytest.mark.parametrize("fails", ("stream_groups", "stage", "join_counted"))
+def test_a_failed_run_is_taken_up_again(spark, tmp_path, monkeypatch, fails):
+    """It fails after its events are written, after its stream, or later; the same documents again count once."""
+    rows, store = corpus(), f"file://{tmp_path}/store"
+    first, second = rows[::2], rows[1::2]
+    read = lambda df: rows_of(df, "doc_id", "keep_id", "group_size")
+    assert read(exact_dedup.exact_dedup(spark, frame(spark, first), store=store)) == plain_groups([first], 0)
+    docs = stage(frame(spark, second))
+    for _ in range(2):
+        with monkeypatch.context() as m:
+            real = getattr(exact_dedup, fails)
+            m.setattr(exact_dedup, fails, lambda *a: real(*a) if fails == "stage" and len(a) > 1 else (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError, match="lost"):
+                exact_dedup.exact_dedup(spark, docs, store=store, located=True)
+    assert read(exact_dedup.exact_dedup(spark, docs.select("*"), store=store, located=True)) == plain_groups([first, second], 1)
+    assert read(exact_dedup.exact_dedup(spark, docs, store=store, located=True)) == plain_groups([first, second, second], 2)  # done, so a run of its own
+    assert sorted(p.name for p in (tmp_path / "store/events").iterdir()) == ["run-0", "run-1", "run-2"]
+
+
+def test_half_written_events_are_replaced_and_a_run_id_repeats(spark, tmp_path):
+    rows, store = corpus(), f"file://{tmp_path}/store"
+    read = lambda df: rows_of(df, "doc_id", "keep_id", "group_size")
+    exact_dedup.exact_dedup(spark, frame(spark, rows[:9]), store=store, run_id="a").count()
+    other = f"file://{tmp_path}/other"
+    exact_dedup.exact_dedup(spark, frame(spark, rows[:3]), store=other).count()
+    (tmp_path / "other/events/run-0").rename(tmp_path / "store/events/run-1")  # another job's events, without the mark that they are whole
+    (tmp_path / "store/events/run-1/_SUCCESS").unlink()
+    for _ in range(2):
+        assert read(exact_dedup.exact_dedup(spark, frame(spark, rows[9:]), store=store, run_id="b")) == plain_groups([rows[:9], rows[9:]], 1)
+    assert read(exact_dedup.exact_dedup(spark, frame(spark, rows[:9]), store=store, run_id="a")) == plain_groups([rows[:9]], 0)
+
+
 def test_hot_digests_are_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(common, "MOST_HOT", 3)
     rows = [(i, "hot" if i % 2 else f"t{i % 20}") for i in range(200)]
