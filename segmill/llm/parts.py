@@ -29,6 +29,8 @@ from segmill.sources.staging import MOST_BUCKETS, bucket_homes, stage_bucketed
 
 #: Bytes of text in a part, in a slot (one task's parts), and whose hashes go to one bucket, on average.
 PART_TEXT, SLOT_TEXT, BUCKET_TEXT = 2 << 20, 16 << 20, 32 << 20
+#: Texts in a part at most, however short: what numbers them takes 22 bits.
+PART_ROWS = 1 << 22
 #: Stands for a null doc_id: before all others.
 LEAST = np.iinfo(np.int64).min
 
@@ -77,7 +79,7 @@ def stage_parts(texts: DataFrame, size: int, most: int = PART_TEXT, slot_text: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        slot, part, held, bytes_held = homes[task % slots], task << 20, [], 0
+        slot, part, held, bytes_held, rows_held = homes[task % slots], task << 20, [], 0, 0
 
         def row() -> pa.RecordBatch:
             joined = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
@@ -86,11 +88,15 @@ def stage_parts(texts: DataFrame, size: int, most: int = PART_TEXT, slot_text: i
 
         for batch in batches:
             for piece in slices(batch, 2, most):
+                if held and rows_held + piece.num_rows > PART_ROWS:
+                    yield row()
+                    part, held, bytes_held, rows_held = part + 1, [], 0, 0
                 held.append(piece)
                 bytes_held += piece.column(2).nbytes
+                rows_held += piece.num_rows
                 if bytes_held >= most:
                     yield row()
-                    part, held, bytes_held = part + 1, [], 0
+                    part, held, bytes_held, rows_held = part + 1, [], 0, 0
         if held:
             yield row()
 
@@ -165,8 +171,8 @@ def _asked(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np
     return once[order], known, times, {b: (slice(*at.get(b, (0, 0))), slice(*at_known.get(b, (0, 0)))) for b in sorted(at.keys() | at_known.keys())}
 
 
-def ask(parts: DataFrame, hashes_of: Callable[[Part], np.ndarray], buckets: int) -> DataFrame:
-    """(slot, said): for each slot, how often the hashes of its parts occur anywhere."""
+def ask(parts: DataFrame, hashes_of: Callable[[Part], np.ndarray], buckets: int, staged: bool = True) -> DataFrame:
+    """(slot, said): for each slot, how often the hashes of its parts occur anywhere. What is read once need not be staged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in parts_of(batches):
@@ -179,12 +185,13 @@ def ask(parts: DataFrame, hashes_of: Callable[[Part], np.ndarray], buckets: int)
             columns += [pa.array([x[t].tobytes() for _, t in at.values()], pa.binary()) for x in (known, times.astype("<i4"))]
             yield pa.RecordBatch.from_arrays(columns, names=_SENT.names)
 
-    return gathered(parts.mapInArrow(run, _SENT).groupBy("bucket").applyInArrow(_answer, _ANSWER), "bucket", "flags", "most")
+    return gathered(parts.mapInArrow(run, _SENT).groupBy("bucket").applyInArrow(_answer, _ANSWER), "bucket", "flags", "most", staged=staged)
 
 
-def gathered(rows: DataFrame, *columns: str) -> DataFrame:
-    """(slot, said): what is said to the parts of each slot, staged."""
-    return stage(rows.groupBy("slot").agg(F.collect_list(F.struct("part", *columns)).alias("said")))
+def gathered(rows: DataFrame, *columns: str, staged: bool = True) -> DataFrame:
+    """(slot, said): what is said to the parts of each slot."""
+    said = rows.groupBy("slot").agg(F.collect_list(F.struct("part", *columns)).alias("said"))
+    return stage(said) if staged else said
 
 
 def tell(parts: DataFrame, said: DataFrame, name: str) -> DataFrame:

@@ -1,11 +1,11 @@
 """Substring deduplication by fixed windows of words.
 
 A rolling Rabin-Karp hash stands for every window of 35 words. Windows are dealt to buckets by their
-hash, counted there, and each part of the texts hears which of its windows repeat (see parts).
+hash, counted there, and each part of the texts hears which of its windows repeat (see parts). Those
+that do are asked about again by a second hash, of other word hashes and another base, so that only
+windows that agree in 128 bits count as the same; few windows repeat, so this costs little.
 Repeated windows merge into maximal removal intervals, and their words go.
 
-Two different windows fall together with probability 2^-64 a pair.
-
 Cases: null text has no words; fewer words than a window are kept as they are; repeated rows and
 copies repeat each other, whatever their doc_id; a null doc_id is an ordinary document; an empty
 table gives no row; other columns are ignored.
@@ -22,11 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from segmill.llm import hashing
-from segmill.llm.common import configure, ragged, stage
-from segmill.llm.parts import PART_TEXT, ask, bucket_number, heard, keyed, parts_of, stage_parts, tell, text_size
+from segmill.llm.common import configure, ragged
+from segmill.llm.parts import PART_TEXT, Part, ask, bucket_number, heard, keyed, parts_of, stage_parts, tell, text_size
 from segmill.llm.words import Words, words_of
 
 WINDOW = 35
+#: Odd multipliers of the second hash.
+SECOND_BYTE_BASE, SECOND_WORD_BASE = 0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F
 RESULT = T.StructType().add("doc_id", T.LongType()).add("n_words", T.LongType()).add("n_removed", T.LongType()).add("n_spans", T.LongType()).add("kept_sha256", T.StringType())
 
 
@@ -36,6 +38,18 @@ def window_hashes(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
     return hashing.rolling(words.hashes(), window, hashing.WORD_BASE)[first] if len(first) else np.empty(0, np.uint64), first
 
 
+def second_hashes(words: Words, first: np.ndarray, window: int) -> np.ndarray:
+    """Hashes of the windows at these first words that have nothing in common with window_hashes()."""
+    return hashing.rolling(words.hashes(SECOND_BYTE_BASE), window, SECOND_WORD_BASE)[first] if len(first) else np.empty(0, np.uint64)
+
+
+def _repeated_once(p: Part, window: int, buckets: int) -> tuple[Words, np.ndarray]:
+    """(words, first word of each window whose first hash repeats) of a part that has heard of those."""
+    words = words_of(p.texts)
+    hashes, first = window_hashes(words, window)
+    return words, first[heard(hashes, p.rest[0], buckets) > 0]
+
+
 def kept_texts(words: Words, removed: np.ndarray) -> list[bytes]:
     """Each text's words that stay, joined by one space."""
     kept = np.flatnonzero(~removed)
@@ -54,9 +68,8 @@ def remove_windows(parts: DataFrame, window: int, buckets: int, with_text: bool
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in parts_of(batches):
-            words = words_of(p.texts)
-            hashes, first = window_hashes(words, window)
-            at = first[heard(hashes, p.rest[0], buckets) > 0]
+            words, at = _repeated_once(p, window, buckets)
+            at = at[heard(second_hashes(words, at, window), p.rest[1], buckets) > 0]
             change = np.zeros(len(words.starts) + 1, np.int32)
             change[at] += 1
             np.subtract.at(change, at + window, 1)
@@ -81,5 +94,6 @@ def window_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW, buc
     size = text_size(docs)
     buckets = buckets or bucket_number(size)
     parts = stage_parts(keyed(docs), size, part_text)
-    answers = ask(parts, lambda p: window_hashes(words_of(p.texts), window)[0], buckets)
-    return remove_windows(tell(parts, answers, "answers"), window, buckets, with_text)
+    parts = tell(parts, ask(parts, lambda p: window_hashes(words_of(p.texts), window)[0], buckets), "first")
+    again = ask(parts, lambda p: second_hashes(*_repeated_once(p, window, buckets), window), buckets, staged=False)
+    return remove_windows(tell(parts, again, "second"), window, buckets, with_text)

@@ -30,7 +30,7 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.cuts)
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self, base: int = hashing.BYTE_BASE) -> np.ndarray:
         """A hash of each word, in stretches of the text; a very long word has a hash of its own kind."""
         out, sizes = np.empty(len(self.starts), np.uint64), self.ends - self.starts
         a = 0
@@ -38,10 +38,10 @@ class Words:
             b = max(a + 1, int(np.searchsorted(self.ends, self.starts[a] + hashing.STRETCH, side="right")))
             if sizes[a] <= hashing.STRETCH:
                 low = self.starts[a]
-                sums = hashing.prefix(self.data[low : self.ends[b - 1]], hashing.BYTE_BASE)
-                out[a:b] = hashing.spans(sums, self.starts[a:b] - low, self.ends[a:b] - low, hashing.BYTE_BASE)
+                sums = hashing.prefix(self.data[low : self.ends[b - 1]], base)
+                out[a:b] = hashing.spans(sums, self.starts[a:b] - low, self.ends[a:b] - low, base)
             else:
-                out[a] = xxhash.xxh64_intdigest(self.data[self.starts[a] : self.ends[a]])
+                out[a] = xxhash.xxh64_intdigest(self.data[self.starts[a] : self.ends[a]], base)
             a = b
         return out
 
