@@ -1,11 +1,13 @@
-"""Protected strings: where they stand and which tokens they forbid to cut. Native array columns."""
+"""Protected strings: where they stand and which tokens they forbid to cut."""
 
 from __future__ import annotations
 
 import os
 import re
 from collections.abc import Sequence
+from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,11 @@ PROTECTED = (
 )
 
 
+#: Strings that are looked for one by one.
+FEW = 32
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("token", pa.string())]))
+
+
 def quoted(text: str) -> str:
     """A pattern, as Java and RE2 read it, of the text itself."""
     return re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", text)
@@ -42,22 +49,50 @@ def count_protected(text: Column, strings: Sequence[str] = PROTECTED) -> Column:
     return F.regexp_count(text, F.lit(f"{quoted(begin)}(?:{rest})")).cast("long")
 
 
-def protected_spans(text: Column, strings: Sequence[str] = PROTECTED) -> Column:
-    """Sorted array of (start, end, token); hits of one string never overlap, those of two may.
+@cache
+def _automaton(strings: tuple[str, ...]):
+    import ahocorasick
+
+    found = ahocorasick.Automaton()
+    for token in strings:
+        found.add_word(token, token)
+    found.make_automaton()
+    return found
+
 
-    A string's places follow from running sums of the lengths of the pieces between its hits, so the
-    text is read once per string and never cut by position.
+def occurrences(text: str, strings: Sequence[str] = PROTECTED) -> list[tuple[int, int, str]]:
+    """Sorted (start, end, token): each string's hits from the left, those of one string never overlap, those of two may.
+
+    A few strings are looked for one by one; many by one automaton in one pass, whatever their number.
     """
+    hits = []
+    if len(strings) <= FEW:
+        for token in dict.fromkeys(strings):
+            at = text.find(token)
+            while at >= 0:
+                hits.append((at, at + len(token), token))
+                at = text.find(token, at + len(token))
+    elif strings:
+        free: dict[str, int] = {}
+        for last, token in _automaton(tuple(strings)).iter(text):
+            start = last + 1 - len(token)
+            if start >= free.get(token, 0):
+                free[token] = last + 1
+                hits.append((start, last + 1, token))
+    return sorted(hits)
+
+
+def protected_spans(text: Column, strings: Sequence[str] = PROTECTED) -> Column:
+    """occurrences() as a sorted array of (start, end, token); one Arrow function over the text, null stays null."""
     if not all(strings):
         raise ValueError("a protected string must not be empty")
+    own = tuple(strings)
 
-    def of(token: str) -> Column:
-        ends = ends_of(lengths(F.split(text, quoted(token), -1)))  # of the pieces, without the hits between them
-        hits = F.slice(ends, F.lit(1), F.size(ends) - 1)
-        start = lambda e, k: e + k * len(token)
-        return F.transform(hits, lambda e, k: F.struct(start(e, k).alias("start"), (start(e, k) + len(token)).alias("end"), F.lit(token).alias("token")))
+    def run(texts: pa.Array) -> pa.Array:
+        found = [None if t is None else [dict(start=a, end=b, token=token) for a, b, token in occurrences(t, own)] for t in texts.to_pylist()]
+        return pa.array(found, _SPANS)
 
-    return F.array_sort(F.flatten(F.array(*[of(t) for t in strings])))
+    return F.arrow_udf(run, "array<struct<start:int,end:int,token:string>>")(text)
 
 
 def is_cuttable(token: Column, start: Column, end: Column, spans: Column, special: Sequence[str] = ()) -> Column:
@@ -66,9 +101,9 @@ def is_cuttable(token: Column, start: Column, end: Column, spans: Column, specia
     return (end > start) & clear & (~token.isin(*special) if special else F.lit(True))
 
 
-def cuttable_rows(rows: DataFrame, key: str, text: str, special: Sequence[str] = (), tokenizer: Tokenizer = tokens) -> DataFrame:
+def cuttable_rows(rows: DataFrame, key: str, text: str, special: Sequence[str] = (), tokenizer: Tokenizer = tokens, strings: Sequence[str] = PROTECTED) -> DataFrame:
     """(key, idx, cuttable) of every token; a text's spans are compared in its own row, not joined to its tokens."""
-    listed = rows.select(key, tokenizer(F.col(text)).alias("token"), protected_spans(F.col(text)).alias("spans"))
+    listed = rows.select(key, tokenizer(F.col(text)).alias("token"), protected_spans(F.col(text), strings).alias("spans"))
     listed = listed.select(key, "spans", F.arrays_zip("token", ends_of(lengths(F.col("token"))).alias("end")).alias("at"))
     flags = F.transform("at", lambda t: is_cuttable(t["token"], t["end"] - F.length(t["token"]), t["end"], F.col("spans"), special))
     return listed.select(key, F.posexplode(flags).alias("idx", "cuttable")).withColumn("idx", F.col("idx").cast("long"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from segmill.functions.protected import PROTECTED
 from segmill.functions.scores import checked_stride
 
 MODES = ("threshold", "fixed", "random")
@@ -34,6 +35,7 @@ class SegmentConfig:
     limit_rows: int | None = None
     long_policy: str = "window"
     special_tokens: tuple[str, ...] = ()
+    protected_strings: tuple[str, ...] = PROTECTED
 
     def __post_init__(self) -> None:
         if self.mode not in MODES:
@@ -46,6 +48,8 @@ class SegmentConfig:
             if getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive")
         checked_stride(self.window, self.stride)
+        if not all(self.protected_strings):
+            raise ValueError("a protected string must not be empty")
         if self.random_min_tokens > self.random_max_tokens:
             raise ValueError("random_min_tokens must not exceed random_max_tokens")
         if self.mode == "fixed" and self.fixed_segment_tokens < self.min_step_tokens:

@@ -105,7 +105,7 @@ def scored_run(
     score = lambda some: stage(score_answers(some, load, config.window, config.stride, tokenizer))
     if config.tau is None:
         drawn = stage(rows.join(sample_rows(samples, sample_size, seed), "source_idx", "left_semi"))
-        found = confidence_rows(drawn, score(drawn), config.special_tokens, tokenizer)
+        found = confidence_rows(drawn, score(drawn), config.special_tokens, tokenizer, config.protected_strings)
         config = config.with_(tau=pick_tau(estimate_tau(found, quantiles), key))
     return convert(samples, config, score(rows), tokenizer)
 

@@ -7,6 +7,7 @@ Small settings make every branch occur: an answer has about 130 tokens.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from segmill.operators import align as joins
 from segmill.operators import clusters, ngram, rank, windows
 from segmill.sources import jsonl
 from segmill.sources.staging import read_table, stage, work_dir
+from segmill.streaming import scored_stream as scored
 
 RANKS, LIMIT, SAMPLE, MAX_SAMPLES = 4, 50, 40, 15
 MIN_STEP, FIXED, TAU_KEY, QUANTILES = 4, 16, "q_0.2000", (0.05, 0.1, 0.2)
@@ -187,7 +189,7 @@ def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples as JSON lines, appended in two writes, and read again; what the schema does not name stays in the raw line."""
     rows, path = stage(samples(spark, sf_dir).orderBy("source_idx")), work_dir(spark)
     for half in (0, 1):
-        jsonl.write_jsonl(rows.where(F.col("source_idx") % 2 == half).coalesce(1), path)
+        jsonl.write_jsonl(rows.where(F.col("source_idx") % 2 == half), path)
     found = jsonl.read_jsonl(spark, path, jsonl.REFERENCE)
     named = found.select(*[c for c in found.columns if c not in ("raw", "source_idx")], F.get_json_object("raw", "$.conv_id").cast("long").alias("conv_id"))
     return rank.with_position(named, "reference_idx")
@@ -222,6 +224,17 @@ def merge_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank.with_position(merged, "source_idx", "shard", "conv_id", name="place").select("place", "source_idx", "shard", "conv_id")
 
 
+@query(f"with {_SAMPLES}, u as (select source_idx % {RANKS} as shard, source_idx // 2 as source_idx, conv_id from samples) select row_number() over (order by source_idx, shard, conv_id) - 1 as place, source_idx, shard, conv_id from u")
+def merge_sorted_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of shards that are sorted: ranges of rows are merged where they stand, without a shuffle."""
+    rows, paths = stage(samples(spark, sf_dir)), [work_dir(spark) for _ in range(RANKS)]
+    for k, path in enumerate(paths):
+        own = rows.where(F.col("source_idx") % RANKS == k)
+        stage(own.select(F.floor(F.col("source_idx") / 2).alias("source_idx"), "conv_id").orderBy("source_idx"), path)
+    merged = jsonl.merge_sorted_shards(spark, paths, "conv_id", ranges=5).withColumn("shard", F.col("shard").cast("long")).withColumn("_order", F.monotonically_increasing_id())
+    return rank.with_position(merged, "_order", name="place").select("place", "source_idx", "shard", "conv_id")
+
+
 # Projections and predicates.
 
 
@@ -269,6 +282,18 @@ def protected_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", F.col("s.start").cast("long").alias("start"), F.col("s.end").cast("long").alias("end"), F.col("s.token").alias("token"))
 
 
+#: All words of three of six letters: many strings that overlap each other.
+_MANY = ["".join(w) for w in product("aeinst", repeat=3)]
+
+
+@query(f"""with {_SAMPLES}, p as (select unnest({_MANY}) as token), s as (select source_idx, token, string_split(gt_output, token) as parts from usable, p where contains(gt_output, token)),
+    h as (select source_idx, token, parts, unnest(range(1, len(parts))) as k from s)
+    select source_idx, cast(list_sum(list_transform(parts[1:k], lambda x: length(x))) + (k - 1) * 3 as bigint) as start, token from h""")
+def many_protected_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = usable(spark, sf_dir).select("source_idx", F.explode(protected.protected_spans(F.col("gt_output"), _MANY)).alias("s"))
+    return spans.select("source_idx", F.col("s.start").cast("long").alias("start"), "s.token")
+
+
 @query(f"""with {_SAMPLES}, wrapped as (select source_idx, '<think>' || gt_output || '</think>' as w from usable), {_tokens("wrapped", "w")},
     size as (select source_idx, max("end") as n from toks group by source_idx)
     select source_idx, idx, not (start < 7 or "end" > n - 8) as cuttable from toks join size using (source_idx)""")
@@ -476,6 +501,18 @@ def tau_of_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tau.estimate_tau(token_scores(spark, sf_dir).where("confidence > 1"), QUANTILES)
 
 
+@query(f"with {_SCORED} select tau_key, quantile, tau from taus")
+def tau_by_bracket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a sketch's brackets: the pool of confidences is not shuffled."""
+    return tau.estimate_tau(stage(token_scores(spark, sf_dir)), QUANTILES, bracket=True)
+
+
+@query()
+def position_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The draw of Python's generator, which SQL cannot repeat."""
+    return tau.sample_rows(samples(spark, sf_dir), SAMPLE, positions=True)
+
+
 @query(f"with {_SCORED} select tau_key, tau from taus where tau_key = '{TAU_KEY}'")
 def pick_tau(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tau_candidates(spark, sf_dir).where(F.col("tau_key") == TAU_KEY).select("tau_key", "tau")
@@ -669,6 +706,36 @@ def run_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.manifest(spark, _two_runs(spark, sf_dir)).drop("world_size", "finished", "settings")
 
 
+_WAIT = 30
+_ARRIVED = f"""{_SAMPLES}, {_DRAWN}, {_tokens('usable')}, {_TOY}, n as (select source_idx, count(*) as n_tokens from toks group by source_idx), {_PICKED}, {_segments('usable', SMALL.min_step_chars)},
+    joined as (select source_idx, count(*) as n_segments from segs group by source_idx)"""
+
+
+@query(f"""with recursive {_ARRIVED} select source_idx, case when question = '' or gt_output = '' then 'skipped' when source_idx % 5 = 2 or source_idx % 7 = 3 then 'unscored' when source_idx % 11 = 4 then 'wrong' else 'written' end as status,
+    case when question = '' or gt_output = '' or source_idx % 5 = 2 or source_idx % 7 = 3 or source_idx % 11 = 4 then -1 else coalesce(n_segments, 0) end as n_segments from samples left join joined using (source_idx)""")
+def scored_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples and scores as streams of files: some scores never come, some too late for their sample, some twice, some for other tokens."""
+    rows = stage(samples(spark, sf_dir))
+    minute = lambda k: F.timestamp_seconds(F.lit(1_700_000_000).cast("long") + 60 * k)
+    scores = stage(windows.score_answers(rows, toy_scorer, SMALL.window, SMALL.stride))
+    drawn = tau.sample_rows(rows, SAMPLE)
+    chosen = tau.pick_tau(tau.estimate_tau(windows.confidence_rows(rows.join(drawn, "source_idx", "left_semi"), scores, ("\n",)), QUANTILES), TAU_KEY)
+    left, right, target, end = work_dir(spark), work_dir(spark), work_dir(spark), 100_000
+    stage(rows.withColumn("at", minute(F.col("source_idx") % 10)), left)
+    late = F.when(F.col("source_idx") % 7 == 3, _WAIT + 11).otherwise(F.col("source_idx") % 3)  # minutes after the first sample of all
+    sent = scores.where("source_idx % 5 <> 2").withColumn("confidences", F.when(F.col("source_idx") % 11 == 4, F.slice("confidences", 2, 1 << 30)).otherwise(F.col("confidences")))
+    stage(sent.withColumn("at", minute(late)).unionByName(sent.where("source_idx % 2 = 0 and source_idx % 7 <> 3").withColumn("at", minute(late))), right)
+    done = spark.range(1).select(F.lit(-1).cast("long").alias("source_idx"), minute(F.lit(end)).alias("at"))  # a row of a later day moves the watermark on
+    for path, schema in ((left, spark.read.parquet(left).schema), (right, spark.read.parquet(right).schema)):
+        done.select(*[F.col(f.name) if f.name in done.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).write.mode("append").parquet(path)
+    read = lambda path: spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    found = scored.convert_streams(read(left), read(right), _SHORT.with_(tau=chosen), f"{_WAIT} minutes", "10 minutes")
+    for _ in range(2):
+        scored.write_stream(found, f"{target}/rows", f"{target}/checkpoint").awaitTermination()
+    out = spark.read.parquet(f"{target}/rows").where("source_idx >= 0")
+    return out.select("source_idx", "status", F.coalesce(F.size("thoughts_list"), F.lit(-1)).cast("long").alias("n_segments"))
+
+
 _HITS = " + ".join(f"len(string_split({{0}}, '{t}')) - 1" for t in protected.PROTECTED)
 
 

@@ -7,8 +7,10 @@ before each partition (one number a partition) turn that into a position, withou
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,6 +19,8 @@ from segmill.sources.staging import stage
 
 #: Fixed value: bits of a monotonically increasing id that number the rows of a partition.
 _ROW_BITS = 33
+#: Drawn positions (8 bytes each) that are broadcast at most.
+BROADCAST_POSITIONS = 1_000_000
 
 
 def _ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -39,27 +43,82 @@ def with_position(df: DataFrame, *order: str, name: str = "source_idx") -> DataF
     return rows.join(F.broadcast(starts), "_part").withColumn(name, F.col("_before") + F.col("_row")).drop("_part", "_row", "_before")
 
 
+def _wanted(quantiles: Sequence[float]) -> dict[str, float]:
+    """Quantiles by their keys; of equal keys the last counts."""
+    if not quantiles or any(not 0 <= q <= 1 for q in quantiles):
+        raise ValueError("quantiles must lie between 0 and 1, one at least")
+    return {f"q_{q:.4f}": float(q) for q in quantiles}
+
+
 def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float]) -> DataFrame:
     """(tau_key, quantile, tau): the value at place round((n - 1) q), half to even, of the sorted values.
 
     Equal values are counted first, so ties cost nothing; only partitions that hold a wanted place
     are looked at again. Without a value tau is null; of equal keys the last quantile counts.
     """
-    if not quantiles or any(not 0 <= q <= 1 for q in quantiles):
-        raise ValueError("quantiles must lie between 0 and 1, one at least")
+    wanted = _wanted(quantiles)
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("tau")).agg(F.count(F.lit(1)).alias("n"))
+    return _at_places(counts, wanted).select("tau_key", "quantile", "tau")
+
+
+def bracket_quantiles(df: DataFrame, value: str, quantiles: Sequence[float], accuracy: int = 10_000) -> DataFrame:
+    """exact_quantiles() of a large pool without sorting or shuffling it: two passes that combine map-side.
+
+    A sketch gives each quantile a bracket of values that holds it, about 4 in `accuracy` of the pool.
+    The second pass counts the values inside brackets one by one and those between brackets as a whole,
+    so only what the brackets hold is ranked. Should a place fall outside (the sketch's bound is a
+    promise of its own), all values are ranked.
+    """
+    wanted = _wanted(quantiles)
+    rows = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    slack = 2 / accuracy
+    edges = [min(1.0, max(0.0, q + side)) for q in wanted.values() for side in (-slack, slack)]
+    number = F.when(~F.isnan("v"), F.col("v"))  # NaN comes after all numbers, in a group of its own
+    found = rows.agg(F.percentile_approx(number, edges, accuracy)).first()[0]
+    if found is None:
+        return exact_quantiles(rows, "v", quantiles)
+    brackets: list[list[float]] = []
+    for low, high in sorted(zip(found[::2], found[1::2], strict=True)):
+        if brackets and low <= brackets[-1][1]:
+            brackets[-1][1] = max(high, brackets[-1][1])
+        else:
+            brackets.append([low, high])
+    inside, gap = F.lit(False), F.lit(0)
+    for low, high in brackets:
+        inside, gap = inside | F.col("v").between(low, high), gap + F.when(F.col("v") > high, 1).otherwise(0)
+    counts = rows.groupBy(F.when(inside, F.col("v")).alias("one"), F.when(~inside, gap).alias("gap")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("tau"))
+    placed = stage(_at_places(counts.select("tau", "n", F.col("gap").isNotNull().alias("many")), wanted))
+    if not placed.where("many").isEmpty():
+        return exact_quantiles(rows, "v", quantiles)
+    return placed.select("tau_key", "quantile", "tau")
+
+
+def _at_places(counts: DataFrame, wanted: dict[str, float]) -> DataFrame:
+    """(tau_key, quantile, and what counts(tau, n, ...) says) at each wanted place of values that stand n times each."""
     ranked = _ranged(counts, ["tau"])
     starts = stage(_before(ranked.groupBy("_part").agg(F.sum("n").alias("_sum"))))
     total = starts.agg(F.sum("_sum")).first()[0] or 0
-    wanted = {f"q_{q:.4f}": float(q) for q in quantiles}
     places = [(k, q, round((total - 1) * q)) for k, q in wanted.items()]  # one row a quantile
-    places = df.sparkSession.createDataFrame(places, "tau_key string, quantile double, place long")
+    places = counts.sparkSession.createDataFrame(places, "tau_key string, quantile double, place long")
     inside = lambda first, n: (F.col("place") >= first) & (F.col("place") < first + n)
     held = starts.join(F.broadcast(places.select("place").distinct()), inside(F.col("_before"), F.col("_sum")), "left_semi").drop("_sum")
     own = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
     last = ranked.join(F.broadcast(held), "_part").withColumn("first", F.col("_before") + F.sum("n").over(own) - F.col("n"))
-    found = last.join(F.broadcast(places), inside(F.col("first"), F.col("n"))).select("tau_key", "tau")
-    return places.drop("place").join(found, "tau_key", "left").select("tau_key", "quantile", "tau")
+    found = last.join(F.broadcast(places), inside(F.col("first"), F.col("n"))).drop("_part", "_row", "_before", "first", "n", "place", "quantile")
+    return places.drop("place").join(found, "tau_key", "left")
+
+
+def position_sample(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:
+    """The rows that Python's seeded generator draws: positions random.Random(seed).sample(range(n), size) of a dense 0-based key.
+
+    Only the drawn positions go through the driver, `size` numbers; rows meet them in a semi-join, which
+    is broadcast up to BROADCAST_POSITIONS of them.
+    """
+    n = df.count()
+    if not 0 < size <= n:
+        raise ValueError(f"sample of {size} from {n} rows")
+    drawn = df.sparkSession.createDataFrame(pd.DataFrame({key: sorted(random.Random(seed).sample(range(n), size))}))
+    return df.join(F.broadcast(drawn) if size <= BROADCAST_POSITIONS else drawn, key, "left_semi")
 
 
 def hash_sample(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:

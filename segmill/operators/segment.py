@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segmill.functions.protected import PROTECTED
+from segmill.functions.protected import PROTECTED, occurrences
 from segmill.functions.text import lengths, tokens
 from segmill.jobs.config import SegmentConfig
 
@@ -63,12 +63,9 @@ def starts_of(ends: np.ndarray) -> np.ndarray:
 def cuttable_flags(starts: np.ndarray, ends: np.ndarray, text: str, strings: Sequence[str] = PROTECTED) -> np.ndarray:
     """Tokens that are not empty and touch no protected string, in one pass over the text."""
     change = np.zeros(len(text) + 1, np.int32)
-    for token in strings:
-        at = text.find(token)
-        while at >= 0:
-            change[at] += 1
-            change[at + len(token)] -= 1
-            at = text.find(token, at + len(token))
+    for start, end, _ in occurrences(text, strings):
+        change[start] += 1
+        change[end] -= 1
     covered = np.concatenate([[0], np.cumsum(np.cumsum(change)[:-1] > 0)])
     return (ends > starts) & (covered[ends] == covered[starts])
 
@@ -253,7 +250,7 @@ def _cutter(config: SegmentConfig, spans: bool):
             return [], []
         starts, ends = _placed(key, text, starts, ends, spans)
         by_char = inside_word_flags(text)
-        cuttable, inside = cuttable_flags(starts, ends, text), by_char[ends]
+        cuttable, inside = cuttable_flags(starts, ends, text, config.protected_strings), by_char[ends]
         if special:
             cuttable &= ~marked.astype(bool) if spans else np.array([text[a:b] not in special for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], bool)
         if config.mode == "threshold":

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from segmill.functions.chat import is_usable, render_prompt
 from segmill.functions.offsets import InContext, answer_tokens, with_offsets
-from segmill.functions.protected import is_cuttable, protected_spans
+from segmill.functions.protected import PROTECTED, is_cuttable, protected_spans
 from segmill.functions.scores import scoring_windows
 from segmill.functions.text import Tokenizer, tokens
 
@@ -106,10 +106,10 @@ def score_answers(samples: DataFrame, load: Callable[[], Scorer], window: int, s
     return stitch(score_windows(window_rows(samples, window, stride, tokenizer, prefix), load))
 
 
-def confidence_rows(samples: DataFrame, scores: DataFrame, special: Sequence[str] = (), tokenizer: Tokenizer | InContext = tokens) -> DataFrame:
+def confidence_rows(samples: DataFrame, scores: DataFrame, special: Sequence[str] = (), tokenizer: Tokenizer | InContext = tokens, strings: Sequence[str] = PROTECTED) -> DataFrame:
     """(source_idx, idx, token, confidence, cuttable) for estimate_tau() from arrays of confidences."""
     spans = tokenizer.spans() if isinstance(tokenizer, InContext) else with_offsets(tokenizer)(F.col("gt_output"))
-    listed = samples.where(is_usable()).join(scores, "source_idx").select("source_idx", "confidences", spans.alias("at"), protected_spans(F.col("gt_output")).alias("spans"))
+    listed = samples.where(is_usable()).join(scores, "source_idx").select("source_idx", "confidences", spans.alias("at"), protected_spans(F.col("gt_output"), strings).alias("spans"))
     flagged = F.transform(
         F.arrays_zip("at", "confidences"),
         lambda t: F.struct(t["at"]["token"].alias("token"), t["confidences"].alias("confidence"), is_cuttable(t["at"]["token"], t["at"]["start"], t["at"]["end"], F.col("spans"), special).alias("cuttable")),

@@ -11,7 +11,10 @@ from pyspark.sql.window import Window
 
 from segmill.functions.json_text import json_array, with_fields
 from segmill.functions.text import is_blank
+from segmill.sources.staging import stage
 
+#: Splits of files (some 100 bytes each) whose table is broadcast at most.
+BROADCAST_SPLITS = 100_000
 MESSAGE = T.StructType().add("from", T.StringType()).add("value", T.StringType())
 SAMPLE = T.StructType().add("system", T.StringType()).add("conversations", T.ArrayType(MESSAGE))
 REFERENCE = T.StructType().add("source_idx", T.LongType()).add("system_prompt", T.StringType()).add("question", T.StringType()).add("gt_output", T.StringType())
@@ -40,8 +43,9 @@ def _indexed(lines: DataFrame) -> DataFrame:
     placed = lines.select("value", *split, F.monotonically_increasing_id().alias("_id"))
     splits = placed.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("_first"))
     earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)  # one row a split
-    starts = splits.select("_file", "_block", "_first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
-    return placed.join(F.broadcast(starts), ["_file", "_block"]).select((F.col("_before") + F.col("_id") - F.col("_first")).alias("source_idx"), "value")
+    starts = stage(splits.select("_file", "_block", "_first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before")))
+    starts = F.broadcast(starts) if starts.count() <= BROADCAST_SPLITS else starts
+    return placed.join(starts, ["_file", "_block"]).select((F.col("_before") + F.col("_id") - F.col("_first")).alias("source_idx"), "value")
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -97,3 +101,30 @@ def merge_shards(shards: Sequence[DataFrame], *within: str) -> DataFrame:
     for more in named[1:]:
         merged = merged.unionByName(more, allowMissingColumns=True)
     return merged.orderBy("source_idx", "shard", *within)
+
+
+def merge_sorted_shards(spark: SparkSession, paths: Sequence[str], *within: str, ranges: int = 64) -> DataFrame:
+    """merge_shards() of Parquet shards that are each sorted by source_idx, without a shuffle of their rows.
+
+    source_idx alone is read to cut it into ranges of about equal numbers of rows. Each range is one task
+    that reads what lies in it of every shard: as shards are sorted, the filter reaches the files'
+    statistics and skips all other row groups. Partitions of the result are the ranges, in order. Rows
+    of one source_idx are one range, however many. Take as many ranges as tasks of a size that suits.
+    """
+    if not paths:
+        raise ValueError("nothing to merge")
+    shards = [spark.read.parquet(p).withColumn("shard", F.lit(k)) for k, p in enumerate(paths)]
+    every = shards[0]
+    for more in shards[1:]:
+        every = every.unionByName(more, allowMissingColumns=True)
+    cuts = every.agg(F.percentile_approx("source_idx", [k / ranges for k in range(1, ranges)] or [0.5], 10_000)).first()[0]
+    cuts = sorted(set(cuts or []))[: ranges - 1]
+    place = F.col("source_idx")
+    if not cuts:
+        return every.coalesce(1).sortWithinPartitions("source_idx", "shard", *within)
+    bounds = [place.isNull() | (place < cuts[0]), *((place >= a) & (place < b) for a, b in zip(cuts, cuts[1:], strict=False)), place >= cuts[-1]]
+    merged = [every.where(b).coalesce(1).sortWithinPartitions("source_idx", "shard", *within) for b in bounds]
+    found = merged[0]
+    for more in merged[1:]:
+        found = found.union(more)
+    return found

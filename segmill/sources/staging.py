@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _lock, _held = threading.Lock(), {}  # of settings(): users and the value before, by session and name
+_left: list[tuple[str, str | None]] = []  # what stage() and the like have written: a path, and the table over it
 #: Fixed value: buckets that Spark allows for a table.
 MOST_BUCKETS = 100_000
 
@@ -30,7 +31,32 @@ def work_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="segmill-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/segmill-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/segmill-{uuid.uuid4().hex}"
+    with _lock:
+        _left.append((path, None))
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is deleted at the end, folders and tables alike.
+
+    Results must be written or collected inside: they read what was staged. Without it staged tables
+    stay, as a lazy result may still read them; a long session would fill the disk and the catalog.
+    """
+    with _lock:
+        before = len(_left)
+    try:
+        yield
+    finally:
+        with _lock:
+            mine = _left[before:]
+            del _left[before:]
+        for path, table in mine:
+            if table is not None:
+                spark.sql(f"drop table if exists {table}")
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 @contextmanager
@@ -87,6 +113,8 @@ def stage_bucketed(df: DataFrame, column: str, buckets: int) -> DataFrame:
     name = path.rpartition("/")[2].replace("-", "_")
     with _cleaned(spark):
         df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, column).saveAsTable(name)
+    with _lock:
+        _left[_left.index((path, None))] = (path, name)
     return spark.table(name)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -315,6 +316,16 @@ def test_long_runs_of_connectors_are_inside_words(spark, tmp_path):
     assert quality.segment_quality(pieces).first().n_in_word == 2
 
 
+def test_scratch_leaves_nothing_behind(spark):
+    base = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    outside = staging.stage(spark.range(3))
+    before, tables = set(base.iterdir()), {t.name for t in spark.catalog.listTables()}
+    with staging.scratch(spark):
+        rows = staging.stage_bucketed(staging.stage(spark.range(50)), "id", 2)
+        assert rows.join(outside, "id").count() == 3 and set(base.iterdir()) > before
+    assert set(base.iterdir()) == before and {t.name for t in spark.catalog.listTables()} == tables and outside.count() == 3
+
+
 def test_settings_come_back_when_the_last_job_ends(spark):
     name = "spark.sql.test.setting"
     with staging.settings(spark, {name: "a"}):
