@@ -31,8 +31,7 @@ def ngram_confidence(rows: DataFrame, key: str, text: str) -> DataFrame:
     """(key, idx, token, confidence) of every token."""
     pairs = pair_rows(rows, key, text)
     counts = stage(pairs.groupBy("prev", "token").agg(F.count(F.lit(1)).alias("c")))
-    size = counts.select("token").distinct().count()
-    total = counts.agg(F.sum("c")).first()[0] or 0
+    size, total = counts.agg(F.countDistinct("token"), F.coalesce(F.sum("c"), F.lit(0))).first()
     context = counts.groupBy("prev").agg(F.sum("c").alias("c_prev"))
     model = stage(counts.join(context, "prev").select("prev", "token", "c", ((F.col("c") + 1).cast("double") / (F.col("c_prev") + size)).alias("confidence")))
     frequent = F.col("c") * MOST_FREQUENT >= total

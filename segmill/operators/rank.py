@@ -96,15 +96,21 @@ def bracket_quantiles(df: DataFrame, value: str, quantiles: Sequence[float], acc
 def _at_places(counts: DataFrame, wanted: dict[str, float]) -> DataFrame:
     """(tau_key, quantile, and what counts(tau, n, ...) says) at each wanted place of values that stand n times each."""
     ranked = _ranged(counts, ["tau"])
-    starts = stage(_before(ranked.groupBy("_part").agg(F.sum("n").alias("_sum"))))
-    total = starts.agg(F.sum("_sum")).first()[0] or 0
+    held, before, first = [], 0, {}
+    sums = sorted(tuple(r) for r in ranked.groupBy("_part").agg(F.sum("n")).collect())  # one number a partition
+    total = sum(n for _, n in sums)
     places = [(k, q, round((total - 1) * q)) for k, q in wanted.items()]  # one row a quantile
+    for part, n in sums:
+        if any(before <= place < before + n for _, _, place in places):
+            held.append(part)
+            first[part] = before
+        before += n
     places = counts.sparkSession.createDataFrame(places, "tau_key string, quantile double, place long")
-    inside = lambda first, n: (F.col("place") >= first) & (F.col("place") < first + n)
-    held = starts.join(F.broadcast(places.select("place").distinct()), inside(F.col("_before"), F.col("_sum")), "left_semi").drop("_sum")
     own = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
-    last = ranked.join(F.broadcast(held), "_part").withColumn("first", F.col("_before") + F.sum("n").over(own) - F.col("n"))
-    found = last.join(F.broadcast(places), inside(F.col("first"), F.col("n"))).drop("_part", "_row", "_before", "first", "n", "place", "quantile")
+    starts = F.coalesce(*[F.when(F.col("_part") == part, F.lit(n)) for part, n in first.items()], F.lit(0)).cast("long")
+    last = ranked.where(F.col("_part").isin(held)).withColumn("first", starts + F.sum("n").over(own) - F.col("n"))
+    inside = (F.col("place") >= F.col("first")) & (F.col("place") < F.col("first") + F.col("n"))
+    found = last.join(F.broadcast(places), inside).drop("_part", "_row", "first", "n", "place", "quantile")
     return places.drop("place").join(found, "tau_key", "left")
 
 
