@@ -77,32 +77,59 @@ def tile(item: np.ndarray, text: np.ndarray, least: int, search: int = SEARCH) -
             if unmarked.all():
                 free_item[i : i - n] = free_text[j : j - n] = False
                 tiles.append((i, j, -n))
-            elif (left := int(unmarked.argmin())) >= size:
-                heapq.heappush(heap, (-left, i, j))  # what stands before a marked word waits its turn
+            else:
+                for first, left in _stretches(unmarked, size):  # what stands between marked words waits its turn
+                    heapq.heappush(heap, (-left, i + first, j + first))
         if size == least:
             return tiles
         size = max(least, size // 2)
 
 
+def _stretches(flags: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """(first, length) of every stretch of at least so many flags that are set."""
+    if not flags.any():
+        return []
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
+    return [(a, b - a) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True) if b - a >= least]
+
+
 def _common_runs(item: np.ndarray, free_item: np.ndarray, text: np.ndarray, free_text: np.ndarray, size: int) -> list[tuple[int, int, int]]:
-    """(item place, text place, words) of every common run of at least `size` unmarked words, from each of its places on."""
-    places: dict[int, list[int]] = {}
-    for i, h in zip(*_windows(item, free_item, size), strict=True):
-        places.setdefault(h, []).append(i)
-    runs: dict[tuple[int, int], int] = {}
-    for j, h in zip(*(x[::-1] for x in _windows(text, free_text, size)), strict=True) if places else ():
-        for i in places.get(h, ()):
-            if np.array_equal(item[i : i + size], text[j : j + size]):
-                runs[i, j] = runs.get((i + 1, j + 1), size - 1) + 1
-    return [(i, j, n) for (i, j), n in runs.items()]
-
-
-def _windows(values: np.ndarray, free: np.ndarray, size: int) -> tuple[list[int], list[int]]:
+    """(item place, text place, words) of every maximal common run of at least `size` unmarked words.
+
+    The text is gone through once, with the runs that its last window is in; so an item and a text that
+    repeat the same words take memory by the item's length, not by the pairs of their windows.
+    """
+    at_item, hash_item = _windows(item, free_item, size)
+    at_text, hash_text = _windows(text, free_text, size)
+    order = np.argsort(hash_item, kind="stable")
+    known, place = hash_item[order], at_item[order]
+    first, last = np.searchsorted(known, hash_text), np.searchsorted(known, hash_text, side="right")
+    hits = np.flatnonzero(first < last)
+    open_at, open_n, before, ended = np.empty(0, np.int64), np.empty(0, np.int64), -2, []
+    for j, a, b in zip(at_text[hits].tolist(), first[hits].tolist(), last[hits].tolist(), strict=True):
+        here = place[a:b]
+        n, goes_on = np.ones(len(here), np.int64), np.zeros(len(open_at), bool)
+        if j == before + 1:
+            found = np.minimum(np.searchsorted(open_at, here - 1), len(open_at) - 1)
+            same = open_at[found] == here - 1
+            n[same] += open_n[found[same]]
+            goes_on[found[same]] = True
+        ended += [(i, before, k) for i, k in zip(open_at[~goes_on].tolist(), open_n[~goes_on].tolist(), strict=True)]
+        open_at, open_n, before = here, n, j
+    ended += [(i, before, k) for i, k in zip(open_at.tolist(), open_n.tolist(), strict=True)]
+    runs = []
+    for i, j, k in ended:  # its last window, and how many there are
+        i, j, n = i - k + 1, j - k + 1, k + size - 1
+        runs += [(i + a, j + a, m) for a, m in _stretches(item[i : i + n] == text[j : j + n], size)]  # all of it, but for a collision
+    return runs
+
+
+def _windows(values: np.ndarray, free: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the windows of unmarked words."""
     hashes = hashing.rolling(values, size, hashing.WORD_BASE)
     used = np.concatenate([[0], np.cumsum(~free)])
     at = np.flatnonzero(used[size:] == used[: len(used) - size]) if len(hashes) else np.empty(0, np.int64)
-    return at.tolist(), hashes[at].tolist()
+    return at, hashes[at]
 
 
 @dataclass

@@ -382,6 +382,19 @@ def test_string_tiling(spark):
     assert rows_of(kept, "doc_id") == sorted([(3,), (4,), (5,), (8,)], key=repr) and kept.columns == documents.columns
 
 
+def test_repeated_words_take_little_memory():
+    """An item and a text of one word, or of three in turn: tiles are right, and memory follows the item and the text."""
+    import tracemalloc
+
+    for words, item, text in (([7], 200, 4000), ([1, 2, 3], 90, 3000)):
+        a, b = (np.resize(np.array(words, np.uint64), n) for n in (item, text))
+        tracemalloc.start()
+        tiles = string_tiling.tile(a, b, 5)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert tiles == [(0, 0, item)] and peak < 8 << 20
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(0, 3), max_size=24), st.lists(st.integers(0, 3), max_size=40), st.integers(1, 4), st.sampled_from([2, 5, 20]))
 def test_tiles_equal_plain_greedy_tiling(a, b, least, search):
