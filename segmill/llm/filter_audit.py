@@ -69,7 +69,7 @@ def text_flags(column: pa.Array) -> np.ndarray:
     raw = memoryview(data)
     counted = [word_counts(raw[a:b]) for a, b in zip(offsets.tolist(), offsets[1:].tolist(), strict=False)]
     words, distinct = np.array(counted, np.int64).reshape(-1, 2).T
-    per_text = lambda flags: np.diff(np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])[offsets])
+    per_text = lambda flags: np.array([np.count_nonzero(flags[a:b]) for a, b in zip(offsets.tolist(), offsets[1:].tolist(), strict=False)], np.int64)
     points, capitals = per_text((data & 0xC0) != 0x80), per_text((data >= 65) & (data <= 90))
     junk = per_text(np.isin(data, np.frombuffer(JUNK, np.uint8)))
     fails = [words < LEAST_WORDS, 100 * distinct < LEAST_DISTINCT * words, 100 * capitals > MOST_CAPITALS * points, junk > 0]

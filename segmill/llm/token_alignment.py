@@ -126,20 +126,18 @@ def align_texts(column: pa.Array, first: ByteLevelEncoder, second: PieceEncoder,
 
 def group_digests(x: Aligned) -> list[str]:
     """SHA-256 of each text's groups in writing: ids of A, |, ids of B, groups parted by ; ('' without tokens)."""
-    first_a, first_b, groups = _before(x.of_a), _before(x.of_b), np.arange(len(x.of_a))
-    n = len(x.a) + len(x.b)
-    ids, mark = np.empty(n, np.int64), np.full(n, ord(","), np.uint8)
-    at_a = np.arange(len(x.a)) + first_b[np.repeat(groups, x.of_a)]
-    at_b = np.arange(len(x.b)) + first_a[np.repeat(groups, x.of_b) + 1]
-    ids[at_a], ids[at_b] = x.a, x.b
-    mark[at_a[first_a[1:] - 1]], mark[at_b[first_b[1:] - 1]] = ord("|"), ord(";")
-    cuts = x.cuts_a + x.cuts_b
-    last = np.zeros(n, bool)
-    last[cuts[1:][np.diff(cuts) > 0] - 1] = True
+    first_a, first_b, cuts = _before(x.of_a), _before(x.of_b), x.cuts_a + x.cuts_b
+    ends = cuts[1:][np.diff(cuts) > 0] - 1  # the last token of each text has nothing after it
     hashes = [hashlib.sha256() for _ in range(len(cuts) - 1)]
-    for at in range(0, n, WRITTEN):
-        stop = min(n, at + WRITTEN)
-        own = ids[at:stop]
+    for low, high in _blocks(x.of_a + x.of_b, WRITTEN):
+        at, stop = first_a[low] + first_b[low], first_a[high] + first_b[high]
+        a, b, groups = x.a[first_a[low] : first_a[high]], x.b[first_b[low] : first_b[high]], np.arange(high - low)
+        of_a, of_b = first_a[low : high + 1] - first_a[low], first_b[low : high + 1] - first_b[low]
+        at_a = np.arange(len(a)) + of_b[np.repeat(groups, np.diff(of_a))]
+        at_b = np.arange(len(b)) + of_a[np.repeat(groups, np.diff(of_b)) + 1]
+        own, mark = np.empty(stop - at, np.int64), np.full(stop - at, ord(","), np.uint8)
+        own[at_a], own[at_b] = a, b
+        mark[at_a[of_a[1:] - 1]], mark[at_b[of_b[1:] - 1]] = ord("|"), ord(";")
         shown = np.zeros((stop - at, DIGITS + 1), np.uint8)
         size = np.ones(stop - at, np.int64)
         for k in range(1, DIGITS):
@@ -147,16 +145,26 @@ def group_digests(x: Aligned) -> list[str]:
         for k in range(int(size.max())):
             rows = size > k
             shown[rows, k] = ord("0") + own[rows] // 10 ** (size[rows] - 1 - k) % 10
-        shown[np.arange(stop - at), size] = mark[at:stop]
-        size += ~last[at:stop]
-        raw, ends = shown[np.arange(DIGITS + 1) < size[:, None]].tobytes(), _before(size)
+        shown[np.arange(stop - at), size] = mark
+        size += 1
+        size[ends[(ends >= at) & (ends < stop)] - at] -= 1
+        raw, written = shown[np.arange(DIGITS + 1) < size[:, None]].tobytes(), _before(size)
         for k in range(int(np.searchsorted(cuts, at, side="right")) - 1, int(np.searchsorted(cuts, stop))):
             a, b = max(cuts[k], at), min(cuts[k + 1], stop)
             if b > a:
-                hashes[k].update(raw[ends[a - at] : ends[b - at]])
+                hashes[k].update(raw[written[a - at] : written[b - at]])
     return [h.hexdigest() if size else "" for h, size in zip(hashes, np.diff(cuts).tolist(), strict=True)]
 
 
+def _blocks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges (low, high) of groups whose sizes add up to about `most`."""
+    ends, low = np.cumsum(sizes), 0
+    while low < len(sizes):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + most, side="right")))
+        yield low, high
+        low = high
+
+
 def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sum of each one's times."""
     order = np.argsort(keys, kind="stable")
@@ -169,19 +177,20 @@ def linked_pairs(x: Aligned, vocabulary: int) -> tuple[np.ndarray, np.ndarray, n
     """(text, pair, times) of all links, in order of both: a pair is its id of A times the vocabulary of B plus its id of B."""
     first_a, first_b, links = _before(x.of_a), _before(x.of_b), x.of_a * x.of_b
     text = np.repeat(np.arange(len(x.cuts) - 1), np.diff(x.cuts))
+    bits, found = (int(x.a.max(initial=0)) * vocabulary + vocabulary).bit_length(), [(np.empty(0, np.int64), np.empty(0, np.int64))]
     few = np.flatnonzero(links <= MANY_LINKS)
-    own, at = np.repeat(few, links[few]), ragged(np.zeros(len(few), np.int64), links[few])
-    pair = x.a[first_a[own] + at // x.of_b[own]].astype(np.int64) * vocabulary + x.b[first_b[own] + at % x.of_b[own]]
-    found = [(text[own], pair, np.ones(len(pair), np.int64))]
+    for low, high in _blocks(links[few], PAIRED):
+        block = few[low:high]
+        own, at = np.repeat(block, links[block]), ragged(np.zeros(len(block), np.int64), links[block])
+        pair = x.a[first_a[own] + at // x.of_b[own]].astype(np.int64) * vocabulary + x.b[first_b[own] + at % x.of_b[own]]
+        found.append(_summed(text[own] << bits | pair, np.ones(len(pair), np.int64)))
     for g in np.flatnonzero(links > MANY_LINKS).tolist():
         ids_a, times_a = np.unique(x.a[first_a[g] : first_a[g + 1]], return_counts=True)
         ids_b, times_b = np.unique(x.b[first_b[g] : first_b[g + 1]], return_counts=True)
         for k in range(0, len(ids_a), step := max(1, PAIRED // len(ids_b))):
             pair = (ids_a[k : k + step, None].astype(np.int64) * vocabulary + ids_b).ravel()
-            found.append((np.full(len(pair), text[g]), pair, (times_a[k : k + step, None] * times_b).ravel()))
-    texts, pairs, times = (np.concatenate([f[k] for f in found]) for k in range(3))
-    bits = int(pairs.max(initial=0)).bit_length()
-    keys, times = _summed(texts << bits | pairs, times)
+            found.append(_summed(text[g] << bits | pair, (times_a[k : k + step, None] * times_b).ravel()))
+    keys, times = _summed(*(np.concatenate([f[k] for f in found]) for k in range(2)))
     return keys >> bits, keys & ((1 << bits) - 1), times
 
 

@@ -217,7 +217,7 @@ def test_links_and_digests_of_any_group(texts, seed, many):
     cuts = token_alignment._before(np.array([len(t) for t in texts], np.int64))
     x = token_alignment.Aligned(a, b, of_a, of_b, token_alignment._before(of_a)[cuts], token_alignment._before(of_b)[cuts], cuts)
     before = token_alignment.MANY_LINKS, token_alignment.PAIRED, token_alignment.WRITTEN
-    token_alignment.MANY_LINKS, token_alignment.PAIRED, token_alignment.WRITTEN = many, 5, 3
+    token_alignment.MANY_LINKS, token_alignment.PAIRED, token_alignment.WRITTEN = many, 7, 3
     try:
         found, shown = token_alignment.linked_pairs(x, 32000), token_alignment.group_digests(x)
     finally:
@@ -233,3 +233,26 @@ def test_links_and_digests_of_any_group(texts, seed, many):
             k += 1
         written.append(brute.sha(";".join(pieces).encode()) if t else "")
     assert list(zip(*(f.tolist() for f in found), strict=True)) == [(*p, n) for p, n in sorted(links.items())] and shown == written
+
+
+def test_long_texts_take_memory_in_proportion():
+    """Peak of what a worker holds for one text of 4 MB, as a multiple of the text."""
+    import tracemalloc
+
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdefghé", k=rng.randint(1, 9))) for _ in range(5000)]
+    text = " ".join(rng.choices(words, k=600_000))
+    column = pa.array([" " + text], pa.large_string())
+    path_a, path_b = tokens.tokenizer_path("byte_bpe_50k.json"), tokens.tokenizer_path("piece_bpe_32k.model")
+    first, second = tokens.ByteLevelEncoder(path_a, plain_specials=True), tokens.PieceEncoder(path_b)
+    of_a, of_b = tokens.TokenBytes.of_byte_level(path_a), tokens.TokenBytes.of_pieces(path_b)
+    aligned = token_alignment.align_texts(column, first, second, of_a, of_b, token_alignment.SpanCounts())
+    for work, most in (
+        (lambda: filter_audit.text_flags(column), 12), (lambda: first.encode(column), 24), (lambda: token_alignment.align_texts(column, first, second, of_a, of_b, token_alignment.SpanCounts()), 36),
+        (lambda: token_alignment.linked_pairs(aligned, 32000), 40), (lambda: token_alignment.group_digests(aligned), 20),
+    ):
+        tracemalloc.start()
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most * len(text.encode()), (most, peak / len(text.encode()))
