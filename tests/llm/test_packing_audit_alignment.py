@@ -249,7 +249,7 @@ def test_long_texts_take_memory_in_proportion():
     aligned = token_alignment.align_texts(column, first, second, of_a, of_b, token_alignment.SpanCounts())
     for work, most in (
         (lambda: filter_audit.text_flags(column), 12), (lambda: first.encode(column), 24), (lambda: token_alignment.align_texts(column, first, second, of_a, of_b, token_alignment.SpanCounts()), 36),
-        (lambda: token_alignment.linked_pairs(aligned, 32000), 60), (lambda: token_alignment.group_digests(aligned), 20),
+        (lambda: token_alignment.linked_pairs(aligned, 32000), 60), (lambda: token_alignment.group_digests(aligned), 28),
     ):
         tracemalloc.start()
         work()
