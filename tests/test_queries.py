@@ -10,7 +10,8 @@ import duckdb
 import pytest
 import regex
 
-from segmill.jobs.queries import LONG, ORACLES, QUERIES, SMALL, usable
+from segmill.jobs import convert, quality
+from segmill.jobs.queries import LONG, ORACLES, QUERIES, SMALL, long_samples, usable
 from tests.test_segment import plain_inside, plain_split
 
 
@@ -64,10 +65,11 @@ def test_random_conversion_equals_a_plain_version(spark, sf):
 
     docs = spark.read.parquet(f"{sf}/documents.parquet").where("text <> '' and source <> ''").collect()
     expected = {(r.doc_id, k, s) for r in docs for k, s in enumerate(plain(r.text, r.doc_id, LONG)[1])}
-    assert {tuple(r) for r in QUERIES["convert_random"](spark, sf).collect()} == expected
+    converted = quality.segment_rows(convert.convert(long_samples(spark, sf), LONG.with_(mode="random")))
+    assert {tuple(r) for r in converted.collect()} == expected
     rows = usable(spark, sf).select("source_idx", "gt_output").collect()
     expected = {(r.source_idx, b) for r in rows for b in plain(r.gt_output, r.source_idx, SMALL)[0]}
-    assert {tuple(r) for r in QUERIES["boundaries_random"](spark, sf).collect()} == expected
+    assert {tuple(r) for r in QUERIES["boundaries_mersenne"](spark, sf).collect()} == expected
 
 
 def test_random_boundaries(spark, sf):
