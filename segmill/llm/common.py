@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmill.sources.staging import read_table, settings, stage, work_dir  # noqa: F401  (shared by the operators)
@@ -31,15 +31,30 @@ def join_counted(rows: DataFrame, groups: DataFrame, key: str | list[str], most_
     key: as the n add up to the total, at most MOST_HOT keys have the share of one in MOST_HOT.
     """
     most = most_hot or MOST_HOT
-    total = groups.agg(F.sum("n")).first()[0] or 0
+    total, highest = groups.agg(F.sum("n"), F.max("n")).first()
+    if (highest or 0) * most < (total or 0) + most * most:
+        return rows.join(groups, key)
     large = F.col("n") * most >= total + most * most
     hot = groups.where(large)
-    if hot.isEmpty():
-        return rows.join(groups, key)
     rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.where(~large), key)
     return rows.join(F.broadcast(hot), key).unionByName(rest)
 
 
+def copies_for(n: Column, share: int) -> Column:
+    """How many copies of a key's row serve its n partners, share to each on average; none without a partner."""
+    return F.ceil(n / F.lit(share)).cast("int")
+
+
+def copy_of(partner: Column, copies: Column) -> Column:
+    """Which of the copies, numbered from 0, serves a partner."""
+    return F.pmod(F.xxhash64(partner), copies).cast("int")
+
+
+def copy_numbers(copies: Column) -> Column:
+    """A row for each copy."""
+    return F.explode(F.sequence(F.lit(0), copies - 1))
+
+
 def as_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 

@@ -13,7 +13,8 @@ rounds of pivots every pair that still lies across components is tested, so no l
 
 Frequencies come from packed hashes per part and bucket (see parts). A text and its exact copies are
 one member throughout: only the first copy sends n-grams, and a part hears of a copied text once,
-however many rows have it. Nothing is capped: a hot n-gram stands last in the order.
+however many rows have it. Nothing is capped: a hot n-gram stands last in the order. A pivot that many
+members meet, and a member with many links, is there in copies, so no task gets all its partners.
 
 Cases: null or blank text has an empty set and links with nothing; with fewer words than n the whole
 sequence is one n-gram; a null doc_id is no component's id (null if it is alone); repeated rows
@@ -32,12 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmill.llm import hashing
-from segmill.llm.common import configure, join_counted, ragged, stage
+from segmill.llm.common import configure, copies_for, copy_numbers, copy_of, join_counted, ragged, stage
 from segmill.llm.components import components
 from segmill.llm.parts import LATER, PART_TEXT, Part, ask, ask_copies, bucket_number, heard, heard_copies, keyed, parts_of, stage_parts, tell, text_size
 from segmill.llm.words import words_of
 
 GRAM, PERCENT, FRAGMENTS, PIVOT_ROUNDS = 3, 90, 4, 2
+#: Pairs that one copy of a member's n-grams serves, on average; members of an n-gram in one of its shares.
+PAIRS_A_COPY = 4096
 
 _SETS = (
     T.StructType().add("key", T.BinaryType()).add("doc_ids", T.ArrayType(T.LongType())).add("n", T.LongType()).add("cid", T.LongType())
@@ -135,12 +138,28 @@ def order_sets(parts: DataFrame, gram: int, percent: int, copy_buckets: int, buc
     return parts.mapInArrow(run, _SETS)
 
 
-def count_overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs(a, b) those that link: partial overlaps of each fragment, summed for each pair."""
-    parts_of = sets.select("cid", "n", F.posexplode("fragments").alias("fragment", "grams"))
-    left = parts_of.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("grams").alias("grams_a"))
-    right = parts_of.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), "fragment", F.col("grams").alias("grams_b"))
-    met = pairs.join(left, "a").join(right, ["b", "fragment"])
+def _dealt(pairs: DataFrame, dealt: DataFrame, sets: DataFrame, own: str, other: str, share: int) -> tuple[DataFrame, DataFrame]:
+    """(dealt, the pairs so far, with the copy of `own` that serves each; the copies with their fragments).
+
+    Members that may link have sets of about one size, so copies add about one part in `share` to what
+    the pairs carry anyway.
+    """
+    counts = stage(pairs.groupBy(own).agg(_pairs_number()))
+    copies = copies_for(F.col("n"), share)
+    dealt = join_counted(dealt, counts, own).withColumn(f"copy_{own}", copy_of(F.col(other), copies)).drop("n")
+    copied = counts.select(own, copy_numbers(copies).alias(f"copy_{own}"))
+    held = copied.join(sets.select(F.col("cid").alias(own), F.col("n").alias(f"n_{own}"), "fragments"), own)
+    return dealt, held.select(own, f"copy_{own}", f"n_{own}", F.posexplode("fragments").alias("fragment", f"grams_{own}"))
+
+
+def count_overlaps(pairs: DataFrame, sets: DataFrame, percent: int, share: int = PAIRS_A_COPY) -> DataFrame:
+    """Of pairs(a, b), staged, those that link: partial overlaps of each fragment, summed for each pair.
+
+    A pivot with a million partners is not one key: its fragments are there in copies, each for `share` partners.
+    """
+    dealt, left = _dealt(pairs, pairs, sets, "a", "b", share)
+    dealt, right = _dealt(pairs, dealt, sets, "b", "a", share)
+    met = dealt.join(left, ["a", "copy_a"]).join(right, ["b", "copy_b", "fragment"])
     partial = met.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("shared"))
     total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
     return total.where(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b")
@@ -169,18 +188,23 @@ def _members_number():
     return F.count(F.lit(1)).alias("members")
 
 
+def _pairs_number():
+    return F.count(F.lit(1)).alias("n")
+
+
 def _met(known: DataFrame, groups: DataFrame) -> DataFrame:
     """Members with what their n-gram's group says (staged, with its number of members)."""
     own = known.withColumnRenamed("n", "own_n")
     return join_counted(own, groups.withColumnRenamed("members", "n"), "gram").drop("n").withColumnRenamed("own_n", "n")
 
 
-def _pairs_across(known: DataFrame, percent: int) -> DataFrame:
+def _pairs_across(known: DataFrame, percent: int, share: int = PAIRS_A_COPY) -> DataFrame:
     """All pairs of an n-gram's members that lie in two components and can link.
 
     A member whose place in its own order rules out even the best partner that its n-gram could offer
     goes first. Of the
     rest, members outside the n-gram's largest component meet all others; inside it nothing meets.
+    Both sides of a frequent n-gram are cut into shares, and each meets copies of the other's.
     """
     best = known.groupBy("gram").agg(F.min("n").alias("least_n"), F.min("place").alias("least_place"), F.min("comp").alias("low"), F.max("comp").alias("high"), _members_number())
     held = F.col("n") - F.col("place")
@@ -188,11 +212,14 @@ def _pairs_across(known: DataFrame, percent: int) -> DataFrame:
     open_ = stage(open_.select("gram", "cid", "n", "place", "comp"))
     sizes = open_.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("m"))
     largest = sizes.groupBy("gram").agg(F.max_by("comp", F.struct("m", "comp")).alias("largest"), F.count(F.lit(1)).alias("comps"), F.sum("m").alias("members"))
-    marked = stage(_met(open_, stage(largest.where("comps > 1").drop("comps"))))
-    outside = marked.where("comp <> largest")
-    others = marked.select("gram", *[F.col(c).alias(f"other_{c}") for c in ("cid", "n", "place", "comp")])
+    largest = largest.where("comps > 1").withColumn("copies", copies_for(F.col("members"), share)).drop("comps")
+    marked = stage(_met(open_, stage(largest)))
+    own, copy = copy_of(F.col("cid"), F.col("copies")), copy_numbers(F.col("copies"))
+    outside = marked.where("comp <> largest").withColumn("share", own).withColumn("other_share", copy)
+    others = marked.withColumn("other_share", own).withColumn("share", copy)
+    others = others.select("gram", "share", "other_share", *[F.col(c).alias(f"other_{c}") for c in ("cid", "n", "place", "comp")])
     once = (F.col("other_comp") == F.col("largest")) | (F.col("cid") < F.col("other_cid"))
-    return outside.join(others, "gram").where((F.col("comp") != F.col("other_comp")) & once & _can_link(percent))
+    return outside.join(others, ["gram", "share", "other_share"]).where((F.col("comp") != F.col("other_comp")) & once & _can_link(percent))
 
 
 def link_sets(sets: DataFrame, percent: int, pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:

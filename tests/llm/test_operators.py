@@ -165,6 +165,34 @@ def test_hot_ngrams_are_dealt_out(spark, monkeypatch):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_components(rows), key=repr)
 
 
+def test_shares_of_pivots_and_of_ngrams(spark, monkeypatch):
+    """With shares of two, nearly every member is there in copies; links stay the same."""
+    for name in ("count_overlaps", "_pairs_across"):
+        real = getattr(jaccard_join, name)
+        monkeypatch.setattr(jaccard_join, name, lambda *a, real=real: real(*a, share=2))
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(w if rng.random() > 0.03 else f"e{rng.randrange(9)}" for w in base)) for i in range(80)] + corpus()
+    got = jaccard_join.jaccard_components(spark, frame(spark, rows), buckets=2)
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_components(rows), key=repr)
+
+
+def test_a_hub_of_100000_members_is_dealt_out(spark, monkeypatch):
+    """No key of the overlap's joins has much more than a share of the pairs, whichever side the pivot is on."""
+    monkeypatch.setattr(common, "MOST_HOT", 8)  # so that the pivots' counts are broadcast
+    grams = F.array(F.array(*[F.lit(g).cast("long") for g in range(9)]), F.array(F.col("id")))
+    sets = stage(spark.range(100_003).select(F.col("id").alias("cid"), F.lit(10).cast("long").alias("n"), grams.alias("fragments")))
+    for hub, a, b in ((0, F.lit(0).cast("long"), F.col("id")), (100_002, F.col("id"), F.lit(100_002).cast("long"))):
+        pairs = stage(spark.range(1, 100_001).select(a.alias("a"), b.alias("b")))
+        dealt, copies = jaccard_join._dealt(pairs, pairs, sets, *(("a", "b") if hub == 0 else ("b", "a")), 1000)
+        own = "a" if hub == 0 else "b"
+        per_key = dealt.groupBy(own, f"copy_{own}").count().agg(F.max("count"), F.count("*")).first()
+        assert per_key[0] < 1200 and per_key[1] == 100 and copies.count() == 200
+        assert jaccard_join.count_overlaps(pairs, sets, 80).count() == 100_000  # 9 of 11 n-grams
+        assert jaccard_join.count_overlaps(pairs, sets, 90).isEmpty()
+        assert components(pairs, hub_edges=1000).select("comp").distinct().count() == 1
+
+
 def test_keep_one(spark):
     rows = [r for r in corpus() if r[0] is not None and r[0] != 7]
     kept = jaccard_join.keep_one(spark, frame(spark, rows))
@@ -530,7 +558,8 @@ def test_notices_against_plain_edit_distance():
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(100 + i, 101 + i) for i in range(40)]
-    got = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    edges += [(500, 501 + i) for i in range(60)] + [(561 + i, 500) for i in range(60)]  # a hub from both sides
+    got = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a long, b long"), hub_edges=7).collect()}
     least = {n: n for e in edges for n in e}
     for _ in range(200):
         for a, b in edges:
