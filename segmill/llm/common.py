@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from segmill.sources.staging import read_table, settings, stage, work_dir  # noqa: F401  (shared by the operators)
@@ -24,15 +24,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def join_counted(rows: DataFrame, groups: DataFrame, key: str | list[str], most_hot: int | None = None) -> DataFrame:
+def stage_groups(groups: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """groups, one row per key with n, staged; the sum and the highest of n, seen while it is written."""
+    seen = Observation()
+    staged = stage(groups.observe(seen, F.sum("n").alias("total"), F.max("n").alias("highest")))
+    return staged, tuple(seen.get.get(name) or 0 for name in ("total", "highest"))
+
+
+def join_counted(rows: DataFrame, groups: DataFrame, key: str | list[str], most_hot: int | None = None, seen: tuple[int, int] | None = None) -> DataFrame:
     """rows joined to groups, a staged table of one row per key with n, the number of rows that have it.
 
     The few keys with a large share of all rows are broadcast, so no task gets all rows of such a
-    key: as the n add up to the total, at most MOST_HOT keys have the share of one in MOST_HOT.
+    key: as the n add up to the total, at most MOST_HOT keys have the share of one in MOST_HOT. seen is
+    what stage_groups() has seen of groups; without it a job finds out.
     """
     most = most_hot or MOST_HOT
-    total, highest = groups.agg(F.sum("n"), F.max("n")).first()
-    if (highest or 0) * most < (total or 0) + most * most:
+    total, highest = seen or (x or 0 for x in groups.agg(F.sum("n"), F.max("n")).first())
+    if highest * most < total + most * most:
         return rows.join(groups, key)
     large = F.col("n") * most >= total + most * most
     hot = groups.where(large)

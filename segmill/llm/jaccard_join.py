@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmill.llm import hashing
-from segmill.llm.common import configure, copies_for, copy_numbers, copy_of, join_counted, ragged, stage
+from segmill.llm.common import configure, copies_for, copy_numbers, copy_of, join_counted, ragged, stage, stage_groups
 from segmill.llm.components import components
 from segmill.llm.parts import LATER, PART_TEXT, Part, ask, ask_copies, bucket_number, heard, heard_copies, keyed, parts_of, stage_parts, tell, text_size
 from segmill.llm.words import words_of
@@ -144,9 +144,9 @@ def _dealt(pairs: DataFrame, dealt: DataFrame, sets: DataFrame, own: str, other:
     Members that may link have sets of about one size, so copies add about one part in `share` to what
     the pairs carry anyway.
     """
-    counts = stage(pairs.groupBy(own).agg(_pairs_number()))
+    counts, seen = stage_groups(pairs.groupBy(own).agg(_pairs_number()))
     copies = copies_for(F.col("n"), share)
-    dealt = join_counted(dealt, counts, own).withColumn(f"copy_{own}", copy_of(F.col(other), copies)).drop("n")
+    dealt = join_counted(dealt, counts, own, seen=seen).withColumn(f"copy_{own}", copy_of(F.col(other), copies)).drop("n")
     copied = counts.select(own, copy_numbers(copies).alias(f"copy_{own}"))
     held = copied.join(sets.select(F.col("cid").alias(own), F.col("n").alias(f"n_{own}"), "fragments"), own)
     return dealt, held.select(own, f"copy_{own}", f"n_{own}", F.posexplode("fragments").alias("fragment", f"grams_{own}"))
@@ -180,7 +180,7 @@ def _pivot_pairs(known: DataFrame, percent: int, k: int) -> DataFrame:
     share = F.col("alone") / F.col("n")
     rank = F.struct(share, F.col("cid")) if k == 0 else F.struct(F.xxhash64("comp", "gram"), share, F.col("cid"))
     pivot = known.groupBy("gram").agg(F.min_by(F.struct("cid", "n", "place", "comp"), rank).alias("p"), F.min("comp").alias("low"), F.max("comp").alias("high"), _members_number())
-    pivot = stage(pivot.where("low <> high").select("gram", "members", *[F.col(f"p.{c}").alias(f"other_{c}") for c in ("cid", "n", "place", "comp")]))
+    pivot = pivot.where("low <> high").select("gram", "members", *[F.col(f"p.{c}").alias(f"other_{c}") for c in ("cid", "n", "place", "comp")])
     return _met(known, pivot).where((F.col("comp") != F.col("other_comp")) & _can_link(percent))
 
 
@@ -193,9 +193,10 @@ def _pairs_number():
 
 
 def _met(known: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members with what their n-gram's group says (staged, with its number of members)."""
+    """Members with what their n-gram's group says (with its number of members)."""
     own = known.withColumnRenamed("n", "own_n")
-    return join_counted(own, groups.withColumnRenamed("members", "n"), "gram").drop("n").withColumnRenamed("own_n", "n")
+    groups, seen = stage_groups(groups.withColumnRenamed("members", "n"))
+    return join_counted(own, groups, "gram", seen=seen).drop("n").withColumnRenamed("own_n", "n")
 
 
 def _pairs_across(known: DataFrame, percent: int, share: int = PAIRS_A_COPY) -> DataFrame:
@@ -208,12 +209,12 @@ def _pairs_across(known: DataFrame, percent: int, share: int = PAIRS_A_COPY) ->
     """
     best = known.groupBy("gram").agg(F.min("n").alias("least_n"), F.min("place").alias("least_place"), F.min("comp").alias("low"), F.max("comp").alias("high"), _members_number())
     held = F.col("n") - F.col("place")
-    open_ = _met(known, stage(best.where("low <> high"))).where(100 * held >= percent * (F.col("n") + F.greatest(F.col("least_n") - held, F.col("least_place"))))
+    open_ = _met(known, best.where("low <> high")).where(100 * held >= percent * (F.col("n") + F.greatest(F.col("least_n") - held, F.col("least_place"))))
     open_ = stage(open_.select("gram", "cid", "n", "place", "comp"))
     sizes = open_.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("m"))
     largest = sizes.groupBy("gram").agg(F.max_by("comp", F.struct("m", "comp")).alias("largest"), F.count(F.lit(1)).alias("comps"), F.sum("m").alias("members"))
     largest = largest.where("comps > 1").withColumn("copies", copies_for(F.col("members"), share)).drop("comps")
-    marked = stage(_met(open_, stage(largest)))
+    marked = stage(_met(open_, largest))
     own, copy = copy_of(F.col("cid"), F.col("copies")), copy_numbers(F.col("copies"))
     outside = marked.where("comp <> largest").withColumn("share", own).withColumn("other_share", copy)
     others = marked.withColumn("other_share", own).withColumn("share", copy)
@@ -225,7 +226,7 @@ def _pairs_across(known: DataFrame, percent: int, share: int = PAIRS_A_COPY) ->
 def link_sets(sets: DataFrame, percent: int, pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
     """Links (a, b) that connect what is connected; pairs inside a known component are left out."""
     prefixes = sets.select("cid", "n", "alone", F.posexplode("prefix").alias("place", "gram")).withColumn("place", F.col("alone") + F.col("place"))
-    met = stage(prefixes.groupBy("gram").agg(_members_number()).where("members > 1"))
+    met = prefixes.groupBy("gram").agg(_members_number()).where("members > 1")
     prefixes = stage(_met(prefixes, met))
     links = tested = None
     for k in range(pivot_rounds + 1):
@@ -262,7 +263,8 @@ def _components(spark: SparkSession, docs: DataFrame, gram: int, percent: int, f
     texts = stage(texts.join(labels, F.col("cid") == F.col("node"), "left").select("key", "first_id", "n", "comp"))
     linked = texts.where("comp is not null").withColumnRenamed("n", "n_shingles")
     least = linked.groupBy("comp").agg(F.min("first_id").alias("component_id"), F.min_by("key", F.struct(F.col("first_id").isNull(), "first_id", "key")).alias("kept_key"), F.count(F.lit(1)).alias("n"))
-    of_text = join_counted(linked, stage(least), "comp").select("key", "n_shingles", "component_id", "kept_key")
+    least, seen = stage_groups(least)
+    of_text = join_counted(linked, least, "comp", seen=seen).select("key", "n_shingles", "component_id", "kept_key")
     of_text = of_text.union(texts.where("comp is null").select("key", "n", "first_id", "key"))
     rows = every.select("key", "doc_ids").join(of_text, "key").select(F.explode("doc_ids").alias("doc_id"), "n_shingles", "component_id", "key", "kept_key")
     return rows.withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")))
