@@ -5,25 +5,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from segmill.sources.staging import read_table, settings, stage, work_dir  # noqa: F401  (shared by the operators)
+from segmill.sources.staging import BATCH_BYTES, BATCH_ROWS, configure, read_table, settings, stage, work_dir  # noqa: F401  (shared by the operators)
 
-#: Fixed for every operator: Arrow batches stay small, so that a few very long texts fit a worker.
-BATCH_ROWS = 2000
-BATCH_BYTES = 8 << 20
 #: Keys that join_counted() broadcasts at most.
 MOST_HOT = 1000
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches that Python workers get, by rows and by bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return spark
-
-
 def stage_groups(groups: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
     """groups, one row per key with n, staged; the sum and the highest of n, seen while it is written."""
     seen = Observation()

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from segmill.functions.protected import PROTECTED, occurrences
 from segmill.functions.text import lengths, tokens
 from segmill.jobs.config import SegmentConfig
+from segmill.sources.staging import configure
 
 _RUN, _LONG_RUN = re.compile(r"[^\W_]+"), re.compile(r"[^\W_]{3}")
 #: The formula of functions/text, with white space as Python's own class of the same characters.
@@ -210,6 +211,7 @@ def segment(rows: DataFrame, config: SegmentConfig, text: str = "gt_output", key
     lengths that do not add up to the text raise. token_spans is an array of (token, start, end) in its
     place: tokens with gaps, overlaps or nothing in them. Spans outside the text, or whose ends go back, raise.
     """
+    configure(rows.sparkSession)
     conf = F.col("confidences") if config.mode == "threshold" else F.lit(None)
     if token_spans is None:
         sizes = lengths(tokens(F.col(text))) if token_lengths is None else token_lengths
@@ -217,7 +219,8 @@ def segment(rows: DataFrame, config: SegmentConfig, text: str = "gt_output", key
     else:
         special = F.transform(token_spans, lambda t: t["token"].isin(*config.special_tokens)) if config.special_tokens else F.lit(None)
         places = [F.transform(token_spans, lambda t: t["start"]).cast("array<int>"), F.transform(token_spans, lambda t: t["end"]).cast("array<int>"), special.cast("array<boolean>")]
-    cut = F.arrow_udf(_cutter(config, token_spans is not None), SEGMENTED)
+    # As the function counts as nondeterministic, Spark never copies it into a filter on segments: posexplode() alone implies such a filter.
+    cut = F.arrow_udf(_cutter(config, token_spans is not None), SEGMENTED).asNondeterministic()
     found = cut(F.col(key).cast("long"), F.col(text), *places, conf.cast("array<double>"))
     return rows.withColumn("_cut", found).select(*rows.columns, "_cut.boundaries", "_cut.segments")
 

@@ -16,6 +16,16 @@ _lock, _held = threading.Lock(), {}  # of settings(): users and the value before
 _left: list[tuple[str, str | None]] = []  # what stage() and the like have written: a path, and the table over it
 #: Fixed value: buckets that Spark allows for a table.
 MOST_BUCKETS = 100_000
+#: Fixed for every function in Python: Arrow batches stay small, so that a few very long texts fit a worker.
+BATCH_ROWS = 2000
+BATCH_BYTES = 8 << 20
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Bound the Arrow batches that Python workers get, by rows and by bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
 
 
 def work_dir(spark: SparkSession) -> str:
