@@ -56,3 +56,13 @@ def cuts(found) -> int:
 
 def test_conversion_in_context_cuts_once(spark, sf):
     assert cuts(queries.convert_in_context(spark, sf)) == 1
+
+
+def test_the_quality_report_cuts_once(spark, sf):
+    assert cuts(queries.segment_quality(spark, sf)) == 1
+
+
+def test_the_quality_report_of_long_texts_gets_small_batches(unset):
+    rows = answers(unset, 300, 20_000)
+    found = quality.segment_quality(convert.convert(rows.withColumn("gt_output", guarded(F.col("gt_output"))), SegmentConfig(mode="fixed")))
+    assert found.where("n_chars = 100000 and n_in_word = 0").count() == 300
