@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from segmill.functions.json_text import json_array, with_fields
 from segmill.functions.text import is_blank
-from segmill.sources.staging import stage
+from segmill.sources.staging import configure, stage
 
 #: Splits of files (some 100 bytes each) whose table is broadcast at most.
 BROADCAST_SPLITS = 100_000
@@ -59,6 +59,7 @@ def record_lines(converted: DataFrame, line: str = "raw") -> DataFrame:
     All other text of a line stays byte for byte: fields that no schema names, their order, and how
     numbers are written. source_idx is added where the line has none, or null.
     """
+    configure(converted.sparkSession)
     fields = {"thoughts_list": json_array(F.col("thoughts_list")), "source_idx": F.col("source_idx").cast("string")}
     return converted.select(with_fields(F.col(line), fields, keep={"source_idx"}).alias("value"))
 

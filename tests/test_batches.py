@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from segmill.functions.offsets import InContext
 from segmill.jobs import convert, quality, queries
 from segmill.jobs.config import SegmentConfig
+from segmill.sources import jsonl
 from segmill.sources.staging import BATCH_BYTES, BATCH_ROWS
 
 SETTINGS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
@@ -66,3 +67,10 @@ def test_the_quality_report_of_long_texts_gets_small_batches(unset):
     rows = answers(unset, 300, 20_000)
     found = quality.segment_quality(convert.convert(rows.withColumn("gt_output", guarded(F.col("gt_output"))), SegmentConfig(mode="fixed")))
     assert found.where("n_chars = 100000 and n_in_word = 0").count() == 300
+
+
+@pytest.mark.parametrize(("n", "size"), [(BATCH_ROWS + 500, 2), (300, 20_000)])
+def test_record_lines_are_set_in_small_batches(unset, n, size):
+    rows = answers(unset, n, size).select("source_idx", F.array("gt_output").alias("thoughts_list"), F.to_json(F.struct("question")).alias("raw"))
+    found = jsonl.record_lines(rows.withColumn("thoughts_list", F.array(guarded(F.col("thoughts_list")[0]))).withColumn("raw", guarded(F.col("raw"))))
+    assert found.where(F.length("value") > 5 * size).count() == n
