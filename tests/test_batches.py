@@ -74,3 +74,7 @@ def test_record_lines_are_set_in_small_batches(unset, n, size):
     rows = answers(unset, n, size).select("source_idx", F.array("gt_output").alias("thoughts_list"), F.to_json(F.struct("question")).alias("raw"))
     found = jsonl.record_lines(rows.withColumn("thoughts_list", F.array(guarded(F.col("thoughts_list")[0]))).withColumn("raw", guarded(F.col("raw"))))
     assert found.where(F.length("value") > 5 * size).count() == n
+
+
+def test_random_conversion_cuts_once(spark, sf):
+    assert cuts(queries.convert_random(spark, sf)) == 1
