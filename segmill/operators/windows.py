@@ -22,6 +22,7 @@ from segmill.functions.offsets import InContext, answer_tokens, with_offsets
 from segmill.functions.protected import PROTECTED, is_cuttable, protected_spans
 from segmill.functions.scores import scoring_windows
 from segmill.functions.text import Tokenizer, tokens
+from segmill.sources.staging import configure
 
 
 @dataclass(frozen=True)
@@ -86,6 +87,7 @@ def score_windows(windows: DataFrame, load: Callable[[], Scorer]) -> DataFrame:
             columns = [pa.array([w.source_idx for w in rows], pa.int64()), pa.array([w.window_idx for w in rows], pa.int64()), pa.array([len(w.fresh) for w in rows], pa.int64())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(pa.float64()))], names=SCORED.names)
 
+    configure(windows.sparkSession)
     return windows.mapInArrow(run, SCORED)
 
 
@@ -108,6 +110,7 @@ def score_answers(samples: DataFrame, load: Callable[[], Scorer], window: int, s
 
 def confidence_rows(samples: DataFrame, scores: DataFrame, special: Sequence[str] = (), tokenizer: Tokenizer | InContext = tokens, strings: Sequence[str] = PROTECTED) -> DataFrame:
     """(source_idx, idx, token, confidence, cuttable) for estimate_tau() from arrays of confidences."""
+    configure(samples.sparkSession)
     spans = tokenizer.spans() if isinstance(tokenizer, InContext) else with_offsets(tokenizer)(F.col("gt_output"))
     listed = samples.where(is_usable()).join(scores, "source_idx").select("source_idx", "confidences", spans.alias("at"), protected_spans(F.col("gt_output"), strings).alias("spans"))
     flagged = F.transform(

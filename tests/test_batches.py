@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from segmill.functions.offsets import InContext
 from segmill.jobs import convert, quality, queries
 from segmill.jobs.config import SegmentConfig
+from segmill.operators import windows
 from segmill.sources import jsonl
 from segmill.sources.staging import BATCH_BYTES, BATCH_ROWS
 
@@ -78,3 +79,20 @@ def test_record_lines_are_set_in_small_batches(unset, n, size):
 
 def test_random_conversion_cuts_once(spark, sf):
     assert cuts(queries.convert_random(spark, sf)) == 1
+
+
+def counting_scorer():
+    return lambda found: [[float(len(found))] * len(w.fresh) for w in found]
+
+
+def test_a_scorer_gets_small_batches(unset):
+    rows = answers(unset, BATCH_ROWS + 500, 2).withColumn("system_prompt", F.lit(""))
+    scored = windows.score_windows(windows.window_rows(rows, 64, 16, tasks=1), counting_scorer)
+    assert scored.agg(F.count(F.lit(1)), F.max(F.col("confidences")[0])).first()[:] == (BATCH_ROWS + 500, BATCH_ROWS)
+
+
+def test_confidence_rows_read_texts_in_small_batches(unset):
+    rows = answers(unset, 300, 20_000).withColumn("gt_output", guarded(F.col("gt_output")))
+    scores = unset.range(0, 300, 1, 1).select(F.col("id").alias("source_idx"), F.array_repeat(F.lit(0.5), 1).alias("confidences"))
+    found = windows.confidence_rows(rows, scores, tokenizer=InContext(whole, lambda: (F.lit(""), F.col("gt_output"))))
+    assert found.where("token is not null").count() == 300
