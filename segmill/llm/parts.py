@@ -5,6 +5,8 @@ home). A part sends each bucket its hashes in one packed row; the bucket counts
 answers with a byte per hash. Answers are gathered by slot and joined to the parts there, so only
 hashes and answers are shuffled and a text never travels. A hash that repeats inside a part is sent
 once with its number: a passage that a third of all texts share costs its bucket a few bytes a part.
+A slot holds a bounded number of parts, however much one task reads, and so does a row group of its
+files, as Spark's reader holds all texts of a row group at once.
 
 Rows sent are at most parts x buckets, and never more than hashes. With parts of 2 MB and buckets of
 32 MB (sizes for executors of 3 GB), 30 GB of text send about 14 million rows of 370 word windows each,
@@ -27,8 +29,10 @@ from pyspark.sql import types as T
 from segmill.llm.common import stage
 from segmill.sources.staging import MOST_BUCKETS, bucket_homes, stage_bucketed
 
-#: Bytes of text in a part, in a slot (one task's parts), and whose hashes go to one bucket, on average.
+#: Bytes of text in a part, in a slot (what one task reads of the parts), and whose hashes go to one bucket, on average.
 PART_TEXT, SLOT_TEXT, BUCKET_TEXT = 2 << 20, 16 << 20, 32 << 20
+#: Bytes of text in a row group of the staged parts; one part at least.
+ROW_GROUP_TEXT = 8 << 20
 #: Texts in a part at most, however short: what numbers them takes 22 bits.
 PART_ROWS = 1 << 22
 #: Stands for a null doc_id: before all others.
@@ -68,39 +72,45 @@ def bucket_number(size: int, bucket_text: int = BUCKET_TEXT) -> int:
     return max(1, -(-size // bucket_text))
 
 
+def slot_number(task: int, stretch: int, slots: int) -> int:
+    """The slot of a task's stretch of text; stretches lie apart by the golden section, so that those of any number of tasks spread evenly."""
+    return (task + round(stretch * slots * 0.6180339887)) % slots
+
+
 def stage_parts(texts: DataFrame, size: int, most: int = PART_TEXT, slot_text: int = SLOT_TEXT) -> DataFrame:
     """The rows of texts(doc_id, key, text), `size` bytes of text, as a staged table of parts.
 
-    All parts of one task have one slot, so a task writes one file; there are as many slots as tasks of
-    slot_text bytes, up to Spark's limit on buckets.
+    There are as many slots as stretches of slot_text bytes, up to Spark's limit on buckets, and a task
+    goes on to another slot after so many bytes.
     """
     slots = min(MOST_BUCKETS, bucket_number(size, slot_text))
-    homes = bucket_homes(texts.sparkSession, slots)
+    homes, slot_text = bucket_homes(texts.sparkSession, slots), max(slot_text, size // slots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        slot, part, held, bytes_held, rows_held = homes[task % slots], task << 20, [], 0, 0
+        part, held, bytes_held, rows_held, done = task << 20, [], 0, 0, 0
 
         def row() -> pa.RecordBatch:
             joined = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             ends = pa.array([0, joined.num_rows], pa.int32())
+            slot = homes[slot_number(task, done // slot_text, slots)]
             return pa.RecordBatch.from_arrays([pa.array([slot]), pa.array([part]), *(pa.ListArray.from_arrays(ends, c) for c in joined.columns)], schema=_ARROW_PARTS)
 
         for batch in batches:
             for piece in slices(batch, 2, most):
                 if held and rows_held + piece.num_rows > PART_ROWS:
                     yield row()
-                    part, held, bytes_held, rows_held = part + 1, [], 0, 0
+                    part, held, bytes_held, rows_held, done = part + 1, [], 0, 0, done + bytes_held
                 held.append(piece)
                 bytes_held += piece.column(2).nbytes
                 rows_held += piece.num_rows
                 if bytes_held >= most:
                     yield row()
-                    part, held, bytes_held, rows_held = part + 1, [], 0, 0
+                    part, held, bytes_held, rows_held, done = part + 1, [], 0, 0, done + bytes_held
         if held:
             yield row()
 
-    return stage_bucketed(texts.select("doc_id", "key", "text").mapInArrow(run, PARTS), "slot", slots)
+    return stage_bucketed(texts.select("doc_id", "key", "text").mapInArrow(run, PARTS), "slot", slots, group_rows=max(1, ROW_GROUP_TEXT // most))
 
 
 @dataclass

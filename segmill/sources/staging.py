@@ -112,17 +112,19 @@ def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stage_bucketed(df: DataFrame, column: str, buckets: int) -> DataFrame:
+def stage_bucketed(df: DataFrame, column: str, buckets: int, group_rows: int | None = None) -> DataFrame:
     """stage() as a table bucketed by a column: a join on this column leaves its rows where they are.
 
     Only the other side of such a join is shuffled, so wide rows (texts) are written once and never
-    travel again.
+    travel again. With group_rows a row group has so many rows at most: Parquet's writer looks at its size
+    after 100 rows only, and its reader holds a row group's nested columns at once.
     """
     spark = df.sparkSession
     path = work_dir(spark)
     name = path.rpartition("/")[2].replace("-", "_")
+    groups = {"parquet.block.row.count.limit": str(group_rows), "parquet.page.size.row.check.min": "1"} if group_rows else {}
     with _cleaned(spark):
-        df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, column).saveAsTable(name)
+        df.write.format("parquet").option("compression", "zstd").options(**groups).option("path", path).bucketBy(buckets, column).saveAsTable(name)
     with _lock:
         _left[_left.index((path, None))] = (path, name)
     return spark.table(name)
