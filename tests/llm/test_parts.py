@@ -8,7 +8,8 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from segmill.llm import parts, window_dedup
+import corpus_pipeline
+from segmill.llm import jaccard_join, parts, window_dedup
 from segmill.llm.common import configure
 from segmill.sources.staging import read_table
 
@@ -36,7 +37,8 @@ def test_slots_of_any_number_of_tasks_are_filled_evenly(tasks):
 
 @pytest.mark.parametrize(("module", "query"), [
     (window_dedup, lambda spark, docs: window_dedup.window_dedup(spark, docs, part_text=1 << 14)),
-], ids=["op8"])
+    (jaccard_join, lambda spark, docs: corpus_pipeline.near(spark, docs, "")),
+], ids=["op8", "pipeline"])
 def test_an_operator_whose_input_is_one_task_gets_many_slots(spark, sf, monkeypatch, module, query):
     docs = read_table(spark, sf, "documents").coalesce(1)
     plain = sorted(query(spark, docs).collect(), key=str)
