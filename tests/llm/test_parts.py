@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from segmill.llm import jaccard_join, parts, window_dedup
+from segmill.llm import jaccard_join, parts, suffix_dedup, window_dedup
 from segmill.llm.common import configure
 from segmill.sources.staging import read_table
 
@@ -36,9 +36,10 @@ def test_slots_of_any_number_of_tasks_are_filled_evenly(tasks):
 
 
 @pytest.mark.parametrize(("module", "query"), [
+    (suffix_dedup, lambda spark, docs: suffix_dedup.suffix_dedup(spark, docs, part_text=1 << 14)),
     (window_dedup, lambda spark, docs: window_dedup.window_dedup(spark, docs, part_text=1 << 14)),
     (jaccard_join, lambda spark, docs: corpus_pipeline.near(spark, docs, "")),
-], ids=["op8", "pipeline"])
+], ids=["op1", "op8", "pipeline"])
 def test_an_operator_whose_input_is_one_task_gets_many_slots(spark, sf, monkeypatch, module, query):
     docs = read_table(spark, sf, "documents").coalesce(1)
     plain = sorted(query(spark, docs).collect(), key=str)
