@@ -38,8 +38,9 @@ def test_slots_of_any_number_of_tasks_are_filled_evenly(tasks):
 @pytest.mark.parametrize(("module", "query"), [
     (suffix_dedup, lambda spark, docs: suffix_dedup.suffix_dedup(spark, docs, part_text=1 << 14)),
     (window_dedup, lambda spark, docs: window_dedup.window_dedup(spark, docs, part_text=1 << 14)),
+    (jaccard_join, lambda spark, docs: jaccard_join.jaccard_components(spark, docs, part_text=1 << 14)),
     (jaccard_join, lambda spark, docs: corpus_pipeline.near(spark, docs, "")),
-], ids=["op1", "op8", "pipeline"])
+], ids=["op1", "op8", "op9", "pipeline"])
 def test_an_operator_whose_input_is_one_task_gets_many_slots(spark, sf, monkeypatch, module, query):
     docs = read_table(spark, sf, "documents").coalesce(1)
     plain = sorted(query(spark, docs).collect(), key=str)
